@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratocast.llm import mixing
+from stratocast.llm import language_id, mixing, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": mixing.op1_mixing,
+        "op4_language_id": language_id.op4_language_id,
+        "op9_toxicity": toxicity.op9_toxicity,
     }
 
 
