@@ -6,16 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratocast.llm import language_id, mixing, toxicity
+from stratocast.llm import language_id, licenses, mixing, secrets, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": mixing.op1_mixing,
         "op4_language_id": language_id.op4_language_id,
+        "op5_licenses": licenses.op5_licenses,
+        "op8_secrets": secrets.op8_secrets,
         "op9_toxicity": toxicity.op9_toxicity,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op5_licenses": licenses.ORACLE_SQL,
+    }

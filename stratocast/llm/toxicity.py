@@ -1,10 +1,11 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained: both hold the same ordinary passages; the toxic one also holds what labelled toxic
+Zstandard dictionaries are trained on ordinary and on toxic text: all hold the same ordinary passages; a toxic one also holds what labelled toxic
 documents have and ordinary ones lack (found by document frequencies over all labelled rows), in place of digits
-of equal length in the ordinary one, so that windows without such words take about the same bytes with either. A text is cut into short
-windows over its whole length; each is encoded with both, and the bytes that the toxic dictionary saves are its gain. How many windows gain much,
-against the length of the text, gives the score; the weights are calibrated on labelled rows that neither dictionary has seen.
+of equal length in the ordinary one, so that windows without such words take about the same bytes with either. There are two toxic
+ones, for terms that ordinary documents hardly ever have (strong) and for those that they have less often (weak). A text is cut into short
+windows over its whole length; each is encoded with all three, and the bytes that a toxic dictionary saves are its gain. How many windows gain,
+against the length of the text, gives the score; the weights are calibrated on labelled rows that no dictionary has seen.
 
 Bounds (documented parameters): ``ordinary_docs`` passages of ``passage`` characters, ``terms`` toxic terms. All
 labelled rows count for frequencies and calibration; all texts are scored whole.
@@ -29,16 +30,16 @@ from stratocast.llm._common import bucket_of, materialize, slices
 from stratocast.llm.compression import Coder, windows
 
 WIDTH = 56
-RESULTS = ("n_windows", "n_gain", "n_large_gain")
-#: Bytes from which a gain counts, and from which it is large.
-GAIN, LARGE = 3, 5
+RESULTS = ("n_windows", "n_strong", "n_weak")
+#: Bytes from which a gain counts.
+GAIN = 3
 #: Letters of any script; a term is a word or the first characters of one.
 LETTERS = r"[^\p{L}]+"
 PREFIXES = (5, 6)
 
 
-def distinctive_terms(labelled: DataFrame, terms: int = 400, least: int = 3) -> list[str]:
-    """Words and word beginnings that toxic documents have significantly more often (G statistic), strongest last."""
+def distinctive_terms(labelled: DataFrame, terms: int = 400, least: int = 3) -> tuple[list[str], list[str]]:
+    """Words and word beginnings that toxic documents have significantly more often (G statistic), the most significant last: strong and weak ones."""
     n = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n1, n0 = float(n.get(1, 0)), float(n.get(0, 0))
     words = F.filter(F.split(F.lower("text"), LETTERS), lambda w: F.length(w) >= 3)
@@ -50,7 +51,8 @@ def distinctive_terms(labelled: DataFrame, terms: int = 400, least: int = 3) ->
     strength = t * F.log(t / expected) + F.when(o > 0, o * F.log(o / (t + o - expected))).otherwise(0.0)
     chance = 0.75 * math.log(max(seen.count(), 2))  # about what the best of so many terms reaches by chance
     rows = seen.where((t >= least) & (t > 3 * expected)).withColumn("g", strength).where(F.col("g") >= chance).orderBy(F.desc("g"), "term").limit(terms).collect()
-    return [r["term"].rstrip("*") for r in reversed(rows)]
+    strong = [r["t"] >= 10 * (r["o"] * n1 / n0 + 1) for r in rows]
+    return tuple([r["term"].rstrip("*") for r, x in zip(reversed(rows), reversed(strong), strict=True) if x == kind] for kind in (True, False))
 
 
 def ordinary_passages(labelled: DataFrame, ordinary_docs: int = 96, passage: int = 320, seed: int = 9) -> str:
@@ -62,23 +64,23 @@ def ordinary_passages(labelled: DataFrame, ordinary_docs: int = 96, passage: int
     return "\n".join(r["p"] for r in rows)
 
 
-def compression_gains(docs: DataFrame, ordinary: str, toxic_terms: list[str], level: int = 3) -> DataFrame:
-    """``docs`` with the number of windows, of those that gain ``GAIN`` bytes or more, and of those that gain ``LARGE``."""
+def compression_gains(docs: DataFrame, ordinary: str, strong: list[str], weak: list[str], level: int = 3) -> DataFrame:
+    """``docs`` with the number of windows, and of those that gain ``GAIN`` bytes or more with strong or with weak terms."""
     kept = docs.drop(*RESULTS)
-    extra = (" ".join(toxic_terms) + " ").encode()
-    shared = docs.sparkSession.sparkContext.broadcast((ordinary.encode(), extra))
+    shared = docs.sparkSession.sparkContext.broadcast((ordinary.encode(), *((" ".join(x) + " ").encode() for x in (strong, weak))))
     schema = T.StructType([*kept.schema.fields, *[T.StructField(x, T.LongType()) for x in RESULTS]])
 
     def gains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, extra = shared.value
-        digits = np.random.default_rng(1).integers(48, 58, len(extra), dtype=np.uint8).tobytes()
-        plain, toxic = Coder(digits + b"\n" + base, level), Coder(extra + b"\n" + base, level)
+        base, *extras = shared.value
+        width = max(map(len, extras))
+        digits = np.random.default_rng(1).integers(48, 58, width, dtype=np.uint8).tobytes()
+        coders = [Coder(digits[: width - len(x)] + x + b"\n" + base, level) for x in (digits, *extras)]
         for batch, texts in slices(batches):
             out = np.zeros((3, len(texts)), dtype=np.int64)
             for i, text in enumerate(texts):
                 pieces = list(windows(text.decode("utf-8", "replace").lower().encode(), WIDTH))
-                gain = np.array(plain.sizes(pieces)) - np.array(toxic.sizes(pieces))
-                out[:, i] = len(pieces), (gain >= GAIN).sum(), (gain >= LARGE).sum()
+                plain, *toxic = (np.array(c.sizes(pieces)) for c in coders)
+                out[:, i] = len(pieces), *((plain - x >= GAIN).sum() for x in toxic)
             yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(x) for x in out]], names=[*batch.schema.names, *RESULTS])
 
     return kept.mapInArrow(gains, schema)
@@ -87,8 +89,8 @@ def compression_gains(docs: DataFrame, ordinary: str, toxic_terms: list[str], le
 def features() -> list[Column]:
     """What the calibrated score is linear in; every one takes few values, so that the labelled rows fit a small table."""
     size = F.least(F.lit(20), F.floor(F.log2(F.col("n_windows") + 1)))
-    some, large = F.least(F.lit(24), F.col("n_gain")), F.least(F.lit(24), F.col("n_large_gain"))
-    return [x.cast("double") for x in (F.log1p(some), F.log1p(large), size, F.log1p(some) * size, F.log1p(large) * size)]
+    strong, weak = F.log1p(F.least(F.lit(24), F.col("n_strong"))), F.log1p(F.least(F.lit(24), F.col("n_weak")))
+    return [x.cast("double") for x in (strong, weak, size, strong * size, weak * size, F.when(F.col("n_strong") > 0, 1.0).otherwise(0.0))]
 
 
 def calibrate(gains: DataFrame) -> list[float]:
@@ -96,17 +98,27 @@ def calibrate(gains: DataFrame) -> list[float]:
     columns = features()
     names = [f"x{i}" for i in range(len(columns))]
     rows = gains.groupBy(*[c.alias(k) for k, c in zip(names, columns, strict=True)]).agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).collect()  # 25 x 25 x 21 rows at most
-    x = np.array([[1.0, *[r[k] for k in names]] for r in rows])
+    x = np.array([[r[k] for k in names] for r in rows])
     t, n = np.array([float(r["t"]) for r in rows]), np.array([float(r["n"]) for r in rows])
+    middle, spread = np.average(x, axis=0, weights=n), np.sqrt(np.average((x - np.average(x, axis=0, weights=n)) ** 2, axis=0, weights=n)) + 1e-9
+    x = np.column_stack([np.ones(len(x)), (x - middle) / spread])
+    ridge = np.diag([1e-6] + [1.0] * len(names))
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float((n * np.logaddexp(0, z) - t * z).sum() + 0.5 * w @ ridge @ w)
+
     w = np.zeros(x.shape[1])
-    ridge = np.diag([1e-6] + [0.05] * len(names))
-    for _ in range(40):
+    for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         step = np.linalg.solve((x * (n * p * (1 - p))[:, None]).T @ x + ridge, x.T @ (t - n * p) - ridge @ w)
-        w += np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-8:
+        while loss(w + step) > loss(w) + 1e-12 and np.abs(step).max() > 1e-10:
+            step /= 2
+        w += step
+        if np.abs(step).max() < 1e-9:
             break
-    return [float(v) for v in w]
+    slopes = w[1:] / spread
+    return [float(w[0] - slopes @ middle), *map(float, slopes)]
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,9 +138,9 @@ def score_toxicity(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     if not shares["t"] or shares["t"] == shares["n"] or not held.take(1):
         flat = 1.0 if shares["t"] else 0.0
         return docs.drop(*RESULTS).select("*", *[F.lit(0).cast("long").alias(x) for x in RESULTS], F.lit(flat).alias("score"))
-    terms, ordinary = distinctive_terms(fit), ordinary_passages(fit)
-    weights = calibrate(compression_gains(held, ordinary, terms))
+    (strong, weak), ordinary = distinctive_terms(fit), ordinary_passages(fit)
+    weights = calibrate(compression_gains(held, ordinary, strong, weak))
     linear = F.lit(weights[0])
     for v, x in zip(weights[1:], features(), strict=True):
         linear = linear + F.lit(v) * x
-    return compression_gains(docs, ordinary, terms).withColumn("score", 1 / (1 + F.exp(-linear)))
+    return compression_gains(docs, ordinary, strong, weak).withColumn("score", 1 / (1 + F.exp(-linear)))
