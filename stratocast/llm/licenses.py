@@ -103,7 +103,7 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _VALUES = ", ".join("('{}', '{}')".format(*[x.replace("'", "''") for x in t]) for t in TEMPLATES)
-_GRAMS = "list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]))"
+_GRAMS = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
 _WORDS = "string_split(trim(regexp_replace(translate({}, '" + UPPER + "', '" + LOWER + "'), '[^a-z0-9]+', ' ', 'g')), ' ')"
 
 ORACLE_SQL = f"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratocast.llm import language_id, licenses, mixing, secrets, toxicity
+from stratocast.llm import decontamination, language_id, licenses, mixing, secrets, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mixing": mixing.op1_mixing,
         "op4_language_id": language_id.op4_language_id,
         "op5_licenses": licenses.op5_licenses,
+        "op6_decontamination": decontamination.op6_decontamination,
         "op8_secrets": secrets.op8_secrets,
         "op9_toxicity": toxicity.op9_toxicity,
     }
