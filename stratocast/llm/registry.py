@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratocast.llm import decontamination, language_id, licenses, mixing, secrets, toxicity
+from stratocast.llm import decontamination, language_id, licenses, mixing, near_dedup, secrets, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_language_id": language_id.op4_language_id,
         "op5_licenses": licenses.op5_licenses,
         "op6_decontamination": decontamination.op6_decontamination,
+        "op7_near_dedup": near_dedup.op7_near_dedup,
         "op8_secrets": secrets.op8_secrets,
         "op9_toxicity": toxicity.op9_toxicity,
     }
