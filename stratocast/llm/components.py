@@ -40,13 +40,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).union(roots).distinct()
 
 
-def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], first_leaders: int = 1, factor: int = 8) -> tuple[DataFrame, DataFrame | None]:
-    """Components of the items in ``members`` (bucket long, id long): (id, component) of all items that got linked, and the links.
+def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], first_leaders: int = 1, factor: int = 8) -> tuple[DataFrame, DataFrame]:
+    """Components of the items in ``members`` (bucket long, id long, other columns): (id, component) of all items that got linked, and the links.
 
-    ``verify`` takes distinct pairs (a, b) and returns those that are links.
+    ``verify`` takes rows of a leader and a member that share a bucket (``leader``, ``id``, the columns of members, and those of the
+    leader under names that begin with ``leader_``) and returns the links among them as (a, b, ...); a link with the same columns counts once.
     """
-    members = materialize(members.select("bucket", "id"), "members")
-    labels = None
+    extra = [c for c in members.columns if c not in ("bucket", "id")]
+    labels: DataFrame | None = None
     links: DataFrame | None = None
     leaders = first_leaders
     while True:
@@ -54,22 +55,18 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], f
         # Buckets of one component are done; this pre-aggregates before the shuffle.
         open_buckets = known.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("bucket")
         alive = materialize(known.join(open_buckets, "bucket"), "alive")
-        if not alive.take(1):
+        if links is not None and not alive.take(1):
             break
-        # Leaders: the first of each bucket,
-        # by a hash of the id alone, so that a group picks the same ones in all buckets that it shares
+        # Leaders: the first of each bucket by a hash of the id alone, so that a group picks the same ones in all buckets that it shares.
         chosen = alive.withColumn("rank", F.row_number().over(W.partitionBy("bucket").orderBy(F.xxhash64("id"), "id"))).where(F.col("rank") <= leaders)
-        chosen = chosen.select("bucket", F.col("id").alias("leader"), F.col("component").alias("leader_component"), "rank")
+        chosen = chosen.select("bucket", F.col("id").alias("leader"), F.col("component").alias("leader_component"), *[F.col(c).alias(f"leader_{c}") for c in extra])
         met = alive.join(chosen, "bucket").where("component != leader_component")
-        pairs = met.select(F.least("leader", "id").alias("a"), F.greatest("leader", "id").alias("b")).distinct()
-        if links is not None:
-            pairs = pairs.join(links.select("a", "b"), ["a", "b"], "left_anti")
-        found = materialize(verify(pairs), "links")
-        links = found if links is None else materialize(links.union(found), "links")
+        found = materialize(verify(met), "links")
+        links = found if links is None else materialize(links.union(found).distinct(), "links")
         if found.take(1):
             labels = materialize(connected_components(links), "labels")
         # A leader has met all others of its bucket.
-        members = materialize(alive.select("bucket", "id").join(chosen.select("bucket", F.col("leader").alias("id")), ["bucket", "id"], "left_anti"), "members")
+        members = materialize(alive.select("bucket", "id", *extra).join(chosen.select("bucket", F.col("leader").alias("id")).distinct(), ["bucket", "id"], "left_anti"), "members")
         leaders *= factor
     if labels is None:
         labels = members.sparkSession.createDataFrame([], "id long, component long")

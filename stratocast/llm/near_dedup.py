@@ -101,15 +101,22 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sketch, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Those pairs (a, b) whose full sets have 100 * intersection >= percent * union.
+def meet(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Rows of ``pairs`` (a, b, ...) with the text of b, each part of an a's rows after one row (b null) with the text of a.
 
     Texts meet by the pair's first document: its text comes once per ``PAIRS`` pairs, so that one with very many pairs is spread.
     """
+    extra = [c for c in pairs.columns if c not in ("a", "b")]
     many = pairs.groupBy("a").agg(F.ceil(F.count("*") / PAIRS).cast("int").alias("parts"))
-    heads = many.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).join(texts, F.col("a") == texts["doc_id"]).select("a", "part", F.lit(None).cast("long").alias("b"), "text")
-    tails = pairs.join(many, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int")).join(texts, F.col("b") == texts["doc_id"]).select("a", "part", "b", "text")
-    together = heads.union(tails).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    empty = [F.lit(None).cast(dict(pairs.dtypes)[c]).alias(c) for c in extra]
+    heads = many.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).join(texts, F.col("a") == texts["doc_id"]).select("a", "part", F.lit(None).cast("long").alias("b"), "text", *empty)
+    tails = pairs.join(many, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int")).join(texts, F.col("b") == texts["doc_id"]).select("a", "part", "b", "text", *extra)
+    return heads.union(tails).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+
+
+def verified(met: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Those distinct pairs (a, b) of leaders and members whose full sets have 100 * intersection >= percent * union."""
+    pairs = met.select(F.least("leader", "id").alias("a"), F.greatest("leader", "id").alias("b")).distinct()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = None
@@ -130,7 +137,7 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
                     right.append(other)
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
-    return together.mapInArrow(compare, "a long, b long")
+    return meet(pairs, texts).mapInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -147,7 +154,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
     texts = materialize(texts, "texts")
 
-    labels, _ = link_buckets(members, lambda pairs: verified(pairs, texts, k, percent))
+    labels, _ = link_buckets(members, lambda met: verified(met, texts, k, percent))
     # Ids with several texts join their classes: every class is labelled through its smallest id, then ids through their classes.
     by_class = classes.join(labels, F.col("rep") == labels["id"], "left").select("k1", "k2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
     by_class = materialize(by_class.withColumn("key", F.xxhash64("k1", "k2", "n_shingles")).select("key", "component_id"), "class_components")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratocast.llm import decontamination, hamming, katz, language_id, licenses, mixing, near_dedup, secrets, toxicity
+from stratocast.llm import decontamination, hamming, katz, language_id, licenses, mixing, near_dedup, passages, secrets, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mixing": mixing.op1_mixing,
         "op10_hamming": hamming.op10_hamming,
         "op2_katz": katz.op2_katz,
+        "op3_passages": passages.op3_passages,
         "op4_language_id": language_id.op4_language_id,
         "op5_licenses": licenses.op5_licenses,
         "op6_decontamination": decontamination.op6_decontamination,
