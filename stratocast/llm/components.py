@@ -40,11 +40,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).union(roots).distinct()
 
 
-def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], first_leaders: int = 1, factor: int = 8) -> tuple[DataFrame, DataFrame]:
+def link_buckets(
+    members: DataFrame, verify: Callable[[DataFrame], DataFrame], settle: Callable[[DataFrame, DataFrame], DataFrame] | None = None, first_leaders: int = 1, factor: int = 8
+) -> tuple[DataFrame, DataFrame]:
     """Components of the items in ``members`` (bucket long, id long, other columns): (id, component) of all items that got linked, and the links.
 
     ``verify`` takes rows of a leader and a member that share a bucket (``leader``, ``id``, the columns of members, and those of the
     leader under names that begin with ``leader_``) and returns the links among them as (a, b, ...); a link with the same columns counts once.
+    Members that are in one component need not meet, unless ``settle`` (members and links to members with a boolean ``settled``) says that one of them
+    still wants a link of its own in this bucket.
     """
     extra = [c for c in members.columns if c not in ("bucket", "id")]
     labels: DataFrame | None = None
@@ -52,15 +56,17 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], f
     leaders = first_leaders
     while True:
         known = members.withColumn("component", F.col("id")) if labels is None else members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        # Buckets of one component are done; this pre-aggregates before the shuffle.
-        open_buckets = known.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("bucket")
+        known = known.withColumn("settled", F.lit(settle is None)) if settle is None or links is None else settle(known, links)
+        # Buckets of one component, all settled, are done; this pre-aggregates before the shuffle.
+        open_buckets = known.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("id").alias("first"), F.max("id").alias("last"), F.min("settled").alias("settled"))
+        open_buckets = open_buckets.where("low != high or (first != last and not settled)").select("bucket")
         alive = materialize(known.join(open_buckets, "bucket"), "alive")
         if links is not None and not alive.take(1):
             break
         # Leaders: the first of each bucket by a hash of the id alone, so that a group picks the same ones in all buckets that it shares.
         chosen = alive.withColumn("rank", F.row_number().over(W.partitionBy("bucket").orderBy(F.xxhash64("id"), "id"))).where(F.col("rank") <= leaders)
-        chosen = chosen.select("bucket", F.col("id").alias("leader"), F.col("component").alias("leader_component"), *[F.col(c).alias(f"leader_{c}") for c in extra])
-        met = alive.join(chosen, "bucket").where("component != leader_component")
+        chosen = chosen.select("bucket", F.col("id").alias("leader"), F.col("component").alias("leader_component"), F.col("settled").alias("leader_settled"), *[F.col(c).alias(f"leader_{c}") for c in extra])
+        met = alive.join(chosen, "bucket").where("id != leader and (component != leader_component or not (settled and leader_settled))")
         found = materialize(verify(met), "links")
         links = found if links is None else materialize(links.union(found).distinct(), "links")
         if found.take(1):
