@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratocast.plans import training
+from stratocast.plans import stations, training, verification
 
-MODULES = (training,)
+MODULES = (training, verification, stations)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -45,7 +45,7 @@ def pairs(spark: SparkSession, sf: str, precip: bool = False, lead: str = "24 *
     """Long forecasts with observations; ``icon`` ends at 48 hours."""
     line = spark.read.parquet(f"{sf}/lineitem.parquet")
     obs = "greatest(l_quantity - 35, 0D) / 5" if precip else "l_quantity / 2"
-    base = line.select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", F.expr(obs).alias("obs"), F.expr(f"CAST({lead} AS INT)").alias("lead_h"))
+    base = line.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", F.expr(obs).alias("obs"), F.expr(f"CAST({lead} AS INT)").alias("lead_h"))
     if precip:
         model = [F.expr(f"greatest({_forecast(m, 'obs', f'CAST(-0.5 AS DOUBLE) + CAST(0.1 AS DOUBLE) * {m}', 'lead_h')}, 0D)") for m in range(3)]
     else:
@@ -58,7 +58,7 @@ def pairs(spark: SparkSession, sf: str, precip: bool = False, lead: str = "24 *
         "lead_h",
         F.lit("prev_runs").alias("lead_source"),
         "obs",
-        F.expr("l_orderkey * 10 + l_linenumber").alias("ingest_seq"),
+        F.expr("(l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey").alias("ingest_seq"),
         each.alias("m"),
     ).select("station_id", "valid_time", "lead_h", "lead_source", F.col("m.model").alias("model"), F.col("m.fc").alias("fc"), "obs", "ingest_seq")
 
@@ -70,7 +70,7 @@ def _pairs_sql(name: str, precip: bool, lead: str = "24 * l_linenumber") -> str:
     else:
         fc = f"CASE WHEN model = 'icon' AND lead_h > 48 THEN NULL ELSE {_forecast('m', 'obs', 'CAST(1.5 AS DOUBLE) + CAST(0.5 AS DOUBLE) * m', 'lead_h')} END"
     return f"""{name} AS (SELECT 'ST' || CAST(l_suppkey % 4 AS VARCHAR) AS station_id, l_shipdate + to_hours(CAST(l_orderkey % 24 AS INT)) AS valid_time, lead_h,
- 'prev_runs' AS lead_source, model, {fc} AS fc, obs, l_orderkey * 10 + l_linenumber AS ingest_seq
+ 'prev_runs' AS lead_source, model, {fc} AS fc, obs, (l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey AS ingest_seq
  FROM (SELECT *, {obs} AS obs, CAST({lead} AS INT) AS lead_h FROM lineitem) l, (VALUES (0, 'gfs'), (1, 'ecmwf'), (2, 'icon')) v(m, model))"""
 
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratocast.config import DENSE, LEVELS, NORMAL_LEVELS, QUANTILES, dense_weights
@@ -91,6 +91,18 @@ def quantile_truncated_sql(mu: str, sigma: str, level: int) -> str:
     return f"greatest({mu} + {s} * ({_inverse_sql('(' + p + ')')}), CAST(0 AS DOUBLE))"
 
 
+def with_truncated_quantiles(frame: DataFrame, mu: str, sigma: str) -> DataFrame:
+    """``frame`` with q05..q95 of a normal cut off below zero; the mass below zero and each level's share are columns of their own, so no text is repeated."""
+    s = f"greatest({sigma}, CAST(1e-6 AS DOUBLE))"
+    out = frame.withColumn("__below", F.expr(_cdf_sql(f"(-({mu}) / {s})")))
+    levels = F.array(*[F.lit(q) for q in LEVELS])
+    share = F.transform(levels, lambda q: F.least(F.greatest(F.col("__below") + q * (1 - F.col("__below")), F.lit(1e-12)), F.lit(1 - 1e-12)))
+    out = out.withColumn("__p", share)
+    for i, name in enumerate(QUANTILES):
+        out = out.withColumn("__one", F.col("__p")[i]).withColumn(name, F.expr(f"greatest({mu} + {s} * ({_inverse_sql('__one')}), CAST(0 AS DOUBLE))"))
+    return out.drop("__below", "__p", "__one")
+
+
 def pinball(y: Column, q: Column, level: float) -> Column:
     d = y - q
     return F.greatest(level * d, (level - 1.0) * d)

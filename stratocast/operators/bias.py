@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 from stratocast import config as C
 from stratocast.operators.pairing import with_bucket
 
-NEWEST = [F.desc("valid_time"), F.desc("lead_h"), F.desc("lead_source"), F.desc("ingest_seq")]
+def newest() -> list[Column]:
+    """Order of rows from the newest on, ties resolved."""
+    return [F.desc("valid_time"), F.desc("lead_h"), F.desc("lead_source"), F.desc("ingest_seq")]
 
 
 def _decayed(rows: DataFrame, keys: list[str], name: str, w: float = C.DECAY) -> DataFrame:
-    newest = W.partitionBy(*keys).orderBy(*NEWEST)
-    ranked = rows.withColumn("__r", F.row_number().over(newest)).withColumn("__n", F.count("*").over(W.partitionBy(*keys)))
+    order = W.partitionBy(*keys).orderBy(*newest())
+    ranked = rows.withColumn("__r", F.row_number().over(order)).withColumn("__n", F.count("*").over(W.partitionBy(*keys)))
     weight = F.pow(F.lit(1 - w), F.col("__r") - 1) * F.when(F.col("__r") == F.col("__n"), 1.0).otherwise(w)
     return ranked.groupBy(*keys).agg(F.sum(weight * F.col("error")).alias(name), F.count("*").alias(f"{name}_n"))
 
@@ -48,7 +50,7 @@ def residual_bands(fitted: DataFrame, keys: tuple[str, ...] = ("station_id",), a
     rows = corrected(known, known, keys, additive).withColumn("resid", F.col("obs") - F.col("median"))
 
     def bands(by: list[str], window: int, name: str) -> DataFrame:
-        last = rows.withColumn("__r", F.row_number().over(W.partitionBy(*by).orderBy(*NEWEST))).where(F.col("__r") <= window)
+        last = rows.withColumn("__r", F.row_number().over(W.partitionBy(*by).orderBy(*newest()))).where(F.col("__r") <= window)
         return last.groupBy(*by).agg(F.percentile("resid", F.array(*[F.lit(q) for q in C.LEVELS])).alias(name), F.count("*").alias("__n")).where(F.col("__n") >= C.MIN_RESIDUALS).drop("__n")
 
     return bands([*keys, "bucket"], C.RESIDUAL_WINDOW, "band"), bands(list(keys), C.POOLED_WINDOW, "pooled")

@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 from stratocast import config as C
 
 MEASURES = ("air_temp_c", "dewpoint_c", "relative_humidity_pct", "wind_speed_ms", "wind_gust_ms", "wind_dir_deg", "precip_1h_mm")
-IN_TIME = W.partitionBy("station_id").orderBy("valid_time")
+
+
+def in_time() -> W:
+    return W.partitionBy("station_id").orderBy("valid_time")
 
 
 def hourly(reports: DataFrame) -> DataFrame:
@@ -55,7 +58,7 @@ def dewpoint_screen(obs: DataFrame) -> DataFrame:
 
 def step_screen(obs: DataFrame) -> DataFrame:
     """Null what jumps from the row before; both edges of a spike go. Compared are the values before this screen."""
-    jump = lambda c, limit: F.coalesce(F.abs(F.col(c) - F.lag(c).over(IN_TIME)) > limit, F.lit(False))
+    jump = lambda c, limit: F.coalesce(F.abs(F.col(c) - F.lag(c).over(in_time())) > limit, F.lit(False))
     return obs.withColumns({c: F.when(~jump(c, limit), F.col(c)) for c, limit in C.STEPS.items()})
 
 
@@ -63,8 +66,8 @@ def flatline_screen(obs: DataFrame, columns: tuple[str, ...] = ("air_temp_c", "w
     """Null values from the ``rows``-th of a run of equal ones on; a null ends a run; calm wind is exempt."""
     out = obs
     for c in columns:
-        changed = F.when(F.col(c).isNull() | F.lag(c).over(IN_TIME).isNull() | (F.col(c) != F.lag(c).over(IN_TIME)), 1).otherwise(0)
-        out = out.withColumn("__new", changed).withColumn("__run", F.sum("__new").over(IN_TIME.rowsBetween(W.unboundedPreceding, 0)))
+        changed = F.when(F.col(c).isNull() | F.lag(c).over(in_time()).isNull() | (F.col(c) != F.lag(c).over(in_time())), 1).otherwise(0)
+        out = out.withColumn("__new", changed).withColumn("__run", F.sum("__new").over(in_time().rowsBetween(W.unboundedPreceding, 0)))
         out = out.withColumn("__at", F.row_number().over(W.partitionBy("station_id", "__run").orderBy("valid_time")))
         stuck = F.col("__at") >= rows
         if c == "wind_speed_ms":
@@ -79,4 +82,4 @@ def all_screens(obs: DataFrame) -> DataFrame:
 
 def increments(rows: DataFrame, total: str, out: str, scale: float = C.INCH) -> DataFrame:
     """Positive first differences of a running total, scaled; the first row of a station has none."""
-    return rows.withColumn(out, F.greatest(F.col(total) - F.lag(total).over(IN_TIME), F.lit(0.0)) * scale)
+    return rows.withColumn(out, F.greatest(F.col(total) - F.lag(total).over(in_time()), F.lit(0.0)) * scale)

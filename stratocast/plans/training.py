@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stratocast import config as C
@@ -120,7 +119,7 @@ def hourly_dedupe(spark: SparkSession, sf: str) -> DataFrame:
 )
 def cumulative_increment(spark: SparkSession, sf: str) -> DataFrame:
     rows = quality.hourly(X.reports(spark, sf)).where("relative_humidity_pct IS NOT NULL").withColumnRenamed("relative_humidity_pct", "total").drop("precip_1h_mm")
-    out = rows.withColumn("precip_1h_mm", F.when(F.lag("total").over(quality.IN_TIME).isNotNull(), F.greatest(F.col("total") - F.lag("total").over(quality.IN_TIME), F.lit(0.0)) * C.INCH).otherwise(0.0))
+    out = rows.withColumn("precip_1h_mm", F.when(F.lag("total").over(quality.in_time()).isNotNull(), F.greatest(F.col("total") - F.lag("total").over(quality.in_time()), F.lit(0.0)) * C.INCH).otherwise(0.0))
     return out.select("station_id", stamp(), F.round("precip_1h_mm", 6).alias("precip_1h_mm"))
 
 
@@ -230,7 +229,3 @@ def tier0_predict(spark: SparkSession, sf: str) -> DataFrame:
 def tier0_precip(spark: SparkSession, sf: str) -> DataFrame:
     w = pairing.wide(X.pairs(spark, sf, precip=True))
     return bias.predict(w, w, floor=0.0, additive=False).select("station_id", stamp(), "lead_h", *[F.round(q, 6).alias(q) for q in C.QUANTILES])
-
-
-def newest(by: list[str]) -> W:
-    return W.partitionBy(*by).orderBy(*bias.NEWEST)
