@@ -3,7 +3,9 @@
 Every line of a document, and every document of several lines as a whole, is a passage. A passage whose distinct bigrams
 number n can only reach a Dice coefficient of t with a template of m if t/(2-t) * m <= n <= (2-t)/t * m. So the templates are listed
 under every size that they admit, and a passage meets only those listed under its own size: an equi-join with
-a table whose size the templates fix, which is broadcast after its rows are counted. No text is shuffled; matches alone are grouped by document.
+a table whose size the templates fix, which is broadcast after its rows are counted. Such a passage also shares at least t/(2-t) * m bigrams with the
+template; so of any words that more than the rest of its bigrams contain, it has one. A few such words per template tell at once which documents
+can have a match; the others' bigrams are never formed. No text is shuffled; matches alone are grouped by document.
 
 Defined cases: null and empty texts have no passage and no licence; a passage of one word has no bigram; equal coefficients go to
 the template that comes first by name; rows with the same doc_id are one document; other columns are not carried.
@@ -11,6 +13,9 @@ the template that comes first by name; rows with the same doc_id are one documen
 
 from __future__ import annotations
 
+import math
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,12 +85,31 @@ def template_table(spark: SparkSession, templates=TEMPLATES, threshold: float =
     return table.withColumn("n", F.explode(F.sequence(F.greatest(low, F.lit(1)), F.greatest(high, F.lit(1))))).withColumn("n", F.col("n").cast("int"))
 
 
-def match_licenses(docs: DataFrame, templates: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, line, template, dice) of every passage and template at or above the threshold; line -1 is the whole text."""
+def anchors(templates=TEMPLATES, threshold: float = THRESHOLD) -> str:
+    """A pattern of words of which every passage that reaches the threshold with a template has one: the longest words of
+    each template, until they lie in more of its bigrams than a match may lack."""
+    chosen: set[str] = set()
+    for _, body in templates:
+        words = re.sub("[^a-z0-9]+", " ", body.lower()).split()
+        pairs = set(zip(words[:-1], words[1:], strict=True))
+        spare = len(pairs) - math.ceil(threshold / (2 - threshold) * len(pairs) - 1e-9)
+        for word in sorted(set(words), key=lambda w: (w not in chosen, -len(w), w)):
+            if sum(1 for p in pairs if chosen & set(p)) > spare:
+                break
+            chosen.add(word)
+    by_letter: dict[str, list[str]] = {}
+    for word in sorted(chosen):
+        by_letter.setdefault(word[0], []).append(word[1:])
+    tails = "|".join(f"{k}(?:{'|'.join(v)})" for k, v in by_letter.items())
+    return f"(?i)(?<![A-Za-z0-9])(?:{tails})(?![A-Za-z0-9])"
+
+
+def match_licenses(docs: DataFrame, templates: DataFrame, sign: str, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, line, template, dice) of every passage and template at or above the threshold; line -1 is the whole text; ``sign`` is what ``anchors`` gives for the templates."""
     lines = F.split("text", "\n")
     whole = F.when(F.size(lines) > 1, F.array(F.struct(F.lit(-1).alias("line"), F.col("text").alias("passage")))).otherwise(F.expr("cast(array() as array<struct<line:int,passage:string>>)"))
     each = F.transform(lines, lambda x, i: F.struct(i.alias("line"), x.alias("passage")))
-    passages = docs.where(F.col("text").isNotNull()).select("doc_id", F.explode(F.concat(each, whole)).alias("p")).select("doc_id", "p.line", bigrams(F.col("p.passage")).alias("grams"))
+    passages = docs.where(F.col("text").rlike(sign)).select("doc_id", F.explode(F.concat(each, whole)).alias("p")).where(F.col("p.passage").rlike(sign)).select("doc_id", "p.line", bigrams(F.col("p.passage")).alias("grams"))
     passages = passages.withColumn("n", F.size("grams")).where(F.col("n") > 0)
     few = templates.count() <= 100_000
     met = passages.join(F.broadcast(templates) if few else templates, "n")
@@ -95,7 +119,7 @@ def match_licenses(docs: DataFrame, templates: DataFrame, threshold: float = THR
 
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    found = match_licenses(docs, template_table(spark))
+    found = match_licenses(docs, template_table(spark), anchors())
     best = F.min(F.struct((-F.col("dice")).alias("worst"), "template")).alias("best")
     by_doc = found.groupBy("doc_id").agg(best, F.count("*").alias("n_matches"), F.array_join(F.array_sort(F.collect_set("template")), ",").alias("licenses"))
     out = docs.select("doc_id").distinct().join(by_doc, "doc_id", "left")
