@@ -36,6 +36,8 @@ GAIN = 3
 #: Letters of any script; a term is a word or the first characters of one.
 LETTERS = r"[^\p{L}]+"
 PREFIXES = (5, 6)
+#: Labels up to which they are broadcast (12 bytes each).
+LABELS = 2_000_000
 
 
 def distinctive_terms(labelled: DataFrame, terms: int = 400, least: int = 3) -> tuple[list[str], list[str]]:
@@ -126,7 +128,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     rest = bucket_of(F.col("doc_id"), 5)
     learned = labels.where((rest != 0) & F.col("toxic").isin(0, 1))
-    labelled = docs.where(F.col("text").isNotNull() & (rest != 0)).join(learned, "doc_id")
+    few = learned.count() <= LABELS  # so the texts need not be shuffled
+    labelled = docs.where(F.col("text").isNotNull() & (rest != 0)).join(F.broadcast(learned) if few else learned, "doc_id")
     labelled = materialize(labelled.withColumn("part", rest), "labelled")
     return score_toxicity(docs, labelled).select("doc_id", (rest == 0).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).cast("int").alias("predicted"), *RESULTS)
 
