@@ -39,10 +39,12 @@ SHARD, BLOCK = 1 << 17, 1 << 17
 def sign_codes(vectors: DataFrame, sample: int = 2000, seed: int = 3) -> DataFrame:
     """(id, code) of (id, vector): a 64-bit code per row, by signs along fixed random directions."""
     rows = vectors.where(F.col("id").isNotNull() & (F.size("vector") > 0) & ~F.exists("vector", lambda x: x.isNull() | F.isnan(x)))
-    drawn = np.array([r["vector"] for r in rows.orderBy(F.xxhash64(F.lit(seed), F.col("id")), "id").limit(sample).select("vector").collect()], dtype=np.float64)
-    if not len(drawn):
+    usual = rows.groupBy(F.size("vector").alias("width")).count().orderBy(F.desc("count"), "width").first()  # the width that most vectors have
+    if usual is None:
         return vectors.sparkSession.createDataFrame([], "id long, code long")
-    width = drawn.shape[1]
+    width = usual["width"]
+    rows = rows.where(F.size("vector") == width)
+    drawn = np.array([r["vector"] for r in rows.orderBy(F.xxhash64(F.lit(seed), F.col("id")), "id").limit(sample).select("vector").collect()], dtype=np.float64)
     directions = np.linalg.qr(np.random.default_rng(seed).standard_normal((max(width, BITS), max(width, BITS))))[0][:width, :BITS]
     middle = np.median(drawn @ directions, axis=0)
 
@@ -53,7 +55,7 @@ def sign_codes(vectors: DataFrame, sample: int = 2000, seed: int = 3) -> DataFra
             bits = (table.astype(np.float64) @ directions) > middle
             yield pd.DataFrame({"id": frame["id"].to_numpy(np.int64), "code": (bits * powers).sum(axis=1, dtype=np.uint64).view(np.int64)})
 
-    return rows.where(F.size("vector") == width).select(F.col("id").cast("long").alias("id"), "vector").mapInPandas(encode, "id long, code long")
+    return rows.select(F.col("id").cast("long").alias("id"), "vector").mapInPandas(encode, "id long, code long")
 
 
 class Shard:
