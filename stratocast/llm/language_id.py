@@ -54,7 +54,7 @@ def language_sample(labelled: DataFrame, sample_docs: int = 256, passage: int =
     return sorted(((r["lang"], r["n"], r["content"]) for r in rows), key=lambda r: (-r[1], r[0]))
 
 
-def identify_language(docs: DataFrame, sample: list[tuple[str, int, str]], min_margin: float = 0.002, level: int = 3) -> DataFrame:
+def identify_language(docs: DataFrame, sample: list[tuple[str, int, str]], min_margin: float = 0.001, level: int = 3) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` (0 to 1, grows with the margin), ``margin`` and ``rejected``.
 
     ``margin`` is the share by which the runner-up is longer; below ``min_margin`` the text is rejected.
