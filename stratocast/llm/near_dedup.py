@@ -6,7 +6,8 @@ and a set is finished as soon as no later rank can lower any of its values. Sign
 share a band are candidates. Equal sets are collapsed first, so that copies count once. Candidates are verified on
 their full sets; verified links are merged by ``link_buckets``.
 
-With 36 bands of 7 rows a pair at similarity 0.85 shares no band with probability 9e-7.
+With 36 bands of 7 rows a pair at similarity 0.85 shares no band with probability 9e-7. Buckets of 32 members or more are dealt anew by an exact
+prefix filter on the rarest shingles.
 
 Scale: one pass over the texts for signatures; a second reads those of candidates. No pair of copies is formed, and no bucket's pairs are
 all emitted; leaders with many pairs are salted. Tables between the steps are written to shared storage.
@@ -23,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stratocast.llm._common import Words, join_lookup, materialize, mix64, shingle_hashes, slices
@@ -34,6 +36,8 @@ SIZE = BANDS * ROWS  # at most 256: ranks are bytes
 CHUNK = 20_000
 #: Pairs of one leader in one task.
 PAIRS = 64
+#: Members from which a bucket is large.
+LARGE = 32
 
 
 def shingle_set(words: np.ndarray, k: int) -> np.ndarray:
@@ -140,6 +144,29 @@ def verified(met: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
     return meet(pairs, texts).mapInArrow(compare, "a long, b long")
 
 
+def _rare_first(crowded: DataFrame, k: int, percent: int) -> DataFrame:
+    """(bucket, id, n, place) by prefix filter: each set's rarest shingles, so many that two similar enough sets have one of them in common.
+
+    At least percent of each set must be common, so all but as many, and one more, in the order of their frequency suffice. An edited copy's rare shingles are its
+    edits: copies with too many of these meet nothing but what shares an edit, and those with few meet at the origin's shingles.
+    """
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, found in slices(batches):
+            w = Words(found)
+            sets = [shingle_set(w.hash[a:b], k) for a, b in zip(w.first[:-1], w.first[1:], strict=True)]
+            size = np.array([len(s) for s in sets], dtype=np.int64)
+            owner = np.repeat(np.arange(len(sets)), size)
+            which = np.array([s.sum(dtype=np.uint64) for s in sets], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), pa.array(which[owner]), pa.array(size[owner]), pa.array(np.concatenate(sets).view(np.int64))], names=["id", "which", "n", "h"])
+
+    rows = crowded.mapInArrow(shingles, "id long, which long, n long, h long")
+    common = rows.groupBy("h").agg(F.count("*").alias("df"), F.min("id").alias("low"), F.max("id").alias("high"))
+    order = F.row_number().over(W.partitionBy("id", "which").orderBy("df", "h"))
+    prefix = rows.join(common, "h").withColumn("r", order).where(f"r <= n - ceil({percent} * n / 100) + 1 AND low != high")
+    return prefix.select(F.xxhash64("h").alias("bucket"), "id", "n", (F.col("r") - 1).cast("long").alias("place")).distinct()
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
     sketch = materialize(sketches(docs, k), "sketches")
@@ -149,12 +176,26 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     banded = full.join(reps, "doc_id", "left_semi").select("doc_id", F.posexplode("bands").alias("band", "h")).select(F.col("h").alias("bucket"), F.col("doc_id").alias("id"))
     shared = banded.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low != high").select("bucket")
     members = materialize(banded.join(shared, "bucket").distinct(), "members")
+    size = members.groupBy("bucket").agg(F.count("*").alias("size"))
+    members = materialize(members.join(size, "bucket"), "sized")
     wanted = materialize(members.select(F.col("id").alias("doc_id")).distinct(), "candidates")
     few = wanted.count() <= 1_000_000
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
     texts = materialize(texts, "texts")
-
-    labels, _ = link_buckets(members, lambda met: verified(met, texts, k, percent))
+    # Large buckets are dealt anew, by an exact filter over all their members.
+    crowd = materialize(members.where(F.col("size") >= LARGE).select(F.col("id").alias("doc_id")).distinct(), "crowd")
+    members = members.withColumns({"n": F.lit(0).cast("long"), "place": F.lit(-1).cast("long")})
+    if crowd.take(1):
+        prefix = _rare_first(texts.join(crowd, "doc_id", "left_semi"), k, percent)
+        members = materialize(members.where(F.col("size") < LARGE).select("bucket", "id", "n", "place").union(prefix), "dealt")
+        size = members.groupBy("bucket").agg(F.count("*").alias("size"))
+        members = members.join(size.where("size > 1"), "bucket")
+    # The origin of a group shares most buckets, so it leads, and gathers the group at once.
+    central = members.groupBy("id").agg(F.sum(F.col("size") - 1).alias("central"))
+    members = materialize(members.join(central, "id").select("bucket", "id", "central", "n", "place"), "central")
+    # At the first shingle that two sets have in common, what follows in both bounds what they share.
+    possible = f"place < 0 or {100 + percent} * least(n - place, leader_n - leader_place) >= {percent} * (n + leader_n)"
+    labels, _ = link_buckets(members, lambda met: verified(met, texts, k, percent), possible=possible, first="-central", small=8)
     # Ids with several texts join their classes: every class is labelled through its smallest id, then ids through their classes.
     by_class = classes.join(labels, F.col("rep") == labels["id"], "left").select("k1", "k2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
     by_class = materialize(by_class.withColumn("key", F.xxhash64("k1", "k2", "n_shingles")).select("key", "component_id"), "class_components")
