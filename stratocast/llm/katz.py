@@ -1,19 +1,20 @@
 """Katz backoff language model.
 
-Unigrams are counted for every word. Longer n-grams are counted level by level: an n-gram is a candidate if its first n - 1 words are in the table of the
-level below and its last word is in the vocabulary of contexts, and is kept from a count on that is the share 1 / ``max_entries`` of all training tokens (at
-least 1; so small corpora keep every n-gram); the vocabulary has the words from the share 1 / ``max_words`` on. All counts are exact. Counts up to 5 are discounted by Good-Turing; the mass that discounts and
-dropped n-grams leave goes to the next shorter n-gram, with a weight per context that makes its probabilities sum to one exactly. Unknown words are one class.
+Every word and every n-gram up to ``order`` is counted and kept, from a count of 1 on and at every size of the corpus. Counts up to 5 are discounted by
+Good-Turing; the mass that discounts leave goes to the next shorter n-gram, with a weight per context that makes its probabilities sum to one exactly.
+Unknown words are one class.
 
-    P(w | context) = discounted count(context w) / count(context)            if kept
+    P(w | context) = discounted count(context w) / count(context)            if seen
                    = weight(context) * P(w | context without its first word)  otherwise
 
 Texts are lower-cased (A-Z) words and one end per text, which also opens the next context. The model is stored in Parquet tables, partitioned by order: words with
 counts, n-grams with probabilities, contexts with weights.
 
-Scale: a level has ``max_entries`` rows at most, and the vocabulary ``max_words``, since the counts of more would add up to more than all tokens; that proven
-bound (16 bytes a row) is what comes to the driver and travels to the tasks. The table of all words grows with the corpus and is never broadcast: words too rare for the context vocabulary are brought together with
-it by a join on the word, counted per document first. Tokens are counted in the tasks before the shuffle.
+Scale: words, n-grams and contexts are tables that grow with the corpus and are neither broadcast nor collected; they meet by joins. An n-gram is two
+64-bit hashes, that of its first n - 1 words (``context``) and that of its last n - 1 (``suffix``), so that it meets its context and the next shorter n-gram by
+equality. A context's sums are a window over its distinct n-grams. Documents' distinct n-grams are joined to the longest order; what isn't found goes down order
+by order. Only the words frequent enough (``max_words`` at most, since the counts of more would add up to more than all tokens) come to the driver, to spare
+the base score a shuffle of common words; the others are joined, so no result depends on that bound.
 
 Defined cases: null and empty texts are a lone end; without training texts every word is unknown and has the whole mass; rows that repeat are scored each (and
 trained each); a null id counts as empty text when held out; other columns are not carried.
@@ -21,13 +22,14 @@ trained each); a null id counts as empty text when held out; other columns are n
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stratocast.llm._common import Words, bucket_of, materialize, mix64, slices
@@ -35,28 +37,21 @@ from stratocast.llm._common import Words, bucket_of, materialize, mix64, slices
 END = mix64(np.array([0x5EED], dtype=np.uint64))[0]
 #: Counts up to this are discounted.
 GOOD_TURING = 5
-#: Words that contexts are made of, and n-grams of one order: at most as many.
-MAX_WORDS, MAX_ENTRIES = 1 << 22, 1 << 21
+#: Frequent words that travel to the tasks for the base score: at most as many.
+MAX_WORDS = 1 << 22
 #: Keys that a task gathers before it counts them.
 FLUSH = 3 << 20
 
 
 @dataclass
 class Level:
-    """n-grams of one order, as (index of the first n - 1 words in the level below) << 32 | index of the last word; sorted."""
+    """n-grams of one order on the driver, as (index of the first n - 1 words in the level below) << 32 | index of the last word; sorted."""
 
     keys: np.ndarray
     counts: np.ndarray
-    log_p: np.ndarray = field(default=None)
+    log_p: np.ndarray
     #: per entry of the level below, as a context
-    log_weight: np.ndarray = field(default=None)
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Index of each key, -1 where it is not kept."""
-        if not len(self.keys):
-            return np.full(len(keys), -1, dtype=np.int64)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, at, -1)
+    log_weight: np.ndarray
 
 
 def discounts(n: list[int]) -> np.ndarray:
@@ -78,6 +73,11 @@ def factor(discount: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.where(counts <= GOOD_TURING, discount[np.minimum(counts, GOOD_TURING)], 1.0)
 
 
+def _factor(discount: np.ndarray, count: Column) -> Column:
+    factors = F.element_at(F.array(*[F.lit(float(x)) for x in discount]), F.least(count, F.lit(GOOD_TURING)).cast("int") + 1)
+    return F.when(count <= GOOD_TURING, factors).otherwise(1.0)
+
+
 class Sequence:
     """Texts as one array of word hashes: an end before each text, its words, an end."""
 
@@ -93,40 +93,51 @@ class Sequence:
         self.size = size - 1  # tokens to predict
 
 
-def entries(sequence: Sequence, levels: list[Level], vocabulary: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Vocabulary index of every place (-1: rare), and for each level the index of the n-gram that ends there (-1: not kept)."""
-    word = Level(vocabulary, vocabulary).find(sequence.words)
-    found = [word]
-    for n, level in enumerate(levels, start=2):
-        found.append(level.find(np.where(sequence.place >= n - 1, _keys(found[-1], word), -1)))
-    return word, found
-
-
-def _keys(below: np.ndarray, word: np.ndarray) -> np.ndarray:
-    before = np.concatenate([[-1], below[:-1]])
-    return np.where((before >= 0) & (word >= 0), (before << 32) | word, -1)
+def _xx(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Spark's ``xxhash64`` of two columns of longs."""
+    p1, p2, p3, p4, p5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    roll = lambda x, n: (x << np.uint64(n)) | (x >> np.uint64(64 - n))
+    h = np.full(len(left), 42, dtype=np.uint64)
+    for x in (left, right):
+        h = (h + p5 + np.uint64(8)) ^ (roll(x * p2, 31) * p1)
+        h = roll(h, 27) * p1 + p4
+        h = (h ^ (h >> np.uint64(33))) * p2
+        h = (h ^ (h >> np.uint64(29))) * p3
+        h ^= h >> np.uint64(32)
+    return h
+
+
+def grams(sequence: Sequence, order: int) -> list[np.ndarray]:
+    """For n = 1..order, the hash of the n words that end at each place (of use where the place is n - 1 at least)."""
+    out = [sequence.words]
+    for _ in range(order - 1):
+        last = out[-1]
+        out.append(_xx(np.concatenate([last[:1], last[:-1]]), last))
+    return out
 
 
-def _counted(docs: DataFrame, keys_of) -> DataFrame:
-    """(key, n): how often ``keys_of(texts)`` gives each key, counted in the tasks first."""
+def _counted(docs: DataFrame, columns: list[str], keys_of) -> DataFrame:
+    """(*columns, n): how often ``keys_of(texts)`` (a list of one array a column) gives each key, counted in the tasks first."""
+    schema = ", ".join(f"{c} long" for c in [*columns, "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def flush() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["key", "n"])
+            keys = [np.concatenate(x) for x in zip(*held, strict=True)]
+            _, at, n = np.unique(keys[0] if len(keys) == 1 else _xx(*keys), return_index=True, return_counts=True)
+            return pa.RecordBatch.from_arrays([*[pa.array(k[at].view(np.int64)) for k in keys], pa.array(n)], names=[*columns, "n"])
 
         for _, texts in slices(batches):
             held.append(keys_of(texts))
-            size += len(held[-1])
+            size += len(held[-1][0])
             if size >= FLUSH:
                 yield flush()
                 held, size = [], 0
         if size:
             yield flush()
 
-    return docs.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(count, schema).groupBy(*columns).agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -136,26 +147,45 @@ class Model:
     distinct: int
     discount: np.ndarray
     unknown: float  # mass of the unknown class
-    vocabulary: np.ndarray  # sorted hashes of the words in contexts
+    vocabulary: np.ndarray  # sorted hashes of the frequent words
     counts: np.ndarray
-    levels: list[Level]
+    ngrams: list[DataFrame]  # from order 2 on: (context, suffix, n, log_p, log_weight of the context), every n-gram
+
+    def contexts(self, n: int) -> DataFrame:
+        """(context, log_weight) of the contexts of order ``n``."""
+        return self.ngrams[n - 2].groupBy("context").agg(F.first("log_weight").alias("log_weight"))
 
     def store(self, path: str) -> None:
         """Write the tables: ``words`` by hash bucket, ``ngrams`` and ``contexts`` by order."""
-        spark = self.words.sparkSession
         self.words.withColumn("bucket", F.pmod("word", F.lit(64))).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/words")
-        for n, level in enumerate(self.levels, start=2):
-            rows = pa.table({"context": level.keys >> 32, "word": level.keys & 0xFFFFFFFF, "n": level.counts, "log_p": level.log_p})
-            spark.createDataFrame(rows).withColumn("order", F.lit(n)).write.mode("overwrite" if n == 2 else "append").partitionBy("order").parquet(f"{path}/ngrams")
-            rows = pa.table({"context": np.arange(len(level.log_weight)), "log_weight": level.log_weight})
-            spark.createDataFrame(rows).withColumn("order", F.lit(n - 1)).write.mode("overwrite" if n == 2 else "append").partitionBy("order").parquet(f"{path}/contexts")
-
-
-def train(docs: DataFrame, order: int = 3, max_words: int = MAX_WORDS, max_entries: int = MAX_ENTRIES) -> Model:
+        for n, table in enumerate(self.ngrams, start=2):
+            mode = "overwrite" if n == 2 else "append"
+            table.drop("log_weight").withColumn("order", F.lit(n)).write.mode(mode).partitionBy("order").parquet(f"{path}/ngrams")
+            self.contexts(n).withColumn("order", F.lit(n - 1)).write.mode(mode).partitionBy("order").parquet(f"{path}/contexts")
+
+    @cached_property
+    def levels(self) -> list[Level]:
+        """The n-grams on the driver, to look at small models; neither training nor scoring uses it."""
+        rows = self.words.orderBy("word").toPandas()
+        grams = np.sort(rows["word"].to_numpy(np.int64).view(np.uint64))
+        last, out = np.arange(len(grams)), []  # index of the last word of each entry
+        for table in self.ngrams:
+            rows = table.toPandas()
+            context, suffix = (rows[c].to_numpy(np.int64).view(np.uint64) for c in ("context", "suffix"))
+            sort = np.argsort(grams)
+            below, end = (sort[np.searchsorted(grams[sort], x)] for x in (context, suffix))
+            weight = np.zeros(len(grams))
+            weight[below] = rows["log_weight"]
+            keys = (below << 32) | last[end]
+            order = np.argsort(keys)
+            out.append(Level(keys[order], rows["n"].to_numpy()[order], rows["log_p"].to_numpy()[order], weight))
+            grams, last = _xx(context, suffix)[order], last[end][order]
+        return out
+
+
+def train(docs: DataFrame, order: int = 3, max_words: int = MAX_WORDS) -> Model:
     """Learn from the ``text`` of all ``docs``."""
-    spark = docs.sparkSession
-    words = _counted(docs, lambda texts: (s := Sequence(texts)).words[s.place > 0]).withColumnRenamed("key", "word")
-    words = materialize(words, "words")
+    words = materialize(_counted(docs, ["word"], lambda texts: [(s := Sequence(texts)).words[s.place > 0]]), "words")
     small = [F.count(F.when(F.col("n") == r, 1)).alias(f"n{r}") for r in range(1, GOOD_TURING + 2)]
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("distinct"), *small).first()
     tokens = total["tokens"]
@@ -168,94 +198,57 @@ def train(docs: DataFrame, order: int = 3, max_words: int = MAX_WORDS, max_entri
     kept = words.where(F.col("n") >= max(1, -(-tokens // max_words))).toArrow()  # max_words rows at most
     vocabulary, counts = kept["word"].to_numpy().view(np.uint64), kept["n"].to_numpy()
     sort = np.argsort(vocabulary)
-    vocabulary, counts = vocabulary[sort], counts[sort]
-    p = factor(discount, counts) * counts / max(tokens, 1)
-    levels: list[Level] = []
-    below = counts
-    least = max(1, -(-tokens // min(max_words, max_entries)))
+    lower = words.select(F.col("word").alias("suffix"), (_factor(discount, F.col("n")) * F.col("n") / F.lit(float(max(tokens, 1)))).alias("less"))
+    ngrams: list[DataFrame] = []
     for n in range(2, order + 1):
-        shared = spark.sparkContext.broadcast((vocabulary, list(levels)))
 
-        def keys_of(texts, shared=shared, n=n):
-            vocabulary, levels = shared.value
+        def keys_of(texts, n=n):
             s = Sequence(texts)
-            word, found = entries(s, levels, vocabulary)
-            keys = np.where(s.place >= n - 1, _keys(found[-1], word), -1)
-            return keys[keys >= 0]
-
-        table = _counted(docs, keys_of)
-        kept = materialize(table.where(F.col("n") >= least), f"ngrams_{n}").toArrow()
-        keys, found_counts = kept["key"].to_numpy(), kept["n"].to_numpy()
-        sort = np.argsort(keys)
-        level = _weighted(Level(keys[sort], found_counts[sort]), below, p, levels)
-        levels.append(level)
-        p, below = 10**level.log_p, level.counts
-    return Model(words, tokens, total["distinct"], discount, unknown, vocabulary, counts, levels)
-
-
-def _weighted(level: Level, below: np.ndarray, lower: np.ndarray, levels: list[Level]) -> Level:
-    """Probabilities of a level's n-grams and weights of their contexts (entries of the level below, whose counts are ``below``)."""
-    context, word = level.keys >> 32, level.keys & 0xFFFFFFFF
-    n = [int((level.counts == r).sum()) for r in range(1, GOOD_TURING + 2)]
-    p = factor(discounts(n), level.counts) * level.counts / below[context] if len(level.keys) else np.zeros(0)
-    seen = np.bincount(context, p, minlength=len(below))
+            at = np.flatnonzero(s.place >= n - 1)
+            shorter = grams(s, n - 1)[-1]
+            return [shorter[at - 1], shorter[at]]
+
+        table = materialize(_counted(docs, ["context", "suffix"], keys_of), f"counts_{n}")
+        seen = table.agg(*small).first()
+        table = materialize(_weighted(table, lower, discounts([seen[f"n{r}"] for r in range(1, GOOD_TURING + 2)])), f"ngrams_{n}")
+        ngrams.append(table)
+        lower = table.select(F.xxhash64("context", "suffix").alias("suffix"), F.pow(F.lit(10.0), "log_p").alias("less"))
+    return Model(words, tokens, total["distinct"], discount, unknown, vocabulary[sort], counts[sort], ngrams)
+
+
+def _weighted(table: DataFrame, lower: DataFrame, discount: np.ndarray) -> DataFrame:
+    """Probabilities of an order's n-grams (context, suffix, n) and weights of their contexts; ``lower`` has P of the next shorter n-grams."""
+    all_of = W.partitionBy("context")
+    given = _factor(discount, F.col("n")) * F.col("n")
+    met = table.join(lower, "suffix").withColumns({"of": F.sum("n").over(all_of), "given": F.sum(given).over(all_of), "share": F.sum("less").over(all_of)})
+    seen = F.col("given") / F.col("of")
     # Something is always left for what was not seen.
-    scale = np.minimum(1.0, (1 - 0.5 / np.maximum(below, 1)) / np.maximum(seen, 1e-300))
-    p = p * scale[context]
-    # The shorter n-gram of each: without the first word of the context.
-    if levels:
-        shorter = _shorter(levels, context, word)
-        less = lower[shorter]
-    else:
-        less = lower[word]
-    share = np.bincount(context, less, minlength=len(below))
-    weight = (1 - seen * scale) / np.maximum(1 - share, 1e-12)
-    level.log_p, level.log_weight = np.log10(p), np.log10(weight)
-    return level
-
-
-def _shorter(levels: list[Level], context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Index in the last level of (context without its first word, word); that n-gram is kept, as it is at least as frequent."""
-    words = []
-    at = context
-    for level in reversed(levels):  # unfold the context's words, last first
-        words.append(level.keys[at] & 0xFFFFFFFF)
-        at = level.keys[at] >> 32
-    words.reverse()  # without the first, which is left in ``at``
-    index = words[0]
-    for level, w in zip(levels, [*words[1:], word], strict=True):
-        index = level.find((index << 32) | w)
-    return index
+    scale = F.least(F.lit(1.0), (1 - 0.5 / F.col("of")) / seen)
+    weight = (1 - seen * scale) / F.greatest(1 - F.col("share"), F.lit(1e-12))
+    return met.select("context", "suffix", "n", F.log10(given / F.col("of") * scale).alias("log_p"), F.log10(weight).alias("log_weight"))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, n_tokens, n_known, base_score, score) of every row of ``docs`` (doc_id, text)."""
+    """(doc_id, n_tokens, n_known, base_score, score) of every row of ``docs`` (doc_id, text), which must come from a scan that repeats its order."""
     least = int(model.counts.min()) if len(model.counts) else 1
-    tokens, total = max(model.tokens, 1), model.tokens + 0.1 * (model.distinct + 1)
-    log_p = np.log10(factor(model.discount, model.counts) * model.counts / tokens)
+    total = model.tokens + 0.1 * (model.distinct + 1)
     base = np.log10((model.counts + 0.1) / total)
-    shared = docs.sparkSession.sparkContext.broadcast((model.vocabulary, log_p, base, model.levels))
+    shared = docs.sparkSession.sparkContext.broadcast((model.vocabulary, base))
 
-    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, log_p, base, levels = shared.value
+    def known_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, base = shared.value
         for batch, texts in slices(batches):
             s = Sequence(texts)
-            word, found = entries(s, levels, vocabulary)
-            known = (word >= 0) & (s.place > 0)
-            value = np.where(known, log_p[word] if len(log_p) else 0.0, 0.0)
-            for n, level in enumerate(levels, start=2):
-                kept = found[n - 1] >= 0
-                before = np.concatenate([[-1], found[n - 2][:-1]])  # the context
-                weight = np.where((before >= 0) & (s.place >= n - 1), level.log_weight[before] if len(level.log_weight) else 0.0, 0.0)
-                value = np.where(kept, level.log_p[found[n - 1]] if len(level.log_p) else 0.0, value + weight)
-            value[s.place == 0] = 0.0
+            word = np.minimum(np.searchsorted(vocabulary, s.words), max(len(vocabulary) - 1, 0))
+            frequent = vocabulary[word] == s.words if len(vocabulary) else np.zeros(len(word), dtype=bool)
+            known = frequent & (s.place > 0)
             n = len(texts)
             row = batch.column(batch.schema.get_field_index("row"))
             doc = [row, batch.column(batch.schema.get_field_index("doc_id")), pa.nulls(n, pa.int64()), pa.array(s.size.astype(np.int64))]
-            sums = [np.bincount(s.doc, known, n).astype(np.int64), np.bincount(s.doc, np.where(known, base[word] if len(base) else 0.0, 0.0), n), np.bincount(s.doc, value, n)]
+            sums = [np.bincount(s.doc, known, n).astype(np.int64), np.bincount(s.doc, np.where(known, base[word] if len(base) else 0.0, 0.0), n)]
             yield pa.RecordBatch.from_arrays([*doc, *[pa.array(x) for x in sums]], names=NAMES)
             # Rare words wait for their counts: one row per text and word.
-            rare = np.flatnonzero((word < 0) & (s.place > 0))
+            rare = np.flatnonzero(~frequent & (s.place > 0))
             order = rare[np.lexsort((s.words[rare], s.doc[rare]))]
             new = np.ones(len(order), dtype=bool)
             new[1:] = (s.doc[order][1:] != s.doc[order][:-1]) | (s.words[order][1:] != s.words[order][:-1])
@@ -264,30 +257,72 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             own = order[first]
             none = len(own)
             yield pa.RecordBatch.from_arrays(
-                [row.take(pa.array(s.doc[own])), pa.nulls(none, pa.int64()), pa.array(s.words[own].view(np.int64)), pa.array(times.astype(np.int64)), pa.nulls(none, pa.int64()), pa.nulls(none, pa.float64()), pa.nulls(none, pa.float64())], names=NAMES
+                [row.take(pa.array(s.doc[own])), pa.nulls(none, pa.int64()), pa.array(s.words[own].view(np.int64)), pa.array(times.astype(np.int64)), pa.nulls(none, pa.int64()), pa.nulls(none, pa.float64())], names=NAMES
             )
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    parts = rows.mapInArrow(scores, SCHEMA)
+    parts = rows.mapInArrow(known_words, SCHEMA)
     # Rows of whole texts carry no word; a hash of the row spreads them among the words.
     parts = parts.withColumn("key", F.coalesce("word", F.xxhash64("row")))
     counts = model.words.where(F.col("n") < least).select(F.col("word").alias("key"), F.col("n").alias("count"))
     met = parts.join(counts, "key", "left")
     rare, c = F.col("word").isNotNull(), F.coalesce(F.col("count"), F.lit(0))
-    factors = F.element_at(F.array(*[F.lit(float(x)) for x in model.discount]), F.least(c, F.lit(GOOD_TURING)).cast("int") + 1)
-    p = F.when(c == 0, F.lit(model.unknown)).otherwise(F.when(c <= GOOD_TURING, factors).otherwise(1.0) * c / F.lit(float(tokens)))
-    sums = met.groupBy("row").agg(
+    plain = met.groupBy("row").agg(
         F.max("doc_id").alias("doc_id"),
         F.sum(F.when(~rare, F.col("n"))).alias("n_tokens"),
         F.sum(F.when(rare, F.when(c > 0, F.col("n")).otherwise(0)).otherwise(F.col("known"))).alias("n_known"),
         F.sum(F.when(rare, F.col("n") * F.log10((c + 0.1) / F.lit(total))).otherwise(F.col("base"))).alias("base_score"),
-        F.sum(F.when(rare, F.col("n") * F.log10(p)).otherwise(F.col("score"))).alias("score"),
     )
-    return sums.drop("row")
+    return plain.join(_scores(rows, model), "row").drop("row")
+
 
+def _scores(rows: DataFrame, model: Model) -> DataFrame:
+    """(row, score): distinct n-grams of each row, joined to the longest order; those not found go on to the shorter ones."""
+    order = len(model.ngrams) + 1
+    names = [f"context_{n}" for n in range(2, order + 1)]
 
-NAMES = ["row", "doc_id", "word", "n", "known", "base", "score"]
-SCHEMA = "row long, doc_id long, word long, n long, known long, base double, score double"
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in slices(batches):
+            s = Sequence(texts)
+            ends = grams(s, order)
+            at = np.flatnonzero(s.place > 0)
+            full = s.place[at] >= order - 1
+            # At the begin of a text the place tells n-grams of less than the full order apart.
+            key = _xx(np.where(full, ends[-1][at], s.place[at].astype(np.uint64)), s.doc[at].astype(np.uint64) * np.uint64(2) + full)
+            _, first, times = np.unique(key, return_index=True, return_counts=True)
+            at = at[first]
+            contexts = [pa.array(ends[n - 2][at - 1].view(np.int64), mask=s.place[at] < n - 1) for n in range(2, order + 1)]
+            row = batch.column(batch.schema.get_field_index("row")).take(pa.array(s.doc[at]))
+            yield pa.RecordBatch.from_arrays([row, *contexts, pa.array(s.words[at].view(np.int64)), pa.array(times.astype(np.int64))], names=["row", *names, "word", "times"])
+
+    places = rows.select("row", "text").mapInArrow(spread, ", ".join(f"{c} long" for c in ["row", *names, "word", "times"]))
+    suffix = {2: F.col("word")}
+    for n in range(3, order + 1):
+        suffix[n] = F.xxhash64(f"context_{n - 1}", suffix[n - 1])
+
+    def look_up(left: DataFrame, n: int) -> DataFrame:
+        table = model.ngrams[n - 2].select(F.col("context").alias("c"), F.col("suffix").alias("s"), F.col("log_p").alias(f"p_{n}"))
+        return left.join(table, (F.col(f"context_{n}") == F.col("c")) & (suffix[n] == F.col("s")), "left").drop("c", "s")
+
+    met = look_up(places, order)
+    found = met.groupBy("row").agg(F.coalesce(F.sum(F.col("times") * F.col(f"p_{order}")), F.lit(0.0)).alias("score"))
+    rest = met.where(F.col(f"p_{order}").isNull()).drop(f"p_{order}")
+    rest = rest.join(model.words.select("word", F.col("n").alias("count")), "word", "left")
+    p1 = F.when(F.col("count").isNull(), F.lit(model.unknown)).otherwise(_factor(model.discount, F.col("count")) * F.col("count") / F.lit(float(max(model.tokens, 1))))
+    value = F.log10(p1)
+    for n in range(2, order + 1):
+        weight = model.contexts(n).select(F.col("context").alias(f"context_{n}"), F.col("log_weight").alias(f"w_{n}"))
+        rest = rest.join(weight, f"context_{n}", "left")
+        value = F.coalesce(F.col(f"w_{n}"), F.lit(0.0)) + value
+        if n < order:
+            rest = look_up(rest, n)
+            value = F.coalesce(F.col(f"p_{n}"), value)
+    backed = rest.groupBy("row").agg(F.sum(F.col("times") * value).alias("score"))
+    return found.union(backed).groupBy("row").agg(F.sum("score").alias("score"))
+
+
+NAMES = ["row", "doc_id", "word", "n", "known", "base"]
+SCHEMA = "row long, doc_id long, word long, n long, known long, base double"
 
 
 def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:

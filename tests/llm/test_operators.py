@@ -128,6 +128,55 @@ def test_katz_sums_to_one(spark, order):
         level_words = following
 
 
+def katz_score(train, text, order=3):
+    """Katz by dictionaries: every n-gram from a count of 1 on."""
+    count = [collections.Counter() for _ in range(order + 1)]
+    for t in train:
+        ws = ["END", *words(t), "END"]
+        for n in range(1, order + 1):
+            count[n].update(tuple(ws[i : i + n]) for i in range(int(n == 1), len(ws) - n + 1))
+    factors = [None, *(katz.discounts([sum(c == r for c in count[n].values()) for r in range(1, 7)]) for n in range(1, order + 1))]
+    tokens = sum(count[1].values())
+    given = {(): [(g, c) for g, c in count[1].items()]}
+    for n in range(2, order + 1):
+        for g, c in count[n].items():
+            given.setdefault(g[:-1], []).append((g, c))
+    cut = lambda n, c: c * (factors[n][c] if c <= 5 else 1.0)
+    unknown = 1 - sum(cut(1, c) for c in count[1].values()) / tokens
+
+    def p(g):
+        n = len(g)
+        if n == 1:
+            return cut(1, count[1][g]) / tokens if g in count[1] else unknown
+        if g[:-1] not in given:
+            return p(g[1:])
+        of = sum(c for _, c in given[g[:-1]])
+        seen = sum(cut(n, c) for _, c in given[g[:-1]]) / of
+        scale = min(1.0, (1 - 0.5 / of) / seen)
+        if g in count[n]:
+            return cut(n, count[n][g]) / of * scale
+        return (1 - seen * scale) / max(1 - sum(p(h[1:]) for h, _ in given[g[:-1]]), 1e-12) * p(g[1:])
+
+    ws = ["END", *words(text), "END"]
+    return sum(math.log10(p(tuple(ws[max(0, i - order + 1) : i + 1]))) for i in range(1, len(ws)))
+
+
+@pytest.mark.parametrize("most", [8, katz.MAX_WORDS])
+def test_katz_keeps_every_ngram(spark, most):
+    """Whatever the share of the frequent words: n-grams of count 1 are in the model, and scores are those of plain dictionaries."""
+    rng = np.random.default_rng(9)
+    make = lambda n: [" ".join(f"w{int(x)}" for x in rng.zipf(1.5, 25) % 60) for _ in range(n)]
+    train, other = make(60), [*make(15), "w1 new w2 w1", None, "", "new"]
+    schema = "doc_id long, text string"
+    model = katz.train(spark.createDataFrame(list(enumerate(train)), schema), 3, max_words=most)
+    for n, table in enumerate(model.ngrams, start=2):
+        want = collections.Counter(tuple(ws[i : i + n]) for ws in (["END", *words(t), "END"] for t in train) for i in range(len(ws) - n + 1))
+        assert sorted(r["n"] for r in table.collect()) == sorted(want.values())
+    texts = [*train[:5], *other]
+    got = {r["doc_id"]: r["score"] for r in katz.score(spark.createDataFrame(list(enumerate(texts)), schema), model).collect()}
+    assert got == {i: pytest.approx(katz_score(train, t), rel=1e-9) for i, t in enumerate(texts)}
+
+
 def test_katz_odd_rows(spark, odd):
     docs = odd.select("doc_id", "text")
     out = katz.score(docs, katz.train(docs)).collect()
