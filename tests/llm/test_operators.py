@@ -240,6 +240,40 @@ def test_passages_find_every_repeated_stretch(spark, texts):
             assert len(a) >= 50 and len(shingles & {tuple(b[i : i + 5]) for i in range(len(b) - 4)}) >= 0.5 * len(shingles)
 
 
+def jaccard(a, b):
+    a, b = ({tuple(x[i : i + 5]) for i in range(len(x) - 4)} for x in (a, b))
+    return len(a & b) / len(a | b)
+
+
+@pytest.mark.parametrize("n", [50, 60, 75, 90])
+def test_passage_spans_of_edited_passages(n):
+    """A stretch is found wherever some pair of stretches of 50 words or more, over all cut points, is similar enough."""
+    rng = np.random.default_rng(n)
+    for case in range(40):
+        passage = [f"p{x}" for x in rng.integers(0, 5000, n)]
+        copy = list(passage)
+        for at in rng.choice(n, 1 + case % 3, replace=False):
+            copy[at] = f"e{at}" if case % 4 else f"{copy[at]} more"
+        texts = [" ".join([*(f"{k}l{i}" for i in range(30)), *x, *(f"{k}r{i}" for i in range(30))]) for k, x in (("a", passage), ("b", copy))]
+        a, b = (t.split() for t in texts)
+        # A similar pair of stretches within the passages; their ends at equal words.
+        shift = len(b) - len(a)
+        want = any(jaccard(a[f:t], b[f : t + d]) >= 0.8 for f in range(30, 31 + n - 50) for t in range(f + 50, 31 + n) for d in {0, shift})
+        x, y = (passages.tokens([t.encode()])[0] for t in texts)
+        got = passages.passage_spans(y[: len(b) - 4], x[: len(a) - 4])
+        assert bool(got) or not want, (case, texts)
+        for f, t, of, ot in got:
+            assert t - f >= 45 and ot - of >= 45 and jaccard(b[f : t + 5], a[of : ot + 5]) >= 0.8
+
+
+def test_passage_with_one_word_replaced(spark):
+    passage = [f"w{i}" for i in range(90)]
+    copy = [*passage[:43], "edit", *passage[44:]]
+    rows = [(1, " ".join([*(f"a{i}" for i in range(70)), *passage])), (2, " ".join([*copy, *(f"b{i}" for i in range(70))])), (3, " ".join(f"c{i}" for i in range(120)))]
+    got = {r["doc_id"]: r for r in passages.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {d: (r["class_id"], r["n_links"], r["repeated_words"]) for d, r in got.items()} == {1: (1, 1, 90), 2: (1, 1, 90), 3: (3, 0, 0)}
+
+
 def test_passages_odd_rows(spark, odd):
     out = passages.shared_passages(odd).collect()
     assert len(out) == 10 and all(r["n_links"] == 0 for r in out)
