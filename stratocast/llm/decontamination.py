@@ -1,13 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-The n-grams (three words) of the test items are counted by the documents that have them. An item's seeds are its rare ones: those that at
-most ``rare`` documents have, or, where an item's n-grams are common, the rarer half of them, so that every item keeps seeds however
-often it was copied. Each place of a document where seeds of an item lie on about one diagonal is aligned with the item, word by
-word (match 2, mismatch -1, gap -1, all local). The alignment's score over that of a perfect copy is ``similarity``; a document at or above
-``threshold`` with an item is contaminated.
+All n-grams (three words) of the test items are seeds, however many documents have them, so that what is found of a document depends on it and the item alone. Each place
+of a document where seeds of an item lie on about one diagonal is aligned with the item, word by word (match 2, mismatch -1, gap -1, all local), unless it has too few of
+the item's words to reach the threshold. The alignment's score over that of a perfect copy is ``similarity``; a document at or above ``threshold`` with an
+item is contaminated.
 
 Scale: the items are a stated query set. While their words number ``limit`` at most, their n-grams travel to the documents, and nothing of the documents
-is shuffled; beyond that, seeds and documents' n-grams meet in a shuffle join. Documents' texts are read once for counts and once for alignment.
+is shuffled; beyond that, seeds and documents' n-grams meet in a shuffle join. Documents' texts are read once.
 
 Defined cases: null and empty texts align with nothing; items of fewer than three words are matched as one n-gram of their length; items without
 words match nothing; items with equal texts are found separately; rows that repeat are found each; no items or no documents give an empty result; other
@@ -22,10 +21,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stratocast.llm._common import Words, materialize, mix64, shingle_hashes, slices
+from stratocast.llm._common import Words, materialize, shingle_hashes, slices
 
 N = 3
 MATCH, MISMATCH, GAP = 2.0, -1.0, -1.0
@@ -62,27 +60,6 @@ def item_words(items: DataFrame) -> DataFrame:
     return items.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(hashed, "item_id long, words array<long>, grams array<long>")
 
 
-def _hits(docs: DataFrame, grams: np.ndarray) -> DataFrame:
-    """(gram, docs): how many documents have each of the given n-grams; summed in the task before the shuffle."""
-    shared = docs.sparkSession.sparkContext.broadcast(np.sort(grams))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = shared.value
-        seen = np.zeros(len(wanted), dtype=np.int64)
-        quick = _Filter(wanted)
-        for _, texts in slices(batches):
-            gram, doc, _ = _doc_grams(texts)
-            at = np.flatnonzero(quick.maybe(gram))
-            place = np.minimum(np.searchsorted(wanted, gram[at]), len(wanted) - 1)
-            real = wanted[place] == gram[at]
-            pairs = np.unique(doc[at][real].astype(np.int64) * len(wanted) + place[real])
-            seen += np.bincount(pairs % len(wanted), minlength=len(wanted))
-        some = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(wanted[some].view(np.int64)), pa.array(seen[some])], names=["gram", "docs"])
-
-    return docs.select("text").mapInArrow(count, "gram long, docs long").groupBy("gram").agg(F.sum("docs").alias("docs"))
-
-
 class _Filter:
     """Sets aside, by low bits, nearly all hashes that are not among the wanted ones."""
 
@@ -110,12 +87,9 @@ def _doc_grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, Words]:
     return full, w.doc, w
 
 
-def seeds(items: DataFrame, counts: DataFrame, rare: int = 20) -> DataFrame:
-    """(item_id, place, gram): the rare n-grams of every item, at least the rarer half of them."""
-    flat = items.select("item_id", F.posexplode("grams").alias("place", "gram"))
-    flat = flat.join(counts, "gram", "left").fillna({"docs": 0})
-    flat = flat.withColumn("rank", F.percent_rank().over(W.partitionBy("item_id").orderBy("docs", "place")))
-    return flat.where((F.col("docs") > 0) & ((F.col("docs") <= rare) | (F.col("rank") <= 0.5))).select("item_id", "place", "gram")
+def seeds(items: DataFrame) -> DataFrame:
+    """(item_id, place, gram): every n-gram of every item."""
+    return items.select("item_id", F.posexplode("grams").alias("place", "gram"))
 
 
 def align(passages: np.ndarray, widths: np.ndarray, item: np.ndarray) -> np.ndarray:
@@ -134,16 +108,17 @@ def align(passages: np.ndarray, widths: np.ndarray, item: np.ndarray) -> np.ndar
     return best
 
 
-def candidate_passages(docs: DataFrame, found_seeds: list[tuple[int, int, int]], lengths: dict[int, int]) -> DataFrame:
-    """(doc_id, item_id, passage): word hashes around the seeds of an item that lie on about one diagonal."""
-    rows = sorted((int(np.int64(g).view(np.uint64)), i, p) for i, p, g in found_seeds)
-    grams = np.array([r[0] for r in rows], dtype=np.uint64)
-    item, place = np.array([r[1] for r in rows], dtype=np.int64), np.array([r[2] for r in rows], dtype=np.int64)
-    size = np.array([lengths[i] for i in item], dtype=np.int64)
-    shared = docs.sparkSession.sparkContext.broadcast((grams, item, place, size))
+def candidate_passages(docs: DataFrame, found: pd.DataFrame, words: dict[int, np.ndarray], threshold: float) -> DataFrame:
+    """(doc_id, item_id, passage): word hashes around the seeds ``found`` of an item that lie on about one diagonal."""
+    grams = found["gram"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(grams)
+    grams, item, place = grams[order], found["item_id"].to_numpy(np.int64)[order], found["place"].to_numpy(np.int64)[order]
+    size = np.array([len(words[i]) for i in item], dtype=np.int64)
+    least = {i: (np.unique(x), threshold * len(x)) for i, x in words.items()}
+    shared = docs.sparkSession.sparkContext.broadcast((grams, item, place, size, least))
 
     def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, item, place, size = shared.value
+        grams, item, place, size, least = shared.value
         quick = _Filter(grams)
         for batch, texts in slices(batches):
             gram, _, w = _doc_grams(texts)
@@ -152,13 +127,18 @@ def candidate_passages(docs: DataFrame, found_seeds: list[tuple[int, int, int]],
             times = high - low
             at = np.repeat(at, times)
             seed = np.repeat(low - np.concatenate([[0], np.cumsum(times)[:-1]]), times) + np.arange(len(at)) if len(at) else at
-            yield _cut(batch.column(0), w, at, seed, item, place, size)
+            yield _cut(batch.column(0), w, at, seed, item, place, size, least)
 
     return docs.select("doc_id", "text").mapInArrow(passages, "doc_id long, item_id long, passage array<long>")
 
 
-def _cut(ids: pa.Array, w: Words, at: np.ndarray, seed: np.ndarray, item: np.ndarray, place: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
-    """One row per text, item and run of neighbouring diagonals."""
+def _common(passage: np.ndarray, distinct: np.ndarray) -> int:
+    """How many words of a passage are among the sorted ones: no alignment matches more."""
+    return int((distinct[np.minimum(np.searchsorted(distinct, passage), len(distinct) - 1)] == passage).sum())
+
+
+def _cut(ids: pa.Array, w: Words, at: np.ndarray, seed: np.ndarray, item: np.ndarray, place: np.ndarray, size: np.ndarray, least: dict | None = None) -> pa.RecordBatch:
+    """One row per text, item and run of neighbouring diagonals; only with as many of the item's words as ``least`` (distinct words, number) asks for."""
     names = ["doc_id", "item_id", "passage"]
     kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64())]
     if not len(at):
@@ -174,6 +154,9 @@ def _cut(ids: pa.Array, w: Words, at: np.ndarray, seed: np.ndarray, item: np.nda
     start = np.maximum(diagonal[begin] - SLACK, w.first[doc[begin]])
     end = np.minimum(diagonal[last] + size[begin] + SLACK, w.first[doc[begin] + 1])
     passage = [w.hash[a:b].view(np.int64) for a, b in zip(start, end, strict=True)]
+    if least is not None:
+        enough = [_common(x, least[i][0]) >= least[i][1] for x, i in zip(passage, items[begin].tolist(), strict=True)]
+        begin, passage = begin[enough], [x for x, e in zip(passage, enough, strict=True) if e]
     return pa.RecordBatch.from_arrays([ids.take(pa.array(doc[begin])), pa.array(items[begin]), pa.array([x.tolist() for x in passage], kinds[2])], names=names)
 
 
@@ -198,33 +181,22 @@ def shuffled_passages(docs: DataFrame, found_seeds: DataFrame, lengths: DataFram
     return docs.select("doc_id", "text").join(hits, "doc_id").mapInArrow(cut, "doc_id long, item_id long, passage array<long>")
 
 
-def find_contamination(docs: DataFrame, items: DataFrame, threshold: float = 0.5, rare: int = 20, limit: int = LIMIT) -> DataFrame:
+def find_contamination(docs: DataFrame, items: DataFrame, threshold: float = 0.5, limit: int = LIMIT) -> DataFrame:
     """(doc_id, item_id, similarity) of all documents and items whose alignment reaches ``threshold``.
 
     ``doc_id`` is an integer; ``items`` has ``item_id`` (an integer) and ``text``.
     """
     words = materialize(item_words(items), "items").where(F.size("words") > 0)
-    lengths = words.select("item_id", F.size("words").cast("long").alias("size"))
     total = words.agg(F.coalesce(F.sum(F.size("words")), F.lit(0)).alias("n")).first()["n"]
     if total <= limit:
-        grams = words.select(F.explode("grams").alias("gram")).distinct().toPandas()["gram"].to_numpy(np.int64).view(np.uint64)
-        if not len(grams):
+        found = seeds(words).toPandas()
+        if not len(found):
             return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, similarity double")
-        chosen = seeds(words, materialize(_hits(docs, grams), "gram_counts"), rare)
-        found = [tuple(r) for r in chosen.select("item_id", "place", "gram").collect()]
-        passages = candidate_passages(docs, found, {r["item_id"]: r["size"] for r in lengths.collect()})
+        of_item = {r["item_id"]: np.array(r["words"], dtype=np.int64) for r in words.select("item_id", "words").toLocalIterator()}
+        passages = candidate_passages(docs, found, of_item, threshold)
     else:
-        wanted = words.select(F.explode("grams").alias("gram")).distinct()
-
-        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for _, texts in slices(batches):
-                gram, doc, _ = _doc_grams(texts)
-                key = np.unique(mix64(gram) ^ doc.astype(np.uint64), return_index=True)[1]
-                own, n = np.unique(gram[key], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(n)], names=["gram", "docs"])
-
-        counts = docs.select("text").mapInArrow(each, "gram long, docs long").join(wanted, "gram", "left_semi").groupBy("gram").agg(F.sum("docs").alias("docs"))
-        passages = shuffled_passages(docs, materialize(seeds(words, counts, rare), "seeds"), lengths)
+        lengths = words.select("item_id", F.size("words").cast("long").alias("size"))
+        passages = shuffled_passages(docs, materialize(seeds(words), "seeds"), lengths)
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

@@ -367,6 +367,22 @@ def test_decontamination_finds_copies_and_edits(spark, texts):
     assert decontamination.find_contamination(docs, bench.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("limit", [decontamination.LIMIT, 0])
+def test_decontamination_finds_halves_of_frequent_items(spark, limit):
+    rng = np.random.default_rng(5)
+    item = [f"w{x}" for x in rng.permutation(4000)[:30]]
+    filler = lambda n: [f"f{x}" for x in rng.integers(0, 4000, n)]
+    rows = [(i, " ".join([*filler(5), *item, *filler(5)])) for i in range(60)]
+    rows += [(100, " ".join([*filler(20), *item[15:], *filler(20)])), (101, " ".join([*item[:15], *filler(20)]))]
+    reworded = [x if k % 2 else f"new{k}" for k, x in enumerate(item[:15])]
+    rows += [(102, " ".join([*reworded, *item[15:]])), (103, " ".join([*filler(20), *item[17:], *filler(20)]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {r["doc_id"]: r["similarity"] for r in decontamination.find_contamination(docs, bench, limit=limit).collect()}
+    assert set(got) == {*range(60), 100, 101, 102}
+    assert got[100] == got[101] == 0.5 and got[102] > 0.5
+
+
 def test_decontamination_of_the_tables(spark, texts):
     fold = lambda t: " ".join(re.sub(r"[\x00-\x7f]", lambda m: m[0] if m[0].isalnum() else " ", t.lower()).split())
     items = {r["item_id"]: fold(r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
