@@ -123,22 +123,26 @@ def verified(met: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
     pairs = met.select(F.least("leader", "id").alias("a"), F.greatest("leader", "id").alias("b")).distinct()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = None
+        heads, led = [], None
         for batch, found in slices(batches):
             w = Words(found)
-            a, b = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            a, part, b = (batch.column(i).to_pylist() for i in range(3))
             left, right = [], []
             for i, other in enumerate(b):
                 own = shingle_set(w.hash[w.first[i] : w.first[i + 1]], k)
-                if other is None:
-                    head = own
+                if other is None:  # an id has as many heads as different texts
+                    heads, led = heads if led == (a[i], part[i]) else [], (a[i], part[i])
+                    if not any(np.array_equal(own, head) for head in heads):
+                        heads.append(own)
                     continue
-                if 100 * min(len(own), len(head)) < percent * max(len(own), len(head)):
-                    continue
-                both = len(np.intersect1d(head, own, assume_unique=True))
-                if 100 * both >= percent * (len(own) + len(head) - both) > 0:
-                    left.append(a[i])
-                    right.append(other)
+                for head in heads:
+                    if 100 * min(len(own), len(head)) < percent * max(len(own), len(head)):
+                        continue
+                    both = len(np.intersect1d(head, own, assume_unique=True))
+                    if 100 * both >= percent * (len(own) + len(head) - both) > 0:
+                        left.append(a[i])
+                        right.append(other)
+                        break
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
     return meet(pairs, texts).mapInArrow(compare, "a long, b long")
@@ -152,15 +156,22 @@ def _rare_first(crowded: DataFrame, k: int, percent: int) -> DataFrame:
     """
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, seen = None, set()
         for batch, found in slices(batches):
             w = Words(found)
             sets = [shingle_set(w.hash[a:b], k) for a, b in zip(w.first[:-1], w.first[1:], strict=True)]
+            which = np.array([s.sum(dtype=np.uint64) for s in sets], dtype=np.uint64).view(np.int64)
+            for i, (x, own) in enumerate(zip(batch.column(0).to_pylist(), which.tolist(), strict=True)):
+                if x != last:
+                    last, seen = x, set()
+                if own in seen:  # a repeated row's shingles count once
+                    sets[i] = sets[i][:0]
+                seen.add(own)
             size = np.array([len(s) for s in sets], dtype=np.int64)
             owner = np.repeat(np.arange(len(sets)), size)
-            which = np.array([s.sum(dtype=np.uint64) for s in sets], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), pa.array(which[owner]), pa.array(size[owner]), pa.array(np.concatenate(sets).view(np.int64))], names=["id", "which", "n", "h"])
 
-    rows = crowded.mapInArrow(shingles, "id long, which long, n long, h long")
+    rows = crowded.select("doc_id", "text").repartition("doc_id").sortWithinPartitions("doc_id").mapInArrow(shingles, "id long, which long, n long, h long")
     common = rows.groupBy("h").agg(F.count("*").alias("df"), F.min("id").alias("low"), F.max("id").alias("high"))
     order = F.row_number().over(W.partitionBy("id", "which").orderBy("df", "h"))
     prefix = rows.join(common, "h").withColumn("r", order).where(f"r <= n - ceil({percent} * n / 100) + 1 AND low != high")
@@ -172,7 +183,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     sketch = materialize(sketches(docs, k), "sketches")
     full = sketch.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = materialize(full.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
-    reps = classes.select(F.col("rep").alias("doc_id")).distinct()
+    # An id with several texts joins their classes.
+    kind = F.xxhash64("k1", "k2", "n_shingles")
+    several = full.groupBy("doc_id").agg(F.min(kind).alias("low"), F.max(kind).alias("high")).where("low != high").select("doc_id")
+    reps = classes.select(F.col("rep").alias("doc_id")).union(several).distinct()
     banded = full.join(reps, "doc_id", "left_semi").select("doc_id", F.posexplode("bands").alias("band", "h")).select(F.col("h").alias("bucket"), F.col("doc_id").alias("id"))
     shared = banded.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low != high").select("bucket")
     members = materialize(banded.join(shared, "bucket").distinct(), "members")

@@ -436,6 +436,38 @@ def test_near_dedup_of_a_star(spark):
     assert got == brute_components(texts, 3, 85)
 
 
+def test_near_dedup_of_repeated_ids(spark):
+    """Rows that repeat, and ids with several texts, in buckets that are large: links are those of all rows."""
+    rng = np.random.default_rng(12)
+    origin = [f"w{i}" for i in range(120)]
+    far = [[f"{k}{i}" for i in range(60)] for k in "xyz"]
+    rows = []
+    for i in range(50):
+        mine = list(origin)
+        for at in rng.choice(120, 3, replace=False):
+            mine[at] = f"x{i}_{at}"
+        rows += [(i, " ".join(mine))] * (1 + i % 4)  # near to the origin, not to each other
+    rows += [(500, " ".join(origin)), (500, " ".join(far[0])), (500, " ".join(far[0])), (501, " ".join(far[0])), (502, " ".join(far[1])), (503, " ".join(far[2]))]
+    rows += [(504, " ".join(far[1])), (504, " ".join(far[2]))]  # first in no class of copies
+    by_row = brute_components(dict(enumerate(t for _, t in rows)), 3, 85)
+    root = {d: d for d, _ in rows}
+    for _ in rows:  # ids of one component of rows are one
+        low = {}
+        for r, (d, _) in enumerate(rows):
+            low[by_row[r][1]] = min(low.get(by_row[r][1], d), root[d])
+        for r, (d, _) in enumerate(rows):
+            root[d] = min(root[d], low[by_row[r][1]])
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in got} == set(root.items())
+
+
+def test_passages_of_several_texts_under_one_id(spark):
+    make = lambda k, n=80: " ".join(f"{k}{i}" for i in range(n))
+    rows = [(1, make("a")), (1, make("b")), (1, make("c")), (2, make("a")), (3, make("b")), (4, make("c")), (5, make("d"))]
+    got = passages.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["class_id"], r["n_links"]) for r in got} == {(1, 1, 3), (2, 1, 1), (3, 1, 1), (4, 1, 1), (5, 5, 0)}
+
+
 def test_super_minhash_estimates_similarity():
     rng = np.random.default_rng(1)
     base = rng.integers(1, 1 << 63, 3000).astype(np.uint64)
