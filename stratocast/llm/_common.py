@@ -27,27 +27,47 @@ _P_INV = pow(_P, -1, 1 << 64)
 # --- scratch tables -------------------------------------------------------------------------------
 
 
+_LOCAL: dict[str, str] = {}
+#: Shuffle files go when the job that made them ends, not when the driver collects its garbage.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only where that is unset (local tests)."""
+    """The shared folder named by ``spark.checkpoint.dir``; where it is unset a temporary one in local mode (tests), an error on a cluster."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return _LOCAL.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="spark-"))
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table below the shared scratch folder and read it back.
 
-    This cuts the lineage: what is lost with an executor is read again from shared storage.
+    This cuts the lineage: what is lost with an executor is read again from shared storage. ``discard`` removes the table.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/stratocast-{uuid.uuid4().hex}/{name}"
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEAN, "false")
+    spark.conf.set(_CLEAN, "true")
+    try:
+        writer.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that ``materialize`` wrote and nothing reads any more."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.scratch_path).getParent()
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 # --- joins ----------------------------------------------------------------------------------------
@@ -105,7 +125,7 @@ class Words:
         np.cumsum(lengths + 1, out=offsets[1:])
         raw = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
         hashes, starts, ends = [], [], []
-        step = 1 << 21
+        step = 1 << 18
         at = 0
         while at < len(raw):
             to = min(len(raw), at + step)

@@ -1,57 +1,45 @@
 """Katz backoff language model.
 
-Every word and every n-gram up to ``order`` is counted and kept, from a count of 1 on and at every size of the corpus. Counts up to 5 are discounted by
+Every word and every n-gram up to trigrams is counted and kept, from a count of 1 on and at every size of the corpus. Counts up to 5 are discounted by
 Good-Turing; the mass that discounts leave goes to the next shorter n-gram, with a weight per context that makes its probabilities sum to one exactly.
 Unknown words are one class.
 
     P(w | context) = discounted count(context w) / count(context)            if seen
                    = weight(context) * P(w | context without its first word)  otherwise
 
-Texts are lower-cased (A-Z) words and one end per text, which also opens the next context. The model is stored in Parquet tables, partitioned by order: words with
-counts, n-grams with probabilities, contexts with weights.
+Texts are lower-cased (A-Z) words and one end per text, which also opens the next context.
 
-Scale: words, n-grams and contexts are tables that grow with the corpus and are neither broadcast nor collected; they meet by joins. An n-gram is two
-64-bit hashes, that of its first n - 1 words (``context``) and that of its last n - 1 (``suffix``), so that it meets its context and the next shorter n-gram by
-equality. A context's sums are a window over its distinct n-grams. Documents' distinct n-grams are joined to the longest order; what isn't found goes down order
-by order. Only the words frequent enough (``max_words`` at most, since the counts of more would add up to more than all tokens) come to the driver, to spare
-the base score a shuffle of common words; the others are joined, so no result depends on that bound.
+Scale: the texts are read and cut into words once, into blocks of a few megabytes; what follows are tables on shared storage. Words get ids by falling
+frequency (a range-partitioned sort), so that a word's count follows from its id and the ids at which the count changes, of which there are at most
+sqrt(2 * tokens). Trigrams (u, v, w) go to partitions by their middle word, once per block: there the trigram's context (u, v), its shorter n-gram (v, w), and the context v
+of that all meet, so that probabilities and weights need no join; the answers go back to the blocks in the order in which they were asked. A word that is the middle
+of more than ``hot`` tokens is dealt to several partitions by u; only its pairs (v, w) are then added up over the partitions by a shuffle. N-grams
+travel sorted, as differences, compressed; nothing of them comes to the driver.
 
 Defined cases: null and empty texts are a lone end; without training texts every word is unknown and has the whole mass; rows that repeat are scored each (and
-trained each); a null id counts as empty text when held out; other columns are not carried.
+trained each); rows whose ``train`` is null are not learned from; other columns are not carried.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
+import zstandard
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratocast.llm._common import Words, bucket_of, materialize, mix64, slices
+from stratocast.llm._common import Words, bucket_of, discard, materialize, mix64, slices
 
-END = mix64(np.array([0x5EED], dtype=np.uint64))[0]
+#: Ids of what isn't a word: the end of a text, a word that no training text has, and what stands before the end that opens a text.
+END, UNKNOWN, START = 0, -1, -2
 #: Counts up to this are discounted.
 GOOD_TURING = 5
-#: Frequent words that travel to the tasks for the base score: at most as many.
-MAX_WORDS = 1 << 22
-#: Keys that a task gathers before it counts them.
-FLUSH = 3 << 20
-
-
-@dataclass
-class Level:
-    """n-grams of one order on the driver, as (index of the first n - 1 words in the level below) << 32 | index of the last word; sorted."""
-
-    keys: np.ndarray
-    counts: np.ndarray
-    log_p: np.ndarray
-    #: per entry of the level below, as a context
-    log_weight: np.ndarray
+#: Tokens per partition of trigrams, and those from which a middle word is dealt to several.
+PART, HOT = 1 << 20, 1 << 22
 
 
 def discounts(n: list[int]) -> np.ndarray:
@@ -73,261 +61,405 @@ def factor(discount: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.where(counts <= GOOD_TURING, discount[np.minimum(counts, GOOD_TURING)], 1.0)
 
 
-def _factor(discount: np.ndarray, count: Column) -> Column:
-    factors = F.element_at(F.array(*[F.lit(float(x)) for x in discount]), F.least(count, F.lit(GOOD_TURING)).cast("int") + 1)
-    return F.when(count <= GOOD_TURING, factors).otherwise(1.0)
-
-
-class Sequence:
-    """Texts as one array of word hashes: an end before each text, its words, an end."""
-
-    def __init__(self, texts: list[bytes]):
-        w = Words(texts)
-        n = len(texts)
-        self.words = np.full(len(w.hash) + 2 * n, END, dtype=np.uint64)
-        self.words[np.arange(len(w.hash)) + 2 * w.doc + 1] = w.hash
-        size = np.diff(w.first) + 2
-        self.doc = np.repeat(np.arange(n), size)
-        first = np.cumsum(size) - size
-        self.place = np.arange(len(self.words)) - first[self.doc]  # 0 is the end that opens the text
-        self.size = size - 1  # tokens to predict
-
-
-def _xx(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Spark's ``xxhash64`` of two columns of longs."""
-    p1, p2, p3, p4, p5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
-    roll = lambda x, n: (x << np.uint64(n)) | (x >> np.uint64(64 - n))
-    h = np.full(len(left), 42, dtype=np.uint64)
-    for x in (left, right):
-        h = (h + p5 + np.uint64(8)) ^ (roll(x * p2, 31) * p1)
-        h = roll(h, 27) * p1 + p4
-        h = (h ^ (h >> np.uint64(33))) * p2
-        h = (h ^ (h >> np.uint64(29))) * p3
-        h ^= h >> np.uint64(32)
-    return h
-
-
-def grams(sequence: Sequence, order: int) -> list[np.ndarray]:
-    """For n = 1..order, the hash of the n words that end at each place (of use where the place is n - 1 at least)."""
-    out = [sequence.words]
-    for _ in range(order - 1):
-        last = out[-1]
-        out.append(_xx(np.concatenate([last[:1], last[:-1]]), last))
+# --- packed columns -------------------------------------------------------------------------------
+
+
+def pack(*columns: np.ndarray) -> bytes:
+    """Columns of whole numbers from 0 on, of one length: their bytes by significance, as many as the largest needs, compressed."""
+    out = [np.array([len(columns[0])], dtype=np.int64).tobytes()]
+    for c in columns:
+        c = np.ascontiguousarray(c, dtype=np.uint64)
+        width = -(-int(c.max()).bit_length() // 8) if len(c) else 0
+        out += [bytes([width]), np.ascontiguousarray(c.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()]
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(out))
+
+
+def unpack(blob: bytes, columns: int) -> list[np.ndarray]:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.uint8)
+    n, at, out = int(raw[:8].view(np.int64)[0]), 8, []
+    for _ in range(columns):
+        width = int(raw[at])
+        table = np.zeros((n, 8), dtype=np.uint8)
+        table[:, :width] = raw[at + 1 : at + 1 + width * n].reshape(width, n).T
+        out.append(table.reshape(-1).view(np.int64))
+        at += 1 + width * n
     return out
 
 
-def _counted(docs: DataFrame, columns: list[str], keys_of) -> DataFrame:
-    """(*columns, n): how often ``keys_of(texts)`` (a list of one array a column) gives each key, counted in the tasks first."""
-    schema = ", ".join(f"{c} long" for c in [*columns, "n"])
+def _inner(new: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Differences within runs that begin where ``new``; the value itself there."""
+    return np.where(new, x, np.diff(x, prepend=0))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
 
-        def flush() -> pa.RecordBatch:
-            keys = [np.concatenate(x) for x in zip(*held, strict=True)]
-            _, at, n = np.unique(keys[0] if len(keys) == 1 else _xx(*keys), return_index=True, return_counts=True)
-            return pa.RecordBatch.from_arrays([*[pa.array(k[at].view(np.int64)) for k in keys], pa.array(n)], names=[*columns, "n"])
+def _outer(new: np.ndarray, d: np.ndarray) -> np.ndarray:
+    total = np.cumsum(d)
+    begin = np.flatnonzero(new)
+    return total - np.repeat(total[begin] - d[begin], np.diff(np.append(begin, len(d))))
 
-        for _, texts in slices(batches):
-            held.append(keys_of(texts))
-            size += len(held[-1][0])
-            if size >= FLUSH:
-                yield flush()
-                held, size = [], 0
-        if size:
-            yield flush()
 
-    return docs.select("text").mapInArrow(count, schema).groupBy(*columns).agg(F.sum("n").alias("n"))
+def pack_trigrams(v: np.ndarray, w: np.ndarray, u: np.ndarray, n: np.ndarray) -> bytes:
+    """Trigrams in the order of (v, w, u), ids from START on, with counts."""
+    first = np.zeros(len(v), dtype=bool)
+    first[:1] = True
+    new_v = np.append(True, v[1:] != v[:-1])[: len(v)]
+    new_w = new_v | np.append(True, w[1:] != w[:-1])[: len(v)]
+    return pack(_inner(first, v - START), _inner(new_v, w - START), _inner(new_w, u - START), n)
+
+
+def unpack_trigrams(blob: bytes) -> tuple[np.ndarray, ...]:
+    dv, dw, du, n = unpack(blob, 4)
+    first = np.zeros(len(dv), dtype=bool)
+    first[:1] = True
+    v = _outer(first, dv)
+    new_v = np.append(True, dv[1:] != 0)[: len(dv)]
+    w = _outer(new_v, dw)
+    new_w = new_v | np.append(True, w[1:] != w[:-1])[: len(dv)]
+    return v + START, w + START, _outer(new_w, du) + START, n
+
+
+def distinct(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index of a row of each distinct tuple, the tuple's number for each row); tuples are numbered in their order."""
+    if not len(columns[0]):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    bits = lambda c: int(c.max()).bit_length()
+    columns = [c - c.min() for c in columns]
+    for i, c in enumerate(columns):
+        if sum(map(bits, columns)) > 63:
+            columns[i] = np.unique(c, return_inverse=True)[1]
+    key = columns[0]
+    for c in columns[1:]:
+        if bits(key) + bits(c) > 63:
+            key = np.unique(key, return_inverse=True)[1]
+        key = (key << bits(c)) | c
+    order = np.argsort(key)
+    new = np.append(True, np.diff(key[order]) != 0)
+    own = np.empty(len(key), dtype=np.int64)
+    own[order] = np.cumsum(new) - 1
+    return order[new], own
+
+
+# --- words ----------------------------------------------------------------------------------------
+
+
+def blocks(docs: DataFrame) -> DataFrame:
+    """One row per few megabytes of texts: the documents, their words as places in the block's vocabulary, and that with its counts in training texts."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 33
+        for batch, texts in slices(batches):
+            w = Words(texts)
+            vocabulary, place = np.unique(w.hash, return_inverse=True)
+            train = np.array([bool(x) for x in batch.column(2).to_pylist()])
+            counts = np.bincount(place[train[w.doc]], minlength=len(vocabulary))
+            lists = [batch.column(0), pa.array(train), pa.array(np.diff(w.first)), pa.array(vocabulary.view(np.int64)), pa.array(counts)]
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]
+            yield pa.RecordBatch.from_arrays([pa.array([number]), *lists, pa.array([pack(place)], pa.binary())], names=["block", "doc_id", "train", "size", "words", "counts", "places"])
+            number += 1
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "train")
+    return rows.mapInArrow(cut, "block long, doc_id array<long>, train array<boolean>, size array<long>, words array<long>, counts array<long>, places binary")
+
+
+def ranked(words: DataFrame) -> DataFrame:
+    """(word, n, id): ids from 1 on by falling count, without one task for all words."""
+    order = [F.col("n").desc(), F.col("word")]
+    placed = materialize(words.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("m", F.monotonically_increasing_id()), "sorted_words")
+    part = F.shiftright("m", 33)
+    before, rows = 1, []
+    for r in placed.groupBy(part.alias("p")).agg(F.count("*").alias("n")).orderBy("p").collect():  # a row per partition
+        rows.append((r["p"], before))
+        before += r["n"]
+    offsets = words.sparkSession.createDataFrame(rows, "p long, before long")
+    out = materialize(placed.withColumn("p", part).join(F.broadcast(offsets), "p").select("word", "n", (F.col("before") + F.col("m").bitwiseAND(F.lit((1 << 33) - 1))).alias("id")), "words")
+    discard(placed)
+    return out
 
 
 @dataclass
-class Model:
-    words: DataFrame  # (word, n): every training word
+class Unigrams:
     tokens: int
     distinct: int
     discount: np.ndarray
     unknown: float  # mass of the unknown class
-    vocabulary: np.ndarray  # sorted hashes of the frequent words
-    counts: np.ndarray
-    ngrams: list[DataFrame]  # from order 2 on: (context, suffix, n, log_p, log_weight of the context), every n-gram
-
-    def contexts(self, n: int) -> DataFrame:
-        """(context, log_weight) of the contexts of order ``n``."""
-        return self.ngrams[n - 2].groupBy("context").agg(F.first("log_weight").alias("log_weight"))
-
-    def store(self, path: str) -> None:
-        """Write the tables: ``words`` by hash bucket, ``ngrams`` and ``contexts`` by order."""
-        self.words.withColumn("bucket", F.pmod("word", F.lit(64))).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/words")
-        for n, table in enumerate(self.ngrams, start=2):
-            mode = "overwrite" if n == 2 else "append"
-            table.drop("log_weight").withColumn("order", F.lit(n)).write.mode(mode).partitionBy("order").parquet(f"{path}/ngrams")
-            self.contexts(n).withColumn("order", F.lit(n - 1)).write.mode(mode).partitionBy("order").parquet(f"{path}/contexts")
-
-    @cached_property
-    def levels(self) -> list[Level]:
-        """The n-grams on the driver, to look at small models; neither training nor scoring uses it."""
-        rows = self.words.orderBy("word").toPandas()
-        grams = np.sort(rows["word"].to_numpy(np.int64).view(np.uint64))
-        last, out = np.arange(len(grams)), []  # index of the last word of each entry
-        for table in self.ngrams:
-            rows = table.toPandas()
-            context, suffix = (rows[c].to_numpy(np.int64).view(np.uint64) for c in ("context", "suffix"))
-            sort = np.argsort(grams)
-            below, end = (sort[np.searchsorted(grams[sort], x)] for x in (context, suffix))
-            weight = np.zeros(len(grams))
-            weight[below] = rows["log_weight"]
-            keys = (below << 32) | last[end]
-            order = np.argsort(keys)
-            out.append(Level(keys[order], rows["n"].to_numpy()[order], rows["log_p"].to_numpy()[order], weight))
-            grams, last = _xx(context, suffix)[order], last[end][order]
-        return out
-
-
-def train(docs: DataFrame, order: int = 3, max_words: int = MAX_WORDS) -> Model:
-    """Learn from the ``text`` of all ``docs``."""
-    words = materialize(_counted(docs, ["word"], lambda texts: [(s := Sequence(texts)).words[s.place > 0]]), "words")
-    small = [F.count(F.when(F.col("n") == r, 1)).alias(f"n{r}") for r in range(1, GOOD_TURING + 2)]
-    total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("distinct"), *small).first()
-    tokens = total["tokens"]
-    discount = discounts([total[f"n{r}"] for r in range(1, GOOD_TURING + 2)])
+    ends: int  # training texts
+    first: np.ndarray  # ids at which the count changes
+    n: np.ndarray  # and the count from there on
+
+    def count(self, ids: np.ndarray) -> np.ndarray:
+        step = np.searchsorted(self.first, ids, "right") - 1
+        n = self.n[np.maximum(step, 0)] if len(self.n) else np.zeros(len(ids), np.int64)
+        return np.where(ids == END, self.ends, np.where(ids > 0, n, 0))
+
+    def p(self, ids: np.ndarray) -> np.ndarray:
+        n = self.count(ids)
+        return np.where(n > 0, factor(self.discount, n) * n / max(self.tokens, 1), self.unknown)
+
+
+def unigrams(words: DataFrame, ends: int) -> Unigrams:
+    """What is known of single words; ``words`` is (word, n, id)."""
+    steps = words.groupBy("n").agg(F.min("id").alias("first"), F.count("*").alias("many")).orderBy("first").collect()  # distinct counts: sqrt(2 * tokens) at most
+    first, n, many = (np.array([r[c] for r in steps], dtype=np.int64) for c in ("first", "n", "many"))
+    tokens = int((n * many).sum()) + ends
+    seen = [int(many[n == r].sum()) + int(ends == r) for r in range(1, GOOD_TURING + 2)]
+    discount = discounts(seen)
     # What the discounts leave for the unknown: exactly one minus all that is given to known words.
-    off = sum((1 - discount[r]) * r * total[f"n{r}"] for r in range(1, GOOD_TURING + 1))
+    off = sum((1 - discount[r]) * r * seen[r - 1] for r in range(1, GOOD_TURING + 1))
     unknown = off / tokens if tokens and off > 0 else 1.0 / (tokens + 1)
     if tokens and not off > 0:
         discount = discount * (1 - unknown)
-    kept = words.where(F.col("n") >= max(1, -(-tokens // max_words))).toArrow()  # max_words rows at most
-    vocabulary, counts = kept["word"].to_numpy().view(np.uint64), kept["n"].to_numpy()
-    sort = np.argsort(vocabulary)
-    lower = words.select(F.col("word").alias("suffix"), (_factor(discount, F.col("n")) * F.col("n") / F.lit(float(max(tokens, 1)))).alias("less"))
-    ngrams: list[DataFrame] = []
-    for n in range(2, order + 1):
-
-        def keys_of(texts, n=n):
-            s = Sequence(texts)
-            at = np.flatnonzero(s.place >= n - 1)
-            shorter = grams(s, n - 1)[-1]
-            return [shorter[at - 1], shorter[at]]
-
-        table = materialize(_counted(docs, ["context", "suffix"], keys_of), f"counts_{n}")
-        seen = table.agg(*small).first()
-        table = materialize(_weighted(table, lower, discounts([seen[f"n{r}"] for r in range(1, GOOD_TURING + 2)])), f"ngrams_{n}")
-        ngrams.append(table)
-        lower = table.select(F.xxhash64("context", "suffix").alias("suffix"), F.pow(F.lit(10.0), "log_p").alias("less"))
-    return Model(words, tokens, total["distinct"], discount, unknown, vocabulary[sort], counts[sort], ngrams)
-
-
-def _weighted(table: DataFrame, lower: DataFrame, discount: np.ndarray) -> DataFrame:
-    """Probabilities of an order's n-grams (context, suffix, n) and weights of their contexts; ``lower`` has P of the next shorter n-grams."""
-    all_of = W.partitionBy("context")
-    given = _factor(discount, F.col("n")) * F.col("n")
-    met = table.join(lower, "suffix").withColumns({"of": F.sum("n").over(all_of), "given": F.sum(given).over(all_of), "share": F.sum("less").over(all_of)})
-    seen = F.col("given") / F.col("of")
-    # Something is always left for what was not seen.
-    scale = F.least(F.lit(1.0), (1 - 0.5 / F.col("of")) / seen)
-    weight = (1 - seen * scale) / F.greatest(1 - F.col("share"), F.lit(1e-12))
-    return met.select("context", "suffix", "n", F.log10(given / F.col("of") * scale).alias("log_p"), F.log10(weight).alias("log_weight"))
-
-
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, n_tokens, n_known, base_score, score) of every row of ``docs`` (doc_id, text), which must come from a scan that repeats its order."""
-    least = int(model.counts.min()) if len(model.counts) else 1
-    total = model.tokens + 0.1 * (model.distinct + 1)
-    base = np.log10((model.counts + 0.1) / total)
-    shared = docs.sparkSession.sparkContext.broadcast((model.vocabulary, base))
-
-    def known_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, base = shared.value
-        for batch, texts in slices(batches):
-            s = Sequence(texts)
-            word = np.minimum(np.searchsorted(vocabulary, s.words), max(len(vocabulary) - 1, 0))
-            frequent = vocabulary[word] == s.words if len(vocabulary) else np.zeros(len(word), dtype=bool)
-            known = frequent & (s.place > 0)
-            n = len(texts)
-            row = batch.column(batch.schema.get_field_index("row"))
-            doc = [row, batch.column(batch.schema.get_field_index("doc_id")), pa.nulls(n, pa.int64()), pa.array(s.size.astype(np.int64))]
-            sums = [np.bincount(s.doc, known, n).astype(np.int64), np.bincount(s.doc, np.where(known, base[word] if len(base) else 0.0, 0.0), n)]
-            yield pa.RecordBatch.from_arrays([*doc, *[pa.array(x) for x in sums]], names=NAMES)
-            # Rare words wait for their counts: one row per text and word.
-            rare = np.flatnonzero(~frequent & (s.place > 0))
-            order = rare[np.lexsort((s.words[rare], s.doc[rare]))]
-            new = np.ones(len(order), dtype=bool)
-            new[1:] = (s.doc[order][1:] != s.doc[order][:-1]) | (s.words[order][1:] != s.words[order][:-1])
-            first = np.flatnonzero(new)
-            times = np.diff(np.append(first, len(order)))
-            own = order[first]
-            none = len(own)
-            yield pa.RecordBatch.from_arrays(
-                [row.take(pa.array(s.doc[own])), pa.nulls(none, pa.int64()), pa.array(s.words[own].view(np.int64)), pa.array(times.astype(np.int64)), pa.nulls(none, pa.int64()), pa.nulls(none, pa.float64())], names=NAMES
-            )
-
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    parts = rows.mapInArrow(known_words, SCHEMA)
-    # Rows of whole texts carry no word; a hash of the row spreads them among the words.
-    parts = parts.withColumn("key", F.coalesce("word", F.xxhash64("row")))
-    counts = model.words.where(F.col("n") < least).select(F.col("word").alias("key"), F.col("n").alias("count"))
-    met = parts.join(counts, "key", "left")
-    rare, c = F.col("word").isNotNull(), F.coalesce(F.col("count"), F.lit(0))
-    plain = met.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"),
-        F.sum(F.when(~rare, F.col("n"))).alias("n_tokens"),
-        F.sum(F.when(rare, F.when(c > 0, F.col("n")).otherwise(0)).otherwise(F.col("known"))).alias("n_known"),
-        F.sum(F.when(rare, F.col("n") * F.log10((c + 0.1) / F.lit(total))).otherwise(F.col("base"))).alias("base_score"),
-    )
-    return plain.join(_scores(rows, model), "row").drop("row")
-
-
-def _scores(rows: DataFrame, model: Model) -> DataFrame:
-    """(row, score): distinct n-grams of each row, joined to the longest order; those not found go on to the shorter ones."""
-    order = len(model.ngrams) + 1
-    names = [f"context_{n}" for n in range(2, order + 1)]
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches):
-            s = Sequence(texts)
-            ends = grams(s, order)
-            at = np.flatnonzero(s.place > 0)
-            full = s.place[at] >= order - 1
-            # At the begin of a text the place tells n-grams of less than the full order apart.
-            key = _xx(np.where(full, ends[-1][at], s.place[at].astype(np.uint64)), s.doc[at].astype(np.uint64) * np.uint64(2) + full)
-            _, first, times = np.unique(key, return_index=True, return_counts=True)
-            at = at[first]
-            contexts = [pa.array(ends[n - 2][at - 1].view(np.int64), mask=s.place[at] < n - 1) for n in range(2, order + 1)]
-            row = batch.column(batch.schema.get_field_index("row")).take(pa.array(s.doc[at]))
-            yield pa.RecordBatch.from_arrays([row, *contexts, pa.array(s.words[at].view(np.int64)), pa.array(times.astype(np.int64))], names=["row", *names, "word", "times"])
-
-    places = rows.select("row", "text").mapInArrow(spread, ", ".join(f"{c} long" for c in ["row", *names, "word", "times"]))
-    suffix = {2: F.col("word")}
-    for n in range(3, order + 1):
-        suffix[n] = F.xxhash64(f"context_{n - 1}", suffix[n - 1])
-
-    def look_up(left: DataFrame, n: int) -> DataFrame:
-        table = model.ngrams[n - 2].select(F.col("context").alias("c"), F.col("suffix").alias("s"), F.col("log_p").alias(f"p_{n}"))
-        return left.join(table, (F.col(f"context_{n}") == F.col("c")) & (suffix[n] == F.col("s")), "left").drop("c", "s")
-
-    met = look_up(places, order)
-    found = met.groupBy("row").agg(F.coalesce(F.sum(F.col("times") * F.col(f"p_{order}")), F.lit(0.0)).alias("score"))
-    rest = met.where(F.col(f"p_{order}").isNull()).drop(f"p_{order}")
-    rest = rest.join(model.words.select("word", F.col("n").alias("count")), "word", "left")
-    p1 = F.when(F.col("count").isNull(), F.lit(model.unknown)).otherwise(_factor(model.discount, F.col("count")) * F.col("count") / F.lit(float(max(model.tokens, 1))))
-    value = F.log10(p1)
-    for n in range(2, order + 1):
-        weight = model.contexts(n).select(F.col("context").alias(f"context_{n}"), F.col("log_weight").alias(f"w_{n}"))
-        rest = rest.join(weight, f"context_{n}", "left")
-        value = F.coalesce(F.col(f"w_{n}"), F.lit(0.0)) + value
-        if n < order:
-            rest = look_up(rest, n)
-            value = F.coalesce(F.col(f"p_{n}"), value)
-    backed = rest.groupBy("row").agg(F.sum(F.col("times") * value).alias("score"))
-    return found.union(backed).groupBy("row").agg(F.sum("score").alias("score"))
-
-
-NAMES = ["row", "doc_id", "word", "n", "known", "base"]
-SCHEMA = "row long, doc_id long, word long, n long, known long, base double"
+    return Unigrams(tokens, int(many.sum()) + int(ends > 0), discount, unknown, ends, first, n)
+
+
+def coded(cut: DataFrame, words: DataFrame) -> DataFrame:
+    """Blocks with the ids of their vocabularies (0 for words that no training text has)."""
+    flat = cut.select("block", F.posexplode("words").alias("i", "word"))
+    ids = flat.join(words.select("word", "id"), "word", "left").groupBy("block").agg(F.array_sort(F.collect_list(F.struct("i", F.coalesce("id", F.lit(0)).alias("id")))).alias("ids"))
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [pack(x.values.field("id").to_numpy(zero_copy_only=False)) if x.is_valid else pack(np.zeros(0)) for x in batch.column(5)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(ids, pa.binary())], names=NAMES)
+
+    return cut.select(*NAMES[:5]).join(ids, "block", "left").select(*NAMES[:5], "ids").mapInArrow(packed, "block long, doc_id array<long>, train array<boolean>, size array<long>, places binary, ids binary")
+
+
+NAMES = ["block", "doc_id", "train", "size", "places", "ids"]
+
+
+class Block:
+    """The tokens of a block, and its distinct trigrams by partition."""
+
+    def __init__(self, row: dict, parts: int, hot: int, known: Unigrams):
+        self.doc_id, self.train = row["doc_id"], np.array(row["train"], dtype=bool)
+        size = np.array(row["size"], dtype=np.int64)
+        ids = unpack(row["ids"], 1)[0]
+        words = np.where(ids > 0, ids, UNKNOWN)[unpack(row["places"], 1)[0]] if len(ids) else np.zeros(0, np.int64)
+        self.size = size + 1
+        last = np.cumsum(self.size) - 1
+        self.w = np.full(size.sum() + len(size), END, dtype=np.int64)
+        inside = np.ones(len(self.w), dtype=bool)
+        inside[last] = False
+        self.w[inside] = words
+        self.doc = np.repeat(np.arange(len(size)), self.size)
+        first = last - self.size + 1
+        self.v = np.append(END, self.w[:-1])
+        self.v[first] = END
+        self.u = np.append(END, self.v[:-1])
+        self.u[first] = START
+        # After an unknown word nothing has been seen: such tokens need no partition.
+        self.asked = np.flatnonzero(self.v != UNKNOWN)
+        v, w, u = self.v[self.asked], self.w[self.asked], self.u[self.asked]
+        at, own = distinct(v, w, u)
+        n = np.bincount(own, weights=self.train[self.doc[self.asked]], minlength=len(at)).astype(np.int64)
+        v, w, u = v[at], w[at], u[at]
+        self.part = part_of(v, u, parts, hot, known)
+        sort = np.argsort(self.part, kind="stable")
+        self.part, self.trigrams = self.part[sort], [x[sort] for x in (v, w, u, n)]
+        back = np.empty(len(sort), dtype=np.int64)
+        back[sort] = np.arange(len(sort))
+        self.own = back[own]  # the trigram of each asked token
+
+
+def part_of(v: np.ndarray, u: np.ndarray, parts: int, hot: int, known: Unigrams) -> np.ndarray:
+    """Partition of each trigram: by its middle word, and by its first word too where the middle one is hot."""
+    salts = -(-known.count(v) // hot)
+    salt = np.where(salts > 1, mix64(u.astype(np.uint64)) % np.maximum(salts, 1).astype(np.uint64), 0).astype(np.uint64)
+    return (mix64(v.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + salt) % np.uint64(parts)).astype(np.int64)
+
+
+# --- trigrams -------------------------------------------------------------------------------------
+
+
+class Part:
+    """All that is asked of one partition, grouped: distinct trigrams, pairs (v, w), contexts (u, v) and v."""
+
+    def __init__(self, blobs: list[bytes]):
+        parts = [unpack_trigrams(b) for b in blobs]
+        self.lengths = [len(p[0]) for p in parts]
+        v, w, u, n = (np.concatenate(c) for c in zip(*parts, strict=True))
+        at, self.own = distinct(v, w, u)
+        self.v, self.w, self.u = v[at], w[at], u[at]
+        self.n = np.bincount(self.own, weights=n, minlength=len(at)).astype(np.int64)
+        self.full = (self.u != START) & (self.n > 0)  # trigrams that were seen
+        new = np.append(True, (np.diff(self.v) != 0) | (np.diff(self.w) != 0))[: len(at)]
+        self.pair_at, self.pair = np.flatnonzero(new), np.cumsum(new) - 1
+        self.n2 = np.bincount(self.pair, weights=self.n, minlength=len(self.pair_at)).astype(np.int64)
+        self.v2, self.w2 = self.v[self.pair_at], self.w[self.pair_at]
+
+    def probabilities(self, known: Unigrams, discount: list[np.ndarray], hot: dict[int, tuple[float, float]]) -> None:
+        """log10 of P2 and P3 where seen, of the weights of both contexts, and of what a token of each trigram gets."""
+        v_at, v_own = np.unique(self.v2, return_inverse=True)
+        of = np.maximum(known.count(v_at), 1).astype(float)
+        seen = self.n2 > 0
+        given2 = factor(discount[0], self.n2) * self.n2
+        p1 = known.p(self.w2)
+        given, share = (np.bincount(v_own, weights=np.where(seen, x, 0.0), minlength=len(v_at)) for x in (given2, p1))
+        for i, x in enumerate(v_at.tolist()):
+            if x in hot:
+                given[i], share[i] = hot[x]
+        scale, self.weight2 = balance(of, given, share)
+        p2 = np.where(seen, given2 / of[v_own] * scale[v_own], 0.0)
+        self.log_p2 = np.log10(np.where(seen, p2, self.weight2[v_own] * p1))  # with backoff
+        self.v1, self.seen2, self.v_own = v_at, seen, v_own
+        c_at, c_own = distinct(self.u, self.v)
+        full = self.full
+        of3, given3, share3 = (np.bincount(c_own[full], weights=x[full], minlength=len(c_at)) for x in (self.n, factor(discount[1], self.n) * self.n, p2[self.pair]))
+        scale3, weight3 = balance(np.maximum(of3, 1), given3, share3)
+        self.c_at, self.seen3, self.weight3 = c_at, of3 > 0, np.where(of3 > 0, weight3, 1.0)
+        with np.errstate(divide="ignore"):
+            self.log_p3 = np.log10(factor(discount[1], self.n) * self.n / np.maximum(of3, 1)[c_own] * scale3[c_own])
+        self.value = np.where(full, self.log_p3, np.log10(self.weight3)[c_own] + self.log_p2[self.pair])
+
+    def answers(self) -> Iterator[tuple[bytes, bytes]]:
+        """What each block asked for, in its order: places in a list of values, and the values."""
+        at = 0
+        for length in self.lengths:
+            values, place = np.unique(self.value[self.own[at : at + length]], return_inverse=True)
+            yield pack(place), values.tobytes()
+            at += length
+
+
+def balance(of: np.ndarray, given: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Scale of a context's discounted probabilities (something is always left for what was not seen), and its weight."""
+    seen = given / of
+    scale = np.minimum(1.0, (1 - 0.5 / of) / np.where(seen > 0, seen, 1.0))
+    return scale, np.where(seen > 0, (1 - seen * scale) / np.maximum(1 - share, 1e-12), 1.0)
+
+
+@dataclass
+class Model:
+    words: DataFrame  # (word, n, id): every training word; ``word`` is its hash
+    known: Unigrams
+    discount: list[np.ndarray]  # of pairs and of trigrams
+    blocks: DataFrame
+    asked: DataFrame  # (part, block, trigrams): distinct trigrams of every block with their counts in training texts
+    pairs: DataFrame  # (part, v, w, n): total counts of the pairs of hot words, once per partition that has them
+    hot: dict[int, tuple[float, float]]  # sums over the pairs of a hot word
+    layout: tuple[int, int]
+
+    def _each(self, of_part: Callable[[Part, pa.Table], pa.Table], schema: str) -> DataFrame:
+        """``of_part`` of every partition with its probabilities."""
+        known, discount, hot = self.known, self.discount, self.hot
+
+        def run(asked: pa.Table, pairs: pa.Table) -> pa.Table:
+            part = Part(asked.column("trigrams").to_pylist())
+            if len(pairs):  # they are in the same order as the part's own
+                v, w, n = (pairs.column(c).to_numpy() for c in ("v", "w", "n"))
+                part.n2[np.isin(part.v2, list(hot))] = n[np.lexsort((w, v))]
+            part.probabilities(known, discount, hot)
+            return of_part(part, asked)
+
+        return self.asked.groupBy("part").cogroup(self.pairs.groupBy("part")).applyInArrow(run, schema)
+
+    def tables(self) -> tuple[DataFrame, DataFrame]:
+        """(order, u, v, w, n, log_p) of every n-gram from order 2 on, and (order, u, v, log_weight) of every context; u is null for pairs."""
+
+        def rows(part: Part, asked: pa.Table) -> pa.Table:
+            names = ["kind", "order", "u", "v", "w", "n", "x"]
+            kinds = [pa.string(), pa.int32(), *[pa.int64()] * 4, pa.float64()]
+            made = []
+            f, p, c = np.flatnonzero(part.full), np.flatnonzero(part.seen2), part.c_at[part.seen3]
+            made.append(("ngram", 3, part.u[f], part.v[f], part.w[f], part.n[f], part.log_p3[f]))
+            made.append(("ngram", 2, None, part.v2[p], part.w2[p], part.n2[p], part.log_p2[p]))
+            made.append(("context", 3, part.u[c], part.v[c], None, None, np.log10(part.weight3[part.seen3])))
+            made.append(("context", 2, None, part.v1, None, None, np.log10(part.weight2)))
+            out = []
+            for kind, order, *columns in made:
+                size = len(columns[1])
+                out.append(pa.table([pa.array([kind] * size), pa.array([order] * size, pa.int32()), *[pa.nulls(size, k) if x is None else pa.array(x, k) for x, k in zip(columns, kinds[2:], strict=True)]], names=names))
+            return pa.concat_tables(out)
+
+        every = self._each(rows, "kind string, order int, u long, v long, w long, n long, x double").distinct()  # a hot word's pairs and context are in several partitions
+        return every.where("kind = 'ngram'").select("order", "u", "v", "w", "n", F.col("x").alias("log_p")), every.where("kind = 'context'").select("order", "u", "v", F.col("x").alias("log_weight"))
+
+    def store(self, path: str) -> None:
+        """Write the tables: ``words``, and ``ngrams`` and ``contexts`` by order."""
+        self.words.write.mode("overwrite").parquet(f"{path}/words")
+        for name, table in zip(("ngrams", "contexts"), self.tables(), strict=True):
+            table.write.mode("overwrite").partitionBy("order").parquet(f"{path}/{name}")
+
+    def scores(self) -> DataFrame:
+        """(doc_id, train, n_tokens, n_known, base_score, score) of every row that the model was made with."""
+        known, (parts, hot) = self.known, self.layout
+
+        def answer(part: Part, asked: pa.Table) -> pa.Table:
+            made = list(part.answers())
+            return pa.table([asked.column("block"), asked.column("part"), pa.array([x[0] for x in made], pa.binary()), pa.array([x[1] for x in made], pa.binary())], names=["block", "part", "places", "given"])
+
+        answers = materialize(self._each(answer, "block long, part long, places binary, given binary"), "answers")
+        discard(self.asked)
+
+        def per_doc(block: pa.Table, answers: pa.Table) -> pa.Table:
+            b = Block({c: block.column(c)[0].as_py() for c in NAMES}, parts, hot, known)
+            value = np.zeros(len(b.part))
+            for part, places, given in zip(*(answers.column(c).to_pylist() for c in ("part", "places", "given")), strict=True):
+                low, high = np.searchsorted(b.part, [part, part + 1])
+                value[low:high] = np.frombuffer(given, dtype=np.float64)[unpack(places, 1)[0]]
+            score = np.log10(known.p(b.w))
+            score[b.asked] = value[b.own]
+            c = known.count(b.w)
+            base = np.log10((c + 0.1) / (known.tokens + 0.1 * (known.distinct + 1)))
+            sums = [np.bincount(b.doc, weights=x, minlength=len(b.size)) for x in (c > 0, base, score)]
+            return pa.table([pa.array(b.doc_id, pa.int64()), pa.array(b.train), pa.array(b.size), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])], names=["doc_id", "train", "n_tokens", "n_known", "base_score", "score"])
+
+        both = self.blocks.groupBy("block").cogroup(answers.groupBy("block"))
+        return both.applyInArrow(per_doc, "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double")
+
+
+def learn(docs: DataFrame, part: int = PART, hot: int = HOT) -> Model:
+    """Learn from the rows of ``docs`` (doc_id, text, train) with ``train``, and take up the n-grams of all of them."""
+    spark = docs.sparkSession
+    cut = materialize(blocks(docs), "blocks")
+    ends = cut.agg(F.coalesce(F.sum(F.size(F.filter("train", lambda x: x))), F.lit(0)).alias("n")).first()["n"]
+    each = cut.select(F.explode(F.arrays_zip("words", "counts")).alias("x")).select(F.col("x.words").alias("word"), F.col("x.counts").alias("n")).where("n > 0")
+    words = ranked(each.groupBy("word").agg(F.sum("n").alias("n")))
+    known = unigrams(words, ends)
+    table = materialize(coded(cut, words), "coded")
+    discard(cut)
+    parts = max(1, -(-known.tokens // part))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                b = Block(row, parts, hot, known)
+                edge = np.flatnonzero(np.append(True, b.part[1:] != b.part[:-1])[: len(b.part)])
+                ends = np.append(edge[1:], len(b.part))
+                blobs = [pack_trigrams(*(x[i:j] for x in b.trigrams)) for i, j in zip(edge, ends, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(b.part[edge]), pa.array([row["block"]] * len(edge), pa.int64()), pa.array(blobs, pa.binary())], names=["part", "block", "trigrams"])
+
+    asked = materialize(table.mapInArrow(ask, "part long, block long, trigrams binary"), "trigrams")
+
+    def count(group: pa.Table) -> pa.Table:
+        """How many pairs (order 2) and trigrams (3) have each small count, as (null, order, count, how many); and the pairs of hot words as (part, v, w, n, P1 of w)."""
+        p = Part(group.column("trigrams").to_pylist())
+        cold = known.count(p.v2) <= hot
+        rows = [(None, order, r, int((n == r).sum()), 0.0) for order, n in ((2, p.n2[cold]), (3, p.n[p.full])) for r in range(1, GOOD_TURING + 2)]
+        h = np.flatnonzero(~cold)
+        counts = pa.table([pa.array(list(x), k) for x, k in zip(zip(*rows, strict=True), [*[pa.int64()] * 4, pa.float64()], strict=True)], names=["part", "v", "w", "n", "p1"])
+        part = group.column("part")[0].as_py()
+        pairs = pa.table([pa.array([part] * len(h), pa.int64()), *[pa.array(x[h]) for x in (p.v2, p.w2, p.n2)], pa.array(known.p(p.w2[h]))], names=counts.column_names)
+        return pa.concat_tables([counts, pairs])
+
+    counted = materialize(asked.groupBy("part").applyInArrow(count, "part long, v long, w long, n long, p1 double"), "counts")
+    total = counted.where("part is not null").groupBy("v", "w").agg(F.sum("n").alias("n"), F.first("p1").alias("p1"))
+    total = materialize(total, "hot_pairs")
+    few = {(r["v"], r["w"]): r["n"] for r in counted.where("part is null").groupBy("v", "w").agg(F.sum("n").alias("n")).collect()}  # 12 rows
+    more = {r["n"]: r["many"] for r in total.where(F.col("n").between(1, GOOD_TURING + 1)).groupBy("n").agg(F.count("*").alias("many")).collect()}
+    discount = [discounts([few.get((order, r), 0) + (more.get(r, 0) if order == 2 else 0) for r in range(1, GOOD_TURING + 2)]) for order in (2, 3)]
+    small = F.least(F.col("n"), F.lit(GOOD_TURING)).cast("int") + 1
+    given = F.when(F.col("n") <= GOOD_TURING, F.element_at(F.array(*[F.lit(float(x)) for x in discount[0]]), small)).otherwise(1.0) * F.col("n")
+    sums = total.where("n > 0").groupBy("v").agg(F.sum(given).alias("given"), F.sum("p1").alias("share")).collect()  # hot words: tokens / hot at most
+    pairs = counted.where("part is not null").select("part", "v", "w").join(total.select("v", "w", "n"), ["v", "w"]).select("part", "v", "w", "n")
+    return Model(words, known, discount, table, asked, materialize(pairs, "pairs"), {r["v"]: (r["given"], r["share"]) for r in sums}, (parts, hot))
+
+
+def katz_scores(docs: DataFrame, part: int = PART, hot: int = HOT) -> DataFrame:
+    """(doc_id, train, train_tokens, n_tokens, n_known, base_score, score) of every row of ``docs`` (doc_id, text, train), learned from those with ``train``."""
+    model = learn(docs, part, hot)
+    return model.scores().withColumn("train_tokens", F.lit(model.known.tokens).cast("long"))
 
 
 def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    held_out = bucket_of(F.col("doc_id"), 10) == 0
-    model = train(docs.where(~held_out))
-    out = score(docs, model)
-    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    out = katz_scores(docs.withColumn("train", bucket_of(F.col("doc_id"), 10) != 0))
+    return out.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -103,29 +103,22 @@ def test_katz_contract_and_gain(spark, texts):
     assert held > base
 
 
-@pytest.mark.parametrize("order", [2, 3])
-def test_katz_sums_to_one(spark, order):
-    docs = spark.createDataFrame([(1, "a b a b c a"), (2, "a b c"), (3, "b a d"), (4, None)], "doc_id long, text string")
-    model = katz.train(docs, order)
-    p1 = 10 ** np.log10(katz.factor(model.discount, model.counts) * model.counts / model.tokens)
-    assert p1.sum() + model.unknown == pytest.approx(1)
-    v = len(model.vocabulary)
-    lower = {(): np.append(p1, model.unknown)}
-    level_words = [(i,) for i in range(v)]
-    for level in model.levels:
-        following = [(*level_words[k >> 32], int(k & 0xFFFFFFFF)) for k in level.keys]
-        kept = dict(zip(following, 10**level.log_p, strict=True))
-        here = {}
-        for i, context in enumerate(level_words):
-            p = 10 ** level.log_weight[i] * lower.get(context[1:], lower[()])
-            for w in range(v):
-                p = p.copy()
-                if (*context, w) in kept:
-                    p[w] = kept[*context, w]
-            assert p.sum() == pytest.approx(1), (context, p)
-            here[context] = p
-        lower |= here
-        level_words = following
+@pytest.mark.parametrize("hot", [2, katz.HOT])
+def test_katz_sums_to_one(spark, hot):
+    docs = spark.createDataFrame([(1, "a b a b c a", True), (2, "a b c", True), (3, "b a d", True), (4, None, True), (5, "z", False)], "doc_id long, text string, train boolean")
+    model = katz.learn(docs, 4, hot)
+    ids = [katz.END, *[r["id"] for r in model.words.collect()]]
+    assert sorted(ids) == list(range(5))
+    ngrams, contexts = ([r.asDict() for r in t.collect()] for t in model.tables())
+    p1 = dict(zip(ids, model.known.p(np.array(ids)), strict=True))
+    assert sum(p1.values()) + model.known.unknown == pytest.approx(1)
+    seen = {(r["u"], r["v"], r["w"]): 10 ** r["log_p"] for r in ngrams}
+    assert len(seen) == len(ngrams)
+    weight = {(r["u"], r["v"]): 10 ** r["log_weight"] for r in contexts}
+    known = lambda u, v, w: seen.get((u, v, w), weight.get((u, v), 1) * (p1[w] if u is None else known(None, v, w)))
+    for u, v in weight:
+        rest = weight[u, v] * (1 if u is None else weight[None, v]) * model.known.unknown
+        assert sum(known(u, v, w) for w in ids) + rest == pytest.approx(1), (u, v)
 
 
 def katz_score(train, text, order=3):
@@ -161,30 +154,40 @@ def katz_score(train, text, order=3):
     return sum(math.log10(p(tuple(ws[max(0, i - order + 1) : i + 1]))) for i in range(1, len(ws)))
 
 
-@pytest.mark.parametrize("most", [8, katz.MAX_WORDS])
-def test_katz_keeps_every_ngram(spark, most):
-    """Whatever the share of the frequent words: n-grams of count 1 are in the model, and scores are those of plain dictionaries."""
+@pytest.mark.parametrize(("part", "hot"), [(50, 40), (katz.PART, katz.HOT)])
+def test_katz_keeps_every_ngram(spark, part, hot, tmp_path):
+    """However words are dealt: n-grams of count 1 are in the model, and scores are those of plain dictionaries."""
     rng = np.random.default_rng(9)
     make = lambda n: [" ".join(f"w{int(x)}" for x in rng.zipf(1.5, 25) % 60) for _ in range(n)]
     train, other = make(60), [*make(15), "w1 new w2 w1", None, "", "new"]
-    schema = "doc_id long, text string"
-    model = katz.train(spark.createDataFrame(list(enumerate(train)), schema), 3, max_words=most)
-    for n, table in enumerate(model.ngrams, start=2):
+    docs = spark.createDataFrame([(i, t, i < 60) for i, t in enumerate([*train, *other])], "doc_id long, text string, train boolean")
+    model = katz.learn(docs, part, hot)
+    assert bool(model.hot) == (hot == 40)
+    model.store(str(tmp_path))
+    stored = spark.read.parquet(f"{tmp_path}/ngrams").collect()
+    for n in (2, 3):
         want = collections.Counter(tuple(ws[i : i + n]) for ws in (["END", *words(t), "END"] for t in train) for i in range(len(ws) - n + 1))
-        assert sorted(r["n"] for r in table.collect()) == sorted(want.values())
-    texts = [*train[:5], *other]
-    got = {r["doc_id"]: r["score"] for r in katz.score(spark.createDataFrame(list(enumerate(texts)), schema), model).collect()}
-    assert got == {i: pytest.approx(katz_score(train, t), rel=1e-9) for i, t in enumerate(texts)}
+        assert sorted(r["n"] for r in stored if r["order"] == n) == sorted(want.values())
+    got = {r["doc_id"]: r["score"] for r in model.scores().collect()}
+    assert got == {i: pytest.approx(katz_score(train, t), rel=1e-9) for i, t in enumerate([*train, *other])}
+
+
+def test_katz_of_the_tables(spark, texts):
+    """All documents of the smallest tables, by the query, against dictionaries."""
+    train = [t for d, t in texts.items() if zlib.crc32(str(d).encode()) % 10]
+    got = {r["doc_id"]: r["score"] for r in katz.op2_katz(spark, SF).collect()}
+    some = sorted(texts)[:12]
+    assert {d: got[d] for d in some} == {d: pytest.approx(katz_score(train, texts[d]), rel=1e-9) for d in some}
 
 
 def test_katz_odd_rows(spark, odd):
-    docs = odd.select("doc_id", "text")
-    out = katz.score(docs, katz.train(docs)).collect()
+    docs = odd.select("doc_id", "text", F.lit(True).alias("train"), F.lit(1).alias("size"))
+    out = katz.katz_scores(docs).collect()
     assert len(out) == 10 and all(math.isfinite(r["score"]) for r in out)
     assert {r["n_tokens"] for r in out if r["doc_id"] == 3} == {1}
-    nothing = katz.score(docs, katz.train(docs.limit(0))).collect()
-    assert all(r["n_known"] == 0 and math.isfinite(r["score"]) for r in nothing)
-    assert katz.score(docs.limit(0), katz.train(docs)).count() == 0
+    nothing = katz.katz_scores(docs.withColumn("train", F.lit(None).cast("boolean"))).collect()
+    assert len(nothing) == 10 and all(r["n_known"] == 0 and math.isfinite(r["score"]) for r in nothing)
+    assert katz.katz_scores(docs.limit(0)).count() == 0
 
 
 # --- 3 --------------------------------------------------------------------------------------------
