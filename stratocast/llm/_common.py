@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -190,15 +191,13 @@ def text_bytes(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Parts of the batches with about ``most`` bytes of text at a time (one longer text makes a part alone)."""
     for batch in batches:
-        texts = text_bytes(batch.column(batch.schema.get_field_index(text)))
-        at = size = 0
-        for i, t in enumerate(texts):
-            if size and size + len(t) > most:
-                yield batch.slice(at, i - at), texts[at:i]
-                at, size = i, 0
-            size += len(t)
-        if at < len(texts):
-            yield batch.slice(at), texts[at:]
+        column = batch.column(batch.schema.get_field_index(text))
+        total = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < len(total):
+            to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + most, "right")))
+            yield batch.slice(at, to - at), text_bytes(column.slice(at, to - at))
+            at = to
 
 
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:

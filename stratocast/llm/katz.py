@@ -10,7 +10,7 @@ Unknown words are one class.
 Texts are lower-cased (A-Z) words and one end per text, which also opens the next context.
 
 Scale: the texts are read and cut into words once, into blocks of a few megabytes; what follows are tables on shared storage. Words get ids by falling
-frequency (a range-partitioned sort), so that a word's count follows from its id and the ids at which the count changes, of which there are at most
+frequency (a range-partitioned sort; the blocks' vocabularies meet by partitions of the hash), so that a word's count follows from its id and the ids at which the count changes, of which there are at most
 sqrt(2 * tokens). Trigrams (u, v, w) go to partitions by their middle word, once per block: there the trigram's context (u, v), its shorter n-gram (v, w), and the context v
 of that all meet, so that probabilities and weights need no join; the answers go back to the blocks in the order in which they were asked. A word that is the middle
 of more than ``hot`` tokens is dealt to several partitions by u; only its pairs (v, w) are then added up over the partitions by a shuffle. N-grams
@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -39,7 +40,7 @@ END, UNKNOWN, START = 0, -1, -2
 #: Counts up to this are discounted.
 GOOD_TURING = 5
 #: Tokens per partition of trigrams, and those from which a middle word is dealt to several.
-PART, HOT = 1 << 20, 1 << 22
+PART, HOT = 1 << 19, 1 << 21
 
 
 def discounts(n: list[int]) -> np.ndarray:
@@ -142,7 +143,7 @@ def distinct(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def blocks(docs: DataFrame) -> DataFrame:
-    """One row per few megabytes of texts: the documents, their words as places in the block's vocabulary, and that with its counts in training texts."""
+    """One row per few megabytes of texts: the documents, their words as places in the block's sorted vocabulary, and that with its counts in training texts."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
@@ -151,13 +152,61 @@ def blocks(docs: DataFrame) -> DataFrame:
             vocabulary, place = np.unique(w.hash, return_inverse=True)
             train = np.array([bool(x) for x in batch.column(2).to_pylist()])
             counts = np.bincount(place[train[w.doc]], minlength=len(vocabulary))
-            lists = [batch.column(0), pa.array(train), pa.array(np.diff(w.first)), pa.array(vocabulary.view(np.int64)), pa.array(counts)]
+            lists = [batch.column(0), pa.array(train), pa.array(np.diff(w.first))]
             lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]
-            yield pa.RecordBatch.from_arrays([pa.array([number]), *lists, pa.array([pack(place)], pa.binary())], names=["block", "doc_id", "train", "size", "words", "counts", "places"])
+            blobs = [pa.array([x], pa.binary()) for x in (pack(place), pack(np.diff(vocabulary, prepend=np.uint64(0)), counts))]
+            yield pa.RecordBatch.from_arrays([pa.array([number]), *lists, *blobs, pa.array([len(vocabulary)])], names=[*NAMES, "vocabulary", "distinct"])
             number += 1
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "train")
-    return rows.mapInArrow(cut, "block long, doc_id array<long>, train array<boolean>, size array<long>, words array<long>, counts array<long>, places binary")
+    return rows.mapInArrow(cut, "block long, doc_id array<long>, train array<boolean>, size array<long>, places binary, vocabulary binary, distinct long")
+
+
+def by_hash(cut: DataFrame, bits: int) -> DataFrame:
+    """(part, block, words): the blocks' vocabularies by the first ``bits`` bits of the words' hashes."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, blob in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
+                delta, n = unpack(blob, 2)
+                words = np.cumsum(delta.view(np.uint64))
+                part = (words >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(words), np.int64)
+                edge = np.flatnonzero(np.append(True, part[1:] != part[:-1])[: len(part)])
+                end = np.append(edge[1:], len(part))
+                blobs = [pack(np.diff(words[i:j], prepend=np.uint64(0)), n[i:j]) for i, j in zip(edge, end, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(part[edge]), pa.array([block] * len(edge), pa.int64()), pa.array(blobs, pa.binary())], names=["part", "block", "words"])
+
+    return cut.select("block", "vocabulary").mapInArrow(deal, "part long, block long, words binary")
+
+
+def word_counts(vocabularies: DataFrame) -> DataFrame:
+    """(word, n) of all training words."""
+
+    def count(group: pa.Table) -> pa.Table:
+        parts = [unpack(x, 2) for x in group.column("words").to_pylist()]
+        words, own = np.unique(np.concatenate([np.cumsum(d) for d, _ in parts]), return_inverse=True)
+        n = np.bincount(own, weights=np.concatenate([n for _, n in parts]), minlength=len(words)).astype(np.int64)
+        return pa.table([pa.array(words[n > 0]), pa.array(n[n > 0])], names=["word", "n"])
+
+    return vocabularies.groupBy("part").applyInArrow(count, "word long, n long")
+
+
+def identified(vocabularies: DataFrame, words: DataFrame, bits: int) -> DataFrame:
+    """(block, part, ids): ids of the blocks' words, 0 for those that no training text has."""
+
+    def find(asked: pa.Table, known: pa.Table) -> pa.Table:
+        word, ids = (known.column(c).to_numpy() for c in ("word", "id"))
+        order = np.argsort(word)
+        word, ids = word[order], ids[order]
+        out = []
+        for blob in asked.column("words").to_pylist():
+            w = np.cumsum(unpack(blob, 2)[0])
+            at = np.minimum(np.searchsorted(word, w), max(len(word) - 1, 0))
+            out.append(pack(np.where(word[at] == w, ids[at], 0) if len(word) else np.zeros(len(w))))
+        return pa.table([asked.column("block"), asked.column("part"), pa.array(out, pa.binary())], names=["block", "part", "ids"])
+
+    part = F.shiftrightunsigned("word", 64 - bits) if bits else F.lit(0).cast("long")
+    return vocabularies.groupBy("part").cogroup(words.select(part.alias("part"), "word", "id").groupBy("part")).applyInArrow(find, "block long, part long, ids binary")
 
 
 def ranked(words: DataFrame) -> DataFrame:
@@ -210,29 +259,17 @@ def unigrams(words: DataFrame, ends: int) -> Unigrams:
     return Unigrams(tokens, int(many.sum()) + int(ends > 0), discount, unknown, ends, first, n)
 
 
-def coded(cut: DataFrame, words: DataFrame) -> DataFrame:
-    """Blocks with the ids of their vocabularies (0 for words that no training text has)."""
-    flat = cut.select("block", F.posexplode("words").alias("i", "word"))
-    ids = flat.join(words.select("word", "id"), "word", "left").groupBy("block").agg(F.array_sort(F.collect_list(F.struct("i", F.coalesce("id", F.lit(0)).alias("id")))).alias("ids"))
-
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = [pack(x.values.field("id").to_numpy(zero_copy_only=False)) if x.is_valid else pack(np.zeros(0)) for x in batch.column(5)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(ids, pa.binary())], names=NAMES)
-
-    return cut.select(*NAMES[:5]).join(ids, "block", "left").select(*NAMES[:5], "ids").mapInArrow(packed, "block long, doc_id array<long>, train array<boolean>, size array<long>, places binary, ids binary")
-
-
-NAMES = ["block", "doc_id", "train", "size", "places", "ids"]
+NAMES = ["block", "doc_id", "train", "size", "places"]
 
 
 class Block:
     """The tokens of a block, and its distinct trigrams by partition."""
 
-    def __init__(self, row: dict, parts: int, hot: int, known: Unigrams):
+    def __init__(self, block: pa.Table, ids: pa.Table, parts: int, hot: int, known: Unigrams):
+        row = {c: block.column(c)[0].as_py() for c in NAMES}
         self.doc_id, self.train = row["doc_id"], np.array(row["train"], dtype=bool)
         size = np.array(row["size"], dtype=np.int64)
-        ids = unpack(row["ids"], 1)[0]
+        ids = np.concatenate([np.zeros(0, np.int64), *[unpack(x, 1)[0] for x in ids.sort_by("part").column("ids").to_pylist()]])
         words = np.where(ids > 0, ids, UNKNOWN)[unpack(row["places"], 1)[0]] if len(ids) else np.zeros(0, np.int64)
         self.size = size + 1
         last = np.cumsum(self.size) - 1
@@ -332,6 +369,7 @@ class Model:
     known: Unigrams
     discount: list[np.ndarray]  # of pairs and of trigrams
     blocks: DataFrame
+    ids: DataFrame
     asked: DataFrame  # (part, block, trigrams): distinct trigrams of every block with their counts in training texts
     pairs: DataFrame  # (part, v, w, n): total counts of the pairs of hot words, once per partition that has them
     hot: dict[int, tuple[float, float]]  # sums over the pairs of a hot word
@@ -389,10 +427,11 @@ class Model:
         answers = materialize(self._each(answer, "block long, part long, places binary, given binary"), "answers")
         discard(self.asked)
 
-        def per_doc(block: pa.Table, answers: pa.Table) -> pa.Table:
-            b = Block({c: block.column(c)[0].as_py() for c in NAMES}, parts, hot, known)
+        def per_doc(block: pa.Table, replies: pa.Table) -> pa.Table:
+            own = replies.column("given").is_null()
+            b = Block(block, replies.filter(own).select(["part", "ids"]), parts, hot, known)
             value = np.zeros(len(b.part))
-            for part, places, given in zip(*(answers.column(c).to_pylist() for c in ("part", "places", "given")), strict=True):
+            for part, places, given in zip(*(replies.filter(pc.invert(own)).column(c).to_pylist() for c in ("part", "ids", "given")), strict=True):
                 low, high = np.searchsorted(b.part, [part, part + 1])
                 value[low:high] = np.frombuffer(given, dtype=np.float64)[unpack(places, 1)[0]]
             score = np.log10(known.p(b.w))
@@ -402,7 +441,8 @@ class Model:
             sums = [np.bincount(b.doc, weights=x, minlength=len(b.size)) for x in (c > 0, base, score)]
             return pa.table([pa.array(b.doc_id, pa.int64()), pa.array(b.train), pa.array(b.size), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])], names=["doc_id", "train", "n_tokens", "n_known", "base_score", "score"])
 
-        both = self.blocks.groupBy("block").cogroup(answers.groupBy("block"))
+        replies = self.ids.withColumn("given", F.lit(None).cast("binary")).unionByName(answers.withColumnRenamed("places", "ids"))
+        both = self.blocks.select(*NAMES).groupBy("block").cogroup(replies.groupBy("block"))
         return both.applyInArrow(per_doc, "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double")
 
 
@@ -411,23 +451,22 @@ def learn(docs: DataFrame, part: int = PART, hot: int = HOT) -> Model:
     spark = docs.sparkSession
     cut = materialize(blocks(docs), "blocks")
     ends = cut.agg(F.coalesce(F.sum(F.size(F.filter("train", lambda x: x))), F.lit(0)).alias("n")).first()["n"]
-    each = cut.select(F.explode(F.arrays_zip("words", "counts")).alias("x")).select(F.col("x.words").alias("word"), F.col("x.counts").alias("n")).where("n > 0")
-    words = ranked(each.groupBy("word").agg(F.sum("n").alias("n")))
+    entries = cut.agg(F.coalesce(F.sum("distinct"), F.lit(0)).alias("n")).first()["n"]
+    bits = max(0, int(entries // part).bit_length())
+    words = ranked(word_counts(by_hash(cut, bits)))
     known = unigrams(words, ends)
-    table = materialize(coded(cut, words), "coded")
-    discard(cut)
+    ids = materialize(identified(by_hash(cut, bits), words, bits), "ids")
     parts = max(1, -(-known.tokens // part))
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                b = Block(row, parts, hot, known)
-                edge = np.flatnonzero(np.append(True, b.part[1:] != b.part[:-1])[: len(b.part)])
-                ends = np.append(edge[1:], len(b.part))
-                blobs = [pack_trigrams(*(x[i:j] for x in b.trigrams)) for i, j in zip(edge, ends, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(b.part[edge]), pa.array([row["block"]] * len(edge), pa.int64()), pa.array(blobs, pa.binary())], names=["part", "block", "trigrams"])
+    def ask(block: pa.Table, ids: pa.Table) -> pa.Table:
+        b = Block(block, ids, parts, hot, known)
+        edge = np.flatnonzero(np.append(True, b.part[1:] != b.part[:-1])[: len(b.part)])
+        end = np.append(edge[1:], len(b.part))
+        blobs = [pack_trigrams(*(x[i:j] for x in b.trigrams)) for i, j in zip(edge, end, strict=True)]
+        return pa.table([pa.array(b.part[edge]), pa.array([block.column("block")[0].as_py()] * len(edge), pa.int64()), pa.array(blobs, pa.binary())], names=["part", "block", "trigrams"])
 
-    asked = materialize(table.mapInArrow(ask, "part long, block long, trigrams binary"), "trigrams")
+    both = cut.select(*NAMES).groupBy("block").cogroup(ids.groupBy("block"))
+    asked = materialize(both.applyInArrow(ask, "part long, block long, trigrams binary"), "trigrams")
 
     def count(group: pa.Table) -> pa.Table:
         """How many pairs (order 2) and trigrams (3) have each small count, as (null, order, count, how many); and the pairs of hot words as (part, v, w, n, P1 of w)."""
@@ -450,7 +489,7 @@ def learn(docs: DataFrame, part: int = PART, hot: int = HOT) -> Model:
     given = F.when(F.col("n") <= GOOD_TURING, F.element_at(F.array(*[F.lit(float(x)) for x in discount[0]]), small)).otherwise(1.0) * F.col("n")
     sums = total.where("n > 0").groupBy("v").agg(F.sum(given).alias("given"), F.sum("p1").alias("share")).collect()  # hot words: tokens / hot at most
     pairs = counted.where("part is not null").select("part", "v", "w").join(total.select("v", "w", "n"), ["v", "w"]).select("part", "v", "w", "n")
-    return Model(words, known, discount, table, asked, materialize(pairs, "pairs"), {r["v"]: (r["given"], r["share"]) for r in sums}, (parts, hot))
+    return Model(words, known, discount, cut, ids, asked, materialize(pairs, "pairs"), {r["v"]: (r["given"], r["share"]) for r in sums}, (parts, hot))
 
 
 def katz_scores(docs: DataFrame, part: int = PART, hot: int = HOT) -> DataFrame:
