@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stratocast.llm._common import materialize
+from stratocast.llm._common import discard, materialize
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -30,7 +30,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
         # Small star: a node's smaller neighbours, and itself, are linked to the smallest of them.
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        before = edges
         edges = materialize(small.union(low.select("a", F.col("m").alias("b"))).where("a != b").distinct(), "edges")
+        discard(before)
         # Done when each node has one edge, to a root.
         ends = edges.select(F.col("a").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("into")).union(edges.select("b", F.lit(0), F.lit(1)))
         ends = ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
@@ -54,6 +56,7 @@ def link_buckets(
     extra = [c for c in members.columns if c not in ("bucket", "id")]
     labels: DataFrame | None = None
     links: DataFrame | None = None
+    own: DataFrame | None = None  # what this function wrote of the members
     leaders = 1
     while True:
         known = members.withColumn("component", F.col("id")) if labels is None else members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -62,21 +65,30 @@ def link_buckets(
         open_buckets = known.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("id").alias("first"), F.max("id").alias("last"), F.min("settled").alias("all_settled"), F.count("*").alias("size"))
         open_buckets = open_buckets.where("low != high or (first != last and not all_settled)").select("bucket", "size")
         alive = materialize(known.join(open_buckets, "bucket"), "alive")
+        if own is not None:
+            discard(own)
         if links is not None and not alive.take(1):
             break
-        chosen = alive.withColumn("rank", F.row_number().over(W.partitionBy("bucket").orderBy(F.expr(first), "id"))).where((F.col("rank") <= leaders) | (F.col("size") <= small))
-        chosen = chosen.select("bucket", F.col("id").alias("leader"), F.col("component").alias("leader_component"), F.col("settled").alias("leader_settled"), *[F.col(c).alias(f"leader_{c}") for c in extra])
+        # Leaders are limited before the shuffle, so that a large bucket is never put in order as a whole.
+        ranked = alive.where(f"size > {small}").withColumn("rank", F.row_number().over(W.partitionBy("bucket").orderBy(F.expr(first), "id"))).where(F.col("rank") <= leaders).drop("rank")
+        chosen = ranked.unionByName(alive.where(f"size <= {small}"))
+        chosen = materialize(chosen.select("bucket", F.col("id").alias("leader"), F.col("component").alias("leader_component"), F.col("settled").alias("leader_settled"), *[F.col(c).alias(f"leader_{c}") for c in extra]), "leaders")
         met = alive.join(chosen, "bucket").where("id != leader and (component != leader_component or not (settled and leader_settled))")
         met = met.where(f"size > {small} or id > leader").where(possible)  # where all lead, a pair meets once
         if links is not None:
             met = materialize(met, "met")
         found = materialize(verify(met), "links") if links is None or met.take(1) else links.limit(0)
+        if links is not None:
+            discard(met)
         some = bool(found.take(1))
+        old = links, labels
         links = found if links is None else materialize(links.union(found).distinct(), "links") if some else links
         if some:
             labels = materialize(connected_components(links), "labels")
+            discard(*[x for x in (*old, found if old[0] is not None else None) if x is not None])
         # A leader has met all others of its bucket.
-        members = materialize(alive.select("bucket", "id", *extra).join(chosen.select("bucket", F.col("leader").alias("id")).distinct(), ["bucket", "id"], "left_anti"), "members")
+        members = own = materialize(alive.select("bucket", "id", *extra).join(chosen.select("bucket", F.col("leader").alias("id")).distinct(), ["bucket", "id"], "left_anti"), "members")
+        discard(alive, chosen)
         leaders *= factor
     if labels is None:
         labels = members.sparkSession.createDataFrame([], "id long, component long")

@@ -233,7 +233,7 @@ def test_passages_find_every_repeated_stretch(spark, texts):
         for i in range(len(ws) - 49):
             places[tuple(ws[i : i + 50])].add(d)
     repeated = {d for ds in places.values() if len(ds) > 1 for d in ds}
-    assert repeated and all(got[d]["n_links"] for d in repeated)
+    assert repeated and all(got[d]["repeated_words"] >= 50 for d in repeated)
     for ds in places.values():
         assert len({got[d]["class_id"] for d in ds}) == 1
     for d, r in got.items():
@@ -274,12 +274,44 @@ def test_passage_with_one_word_replaced(spark):
     copy = [*passage[:43], "edit", *passage[44:]]
     rows = [(1, " ".join([*(f"a{i}" for i in range(70)), *passage])), (2, " ".join([*copy, *(f"b{i}" for i in range(70))])), (3, " ".join(f"c{i}" for i in range(120)))]
     got = {r["doc_id"]: r for r in passages.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert {d: (r["class_id"], r["n_links"], r["repeated_words"]) for d, r in got.items()} == {1: (1, 1, 90), 2: (1, 1, 90), 3: (3, 0, 0)}
+    assert {d: (r["class_id"], r["repeated_words"]) for d, r in got.items()} == {1: (1, 90), 2: (1, 90), 3: (3, 0)}
+
+
+def test_passages_recall_by_edits(spark):
+    """Passages with evenly spaced edits, all at a similarity of 0.8 or more, in otherwise different documents."""
+    rng = np.random.default_rng(8)
+    word = lambda: f"w{int(rng.integers(0, 1_000_000_000))}"
+    rows, kinds = [], {}
+    for n, edits in ((50, 0), (50, 1), (60, 1), (80, 1), (100, 2), (120, 1), (150, 3), (200, 4), (300, 6)):
+        for _ in range(40):
+            passage = [word() for _ in range(n)]
+            copy = list(passage)
+            for e in range(edits):
+                copy[(2 * e + 1) * n // (2 * edits)] = word()
+            for x in (passage, copy):
+                around = [[word() for _ in range(int(rng.integers(20, 90)))] for _ in range(2)]
+                rows.append((len(rows), " ".join([*around[0], *x, *around[1]])))
+            kinds[len(rows) - 2] = (n, edits)
+    got = {r["doc_id"]: r["class_id"] for r in passages.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = collections.Counter(k for d, k in kinds.items() if got[d] == got[d + 1] == d)
+    assert min(found[k] for k in set(kinds.values())) >= 0.9 * 40, found
+
+
+def test_passages_of_a_line_that_many_quote(spark, monkeypatch):
+    """A short line in all documents links nothing; a passage in all of them links all, by pairs of functions too."""
+    monkeypatch.setattr(passages, "LARGE", 4)
+    line = " ".join(f"line{i}" for i in range(12))
+    rows = [(i, " ".join([*(f"a{i}x{j}" for j in range(60)), line, *(f"b{i}x{j}" for j in range(60))])) for i in range(20)]
+    shared = " ".join(f"p{j}" for j in range(80))
+    rows += [(100 + i, " ".join([*(f"c{i}x{j}" for j in range(60)), shared, *(f"d{i}x{j}" for j in range(60))])) for i in range(20)]
+    got = {r["doc_id"]: r for r in passages.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i]["class_id"] == i and not got[i]["repeated_words"] for i in range(20))
+    assert all(got[100 + i]["class_id"] == 100 and got[100 + i]["repeated_words"] == 80 for i in range(20))
 
 
 def test_passages_odd_rows(spark, odd):
     out = passages.shared_passages(odd).collect()
-    assert len(out) == 10 and all(r["n_links"] == 0 for r in out)
+    assert len(out) == 10 and all(not r["repeated_words"] and r["class_id"] == r["doc_id"] for r in out)
     assert passages.shared_passages(odd.limit(0)).count() == 0
 
 
@@ -468,7 +500,7 @@ def test_passages_of_several_texts_under_one_id(spark):
     make = lambda k, n=80: " ".join(f"{k}{i}" for i in range(n))
     rows = [(1, make("a")), (1, make("b")), (1, make("c")), (2, make("a")), (3, make("b")), (4, make("c")), (5, make("d"))]
     got = passages.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {(r["doc_id"], r["class_id"], r["n_links"]) for r in got} == {(1, 1, 3), (2, 1, 1), (3, 1, 1), (4, 1, 1), (5, 5, 0)}
+    assert {(r["doc_id"], r["class_id"], len(r["passages"] or [])) for r in got} == {(1, 1, 3), (2, 1, 1), (3, 1, 1), (4, 1, 1), (5, 5, 0)}
 
 
 def test_super_minhash_estimates_similarity():
