@@ -43,7 +43,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 
 def link_buckets(
-    members: DataFrame, verify: Callable[[DataFrame], DataFrame], settle: Callable[[DataFrame, DataFrame], DataFrame] | None = None, possible: str = "true", first: str = "xxhash64(id)", small: int = 1, factor: int = 16
+    members: DataFrame, verify: Callable[[DataFrame], DataFrame], settle: Callable[[DataFrame, DataFrame], DataFrame] | None = None, possible: str = "true", first: str = "xxhash64(id)", small: int = 1, factor: int = 16, settle_leaders: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Components of the items in ``members`` (bucket long, id long, other columns): (id, component) of all items that got linked, and the links.
 
@@ -60,7 +60,8 @@ def link_buckets(
     leaders = 1
     while True:
         known = members.withColumn("component", F.col("id")) if labels is None else members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        known = known.withColumn("settled", F.lit(settle is None)) if settle is None or links is None else settle(known, links)
+        over = settle is None or (settle_leaders is not None and leaders > settle_leaders)
+        known = known.withColumn("settled", F.lit(over)) if over or links is None else settle(known, links)
         # Buckets of one component, all settled, are done; this pre-aggregates before the shuffle.
         open_buckets = known.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("id").alias("first"), F.max("id").alias("last"), F.min("settled").alias("all_settled"), F.count("*").alias("size"))
         open_buckets = open_buckets.where("low != high or (first != last and not all_settled)").select("bucket", "size")

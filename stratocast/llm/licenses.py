@@ -1,22 +1,24 @@
 """Licence scans: normalised text against templates by Dice coefficient over word bigrams, in DataFrame functions alone.
 
-Every line of a document, and every document of several lines as a whole, is a passage. A passage whose distinct bigrams
-number n can only reach a Dice coefficient of t with a template of m if t/(2-t) * m <= n <= (2-t)/t * m. So the templates are listed
-under every size that they admit, and a passage meets only those listed under its own size: an equi-join with
-a table whose size the templates fix, which is broadcast after its rows are counted. Such a passage also shares at least t/(2-t) * m bigrams with the
-template; so of any words that more than the rest of its bigrams contain, it has one. A few such words per template tell at once which documents
-can have a match; the others' bigrams are never formed. No text is shuffled; matches alone are grouped by document.
-
-Defined cases: null and empty texts have no passage and no licence; a passage of one word has no bigram; equal coefficients go to
-the template that comes first by name; rows with the same doc_id are one document; other columns are not carried.
+A text is its sequence of words, across line breaks and comment marks, so that a header wrapped over many lines is found within longer text. Passages that may be a template are the windows of as many
+words as it has (or up to the end of the text) that begin with one of its bigrams. A window whose distinct bigrams number n can only reach a Dice coefficient of t with
+a template of m if t/(2-t) * m <= n <= (2-t)/t * m, and only if it shares t/(2-t) * m bigrams or more. So of any words that more than the rest of a template's bigrams contain, a match
+has one: a few such words per template tell at once, by plain substring search, which documents can have a match, and the others' bigrams are never formed. Bigrams of
+the rest meet those of the templates by an equi-join with a table whose size the templates fix, which is broadcast after its rows are counted. Windows are frames over the
+bigrams that were met; only windows with enough of these are looked at in full. No text is shuffled but those.
+
+Defined cases: null and empty texts have no licence; a text of one word has no bigram; of a template's windows in a document the best counts, the first of
+equally good ones; equal coefficients go to the template that comes first by name; rows with the same doc_id are one document, each text for itself; other columns are not carried.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stratocast.llm._common import LOWER, UPPER
@@ -62,6 +64,26 @@ TEMPLATES = (
         "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
         "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     ),
+    (
+        "mit text",
+        "MIT License Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, "
+        "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+        "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. "
+        "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+    (
+        "isc text",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. "
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. "
+        "IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    ),
+    (
+        "bsd disclaimer",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. "
+        "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+        "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    ),
     (
         "mpl-2.0 header",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
@@ -70,23 +92,23 @@ TEMPLATES = (
 
 
 def bigrams(text: Column) -> Column:
-    """Distinct pairs of neighbouring words of the normalised text (ASCII letters folded; digits kept; all else parts words)."""
+    """Pairs of neighbouring words of the normalised text, in order (ASCII letters folded; digits kept; all else parts words)."""
     folded = F.trim(F.regexp_replace(F.translate(text, UPPER, LOWER), "[^a-z0-9]+", " "))
     words = F.split(folded, " ")
-    pairs = F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
-    return F.array_distinct(pairs)
+    return F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
 
 
 def template_table(spark: SparkSession, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """(n, template, grams): each template under every passage size that can reach the threshold."""
-    table = spark.createDataFrame(list(templates), "template string, body string").select("template", bigrams(F.col("body")).alias("template_grams"))
-    m = F.size("template_grams")
-    low, high = F.ceil(m * threshold / (2 - threshold) - 1e-9), F.floor(m * (2 - threshold) / threshold + 1e-9)
-    return table.withColumn("n", F.explode(F.sequence(F.greatest(low, F.lit(1)), F.greatest(high, F.lit(1))))).withColumn("n", F.col("n").cast("int"))
+    """(gram, template, long, m, low, high): each bigram of each template, with the template's bigrams in all, those that differ, and the sizes of windows that can reach the threshold."""
+    table = spark.createDataFrame(list(templates), "template string, body string").select("template", bigrams(F.col("body")).alias("all"))
+    table = table.withColumn("long", F.size("all")).withColumn("grams", F.array_distinct("all")).withColumn("m", F.size("grams"))
+    bound = F.col("m") * threshold / (2 - threshold)
+    table = table.withColumn("low", F.ceil(bound - 1e-9)).withColumn("high", F.floor(F.col("m") * (2 - threshold) / threshold + 1e-9))
+    return table.select("template", "long", "m", "low", "high", F.explode("grams").alias("gram"))
 
 
-def anchors(templates=TEMPLATES, threshold: float = THRESHOLD) -> str:
-    """A pattern of words of which every passage that reaches the threshold with a template has one: the longest words of
+def anchors(templates=TEMPLATES, threshold: float = THRESHOLD) -> list[str]:
+    """Words of which every passage that reaches the threshold with a template has one: the longest words of
     each template, until they lie in more of its bigrams than a match may lack."""
     chosen: set[str] = set()
     for _, body in templates:
@@ -97,47 +119,51 @@ def anchors(templates=TEMPLATES, threshold: float = THRESHOLD) -> str:
             if sum(1 for p in pairs if chosen & set(p)) > spare:
                 break
             chosen.add(word)
-    by_letter: dict[str, list[str]] = {}
-    for word in sorted(chosen):
-        by_letter.setdefault(word[0], []).append(word[1:])
-    tails = "|".join(f"{k}(?:{'|'.join(v)})" for k, v in by_letter.items())
-    return f"(?i)(?<![A-Za-z0-9])(?:{tails})(?![A-Za-z0-9])"
-
-
-def match_licenses(docs: DataFrame, templates: DataFrame, sign: str, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, line, template, dice) of every passage and template at or above the threshold; line -1 is the whole text; ``sign`` is what ``anchors`` gives for the templates."""
-    lines = F.split("text", "\n")
-    whole = F.when(F.size(lines) > 1, F.array(F.struct(F.lit(-1).alias("line"), F.col("text").alias("passage")))).otherwise(F.expr("cast(array() as array<struct<line:int,passage:string>>)"))
-    each = F.transform(lines, lambda x, i: F.struct(i.alias("line"), x.alias("passage")))
-    passages = docs.where(F.col("text").rlike(sign)).select("doc_id", F.explode(F.concat(each, whole)).alias("p")).where(F.col("p.passage").rlike(sign)).select("doc_id", "p.line", bigrams(F.col("p.passage")).alias("grams"))
-    passages = passages.withColumn("n", F.size("grams")).where(F.col("n") > 0)
+    return sorted(chosen)
+
+
+def match_licenses(docs: DataFrame, templates: DataFrame, signs: list[str], threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, template, dice, start) of every document and template with a window at or above the threshold: the best one's coefficient, and its first word; ``signs`` is what ``anchors`` gives."""
+    folded = F.lower("text")
+    signed = reduce(lambda a, b: a | b, [F.contains(folded, F.lit(x)) for x in signs]) if signs else F.lit(True)
+    some = docs.where(F.col("text").isNotNull() & signed).select("doc_id", F.xxhash64("text").alias("which"), bigrams(F.col("text")).alias("grams"))
     few = templates.count() <= 100_000
-    met = passages.join(F.broadcast(templates) if few else templates, "n")
-    dice = 2.0 * F.size(F.array_intersect("grams", "template_grams")) / (F.col("n") + F.size("template_grams"))
-    return met.select("doc_id", "line", "template", dice.alias("dice")).where(F.col("dice") >= threshold - 1e-12)
+    each = some.select("doc_id", "which", F.posexplode("grams").alias("i", "gram"))
+    hits = each.join(F.broadcast(templates) if few else templates, "gram").distinct()
+    # How many bigrams of the template a window has, of those that differ. Windows begin where one of these lies.
+    place = ["doc_id", "which", "template", "long"]
+    lengths = [r["long"] for r in templates.select("long").distinct().collect()]  # a row per length of a template
+    counted = reduce(lambda c, n: F.when(F.col("long") == n, F.size(F.collect_set("gram").over(W.partitionBy(*place).orderBy("i").rangeBetween(0, n - 1)))).otherwise(c), lengths, F.lit(0))
+    found = hits.withColumn("common", counted).where(F.col("common") >= F.col("low"))
+    met = found.join(some.withColumnsRenamed({"doc_id": "__doc", "which": "__which"}).dropDuplicates(["__doc", "__which"]), F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("which") == F.col("__which")))
+    n = F.size(F.array_distinct(F.slice("grams", F.col("i") + 1, F.col("long"))))
+    sized = met.withColumn("n", n).where(F.col("n").between(F.col("low"), F.col("high"))).withColumn("dice", 2.0 * F.col("common") / (F.col("n") + F.col("m")))
+    best = sized.where(F.col("dice") >= threshold - 1e-12).groupBy("doc_id", "template").agg(F.min(F.struct((-F.col("dice")).alias("worst"), "i")).alias("b"))
+    return best.select("doc_id", "template", (-F.col("b.worst")).alias("dice"), F.col("b.i").alias("start"))
 
 
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = match_licenses(docs, template_table(spark), anchors())
     best = F.min(F.struct((-F.col("dice")).alias("worst"), "template")).alias("best")
-    by_doc = found.groupBy("doc_id").agg(best, F.count("*").alias("n_matches"), F.array_join(F.array_sort(F.collect_set("template")), ",").alias("licenses"))
-    out = docs.select("doc_id").distinct().join(by_doc, "doc_id", "left")
+    by_doc = found.groupBy("doc_id").agg(best, F.count("*").alias("n_matches"), F.array_join(F.array_sort(F.collect_list("template")), ",").alias("licenses"))
+    ids = docs.select("doc_id").distinct()
+    out = ids.join(by_doc.withColumnRenamed("doc_id", "__doc"), ids["doc_id"].eqNullSafe(F.col("__doc")), "left")
     return out.select("doc_id", F.coalesce("n_matches", F.lit(0)).cast("long").alias("n_matches"), F.coalesce("licenses", F.lit("")).alias("licenses"), F.col("best.template").alias("best_template"), F.round(-F.col("best.worst"), 6).alias("best_dice"))
 
 
 _VALUES = ", ".join("('{}', '{}')".format(*[x.replace("'", "''") for x in t]) for t in TEMPLATES)
-_GRAMS = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+_GRAMS = "list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])"
 _WORDS = "string_split(trim(regexp_replace(translate({}, '" + UPPER + "', '" + LOWER + "'), '[^a-z0-9]+', ' ', 'g')), ' ')"
 
 ORACLE_SQL = f"""
 WITH t AS (SELECT template, {_GRAMS} AS tg FROM (SELECT template, {_WORDS.format('body')} AS w FROM (VALUES {_VALUES}) v(template, body))),
-lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS p FROM documents WHERE text IS NOT NULL
-  UNION ALL SELECT doc_id, text FROM documents WHERE text LIKE '%' || chr(10) || '%'),
-g AS (SELECT doc_id, {_GRAMS} AS g FROM (SELECT doc_id, {_WORDS.format('p')} AS w FROM lines)),
-m AS (SELECT doc_id, template, 2.0 * len(list_intersect(g, tg)) / (len(g) + len(tg)) AS dice FROM g, t WHERE len(g) > 0),
-f AS (SELECT * FROM m WHERE dice >= {THRESHOLD} - 1e-12),
-b AS (SELECT doc_id, count(*) AS n, array_to_string(list_sort(list_distinct(list(template))), ',') AS l, min(struct_pack(a := -dice, b := template)) AS best FROM f GROUP BY doc_id)
+d AS (SELECT row_number() OVER () AS r, doc_id, {_GRAMS} AS g FROM (SELECT doc_id, {_WORDS.format('text')} AS w FROM documents WHERE text IS NOT NULL)),
+h AS (SELECT r, template, len(tg) AS long, x.i AS i, x.gram AS gram FROM (SELECT r, unnest(list_zip(range(1, len(g) + 1), g)) AS p, struct_pack(i := p[1], gram := p[2]) AS x FROM d) e, t WHERE list_contains(tg, x.gram)),
+c AS (SELECT a.r, a.template, a.i, count(DISTINCT b.gram) AS common FROM h a JOIN h b ON a.r = b.r AND a.template = b.template AND b.i BETWEEN a.i AND a.i + a.long - 1 GROUP BY ALL),
+m AS (SELECT doc_id, template, 2.0 * common / (len(list_distinct(g[i:i + len(tg) - 1])) + len(list_distinct(tg))) AS dice FROM c JOIN d USING (r) JOIN t USING (template) WHERE 2.0 * common / (common + len(list_distinct(tg))) >= {THRESHOLD} - 1e-12),
+f AS (SELECT doc_id, template, max(dice) AS dice FROM m WHERE dice >= {THRESHOLD} - 1e-12 GROUP BY ALL),
+b AS (SELECT doc_id, count(*) AS n, array_to_string(list_sort(list(template)), ',') AS l, min(struct_pack(a := -dice, b := template)) AS best FROM f GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_matches, coalesce(l, '') AS licenses, best.b AS best_template, round(-best.a, 6)::DOUBLE AS best_dice
 FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN b ON d.doc_id IS NOT DISTINCT FROM b.doc_id
 """

@@ -7,8 +7,9 @@ that several owners have is an example that people copy; one that a single owner
 Positions come without any Python: between the pieces that ``split`` leaves lie the matches that
 ``regexp_extract_all`` gives, so running lengths of both are code-point offsets.
 
-Scale: a pass over the texts that keeps values' hashes only; counts pre-aggregate before the shuffle; only documents with candidates
-take part in the join that brings the counts back, and values found in very many documents are salted.
+Scale: a pass over the texts; what is written to shared storage of a candidate is its place, its length, and a hash with a salt of the run, never the value. Counts
+pre-aggregate before the shuffle; only documents with candidates take part in the join that brings the counts back, which is a broadcast up to ``FEW`` values and
+salted beyond, so that values found in very many documents are spread.
 
 Defined cases: null text is empty; null owners or repositories count as one of their own; repeated rows are documents of their own; an
 empty table gives an empty result; other columns pass unchanged in ``find_spans`` and ``redact``.
@@ -16,6 +17,8 @@ empty table gives an empty result; other columns pass unchanged in ``find_spans`
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,20 +35,32 @@ MADE_UP = r"(?i)example|sample|dummy|changeme|placeholder|your[_-]?|xxxx|0123456
 SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 
 
+#: Matches whose places are added up together: a text's matches take time in proportion to their number times this.
+CHUNK = 256
+#: Distinct values up to which their counts are broadcast.
+FEW = 20_000
+
+
 def _spans(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
     """Spans of a pattern's matches, those with a shorter value dropped (they still take up their text)."""
     none = F.expr(f"cast(array() as {SPAN})")
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else matches
-    parts = F.arrays_zip(F.split(text, pattern, -1).alias("piece"), matches.alias("match"), values.alias("value"))
+    parts = F.arrays_zip(F.transform(F.split(text, pattern, -1), F.length).alias("gap"), matches.alias("match"), values.alias("value"))
+    width = lambda part: part["gap"] + F.length(F.coalesce(part["match"], F.lit("")))
+    # Where each chunk of matches begins, then the places within.
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / CHUNK).cast("int")), lambda k: F.slice(parts, k * CHUNK + 1, CHUNK))
+    total = lambda chunk: F.aggregate(chunk, F.lit(0), lambda a, x: a + width(x))
+    begins = F.aggregate(F.transform(chunks, total), F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
 
     def step(acc: Column, part: Column) -> Column:
-        start = acc["at"] + F.length(part["piece"])
-        end = start + F.length(F.coalesce(part["match"], F.lit("")))
+        start = acc["at"] + part["gap"]
+        end = acc["at"] + width(part)
         span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), part["value"].alias("value"))
         return F.struct(end.alias("at"), F.when(F.length(part["value"]) >= least, F.concat(acc["found"], F.array(span))).otherwise(acc["found"]).alias("found"))
 
-    return F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("found")), step, lambda acc: acc["found"])
+    within = F.zip_with(chunks, F.slice(begins, F.lit(1), F.size(chunks)), lambda chunk, at: F.aggregate(chunk, F.struct(at.alias("at"), none.alias("found")), step, lambda acc: acc["found"]))
+    return F.flatten(within)
 
 
 def in_order(a: Column, b: Column) -> Column:
@@ -82,29 +97,35 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def ownership(found: DataFrame, common_from: int = 3, salts: int = 32) -> DataFrame:
-    """One row per distinct (row, span) of ``found`` (row, repository, owner, base, extra) with ``owners``, ``repositories`` and ``verdict``.
+def sealed(spans: Column, salt: str) -> Column:
+    """Spans without their values: the length, a hash that only a run knows the salt of, and whether the value looks made up."""
+    key = lambda x: F.conv(F.substring(F.sha2(F.concat(F.lit(salt), x["value"]), 256), 1, 15), 16, 10).cast("long")
+    return F.transform(spans, lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"), F.length(x["value"]).alias("length"), key(x).alias("key"), x["value"].rlike(MADE_UP).alias("made_up")))
+
+
+def ownership(found: DataFrame, common_from: int = 3) -> DataFrame:
+    """One row per distinct (row, span) of ``found`` (row, repository, owner, base, extra: sealed spans) with ``owners``, ``repositories`` and ``verdict``.
 
     ``verdict``: ``shared`` if ``common_from`` owners or more have the value, ``made_up`` if it looks it, else ``live``.
     """
     some = found.where((F.size("base") > 0) | (F.size("extra") > 0))
     flat = some.select("row", "repository", "owner", F.explode(F.concat("base", "extra")).alias("span"))
-    flat = materialize(flat.withColumn("key", F.xxhash64(F.col("span.value"))), "candidates")
+    flat = materialize(flat.withColumn("key", F.col("span.key")), "candidates")
     # distinct first, so that a value in a third of all documents is counted from one row per owner or repository
     who = flat.groupBy("key", "owner").agg(F.lit(1).alias("one")).groupBy("key").agg(F.count("*").alias("owners"))
     where = flat.groupBy("key", "repository").agg(F.lit(1).alias("one")).groupBy("key").agg(F.count("*").alias("repositories"))
-    counts = who.join(where, "key").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = flat.select("row", "span", "key").distinct().withColumn("salt", F.pmod(F.hash("row", "span"), F.lit(salts)))
-    out = salted.join(counts, ["key", "salt"]).drop("salt", "key")
-    value = F.col("span.value")
-    verdict = F.when(F.col("owners") >= common_from, "shared").when(value.rlike(MADE_UP), "made_up").otherwise("live")
+    counts = materialize(who.join(where, "key"), "owned")
+    out = join_lookup(flat.select("row", "span", "key").distinct(), counts, "key", counts.count(), limit=FEW).drop("key")
+    verdict = F.when(F.col("owners") >= common_from, "shared").when(F.col("span.made_up"), "made_up").otherwise("live")
     return out.withColumn("verdict", verdict)
 
 
 def judged_by_source(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Spans of documents and their verdicts; the repository is the document's source, the owner the first part of its path."""
     owned = docs.withColumn("row", row_key()).withColumn("repository", F.col("source")).withColumn("owner", F.split("source", "/")[0])
-    found = materialize(find_spans(owned.select("doc_id", "row", "repository", "owner", "text")).drop("text"), "found")
+    salt = uuid.uuid4().hex
+    spans = find_spans(owned.select("doc_id", "row", "repository", "owner", "text")).drop("text")
+    found = materialize(spans.withColumns({c: sealed(F.col(c), salt) for c in ("base", "extra")}), "found")
     return found, ownership(found)
 
 
@@ -117,7 +138,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every value that looks live replaced in ``text``; ``n_chars`` follows where there is such a column."""
     _, judged = judged_by_source(docs)
     span = F.col("span")
-    value = F.struct((span["end"] - F.length(span["value"])).alias("start"), span["end"].alias("end"))  # values end their matches
+    value = F.struct((span["end"] - span["length"]).alias("start"), span["end"].alias("end"))  # values end their matches
     live = judged.where(F.col("verdict") == "live").groupBy(F.col("row").alias("__row")).agg(F.array_sort(F.collect_set(value)).alias("__live"))
     live = materialize(live, "live")
     out = join_lookup(docs.withColumn("__row", row_key()), live, "__row", live.count())

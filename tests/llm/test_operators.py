@@ -3,14 +3,18 @@
 import collections
 import hashlib
 import math
+import pathlib
 import re
+import textwrap
+import time
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from stratocast.llm import components, decontamination, hamming, katz, language_id, licenses, mixing, near_dedup, passages, secrets, toxicity
+from stratocast.llm import _common, components, decontamination, hamming, katz, language_id, licenses, mixing, near_dedup, passages, secrets, toxicity
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, extra int, size string"
@@ -297,9 +301,8 @@ def test_passages_recall_by_edits(spark):
     assert min(found[k] for k in set(kinds.values())) >= 0.9 * 40, found
 
 
-def test_passages_of_a_line_that_many_quote(spark, monkeypatch):
-    """A short line in all documents links nothing; a passage in all of them links all, by pairs of functions too."""
-    monkeypatch.setattr(passages, "LARGE", 4)
+def test_passages_of_a_line_that_many_quote(spark):
+    """A short line in all documents links nothing; a passage in all of them links all."""
     line = " ".join(f"line{i}" for i in range(12))
     rows = [(i, " ".join([*(f"a{i}x{j}" for j in range(60)), line, *(f"b{i}x{j}" for j in range(60))])) for i in range(20)]
     shared = " ".join(f"p{j}" for j in range(80))
@@ -357,10 +360,36 @@ def test_license_templates_match_themselves_and_edits(spark):
 def test_license_anchors_lose_nothing(spark):
     table = licenses.template_table(spark)
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
-    all_, some = (licenses.match_licenses(docs, table, s).select("doc_id", "line", "template") for s in ("", licenses.anchors()))
+    all_, some = (licenses.match_licenses(docs, table, s).select("doc_id", "template", "start") for s in ([], licenses.anchors()))
     assert sorted(map(tuple, all_.collect())) == sorted(map(tuple, some.collect()))
 
 
+@pytest.mark.parametrize("mark", ["", " * ", "// ", "# "])
+def test_licenses_wrapped_within_code(spark, mark):
+    """Each template wrapped at 72 columns behind comment marks, on top of, within and below 400 lines of code; every tenth word lost."""
+    code = [f"x{i} = call_{i}(y{i}, {i * 7})" for i in range(400)]
+    rows = []
+    for i, (_, body) in enumerate(licenses.TEMPLATES):
+        words = body.split()
+        kept = [w for k, w in enumerate(words) if len(words) < 40 or k % 20 != 13]
+        lines = [mark + x for x in textwrap.wrap(" ".join(kept), 72)]
+        for k, at in enumerate((0, 200, 400)):
+            rows.append((10 * i + k, "\n".join([*code[:at], *lines, *code[at:]])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r["doc_id"], r["template"]) for r in licenses.match_licenses(docs, licenses.template_table(spark), licenses.anchors()).collect()}
+    assert not [(i, k, name) for i, (name, _) in enumerate(licenses.TEMPLATES) for k in range(3) if (10 * i + k, name) not in found]
+
+
+def test_licenses_odd_rows(spark, odd):
+    table = licenses.template_table(spark)
+    notice = "Released under the MIT License."
+    more = spark.createDataFrame([(20, notice), (20, notice), (21, " ".join(f"w{i % 999}" for i in range(50_000)) + " " + notice), (None, notice)], "doc_id long, text string")
+    docs = odd.select("doc_id", "text", "extra", F.lit("a").alias("template"), F.lit(1).alias("m")).unionByName(more, allowMissingColumns=True)
+    out = licenses.match_licenses(docs, table, licenses.anchors()).collect()
+    assert sorted(((r["doc_id"], r["template"], r["start"]) for r in out), key=repr) == sorted([(20, "mit notice", 0), (21, "mit notice", 50_000), (None, "mit notice", 0)], key=repr)
+    assert licenses.match_licenses(docs.limit(0), table, licenses.anchors()).count() == 0
+
+
 # --- 6 --------------------------------------------------------------------------------------------
 
 
@@ -569,6 +598,21 @@ def test_secret_spans(spark, texts):
     assert all(query[d]["base_sha256"] == hashlib.sha256(want[d].encode()).hexdigest() for d in texts)
 
 
+def test_secrets_of_many_matches(spark):
+    """More matches than places are added up at a time, in a very long text."""
+    long = " ".join(f"token=value{i:05d} é" if i % 3 else "token=x" for i in range(2000))
+    found = secrets.find_spans(spark.createDataFrame([(1, long)], "doc_id long, text string")).select(secrets.listed(F.col("base")).alias("base")).first()["base"]
+    assert found == base_spans(long)
+
+
+def test_secrets_leave_no_value_on_shared_storage(spark):
+    root, began = pathlib.Path(_common.scratch_root(spark).removeprefix("file:")), time.time()
+    docs = spark.createDataFrame([(1, "a/b", "password = hunter2secret"), (2, "c/d", "ghp_Ab1Cd2Ef3Gh4Ij5Kl6Mn7Op8Qr9St0Uv1Wx2")], "doc_id long, source string, text string")
+    assert "hunter2secret" not in repr(secrets.redact(docs).collect())
+    written = [repr(pq.read_table(f).to_pylist()) for f in root.rglob("*.parquet") if f.stat().st_mtime >= began - 1]
+    assert written and not any("hunter2" in w or "ghp_" in w for w in written)
+
+
 def test_secret_ownership_and_redaction(spark):
     shared = [(i, f"owner{i}/repo", "password = copiedExample1") for i in range(5)]
     rows = [*shared, (10, "me/repo", "é token = s3cretvalue9 and token = s3cretvalue9 stay"), (10, "me/repo", "é token = s3cretvalue9 and token = s3cretvalue9 stay"), (11, None, None), (None, "x", "secret: another1Value")]
