@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratocast.plans import publishing, stations, tiers, training, verification
+from stratocast.plans import lists, publishing, reports, stations, tiers, training, verification
 
-MODULES = (training, verification, stations, tiers, publishing)
+MODULES = (training, verification, stations, tiers, publishing, lists, reports)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

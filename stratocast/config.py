@@ -22,6 +22,8 @@ KNOT, KMH, INCH, FOOT = 0.514444, 1 / 3.6, 25.4, 0.3048
 DECAY, MIN_CELL, MIN_RESIDUALS, RESIDUAL_WINDOW, POOLED_WINDOW = 0.08, 5, 15, 60, 180
 TAU_SHORT, TAU_LONG, TAU_LEAD = 30.0, 60.0, 48
 CUTOFF_TAUS, MAX_ROWS, MIN_BUCKET = 5, 6000, 40
+MAX_TRAIN_DAYS, SEASONAL_ROWS, SEASONAL_TAUS, SEASONAL_DAYS = 400, 120, 10, 180
+BOOSTED_ROWS, STOP_DAYS, STOP_ROWS, STOP_TRAIN = 2000, 60, 100, 500
 TIER_GATES = ((0, 0.0, 0), (1, 15.0, 200), (2, 90.0, 1000), (3, 365.0, 4000))
 MARGIN = 0.02
 PIT_BINS, RESAMPLES, BLOCK_DAYS, INTERVAL = 10, 1000, 8, 0.90
@@ -31,6 +33,24 @@ SELECTION_SHARE = 0.6
 COVERAGE_GATE, MIN_BASELINE_ROWS = 0.9, 20
 SNOTEL_SUFFIXES = ("SNTL", "SNTLT", "SCAN", "MSNT")
 CONUS = (24.0, 50.0, -125.0, -66.0)
+WORLD_MODELS, REGIONAL_MODEL = ("gfs_seamless", "ecmwf_ifs025", "icon_seamless"), "ncep_hrrr_conus"
+TIER_LABELS = {"tier0": "Bias correction", "tier1": "EMOS", "tier2": "EMOS + harmonics", "tier3": "Boosted quantiles"}
+PROMOTE_ROWS, TRAIN_ROWS, COMMON_ROWS, TEST_ROWS = 20, 30, 50, 5
+OCCURRENCE = 0.1
+#: Names of the variables in forecast payloads.
+PAYLOAD_NAMES = {"air_temp_c": "temperature_2m", "rh_pct": "relative_humidity_2m", "wind_speed_ms": "wind_speed_10m", "wind_gust_ms": "wind_gusts_10m", "precip_1h_mm": "precipitation"}
+#: Forecast models: id, label, centre, resolution in km, variables without gusts?, first day of the archive, of earlier runs, global?
+FORECAST_MODELS = (
+    ("gfs_seamless", "NOAA GFS", "NOAA", 25, False, "2021-03-23", "2021-03-23", True),
+    ("ecmwf_ifs025", "ECMWF IFS 0.25°", "ECMWF", 25, True, "2024-02-01", "2024-02-01", True),
+    ("ecmwf_aifs025_single", "ECMWF AIFS (AI model)", "ECMWF", 25, True, "2024-04-01", "2024-04-01", True),
+    ("icon_seamless", "DWD ICON", "DWD", 11, False, "2022-11-01", "2024-01-01", True),
+    ("gem_seamless", "CMC GEM", "ECCC", 10, False, "2022-11-01", "2024-01-01", True),
+    ("meteofrance_seamless", "Météo-France ARPEGE/AROME", "MeteoFrance", 10, False, "2022-11-01", "2024-01-01", True),
+    ("ukmo_seamless", "UK Met Office", "UKMO", 10, False, "2022-11-01", "2024-03-01", True),
+    ("ncep_hrrr_conus", "NOAA HRRR (CONUS 3 km)", "NOAA", 3, False, "2018-01-01", "2024-01-01", False),
+    ("ncep_nbm_conus", "NOAA NBM (calibrated benchmark)", "NOAA", 3, False, "2022-01-01", "2024-01-01", False),
+)
 
 DENSE = tuple(round(0.01 * i, 2) for i in range(1, 100))
 NORMAL_LEVELS = tuple(NormalDist().inv_cdf(q) for q in LEVELS)

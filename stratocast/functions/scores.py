@@ -109,14 +109,25 @@ def pinball(y: Column, q: Column, level: float) -> Column:
 
 
 def crps_quantiles(y: Column, quantiles: list[Column]) -> Column:
-    """Twice the mean pinball loss over 99 levels between and beyond the five; all a fixed linear form of these."""
-    rows = F.array(*[F.struct(F.lit(d).alias("level"), *[F.lit(w).alias(f"w{i}") for i, w in enumerate(row)]) for d, row in zip(DENSE, dense_weights(), strict=True)])
-
-    def add(total: Column, r: Column) -> Column:
-        q = sum((r[f"w{i}"] * v for i, v in enumerate(quantiles[1:], start=1)), r["w0"] * quantiles[0])
-        return total + F.greatest(r["level"] * (y - q), (r["level"] - 1.0) * (y - q))
-
-    return 2.0 * F.aggregate(rows, F.lit(0.0), add) / len(DENSE)
+    """Twice the mean pinball loss over 99 levels between and beyond the five, whose order must rise.
+
+    Between two published levels the quantile is a line in the level, so the loss over the levels there is a difference of sums of whole numbers: over all of them,
+    less over those whose quantile lies above ``y``.
+    """
+    total = F.lit(0.0)
+    percent = [round(100 * x) for x in LEVELS]
+    for i, (low, high) in enumerate(zip(quantiles[:-1], quantiles[1:], strict=True)):
+        begin = percent[i] if i else 1
+        end = percent[i + 1] - 1 if i < len(LEVELS) - 2 else 99
+        n, s1, s2 = end - begin + 1, sum(range(begin, end + 1)), sum(j * j for j in range(begin, end + 1))
+        slope = (high - low) / (percent[i + 1] - percent[i])
+        start = low - slope * percent[i]
+        # The last level whose quantile doesn't lie above y.
+        crossed = F.least(F.greatest((y - start) / F.nullif(slope, F.lit(0.0)), F.lit(begin - 1.0)), F.lit(float(end)))
+        last = F.when(slope > 0, F.floor(crossed).cast("double")).when(low > y, begin - 1.0).otherwise(float(end))
+        above = (start - y) * (end - last) + slope * (end * (end + 1) - last * (last + 1)) / 2
+        total = total + ((y - start) * s1 - slope * s2) / 100 + above
+    return 2.0 * total / len(DENSE)
 
 
 def crps_quantiles_sql(y: str, quantiles: list[str] | tuple[str, ...] = QUANTILES) -> str:

@@ -36,36 +36,52 @@ def cell_bias(wide: DataFrame, keys: tuple[str, ...] = ("station_id",), additive
     return _decayed(rows, [*keys, "bucket", "hour"], "bias_cell"), _decayed(rows, [*keys, "bucket"], "bias_lead")
 
 
-def corrected(wide: DataFrame, fitted: DataFrame, keys: tuple[str, ...] = ("station_id",), additive: bool = True) -> DataFrame:
-    """``wide`` with ``median``: the mean less the bias of its cell, or of its bucket where the cell has few rows, or nothing."""
-    cell, lead = cell_bias(fitted, keys, additive)
-    out = with_bucket(wide).withColumn("hour", F.hour("valid_time")).join(cell, [*keys, "bucket", "hour"], "left").join(lead, [*keys, "bucket"], "left")
-    bias = F.when(F.coalesce("bias_cell_n", F.lit(0)) >= C.MIN_CELL, F.col("bias_cell")).otherwise(F.coalesce("bias_lead", F.lit(0.0)))
-    return out.withColumn("median", F.col("fc_mean") - bias).drop("bias_cell", "bias_cell_n", "bias_lead", "bias_lead_n")
+def _fitted(fitted: DataFrame, keys: tuple[str, ...], additive: bool) -> DataFrame:
+    """One row per (keys, bucket): biases of the cells by hour and of the bucket, residual quantiles of its last rows, and those rows. One shuffle makes it all."""
+    group = [*keys, "bucket"]
+    bucket, cell = W.partitionBy(*group), W.partitionBy(*group, "hour")
+    rows = errors(fitted, additive).withColumns({"__r": F.row_number().over(bucket.orderBy(*newest())), "__n": F.count("*").over(bucket), "__rc": F.row_number().over(cell.orderBy(*newest())), "__nc": F.count("*").over(cell)})
+    weight = lambda r, n: F.pow(F.lit(1 - C.DECAY), F.col(r) - 1) * F.when(F.col(r) == F.col(n), 1.0).otherwise(C.DECAY)
+    rows = rows.withColumns({"__cell": F.sum(weight("__rc", "__nc") * F.col("error")).over(cell), "__lead": F.sum(weight("__r", "__n") * F.col("error")).over(bucket)})
+    resid = F.col("obs") - (F.col("fc_mean") - F.when(F.col("__nc") >= C.MIN_CELL, F.col("__cell")).otherwise(F.col("__lead")))
+    rows = rows.withColumn("resid", resid)
+    last = F.when(F.col("__r") <= C.RESIDUAL_WINDOW, F.col("resid"))
+    levels = F.array(*[F.lit(q) for q in C.LEVELS])
+    return rows.groupBy(*group).agg(
+        F.map_from_entries(F.collect_list(F.when((F.col("__rc") == 1) & (F.col("__nc") >= C.MIN_CELL), F.struct("hour", "__cell")))).alias("cells"),
+        F.first("__lead").alias("lead"),
+        F.when(F.count(last) >= C.MIN_RESIDUALS, F.percentile(last, levels)).alias("band"),
+        F.collect_list(F.when(F.col("__r") <= C.POOLED_WINDOW, F.struct("valid_time", "lead_h", "lead_source", "ingest_seq", "resid"))).alias("newest"),
+    )
+
+
+def _pooled(table: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Residual quantiles of the newest rows of all buckets, which are among the newest of each."""
+    each = table.select(*keys, F.explode("newest").alias("x")).select(*keys, "x.*")
+    last = each.withColumn("__r", F.row_number().over(W.partitionBy(*keys).orderBy(*newest()))).where(F.col("__r") <= C.POOLED_WINDOW)
+    return last.groupBy(*keys).agg(F.percentile("resid", F.array(*[F.lit(q) for q in C.LEVELS])).alias("pooled"), F.count("*").alias("__n")).where(F.col("__n") >= C.MIN_RESIDUALS).drop("__n")
 
 
 def residual_bands(fitted: DataFrame, keys: tuple[str, ...] = ("station_id",), additive: bool = True) -> tuple[DataFrame, DataFrame]:
     """Residual quantiles per bucket (from the last 60) and pooled (from the last 180); none from fewer than 15."""
-    known = fitted.where(F.col("fc_mean").isNotNull() & F.col("obs").isNotNull())
-    rows = corrected(known, known, keys, additive).withColumn("resid", F.col("obs") - F.col("median"))
-
-    def bands(by: list[str], window: int, name: str) -> DataFrame:
-        last = rows.withColumn("__r", F.row_number().over(W.partitionBy(*by).orderBy(*newest()))).where(F.col("__r") <= window)
-        return last.groupBy(*by).agg(F.percentile("resid", F.array(*[F.lit(q) for q in C.LEVELS])).alias(name), F.count("*").alias("__n")).where(F.col("__n") >= C.MIN_RESIDUALS).drop("__n")
-
-    return bands([*keys, "bucket"], C.RESIDUAL_WINDOW, "band"), bands(list(keys), C.POOLED_WINDOW, "pooled")
+    table = _fitted(fitted, keys, additive)
+    return table.where("band IS NOT NULL").select(*keys, "bucket", "band"), _pooled(table, keys)
 
 
 def predict(wide: DataFrame, fitted: DataFrame, keys: tuple[str, ...] = ("station_id",), floor: float | None = None, ceiling: float | None = None, additive: bool = True) -> DataFrame:
-    """``wide`` with q05..q95 and ``calibrated`` (false: no band could be fitted, and all quantiles are the median)."""
-    band, pooled = residual_bands(fitted, keys, additive)
-    out = corrected(wide, fitted, keys, additive).join(band, [*keys, "bucket"], "left").join(pooled, list(keys), "left")
-    offset: list[Column] = [F.coalesce(F.col("band")[i], F.col("pooled")[i], F.lit(0.0)) for i in range(len(C.LEVELS))]
-    values = [F.col("median") + o for o in offset]
+    """``wide`` with ``median``, q05..q95 and ``calibrated`` (false: no band could be fitted, and all quantiles are the median).
+
+    The median is the mean less the bias of its cell, or of its bucket where the cell has few rows, or nothing.
+    """
+    table = _fitted(fitted, keys, additive)
+    out = with_bucket(wide).join(table.drop("newest"), [*keys, "bucket"], "left").join(_pooled(table, keys), list(keys), "left")
+    bias = F.coalesce(F.element_at("cells", F.hour("valid_time")), F.col("lead"), F.lit(0.0))
+    out = out.withColumn("median", F.col("fc_mean") - bias).withColumn("__band", F.coalesce("band", "pooled"))
+    values = [F.col("median") + F.coalesce(F.col("__band")[i], F.lit(0.0)) for i in range(len(C.LEVELS))]
     if floor is not None:
         values = [F.greatest(v, F.lit(floor)) for v in values]
     if ceiling is not None:
         values = [F.least(v, F.lit(ceiling)) for v in values]
     ordered = F.array_sort(F.array(*values))
-    out = out.withColumn("__q", F.when(F.col("median").isNotNull(), ordered)).withColumn("calibrated", F.col("pooled").isNotNull() | F.col("band").isNotNull())
-    return out.withColumns({q: F.col("__q")[i] for i, q in enumerate(C.QUANTILES)}).drop("__q", "band", "pooled", "hour")
+    out = out.withColumn("__q", F.when(F.col("median").isNotNull(), ordered)).withColumn("calibrated", F.col("__band").isNotNull())
+    return out.withColumns({q: F.col("__q")[i] for i, q in enumerate(C.QUANTILES)}).drop("__q", "__band", "band", "pooled", "cells", "lead")

@@ -13,10 +13,11 @@ from stratocast.operators.bias import newest
 
 
 def with_tau(rows: DataFrame, by: list[str]) -> DataFrame:
-    """Decay time of each group, by its median lead, and the age in days before the group's newest row."""
-    group = W.partitionBy(*by)
-    tau = F.when(F.median("lead_h").over(group) <= C.TAU_LEAD, C.TAU_SHORT).otherwise(C.TAU_LONG)
-    age = (F.unix_timestamp(F.max("valid_time").over(group)) - F.unix_timestamp("valid_time")) / 86400.0
+    """Decay time of each group, by its median lead, and the age in days before the newest row of all its buckets."""
+    every = [k for k in by if k != "bucket"]
+    tau = F.when(F.median("lead_h").over(W.partitionBy(*by)) <= C.TAU_LEAD, C.TAU_SHORT).otherwise(C.TAU_LONG)
+    newest_of = F.max("valid_time").over(W.partitionBy(*every)) if every else F.max("valid_time").over(W.partitionBy(*by))
+    age = (F.unix_timestamp(newest_of) - F.unix_timestamp("valid_time")) / 86400.0
     return rows.withColumn("tau", tau).withColumn("age", age).withColumn("weight", F.exp(-F.greatest("age", F.lit(0.0)) / F.col("tau")))
 
 
@@ -29,7 +30,7 @@ def trimmed(rows: DataFrame, by: list[str], taus: float = C.CUTOFF_TAUS, most: i
 
 
 def harmonics(when: str, yearly: int = 2, daily: int = 2) -> list[Column]:
-    """Sines and cosines of the day of the year and of the hour."""
+    """Sines and cosines of the day of the year, then of the hour."""
     out = []
     for n in range(1, yearly + 1):
         x = F.dayofyear(when) * (2 * math.pi * n / 365.25)

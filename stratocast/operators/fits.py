@@ -1,6 +1,7 @@
 """Distribution fits: one group per (station, ..., bucket), all groups in one pass.
 
-Filtering, weights, trimming and designs are column work; a group that reaches Python has ``config.MAX_ROWS`` rows at most. Predictions are column work too.
+Filtering, weights, trimming and designs are column work, and so are predictions. A group that reaches Python is bounded: by ``config.MAX_ROWS`` (distribution fits), by the hours and
+leads of ``config.MAX_TRAIN_DAYS`` (occurrence), or by those of one station's history (boosted quantiles, which pool all leads and have no cap).
 """
 
 from __future__ import annotations
@@ -8,10 +9,11 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stratocast import config as C
-from stratocast.functions.scores import HART_LOWER, HART_UPPER, with_truncated_quantiles
+from stratocast.functions.scores import HART_LOWER, HART_UPPER, clamped, with_truncated_quantiles
 from stratocast.operators import design
 
 
@@ -91,10 +93,19 @@ def minimum_crps(x: np.ndarray, s: np.ndarray, y: np.ndarray, w: np.ndarray, tru
 PARAMETERS = "a double, b array<double>, c double, d double, n_train long, crps_train double, status string"
 
 
-def fit_emos(rows: DataFrame, by: list[str], features: list[Column], truncated: bool = False, least: int = C.MIN_BUCKET, taus: float = C.CUTOFF_TAUS) -> DataFrame:
-    """Parameters per group; a group that can't be fitted gives a row with its ``status``, not a failed job."""
-    weighted = design.trimmed(design.with_tau(rows.where("obs IS NOT NULL AND fc_mean IS NOT NULL"), by), by, taus)
-    ready = weighted.select(*by, F.array(*features).alias("x"), F.col("fc_spread").alias("s"), F.col("obs").alias("y"), F.col("weight").alias("w"))
+def fit_emos(rows: DataFrame, by: list[str], features: list[Column], truncated: bool = False, least: int = C.MIN_BUCKET, taus: float = C.CUTOFF_TAUS, yearly: list[Column] | None = None, most: int = C.MAX_ROWS) -> DataFrame:
+    """Parameters per group; a group that can't be fitted gives a row with its ``status``, not a failed job.
+
+    ``yearly`` are further features that count only where a group's rows span ``config.SEASONAL_DAYS``; elsewhere they are zero, and so are their coefficients.
+    """
+    weighted = design.trimmed(design.with_tau(rows.where("obs IS NOT NULL AND fc_mean IS NOT NULL"), by), by, taus, most=most)
+    weighted = weighted.where(F.col("age") <= C.MAX_TRAIN_DAYS)
+    group = W.partitionBy(*by)
+    long = (F.unix_timestamp(F.max("valid_time").over(group)) - F.unix_timestamp(F.min("valid_time").over(group))) / 86400.0 >= C.SEASONAL_DAYS
+    if yearly:
+        weighted = weighted.withColumn("__long", long)
+    x = [*features, *[F.when(F.col("__long"), c).otherwise(0.0) for c in yearly or []]]
+    ready = weighted.select(*by, F.array(*x).alias("x"), F.col("fc_spread").alias("s"), F.col("obs").alias("y"), F.col("weight").alias("w"))
     types = ", ".join(f"{k} {t}" for k, t in rows.select(*by).dtypes)
 
     def fit(keys: tuple, group: pd.DataFrame) -> pd.DataFrame:
@@ -110,8 +121,12 @@ def fit_emos(rows: DataFrame, by: list[str], features: list[Column], truncated:
     return ready.groupBy(*by).applyInPandas(fit, f"{types}, {PARAMETERS}")
 
 
-def predict_emos(rows: DataFrame, parameters: DataFrame, by: list[str], features: list[Column], truncated: bool = False) -> DataFrame:
-    """``rows`` with mu, sigma and q05..q95; rows of groups without parameters take those of the nearest bucket, else nulls and ``calibrated`` false."""
+def predict_emos(rows: DataFrame, parameters: DataFrame, by: list[str], features: list[Column], truncated: bool = False, low: float | None = None, high: float | None = None) -> DataFrame:
+    """``rows`` with mu, sigma and q05..q95 within ``low`` and ``high``.
+
+    Rows of groups without parameters take those of the nearest bucket; rows that have none either take the raw mean with the widest sigma of their station; rows without a forecast are
+    null; ``calibrated`` is false where nothing of a station was fitted.
+    """
     keys = [k for k in by if k != "bucket"]
     fitted = parameters.where("status = 'ok'").withColumnRenamed("bucket", "fitted_bucket")
     near = design.nearest_bucket(fitted.select(*keys, "fitted_bucket"), keys)
@@ -119,17 +134,25 @@ def predict_emos(rows: DataFrame, parameters: DataFrame, by: list[str], features
     out = rows.join(table, by, "left")
     mu = F.col("a") + F.aggregate(F.zip_with("b", F.array(*features), lambda b, x: b * x), F.lit(0.0), lambda t, v: t + v)
     log_sigma = F.greatest(F.lit(-8.0), F.least(F.lit(8.0), F.col("c") + F.col("d") * F.coalesce("fc_spread", F.lit(0.0))))
-    out = out.withColumn("mu", mu).withColumn("sigma", F.when(F.col("c").isNotNull(), F.exp(log_sigma))).withColumn("calibrated", F.col("a").isNotNull())
+    out = out.withColumn("mu", mu).withColumn("sigma", F.when(F.col("mu").isNotNull(), F.exp(log_sigma)))
+    widest = F.max("sigma").over(W.partitionBy(*keys))
+    out = out.withColumn("__widest", widest).withColumn("calibrated", F.col("__widest").isNotNull())
+    out = out.withColumns({"mu": F.when(F.col("calibrated"), F.coalesce("mu", "fc_mean")), "sigma": F.when(F.coalesce("mu", "fc_mean").isNotNull(), F.coalesce("sigma", "__widest"))})
     if truncated:
         out = with_truncated_quantiles(out, "mu", "sigma")
     else:
         out = out.withColumns({q: F.col("mu") + F.col("sigma") * z for q, z in zip(C.QUANTILES, C.NORMAL_LEVELS, strict=True)})
-    return out.drop("a", "b", "c", "d", "n_train", "crps_train", "status", "fitted_bucket")
+    if low is not None or high is not None:
+        out = out.withColumns(dict(zip(C.QUANTILES, clamped([F.col(q) for q in C.QUANTILES], low, high), strict=True)))
+    return out.drop("a", "b", "c", "d", "n_train", "crps_train", "status", "fitted_bucket", "__widest")
 
 
-def fit_occurrence(rows: DataFrame, by: list[str], threshold: float = 0.1, ridge: float = 1e-3) -> DataFrame:
-    """Logistic chance of more than ``threshold`` on (mean, share of wet models), per group by Newton steps; sets the base rate where that fails."""
-    ready = rows.where("obs IS NOT NULL AND fc_mean IS NOT NULL").select(*by, "fc_mean", "wet_share", (F.col("obs") > threshold).cast("double").alias("wet"))
+def fit_occurrence(rows: DataFrame, by: list[str], threshold: float = C.OCCURRENCE, ridge: float = 1e-3, least: int = C.MIN_BUCKET, most_days: int = C.MAX_TRAIN_DAYS) -> DataFrame:
+    """Logistic chance of more than ``threshold`` on (mean, share of wet models), per group by Newton steps over the last ``most_days``; no row for groups of fewer than ``least``, the base rate where a step fails."""
+    known = rows.where("obs IS NOT NULL AND fc_mean IS NOT NULL")
+    newest = F.max("valid_time").over(W.partitionBy(*[k for k in by if k != "bucket"]))
+    recent = known.withColumn("__age", F.unix_timestamp(newest) - F.unix_timestamp("valid_time")).where(F.col("__age") <= most_days * 86400)
+    ready = recent.withColumn("__n", F.count("*").over(W.partitionBy(*by))).where(F.col("__n") >= least).select(*by, "fc_mean", "wet_share", (F.col("obs") > threshold).cast("double").alias("wet"))
     types = ", ".join(f"{k} {t}" for k, t in rows.select(*by).dtypes)
 
     def fit(keys: tuple, group: pd.DataFrame) -> pd.DataFrame:
@@ -140,7 +163,11 @@ def fit_occurrence(rows: DataFrame, by: list[str], threshold: float = 0.1, ridge
         penalty = 2 * ridge * len(y) * np.diag([1e-9, 1, 1])
         for _ in range(30):
             p = 1 / (1 + np.exp(-np.clip(x @ t, -30, 30)))
-            step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty + 1e-9 * np.eye(3), x.T @ (y - p) - penalty @ t)
+            try:
+                step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty + 1e-9 * np.eye(3), x.T @ (y - p) - penalty @ t)
+            except np.linalg.LinAlgError:
+                t = np.array([np.log(base / (1 - base)), 0.0, 0.0])
+                break
             t = t + np.clip(step, -5, 5)
             if np.abs(step).max() < 1e-8:
                 break
@@ -173,13 +200,17 @@ def precip_quantiles(p: Column, amount: Column) -> list[Column]:
     return [F.when(F.lit(q) <= 1 - p, 0.0).otherwise(F.greatest(amount * (0.4 + 1.6 * (q - (1 - p)) / F.greatest(p, F.lit(1e-6))), F.lit(0.0))) for q in C.LEVELS]
 
 
-def boosted_quantiles(rows: DataFrame, by: list[str], features: list[Column], rounds: int = 60, rate: float = 0.1, depth: int = 3, bins: int = 32, least: int = 40, most: int = C.MAX_ROWS) -> DataFrame:
-    """Rows of each group's last tenth (by time) with one boosted quantile per level, learned from the rest: trees over binned features, leaves refitted to the residual quantile.
+def boosted_quantiles(train: DataFrame, test: DataFrame, by: list[str], features: list[Column], rounds: int = 150, rate: float = 0.1, depth: int = 3, bins: int = 32, least: int = 40, patience: int = 15) -> DataFrame:
+    """``test`` rows with one boosted quantile per level, learned from all ``train`` rows of their group: trees over binned features, leaves refitted to the residual quantile.
 
-    A group is capped at its newest ``most`` rows, as in the other fits; a level is a group of its own, so groups spread over tasks.
+    The last ``config.STOP_DAYS`` days of training (the last 15% where these are few) say after how many trees to stop. Groups of fewer than
+    ``config.BOOSTED_ROWS`` rows have no result. A level is a group of its own, so groups spread over tasks; a group is one station's history.
     """
-    ready = design.trimmed(design.with_tau(rows.where("obs IS NOT NULL AND fc_mean IS NOT NULL"), by), by, taus=1e9, most=most)
-    ready = ready.select(*by, "valid_time", "lead_h", F.array(*features).alias("x"), "obs", F.explode(F.array(*[F.lit(q) for q in C.LEVELS])).alias("level"))
+    columns = [*by, "valid_time", "lead_h", F.array(*features).alias("x"), "obs"]
+    known = train.where("obs IS NOT NULL AND fc_mean IS NOT NULL")
+    known = known.withColumn("__n", F.count("*").over(W.partitionBy(*by))).where(F.col("__n") >= C.BOOSTED_ROWS)
+    rows = known.select(*columns, F.lit(False).alias("asked")).unionByName(test.where("fc_mean IS NOT NULL").select(*columns, F.lit(True).alias("asked")))
+    rows = rows.withColumn("level", F.explode(F.array(*[F.lit(q) for q in C.LEVELS])))
     types = ", ".join(f"{k} {t}" for k, t in rows.select(*by).dtypes)
 
     def grow(binned: np.ndarray, g: np.ndarray, at: np.ndarray, left: int, leaves: list, path: list) -> None:
@@ -202,22 +233,34 @@ def boosted_quantiles(rows: DataFrame, by: list[str], features: list[Column], ro
 
     def fit(keys: tuple, group: pd.DataFrame) -> pd.DataFrame:
         q = keys[-1]
-        group = group.sort_values(["valid_time", "lead_h"], kind="stable")
-        x, y = np.stack(group["x"].to_numpy()), group["obs"].to_numpy()
-        n = max(1, int(len(y) * 0.9))
-        edges = [np.unique(np.quantile(x[:n, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(x.shape[1])]
-        binned = np.column_stack([np.searchsorted(e, x[:, j]) for j, e in enumerate(edges)])
-        value = np.full(len(y), np.quantile(y[:n], q))
+        group = group.sort_values(["asked", "valid_time", "lead_h"], kind="stable")
+        n = int((~group["asked"]).sum())
+        out = group.iloc[n:]
+        result = {**{k: v for k, v in zip(by, keys[:-1], strict=True)}, "level": q, "valid_time": out["valid_time"], "lead_h": out["lead_h"], "obs": out["obs"]}
+        if n < C.BOOSTED_ROWS or not len(out):
+            return pd.DataFrame({k: pd.Series(dtype=object) for k in (*result, "value")})
+        x, y, when = np.stack(group["x"].to_numpy()), group["obs"].to_numpy(), group["valid_time"].to_numpy()[:n]
+        m = int((when < when[-1] - np.timedelta64(C.STOP_DAYS, "D")).sum())
+        if n - m < C.STOP_ROWS or m < C.STOP_TRAIN:
+            m = int(n * 0.85)
+        edges = [np.unique(np.quantile(x[:m, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(x.shape[1])]
+        binned = np.column_stack([np.searchsorted(e, x[:, j]) for j, e in enumerate(edges)]).astype(np.int16)
+        value = np.full(len(y), np.quantile(y[:m], q))
+        best, kept, since = np.inf, value.copy(), 0
         for _ in range(rounds):
-            g = np.where(y[:n] > value[:n], q, q - 1)
+            d = y[m:n] - value[m:n]
+            loss = np.maximum(q * d, (q - 1) * d).mean()
+            best, kept, since = (loss, value.copy(), 0) if loss < best else (best, kept, since + 1)
+            if since >= patience:
+                break
+            g = np.where(y[:m] > value[:m], q, q - 1)
             leaves: list = []
-            grow(binned[:n], g, np.arange(n), depth, leaves, [])
+            grow(binned[:m], g, np.arange(m), depth, leaves, [])
             for path, at in leaves:
                 here = np.ones(len(y), dtype=bool)
                 for j, cut, low in path:
                     here &= (binned[:, j] <= cut) == low
                 value[here] += rate * np.quantile(y[at] - value[at], q)
-        out = group.iloc[n:]
-        return pd.DataFrame({**{k: v for k, v in zip(by, keys[:-1], strict=True)}, "level": q, "valid_time": out["valid_time"], "lead_h": out["lead_h"], "obs": out["obs"], "value": value[n:]})
+        return pd.DataFrame(result | {"value": kept[n:]})
 
-    return ready.groupBy(*by, "level").applyInPandas(fit, f"{types}, level double, valid_time timestamp, lead_h int, obs double, value double")
+    return rows.groupBy(*by, "level").applyInPandas(fit, f"{types}, level double, valid_time timestamp, lead_h int, obs double, value double")

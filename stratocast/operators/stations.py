@@ -58,8 +58,43 @@ def default_models(frame: DataFrame) -> DataFrame:
     """The regional model only within its box."""
     south, north, west, east = C.CONUS
     inside = F.col("lat").between(south, north) & F.col("lon").between(west, east)
-    world = ("gfs_seamless", "ecmwf_ifs025", "icon_seamless")
-    return frame.withColumn("models", F.when(inside, F.array(*[F.lit(m) for m in (*world, "gfs_hrrr")])).otherwise(F.array(*[F.lit(m) for m in world])))
+    return frame.withColumn("models", F.when(inside, F.array(*[F.lit(m) for m in (*C.WORLD_MODELS, C.REGIONAL_MODEL)])).otherwise(F.array(*[F.lit(m) for m in C.WORLD_MODELS])))
+
+
+def resolved_models(frame: DataFrame) -> DataFrame:
+    """``models`` as given where there are any, else the default set of the place."""
+    given = frame.withColumnRenamed("models", "__given")
+    return default_models(given).withColumn("models", F.when(F.size("__given") > 0, F.col("__given")).otherwise(F.col("models"))).drop("__given")
+
+
+def of_networks(frame: DataFrame, names: str) -> DataFrame:
+    """Stations of the networks listed (comma-separated, any case); of all where none is."""
+    wanted = [n.strip().upper() for n in names.split(",") if n.strip()]
+    return frame.where(network_of(F.col("id")).isin(*wanted)) if wanted else frame
+
+
+def public(frame: DataFrame) -> DataFrame:
+    """What is published of a station: places to four digits."""
+    return frame.select("id", "name", F.round("lat", 4).alias("lat"), F.round("lon", 4).alias("lon"), "elev_m", "country", network_of(F.col("id")).alias("network"))
+
+
+def upsert(registry: DataFrame, fresh: DataFrame) -> DataFrame:
+    """``fresh`` in place of the entries with the same ids; new ids are added."""
+    return fresh.unionByName(registry.join(fresh.select("id"), "id", "left_anti"))
+
+
+def model_table(spark) -> DataFrame:
+    """(id, label, center, resolution_km, vars, archive_from, prev_runs_from, global) of the forecast models."""
+    gusts = F.array(*[F.lit(v) for v in C.VARIABLES])
+    rows = spark.createDataFrame(list(C.FORECAST_MODELS), "id string, label string, center string, resolution_km int, calm boolean, archive_from string, prev_runs_from string, global boolean")
+    dates = {c: F.col(c).cast("date") for c in ("archive_from", "prev_runs_from")}
+    return rows.withColumns({**dates, "vars": F.when(F.col("calm"), F.array_remove(gusts, "wind_gust_ms")).otherwise(gusts)}).drop("calm")
+
+
+def gate_models(rows: DataFrame, models: DataFrame, variable: str, value: str = "fc") -> DataFrame:
+    """``rows`` (model, ...) with ``value`` null where the model doesn't carry ``variable``; models that the table lacks carry all."""
+    carried = models.select(F.col("id").alias("model"), F.array_contains("vars", variable).alias("__carried"))
+    return rows.join(carried, "model", "left").withColumn(value, F.when(F.coalesce("__carried", F.lit(True)), F.col(value))).drop("__carried")
 
 
 def search(frame: DataFrame, words: str, most: int) -> DataFrame:
@@ -84,18 +119,42 @@ def problems(candidates: DataFrame, known: DataFrame) -> DataFrame:
         F.when(~F.coalesce(F.col("lon").between(-180, 180), F.lit(False)), "lon"),
         F.when(F.col("elev_m").isNotNull() & ~F.col("elev_m").between(-500, 9000), "elevation"),
         F.when((head == "IEM") & F.col("iem_network").isNull(), "network"),
-        F.when(F.array_contains("models", "gfs_hrrr") & outside, "regional model"),
+        F.when(F.size(F.array_except("models", F.array(*[F.lit(m[0]) for m in C.FORECAST_MODELS]))) > 0, "unknown model"),
+        F.when(F.size(F.array_except("variables", F.array(*[F.lit(v) for v in C.VARIABLES]))) > 0, "unknown variable"),
+        F.when(F.exists("models", lambda m: m.isin(*[m[0] for m in C.FORECAST_MODELS if not m[-1]])) & outside, "regional model"),
         F.when(F.col("enrolled"), "enrolled"),
     ]
     marked = candidates.join(known.select("id", F.lit(True).alias("enrolled")), "id", "left")
     return marked.withColumn("errors", F.array_compact(F.array(*checks))).drop("enrolled")
 
 
-def overlay(baseline: DataFrame, fresh: DataFrame) -> DataFrame:
-    """Fresh entries (the first per id) over those of the last index."""
+def overlay(baseline: DataFrame, fresh: DataFrame, registry: DataFrame | None = None) -> DataFrame:
+    """Fresh entries (the first per id) over those of the last index. An empty result is refused where ``registry`` has stations."""
     first = fresh.withColumn("__r", F.row_number().over(W.partitionBy("id").orderBy("seq"))).where("__r = 1").drop("__r")
-    return first.unionByName(baseline.join(first.select("id"), "id", "left_anti"))
+    out = first.unionByName(baseline.join(first.select("id"), "id", "left_anti"))
+    if registry is not None and registry.take(1) and not out.take(1):
+        raise ValueError("the index would be empty although stations are registered")
+    return out
 
 
 def state(skill: Column, low: Column, high: Column, status: Column) -> Column:
     return F.when(status != "ok", "unavailable").when(skill.isNull(), "warming").when(low > 0, "beats").when(high < 0, "worse").otherwise("inconclusive")
+
+
+def skill_class(status: Column, beats: Column, skill: Column) -> Column:
+    return F.when(F.coalesce(status, F.lit("")) != "verified", "mute").when(F.coalesce(beats, F.lit(False)), "good").when(skill > 0, "warn").otherwise("bad")
+
+
+def verdict(status: Column, beats: Column, skill: Column) -> Column:
+    """What the enrollment report says of a variable."""
+    return F.when(F.coalesce(status, F.lit("")) != "verified", "still warming up").when(F.coalesce(beats, F.lit(False)), "beats it").when(F.coalesce(skill, F.lit(0.0)) > 0, "better, not conclusively").otherwise("no measurable gain")
+
+
+def by_skill(entries: DataFrame, most: int = 60) -> DataFrame:
+    """The ``most`` stations with the largest measured skill; those without a measure come last."""
+    return entries.orderBy(F.desc_nulls_last("skill"), "id").limit(most)
+
+
+def opened_first(entries: DataFrame) -> DataFrame:
+    """The station to show first: of those in order the best measured, else the first."""
+    return entries.where("status = 'ok'").orderBy(F.desc_nulls_last("skill"), "id").limit(1)

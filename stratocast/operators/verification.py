@@ -11,25 +11,32 @@ from stratocast.fixtures import MODELS
 
 
 def folds(wide: DataFrame, by: tuple[str, ...] = ("station_id",), refit: int = C.REFIT_DAYS, least: int = C.MIN_TRAIN_DAYS, most: int = C.MAX_REFITS) -> DataFrame:
-    """(by, fold, origin, end): refits from ``least`` days after the first row on; blocks widen where there would be more than ``most``."""
+    """(by, fold, origin, end): refits from ``least`` days after the first row on, every ``refit`` days; whole days wider where there would be more than ``most``. None below ``least + refit`` days."""
     span = wide.groupBy(*by).agg(F.min("valid_time").alias("first"), F.max("valid_time").alias("last"))
     days = (F.unix_timestamp("last") - F.unix_timestamp("first")) / 86400.0 - least
-    step = F.greatest(F.lit(float(refit)), days / most)
-    count = F.ceil(days / step).cast("int")
-    out = span.withColumn("step", step).withColumn("fold", F.explode(F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.expr("cast(array() as array<int>)"))))
-    at = lambda n: F.timestamp_seconds(F.unix_timestamp("first") + least * 86400 + F.floor(n * F.col("step") * 86400))
+    step = F.when(F.floor(days / refit) > most, F.ceil(days / most)).otherwise(F.lit(refit)).cast("int")
+    out = span.where(days >= refit).withColumn("step", step).withColumn("fold", F.explode(F.sequence(F.lit(0), F.ceil(days / step).cast("int") - 1)))
+    at = lambda n: F.timestamp_seconds(F.unix_timestamp("first") + (least + n * F.col("step")) * 86400)
     return out.select(*by, "fold", at(F.col("fold")).alias("origin"), at(F.col("fold") + 1).alias("end"))
 
 
-def in_folds(wide: DataFrame, table: DataFrame, by: tuple[str, ...] = ("station_id",), cutoff_days: float | None = None, least_rows: int = C.MIN_TRAIN_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(train, test) rows keyed by fold; a row trains in folds that begin after it, at most ``cutoff_days`` after."""
-    late = F.col("valid_time") < F.col("origin")
-    if cutoff_days is not None:
-        late = late & (F.unix_timestamp("valid_time") >= F.unix_timestamp("origin") - F.lit(int(cutoff_days * 86400)))
-    table = F.broadcast(table)  # MAX_REFITS rows a station at most
-    train = wide.join(table, list(by)).where(late)
-    enough = train.groupBy(*by, "fold").agg(F.count("*").alias("n")).where(F.col("n") >= least_rows).select(*by, "fold")
-    test = wide.join(table, list(by)).where((F.col("valid_time") >= F.col("origin")) & (F.col("valid_time") < F.col("end")))
+def in_folds(wide: DataFrame, table: DataFrame, by: tuple[str, ...] = ("station_id",), cutoff_days: int = 150, least_rows: int = C.MIN_TRAIN_ROWS, least_test: int = C.TEST_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(train, test) rows keyed by fold; a row trains in folds that begin after it, at most ``cutoff_days`` after. Folds with few rows before or within them are left out.
+
+    Rows and folds meet by spans of ``cutoff_days``: a fold asks for the spans that its window touches, so a row meets few folds besides its own.
+    """
+    span = lambda c: F.floor(F.unix_timestamp(c) / (cutoff_days * 86400))
+    rows = wide.withColumn("__span", span("valid_time"))
+    asked = lambda low, high: table.withColumn("__span", F.explode(F.sequence(span(low), span(high))))
+    early = asked(F.col("origin") - F.make_dt_interval(F.lit(cutoff_days)), "origin").withColumn("since", F.col("origin") - F.make_dt_interval(F.lit(cutoff_days)))
+    train = rows.join(early, [*by, "__span"]).where("valid_time < origin AND valid_time >= since").drop("__span", "since")
+    test = rows.join(asked("origin", "end"), [*by, "__span"]).where("valid_time >= origin AND valid_time < end").drop("__span")
+    # Rows before a fold, from counts per hour.
+    per_hour = wide.groupBy(*by, "valid_time").agg(F.count("*").alias("n"))
+    before = table.join(per_hour, list(by)).groupBy(*by, "fold").agg(
+        F.sum(F.when(F.col("valid_time") < F.col("origin"), F.col("n")).otherwise(0)).alias("early"), F.sum(F.when((F.col("valid_time") >= F.col("origin")) & (F.col("valid_time") < F.col("end")), F.col("n")).otherwise(0)).alias("now")
+    )
+    enough = before.where((F.col("early") >= least_rows) & (F.col("now") >= least_test)).select(*by, "fold")
     return train.join(enough, [*by, "fold"], "left_semi"), test.join(enough, [*by, "fold"], "left_semi")
 
 
@@ -99,3 +106,13 @@ def bootstrap(daily: DataFrame, by: tuple[str, ...] = ("station_id",), resamples
 
 def pit_bin(p: Column, bins: int = C.PIT_BINS) -> Column:
     return F.least(F.floor(p * bins), F.lit(bins - 1)).cast("int")
+
+
+def rank_tiers(scores: DataFrame, by: tuple[str, ...] = ("station_id",), key: tuple[str, ...] = ("valid_time", "lead_h"), least: int = C.COMMON_ROWS) -> DataFrame:
+    """(by, tier, score, score_all, n, comparable): mean score of every tier on the rows that all tiers have, or on its own where these are too few."""
+    known = scores.where("crps IS NOT NULL")
+    own = known.groupBy(*by, "tier").agg(F.avg("crps").alias("score_all"))
+    shared = common_rows(known, [*by, *key], list(by)).groupBy(*by, "tier").agg(F.avg("crps").alias("shared"), F.count("*").alias("n")).where(F.col("n") >= least)
+    out = own.join(shared, [*by, "tier"], "left")
+    all_shared = F.min(F.col("shared").isNotNull()).over(W.partitionBy(*by))
+    return out.select(*by, "tier", F.coalesce("shared", "score_all").alias("score"), "score_all", F.coalesce("n", F.lit(0)).cast("long").alias("n"), all_shared.alias("comparable"))

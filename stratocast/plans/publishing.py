@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratocast import config as C
 from stratocast import fixtures as X
-from stratocast.functions import scores as S
-from stratocast.operators import bias, pairing, verification
+from stratocast.operators import bias, pairing
+from stratocast.plans.training import tier0_sql, wide_sql
 from stratocast.sources import payloads
+from stratocast.storage import shared_folder
 from stratocast.streaming import repair
 
 Q, O = {}, {}
@@ -51,45 +50,31 @@ def forecast_unpivot(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def forecast_documents(predicted: DataFrame, digits: int = 2) -> DataFrame:
-    """One JSON document a station: times, quantile arrays and raw traces, in time order."""
+    """One JSON document per station and day of the forecast: times, quantile arrays and raw traces, in time order."""
     columns = [*C.QUANTILES, *[f"fc_{m}" for m in X.MODELS]]
-    rows = predicted.groupBy("station_id").agg(F.array_sort(F.collect_list(F.struct("valid_time", "lead_h", *[clean(F.col(c), digits).alias(c) for c in columns]))).alias("r"), F.max("calibrated").alias("calibrated"))
+    rows = predicted.groupBy("station_id", F.to_date("valid_time").alias("day")).agg(F.array_sort(F.collect_list(F.struct("valid_time", "lead_h", *[clean(F.col(c), digits).alias(c) for c in columns]))).alias("r"), F.max("calibrated").alias("calibrated"))
     series = [F.transform("r", lambda x: F.date_format(x["valid_time"], "yyyy-MM-dd'T'HH:mm'Z'")).alias("time"), *[F.col(f"r.{c}").alias(c) for c in ("lead_h", *columns)]]
-    return rows.select("station_id", F.to_json(F.struct(F.col("station_id").alias("id"), "calibrated", *series), {"ignoreNullFields": "false"}).alias("document"))
+    return rows.select("station_id", "day", F.to_json(F.struct(F.col("station_id").alias("id"), "calibrated", *series), {"ignoreNullFields": "false"}).alias("document"))
 
 
-@query("forecast_documents")
+@query(
+    "forecast_documents",
+    f"WITH {X.PAIRS}, {wide_sql('pairs')}, {tier0_sql('wide')} SELECT station_id, strftime(valid_time, '%Y-%m-%d') AS day, count(*) AS n, strftime(min(valid_time), '%Y-%m-%dT%H:%MZ') AS first, round(sum(floor(abs(q50) * 100 + CAST(0.5 AS DOUBLE)) * sign(q50)) / 100, 4) AS q50, count(*) - count(fc_icon) AS n_missing FROM tier0 GROUP BY ALL",
+)
 def documents(spark: SparkSession, sf: str) -> DataFrame:
+    """What is in the documents, read back from their text."""
     w = pairing.wide(X.pairs(spark, sf))
-    return forecast_documents(bias.predict(w, w))
-
-
-@query("scorecard")
-def scorecard(spark: SparkSession, sf: str) -> DataFrame:
-    """Out-of-sample card of tier 0 per station: score, best raw model and skill on the reported part, interval, coverage."""
-    w = pairing.wide(X.pairs(spark, sf))
-    train, test = verification.in_folds(w, verification.folds(w), cutoff_days=150)
-    out = bias.predict(test, train, ("station_id", "fold")).withColumn("crps", S.crps_quantiles(F.col("obs"), [F.col(q) for q in C.QUANTILES]))
-    out = out.persist()  # the parts of the card share it
-    part = verification.selection_split(out).where("part <> 'select'")
-    best = verification.strongest(verification.raw_baselines(part)).withColumnRenamed("model", "best")
-    raw = F.coalesce(*[F.when(F.col("best") == m, F.abs(F.col("obs") - F.col(f"fc_{m}"))) for m in X.MODELS])
-    rows = part.join(F.broadcast(best.select("station_id", "best")), "station_id").withColumn("raw", raw)
-    daily = rows.where("raw IS NOT NULL").groupBy("station_id", F.to_date("valid_time").alias("day")).agg(F.avg("crps").alias("a"), F.avg("raw").alias("b"), F.count("*").alias("weight"))
-    inside = F.avg(F.when(F.col("obs").between(F.col("q05"), F.col("q95")), 1.0).otherwise(0.0)).alias("coverage90")
-    card = rows.groupBy("station_id").agg(F.count("*").alias("n"), F.avg("crps").alias("crps"), F.avg(F.abs(F.col("obs") - F.col("q50"))).alias("mae"), inside)
-    return card.join(best.select("station_id", "best", "crps_raw", "crps_fused"), "station_id").join(verification.bootstrap(daily, resamples=200), "station_id")
+    d = F.from_json("document", "id string, calibrated boolean, time array<string>, q50 array<double>, fc_icon array<double>")
+    out = forecast_documents(bias.predict(w, w)).withColumn("d", d)
+    total = F.aggregate("d.q50", F.lit(0.0), lambda a, x: a + x)
+    missing = F.size(F.filter("d.fc_icon", lambda x: x.isNull()))
+    return out.select("station_id", F.col("day").cast("string").alias("day"), F.size("d.time").cast("long").alias("n"), F.col("d.time")[0].alias("first"), F.round(total, 4).alias("q50"), missing.cast("long").alias("n_missing"))
 
 
 @query("stream_repair")
 def stream_repair(spark: SparkSession, sf: str) -> DataFrame:
     """Reports read as a stream to hourly windows, merged into a table by day; what a batch job over the same reports gives."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        import tempfile
-
-        root = "file://" + tempfile.mkdtemp(prefix="spark-")
-    base = f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    base = shared_folder(spark, "stream")
     X.reports(spark, sf).write.parquet(f"{base}/landing")
     stream = spark.readStream.schema(X.reports(spark, sf).schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/landing")
     hours = repair.hourly_windows(stream).withColumn("day", F.date_format("valid_time", "yyyy-MM-dd"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stratocast import config as C
 from stratocast import fixtures as X
-from stratocast.operators import bias, pairing, stations, verification
+from stratocast.operators import bias, pairing, stations, verification, walkforward
 from stratocast.plans.training import STAMP, stamp, tier0_sql, wide_sql
 
 Q, O = {}, {}
@@ -86,7 +86,7 @@ def new_enrollments(spark: SparkSession, sf: str) -> DataFrame:
 _INSIDE = "lat BETWEEN 24 AND 50 AND lon BETWEEN -125 AND -66"
 
 
-@query("default_model_set", f"{ST}, m AS (SELECT id, unnest(CASE WHEN {_INSIDE} THEN ['gfs_seamless', 'ecmwf_ifs025', 'icon_seamless', 'gfs_hrrr'] ELSE ['gfs_seamless', 'ecmwf_ifs025', 'icon_seamless'] END) AS model FROM stations) SELECT * FROM m")
+@query("default_model_set", f"{ST}, m AS (SELECT id, unnest(CASE WHEN {_INSIDE} THEN ['gfs_seamless', 'ecmwf_ifs025', 'icon_seamless', 'ncep_hrrr_conus'] ELSE ['gfs_seamless', 'ecmwf_ifs025', 'icon_seamless'] END) AS model FROM stations) SELECT * FROM m")
 def default_model_set(spark: SparkSession, sf: str) -> DataFrame:
     return stations.default_models(X.stations(spark, sf)).select("id", F.explode("models").alias("model"))
 
@@ -95,10 +95,12 @@ def default_model_set(spark: SparkSession, sf: str) -> DataFrame:
     "validate_candidates",
     f"{ST}, {_KNOWN}, c AS (SELECT s.*, k.id IS NOT NULL AS enrolled FROM stations s LEFT JOIN known k ON k.id = s.id) SELECT id, array_to_string(list_filter([CASE WHEN NOT regexp_full_match(id, '[A-Z]+:[A-Za-z0-9:]+') THEN 'id' END, CASE WHEN length(trim(name)) = 0 THEN 'name' END, "
     "CASE WHEN elev_m IS NOT NULL AND NOT elev_m - 400 BETWEEN -500 AND 9000 THEN 'elevation' END, CASE WHEN id LIKE 'IEM:%' AND nullif(iem_network, 'N3') IS NULL THEN 'network' END, "
-    f"CASE WHEN NOT ({_INSIDE}) THEN 'regional model' END, CASE WHEN enrolled THEN 'enrolled' END], lambda x: x IS NOT NULL), ',') AS errors FROM c",
+    f"CASE WHEN elev_m IS NULL THEN 'unknown model' END, CASE WHEN id LIKE 'MS:%' THEN 'unknown variable' END, CASE WHEN NOT ({_INSIDE}) THEN 'regional model' END, CASE WHEN enrolled THEN 'enrolled' END], lambda x: x IS NOT NULL), ',') AS errors FROM c",
 )
 def validate_candidates(spark: SparkSession, sf: str) -> DataFrame:
-    given = X.stations(spark, sf).withColumn("models", F.array(F.lit("gfs_hrrr"))).withColumn("elev_m", F.col("elev_m") - 400).withColumn("iem_network", F.when(F.col("iem_network") != "N3", F.col("iem_network")))
+    models = F.when(F.col("elev_m").isNull(), F.array(F.lit("ncep_hrrr_conus"), F.lit("nosuch"))).otherwise(F.array(F.lit("ncep_hrrr_conus")))
+    variables = F.when(F.col("id").startswith("MS:"), F.array(F.lit("snow"))).otherwise(F.array(F.lit("air_temp_c")))
+    given = X.stations(spark, sf).withColumn("models", models).withColumn("variables", variables).withColumn("elev_m", F.col("elev_m") - 400).withColumn("iem_network", F.when(F.col("iem_network") != "N3", F.col("iem_network")))
     return stations.problems(given, _known(spark, sf)).select("id", F.array_join("errors", ",").alias("errors"))
 
 
@@ -146,40 +148,51 @@ WIDE = f"WITH {X.PAIRS}, {wide_sql('pairs')}"
 _GATES = "list_filter([0, 1, 2, 3], lambda t: days >= [0, 15, 90, 365][t + 1] AND n >= [0, 200, 1000, 4000][t + 1])"
 
 
-def eligible(wide: DataFrame, by: tuple[str, ...] = ("station_id",)) -> DataFrame:
-    """Tiers that a group's span of days and number of rows allow."""
-    span = wide.where("obs IS NOT NULL").groupBy(*by).agg(((F.unix_timestamp(F.max("valid_time")) - F.unix_timestamp(F.min("valid_time"))) / 86400.0).alias("days"), F.count("*").alias("n"))
-    return span.withColumn("tiers", F.array_compact(F.array(*[F.when((F.col("days") >= d) & (F.col("n") >= n), t) for t, d, n in C.TIER_GATES])))
+_ELIGIBLE = f"e AS (SELECT station_id, lead_h, (epoch(max(valid_time)) - epoch(min(valid_time))) / CAST(86400 AS DOUBLE) AS days, count(*) AS n FROM wide GROUP BY ALL), g AS (SELECT *, {_GATES} AS tiers FROM e)"
 
 
-@query("eligibility", f"{WIDE}, e AS (SELECT station_id, lead_h, (epoch(max(valid_time)) - epoch(min(valid_time))) / CAST(86400 AS DOUBLE) AS days, count(*) AS n FROM wide WHERE ingest_seq % 50 < lead_h GROUP BY ALL) SELECT station_id, lead_h, n, round(days, 6) AS days, array_to_string(list_transform({_GATES}, lambda x: CAST(x AS VARCHAR)), ',') AS tiers FROM e")
+@query("eligibility", f"{WIDE}, {_ELIGIBLE} SELECT station_id, lead_h, n, round(days, 6) AS days, array_to_string(list_transform(tiers, lambda x: CAST(x AS VARCHAR)), ',') AS tiers FROM g")
 def eligibility(spark: SparkSession, sf: str) -> DataFrame:
-    w = pairing.wide(X.pairs(spark, sf)).where("ingest_seq % 50 < lead_h")
-    return eligible(w, ("station_id", "lead_h")).select("station_id", "lead_h", "n", F.round("days", 6).alias("days"), F.array_join(F.transform("tiers", lambda x: x.cast("string")), ",").alias("tiers"))
+    w = pairing.wide(X.pairs(spark, sf))
+    return walkforward.eligible(w, ("station_id", "lead_h")).select("station_id", "lead_h", "n", F.round("days", 6).alias("days"), F.array_join(F.transform("tiers", lambda x: x.cast("string")), ",").alias("tiers"))
+
+
+_TIERS = "s AS (SELECT station_id, lead_h, CASE model WHEN 'gfs' THEN 'tier1' WHEN 'ecmwf' THEN 'tier2' ELSE 'tier3' END AS tier, avg(abs(obs - fc)) AS score FROM pairs WHERE fc IS NOT NULL GROUP BY ALL)"
+_CHOSEN = (
+    f"{_ELIGIBLE}, {_TIERS}, open AS (SELECT s.* FROM s JOIN g USING (station_id, lead_h) WHERE list_contains(list_transform(tiers, lambda t: 'tier' || t), tier)), b AS (SELECT *, row_number() OVER (PARTITION BY station_id, lead_h ORDER BY score, tier) AS r FROM open), i AS (SELECT station_id, lead_h, CASE WHEN lead_h % 48 = 0 THEN 'tier2' ELSE 'tier3' END AS incumbent FROM e), "
+    "c AS (SELECT e.station_id, e.lead_h, b.tier AS best, i.incumbent, CASE WHEN b.tier IS NULL THEN 'tier0' WHEN o.score > 0 AND i.incumbent <> b.tier AND (o.score - b.score) / o.score < CAST(0.02 AS DOUBLE) THEN i.incumbent ELSE b.tier END AS champion FROM e JOIN i USING (station_id, lead_h) LEFT JOIN b ON b.station_id = e.station_id AND b.lead_h = e.lead_h AND r = 1 LEFT JOIN open o ON o.station_id = e.station_id AND o.lead_h = e.lead_h AND o.tier = i.incumbent)"
+)
 
 
-def champions(scores: DataFrame, incumbents: DataFrame, by: tuple[str, ...] = ("station_id",), margin: float = C.MARGIN) -> DataFrame:
-    """The best-scored tier; the incumbent stays unless it is beaten by the margin or has no score."""
-    best = scores.withColumn("r", F.row_number().over(W.partitionBy(*by).orderBy("score", "tier"))).where("r = 1").select(*by, F.col("tier").alias("best"), F.col("score").alias("best_score"))
-    kept = incumbents.join(scores.select(*by, F.col("tier").alias("incumbent"), F.col("score").alias("own")), [*by, "incumbent"], "left")
-    out = best.join(kept, list(by), "left")
-    gain = (F.col("own") - F.col("best_score")) / F.col("own")
-    return out.withColumn("champion", F.when(F.col("own").isNotNull() & (gain < margin), F.col("incumbent")).otherwise(F.col("best")))
+def _gates(spark, sf) -> DataFrame:
+    by = ("station_id", "lead_h")
+    return walkforward.eligible(pairing.wide(X.pairs(spark, sf)), by).withColumn("tiers", F.transform("tiers", lambda t: F.concat(F.lit("tier"), t.cast("string"))))
+
 
+def _chosen(spark, sf) -> DataFrame:
+    """Decisions over scores that the raw models stand in for."""
+    by = ("station_id", "lead_h")
+    tier = F.when(F.col("model") == "gfs", "tier1").when(F.col("model") == "ecmwf", "tier2").otherwise("tier3")
+    scores = X.pairs(spark, sf).where("fc IS NOT NULL").groupBy(*by, tier.alias("tier")).agg(F.avg(F.abs(F.col("obs") - F.col("fc"))).alias("score"))
+    gates = _gates(spark, sf)
+    held = gates.select(*by, F.when(F.col("lead_h") % 48 == 0, "tier2").otherwise("tier3").alias("incumbent"))
+    return walkforward.choose(scores, gates, held, by)
 
-_TIERS = "s AS (SELECT station_id, lead_h, model AS tier, avg(abs(obs - fc)) AS score FROM pairs WHERE fc IS NOT NULL GROUP BY ALL)"
+
+@query("champion", f"{WIDE}, {_CHOSEN} SELECT * FROM c")
+def champion(spark: SparkSession, sf: str) -> DataFrame:
+    return _chosen(spark, sf).select("station_id", "lead_h", "best", "incumbent", "champion")
 
 
 @query(
-    "champion",
-    f"WITH {X.PAIRS}, {_TIERS}, b AS (SELECT *, row_number() OVER (PARTITION BY station_id, lead_h ORDER BY score, tier) AS r FROM s), i AS (SELECT station_id, lead_h, CASE WHEN lead_h % 48 = 0 THEN 'ecmwf' ELSE 'icon' END AS incumbent FROM s GROUP BY ALL) "
-    "SELECT b.station_id, b.lead_h, b.tier AS best, i.incumbent, CASE WHEN o.score IS NOT NULL AND (o.score - b.score) / o.score < CAST(0.02 AS DOUBLE) THEN i.incumbent ELSE b.tier END AS champion FROM b JOIN i USING (station_id, lead_h) LEFT JOIN s o ON o.station_id = b.station_id AND o.lead_h = b.lead_h AND o.tier = i.incumbent WHERE r = 1",
+    "training_plan",
+    f"{WIDE}, {_CHOSEN} SELECT g.station_id, g.lead_h, g.n, 'ok' AS status, x.champion, array_to_string(list_distinct(list_concat([x.champion], list_filter(['tier1', 'tier0'], lambda t: list_contains(list_transform(tiers, lambda k: 'tier' || k), t) AND t <> x.champion))), ',') IS NOT NULL AS fits FROM g JOIN (SELECT station_id, lead_h, CASE WHEN lead_h % 72 <> 0 THEN c.champion WHEN list_contains(list_transform(tiers, lambda k: 'tier' || k), incumbent) THEN incumbent ELSE 'tier' || tiers[-1] END AS champion FROM c JOIN g USING (station_id, lead_h)) x USING (station_id, lead_h)",
 )
-def champion(spark: SparkSession, sf: str) -> DataFrame:
-    by = ("station_id", "lead_h")
-    scores = X.pairs(spark, sf).where("fc IS NOT NULL").groupBy(*by, F.col("model").alias("tier")).agg(F.avg(F.abs(F.col("obs") - F.col("fc"))).alias("score"))
-    held = scores.select(*by, F.when(F.col("lead_h") % 48 == 0, "ecmwf").otherwise("icon").alias("incumbent")).distinct()
-    return champions(scores, held, by).select(*by, "best", "incumbent", "champion")
+def training_plan(spark: SparkSession, sf: str) -> DataFrame:
+    """What is to be fitted: by the new decision where there is one, else by the last."""
+    decided = _chosen(spark, sf).withColumns({"previous": F.col("incumbent"), "champion": F.when(F.col("lead_h") % 72 != 0, F.col("champion"))})
+    out = walkforward.training_plan(_gates(spark, sf), decided, ("station_id", "lead_h"))
+    return out.select("station_id", "lead_h", "n", "status", "champion", F.col("to_fit").isNotNull().alias("fits"))
 
 
 @query("prediction_fallback", f"{WIDE}, v AS (SELECT station_id, valid_time, lead_h, unnest([{{'p': 0, 'tier': 'icon', 'q': fc_icon}}, {{'p': 1, 'tier': 'ecmwf', 'q': CASE WHEN ingest_seq % 3 <> 0 THEN fc_ecmwf END}}, {{'p': 2, 'tier': 'gfs', 'q': fc_gfs}}]) AS t FROM wide) SELECT station_id, {STAMP}, lead_h, t.tier AS tier, round(t.q, 6) AS q50 FROM v WHERE t.q IS NOT NULL QUALIFY row_number() OVER (PARTITION BY station_id, v.valid_time, lead_h ORDER BY t.p) = 1")
@@ -206,15 +219,3 @@ def station_status(spark: SparkSession, sf: str) -> DataFrame:
     r = X.reports(spark, sf).groupBy("station_id").agg(F.count("*").alias("n"), F.max("valid").alias("newest"))
     age = (F.unix_timestamp(F.lit("2024-02-05 00:00:00").cast("timestamp")) - F.unix_timestamp("newest")) / 86400.0
     return r.select("station_id", "n", F.round(age, 1).alias("age_days"), (age > 7).alias("stale"))
-
-
-@query("walk_forward_scores")
-def walk_forward_scores(spark: SparkSession, sf: str) -> DataFrame:
-    """Tier 0 out of sample: fitted per fold on what lies before it, scored on the fold, against each raw model on the same rows."""
-    from stratocast.functions import scores as S
-
-    w = pairing.wide(X.pairs(spark, sf))
-    train, test = verification.in_folds(w, verification.folds(w), cutoff_days=150)
-    keys = ("station_id", "fold")
-    out = bias.predict(test, train, keys).withColumn("crps", S.crps_quantiles(F.col("obs"), [F.col(q) for q in C.QUANTILES]))
-    return verification.raw_baselines(out)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from stratocast import config as C
 from stratocast import fixtures as X
 from stratocast.functions import scores as S
-from stratocast.operators import design, fits, pairing
+from stratocast.operators import design, fits, pairing, walkforward
 from stratocast.plans.training import stamp, wide_sql
 
 Q, O = {}, {}
@@ -43,9 +43,7 @@ def _split(spark, sf):
 
 def _emos(spark, sf, seasonal: bool, truncated: bool = False) -> DataFrame:
     past, later = _split(spark, sf)
-    x = _features(seasonal)
-    table = fits.fit_emos(past, BY, x, truncated, least=120 if seasonal else C.MIN_BUCKET, taus=2 if seasonal else C.CUTOFF_TAUS)
-    out = fits.predict_emos(later, table, BY, x, truncated)
+    out = walkforward.seasonal(past, later, BY, truncated) if seasonal else walkforward.distribution(past, later, BY, truncated)
     score = S.crps_truncated_sql("obs", "mu", "sigma") if truncated else S.crps_normal_sql("obs", "mu", "sigma")
     return out.groupBy(*BY).agg(F.count("*").alias("n"), F.avg(F.expr(score)).alias("crps"), F.avg(F.abs(F.col("obs") - F.col("fc_mean"))).alias("raw"), F.avg(F.when(F.col("obs").between(F.col("q05"), F.col("q95")), 1.0).otherwise(0.0)).alias("coverage90"))
 
@@ -113,7 +111,8 @@ def precip_predict(spark: SparkSession, sf: str) -> DataFrame:
 def boosted_quantiles(spark: SparkSession, sf: str) -> DataFrame:
     """Mean pinball loss per station and level on the held-out end of each station's rows."""
     x = [*_features(True), F.coalesce("fc_spread", F.lit(0.0)), F.col("lead_h").cast("double")]
-    out = fits.boosted_quantiles(_wide(spark, sf), ["station_id"], x)
+    w = _wide(spark, sf).withColumn("at", F.percent_rank().over(W.partitionBy("station_id").orderBy("valid_time")))
+    out = fits.boosted_quantiles(w.where("at < 0.9").drop("at"), w.where("at >= 0.9 AND obs IS NOT NULL").drop("at"), ["station_id"], x)
     d = F.col("obs") - F.col("value")
     return out.groupBy("station_id", "level").agg(F.count("*").alias("n"), F.avg(F.greatest(F.col("level") * d, (F.col("level") - 1) * d)).alias("pinball"))
 

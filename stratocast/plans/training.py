@@ -216,16 +216,16 @@ def residual_quantiles(spark: SparkSession, sf: str) -> DataFrame:
     return a.union(pooled.select("station_id", F.lit("all"), *[F.round(F.col("pooled")[i], 6) for i in range(5)]))
 
 
-_QS = ", ".join(f"round({q}, 6) AS {q}" for q in C.QUANTILES)
+_QS = ", ".join(f"round({q}, 8) AS {q}" for q in C.QUANTILES)
 
 
 @query("tier0_predict", f"WITH {X.PAIRS}, {wide_sql('pairs')}, {tier0_sql('wide')} SELECT station_id, {STAMP}, lead_h, {_QS} FROM tier0")
 def tier0_predict(spark: SparkSession, sf: str) -> DataFrame:
     w = pairing.wide(X.pairs(spark, sf))
-    return bias.predict(w, w).select("station_id", stamp(), "lead_h", *[F.round(q, 6).alias(q) for q in C.QUANTILES])
+    return bias.predict(w, w).select("station_id", stamp(), "lead_h", *[F.round(q, 8).alias(q) for q in C.QUANTILES])
 
 
 @query("tier0_precip", f"WITH {X.PRECIP}, {wide_sql('precip')}, {tier0_sql('wide', floor='0', additive=False)} SELECT station_id, {STAMP}, lead_h, {_QS} FROM tier0")
 def tier0_precip(spark: SparkSession, sf: str) -> DataFrame:
     w = pairing.wide(X.pairs(spark, sf, precip=True))
-    return bias.predict(w, w, floor=0.0, additive=False).select("station_id", stamp(), "lead_h", *[F.round(q, 6).alias(q) for q in C.QUANTILES])
+    return bias.predict(w, w, floor=0.0, additive=False).select("station_id", stamp(), "lead_h", *[F.round(q, 8).alias(q) for q in C.QUANTILES])

@@ -31,7 +31,7 @@ WIDE = f"WITH {X.PAIRS}, {wide_sql('pairs')}"
 BUCKETED = f"{WIDE}, b AS (SELECT *, {C.BUCKET_SQL.format('lead_h')} AS bucket FROM wide)"
 G = "PARTITION BY station_id, bucket"
 WEIGHTED = f"""{BUCKETED}, w AS (SELECT *, exp(-greatest(age, 0) / tau) AS weight FROM (SELECT *, CASE WHEN median(lead_h) OVER ({G}) <= 48 THEN CAST(30 AS DOUBLE) ELSE CAST(60 AS DOUBLE) END AS tau,
- (epoch(max(valid_time) OVER ({G})) - epoch(valid_time)) / CAST(86400 AS DOUBLE) AS age FROM b))"""
+ (epoch(max(valid_time) OVER (PARTITION BY station_id)) - epoch(valid_time)) / CAST(86400 AS DOUBLE) AS age FROM b))"""
 _N = "valid_time DESC, lead_h DESC, lead_source DESC, ingest_seq DESC"
 TRIMMED = f"""{WEIGHTED}, t1 AS (SELECT *, count(*) FILTER (WHERE age <= 5 * tau) OVER ({G}) AS young FROM w),
  t AS (SELECT * FROM (SELECT *, row_number() OVER ({G} ORDER BY {_N}) AS r FROM t1 WHERE age <= 5 * tau OR young < 40) WHERE r <= 6000)"""
@@ -276,9 +276,9 @@ def randomised_pit(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SPAN = "SELECT station_id, min(valid_time) AS first, max(valid_time) AS last FROM wide GROUP BY ALL"
-FOLDS = f"""f0 AS (SELECT *, (epoch(last) - epoch(first)) / CAST(86400 AS DOUBLE) - 21 AS days FROM ({SPAN})), f1 AS (SELECT *, greatest(CAST(14 AS DOUBLE), days / 30) AS step FROM f0),
+FOLDS = f"""f0 AS (SELECT *, (epoch(last) - epoch(first)) / CAST(86400 AS DOUBLE) - 21 AS days FROM ({SPAN})), f1 AS (SELECT *, CAST(CASE WHEN floor(days / 14) > 30 THEN ceil(days / 30) ELSE 14 END AS INT) AS step FROM f0 WHERE days >= 14),
  f2 AS (SELECT *, unnest(range(CAST(ceil(days / step) AS INT))) AS fold FROM f1),
- folds AS (SELECT station_id, CAST(fold AS INT) AS fold, first + to_seconds(21 * 86400 + CAST(floor(fold * step * 86400) AS BIGINT)) AS origin, first + to_seconds(21 * 86400 + CAST(floor((fold + 1) * step * 86400) AS BIGINT)) AS "end" FROM f2)"""
+ folds AS (SELECT station_id, CAST(fold AS INT) AS fold, first + to_days(CAST(21 + fold * step AS INT)) AS origin, first + to_days(CAST(21 + (fold + 1) * step AS INT)) AS "end" FROM f2)"""
 
 
 @query("fold_table", f"{WIDE}, {FOLDS} SELECT station_id, fold, strftime(origin, '%Y-%m-%d %H:%M:%S') AS origin, strftime(\"end\", '%Y-%m-%d %H:%M:%S') AS \"end\" FROM folds")
@@ -307,14 +307,14 @@ def common_rows(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "climatology",
     f"WITH {X.PAIRS}, o AS (SELECT station_id, valid_time, arg_max(obs, ingest_seq) AS obs FROM pairs GROUP BY ALL), h AS (SELECT station_id, valid_time AS seen, obs, (dayofyear(valid_time) - 1) % 365 + 1 AS doy, hour(valid_time) AS hod FROM o), "
-    "t AS (SELECT DISTINCT station_id, valid_time AS target FROM o WHERE valid_time >= TIMESTAMP '2001-09-01'), n AS (SELECT *, ((dayofyear(target) - 1 + d + 365) % 365) + 1 AS doy, hour(target) AS hod FROM t, (SELECT unnest(range(-15, 16)) AS d)), "
+    "t AS (SELECT DISTINCT station_id, valid_time AS target FROM o), n AS (SELECT *, ((dayofyear(target) - 1 + d + 365) % 365) + 1 AS doy, hour(target) AS hod FROM t, (SELECT unnest(range(-15, 16)) AS d)), "
     "same AS (SELECT n.station_id, target, quantile_cont(obs, [0.05, 0.25, 0.5, 0.75, 0.95]) AS q, count(*) AS n FROM n JOIN h ON h.station_id = n.station_id AND h.doy = n.doy AND h.hod = n.hod WHERE abs(epoch(seen) - epoch(target)) > 3 * 86400 GROUP BY ALL HAVING count(*) >= 10), "
     "ev AS (SELECT n.station_id, target, quantile_cont(obs, [0.05, 0.25, 0.5, 0.75, 0.95]) AS q, count(*) AS n FROM n JOIN h ON h.station_id = n.station_id AND h.doy = n.doy WHERE abs(epoch(seen) - epoch(target)) > 3 * 86400 AND NOT EXISTS (SELECT 1 FROM same s WHERE s.station_id = n.station_id AND s.target = n.target) GROUP BY ALL HAVING count(*) >= 5) "
     "SELECT station_id, strftime(target, '%Y-%m-%d %H:%M:%S') AS target, n, " + ", ".join(f"round(q[{i + 1}], 6) AS {q}" for i, q in enumerate(C.QUANTILES)) + " FROM (SELECT * FROM same UNION ALL SELECT * FROM ev)",
 )
 def climatology(spark: SparkSession, sf: str) -> DataFrame:
     obs = X.pairs(spark, sf).groupBy("station_id", "valid_time").agg(F.max_by("obs", "ingest_seq").alias("obs"))
-    targets = obs.where("valid_time >= TIMESTAMP '2001-09-01'").select("station_id", F.col("valid_time").alias("target"))
+    targets = obs.select("station_id", F.col("valid_time").alias("target"))
     out = verification.climatology(targets, obs)
     return out.select("station_id", stamp("target"), "n", *[F.round(F.col("q")[i], 6).alias(q) for i, q in enumerate(C.QUANTILES)])
 
@@ -330,7 +330,7 @@ def bootstrap_interval(spark: SparkSession, sf: str) -> DataFrame:
     return verification.bootstrap(_daily(spark, sf))
 
 
-_FOLDED = f"{WIDE}, {FOLDS}, train0 AS (SELECT w.*, fold, origin, w.station_id || '/' || fold AS sf FROM wide w JOIN folds f ON f.station_id = w.station_id AND valid_time < origin), enough AS (SELECT station_id, fold FROM train0 GROUP BY ALL HAVING count(*) >= 100)"
+_FOLDED = f"{WIDE}, {FOLDS}, train0 AS (SELECT w.*, fold, origin, w.station_id || '/' || fold AS sf FROM wide w JOIN folds f ON f.station_id = w.station_id AND valid_time < origin), tested AS (SELECT station_id, fold FROM wide JOIN folds USING (station_id) WHERE valid_time >= origin AND valid_time < \"end\" GROUP BY ALL HAVING count(*) >= 5), enough AS (SELECT station_id, fold FROM train0 SEMI JOIN tested USING (station_id, fold) GROUP BY ALL HAVING count(*) >= 100)"
 
 
 @query(

@@ -32,12 +32,12 @@ def hourly_means(frame: DataFrame, largest: tuple[str, ...] = ("wind_gust_ms", "
     return frame.groupBy("station_id", F.date_trunc("hour", "valid_time").alias("valid_time")).agg(*[v.alias(c) for c, v in how.items()]).dropna(how="all", subset=list(how))
 
 
-def geojson_observations(spark: SparkSession, path: str) -> DataFrame:
-    """Weather-service feature collections; speeds in km/h."""
+def geojson_observations(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Weather-service feature collections, one a file or one a line; speeds in km/h."""
     value = "struct<value:double>"
     names = {"temperature": "air_temp_c", "dewpoint": "dewpoint_c", "relativeHumidity": "relative_humidity_pct", "windSpeed": "wind_speed_ms", "windGust": "wind_gust_ms", "windDirection": "wind_dir_deg", "precipitationLastHour": "precip_1h_mm"}
     schema = f"features array<struct<properties:struct<stationId:string,timestamp:string,{','.join(f'{k}:{value}' for k in names)}>>>"
-    p = spark.read.schema(schema).json(path, multiLine=True).select(F.explode("features.properties").alias("p"))
+    p = spark.read.schema(schema).json(path, multiLine=not lines).select(F.explode("features.properties").alias("p"))
     speed = {"windSpeed", "windGust"}
     rows = p.select(F.concat(F.lit("NWS:"), "p.stationId").alias("station_id"), F.to_timestamp("p.timestamp").alias("valid_time"), *[(F.col(f"p.{k}.value") * (C.KMH if k in speed else 1.0)).alias(v) for k, v in names.items()])
     return finished(hourly_means(rows), "nws")
@@ -78,9 +78,9 @@ def csv_reports(spark: SparkSession, path: str) -> DataFrame:
     return finished(hourly_means(rows), "iem")
 
 
-def array_observations(spark: SparkSession, path: str) -> DataFrame:
-    """Payloads with one array per column; the first column whose name begins with the stem; means of everything."""
-    raw = spark.read.schema("STATION array<struct<STID:string,OBSERVATIONS:map<string,array<string>>>>").json(path, multiLine=True).select(F.explode("STATION").alias("s")).select("s.STID", F.col("s.OBSERVATIONS").alias("o"))
+def array_observations(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Payloads with one array per column, one a file or one a line; the first column whose name begins with the stem; means of everything."""
+    raw = spark.read.schema("STATION array<struct<STID:string,OBSERVATIONS:map<string,array<string>>>>").json(path, multiLine=not lines).select(F.explode("STATION").alias("s")).select("s.STID", F.col("s.OBSERVATIONS").alias("o"))
     stems = {"air_temp": "air_temp_c", "dew_point_temperature": "dewpoint_c", "relative_humidity": "relative_humidity_pct", "wind_speed": "wind_speed_ms", "wind_gust": "wind_gust_ms", "wind_direction": "wind_dir_deg", "precip_accum_one_hour": "precip_1h_mm"}
     first = lambda stem: F.element_at("o", F.get(F.array_sort(F.filter(F.map_keys("o"), lambda k: k.startswith(stem + "_set"))), F.lit(0)))
     zipped = F.arrays_zip(F.element_at("o", "date_time").alias("t"), *[F.coalesce(first(k), F.array()).alias(v) for k, v in stems.items()])
@@ -88,19 +88,19 @@ def array_observations(spark: SparkSession, path: str) -> DataFrame:
     return finished(hourly_means(rows, (), ()), "synoptic")
 
 
-def yearly_csv(spark: SparkSession, path: str, start: str, end: str) -> DataFrame:
-    """Headerless yearly files, thirteen columns by position, the station in the file's name; km/h; half-open window."""
+def yearly_csv(spark: SparkSession, path: str, start: str, end: str, station: str = r"([^/]+?)\.csv", prefix: str = "MS:") -> DataFrame:
+    """Headerless yearly files, thirteen columns by position, the station in the path (first group of ``station``); km/h; half-open window."""
     raw = spark.read.csv(path, schema="date string, hour int, temp string, dwpt string, rhum string, prcp string, snow string, wdir string, wspd string, wpgt string, pres string, tsun string, coco string").withColumn("file", F.col("_metadata.file_path"))
-    when = F.to_timestamp(F.concat_ws(" ", "date", F.format_string("%02d:00:00", "hour")))
+    when = F.try_to_timestamp(F.concat_ws(" ", "date", F.format_string("%02d:00:00", "hour")))
     rain = number("prcp")
     rows = raw.select(
-        F.concat(F.lit("MS:"), F.regexp_extract("file", r"([^/]+?)\.csv", 1)).alias("station_id"), when.alias("valid_time"), number("temp").alias("air_temp_c"), number("dwpt").alias("dewpoint_c"), number("rhum").alias("relative_humidity_pct"),
+        F.concat(F.lit(prefix), F.regexp_extract("file", station, 1)).alias("station_id"), when.alias("valid_time"), number("temp").alias("air_temp_c"), number("dwpt").alias("dewpoint_c"), number("rhum").alias("relative_humidity_pct"),
         (number("wspd") * C.KMH).alias("wind_speed_ms"), (number("wpgt") * C.KMH).alias("wind_gust_ms"), number("wdir").alias("wind_dir_deg"), F.when(rain.isNotNull(), F.greatest(rain, F.lit(0.0))).alias("precip_1h_mm"),
     )
     return finished(rows.where((F.col("valid_time") >= F.lit(start).cast("timestamp")) & (F.col("valid_time") < F.lit(end).cast("timestamp"))), "meteostat")
 
 
-def unpivot_forecasts(payloads: DataFrame, models: tuple[str, ...], variables: dict[str, str], supported: dict[str, set[str]] | None = None, days: tuple[int, ...] = ()) -> DataFrame:
+def unpivot_forecasts(payloads: DataFrame, models: tuple[str, ...], variables: dict[str, str], supported: dict[str, set[str]] | None = None, days: tuple[int, ...] = (), keep: tuple[str, ...] = ()) -> DataFrame:
     """(station_id, valid_time, lead_h, model, fc_<variable>...) of payloads (station_id, issued_at, hourly: JSON object of arrays).
 
     A series is found under ``<name>[_previous_day<n>]_<model>``, else without the model. With ``days`` the lead is 24 hours times the day; otherwise hours since issue. A
@@ -120,6 +120,25 @@ def unpivot_forecasts(payloads: DataFrame, models: tuple[str, ...], variables: d
             lead = F.lit(24 * day) if day else ((F.unix_timestamp(at) - F.unix_timestamp(F.date_trunc("hour", "issued_at"))) / 3600).cast("int")
             carried = lambda v, model=model: supported is None or v in supported.get(model, set(variables))
             values = [(number(F.col(f"r.{v}")) if carried(v) else F.lit(None).cast("double")).alias(f"fc_{v}") for v in variables]
-            part = rows.select("station_id", at.alias("valid_time"), lead.cast("int").alias("lead_h"), F.lit(model).alias("model"), *values)
+            part = rows.select("station_id", *keep, at.alias("valid_time"), lead.cast("int").alias("lead_h"), F.lit(model).alias("model"), *values)
             out = part if out is None else out.unionByName(part)
     return out.where("lead_h >= 0").dropna(how="all", subset=[f"fc_{v}" for v in variables])
+
+
+def historical(payloads: DataFrame, catalogue: DataFrame, models: tuple[str, ...], variables: dict[str, str], lead: int = 3) -> DataFrame:
+    """Archived forecasts as issued: a nominal short lead, source ``hist``, and nothing before the day from which a model's archive reaches (``archive_from`` by ``id``)."""
+    rows = unpivot_forecasts(payloads, models, variables).withColumns({"lead_h": F.lit(lead), "lead_source": F.lit("hist")})
+    return rows.join(catalogue.select(F.col("id").alias("model"), "archive_from"), "model").where("archive_from IS NULL OR to_date(valid_time) >= archive_from").drop("archive_from")
+
+
+def previous_runs(payloads: DataFrame, models: tuple[str, ...], variables: dict[str, str], days: tuple[int, ...] = (1, 2, 3, 4, 5, 6, 7), past_days: int = 92) -> DataFrame:
+    """Forecasts of earlier runs by their age in days, not older than ``past_days`` before the issue."""
+    rows = unpivot_forecasts(payloads, models, variables, days=days, keep=("issued_at",))
+    recent = F.datediff("issued_at", "valid_time") <= past_days
+    return rows.where(recent).drop("issued_at").withColumn("lead_source", F.lit("prev_runs"))
+
+
+def aligned(batches: DataFrame, manifest: DataFrame) -> DataFrame:
+    """The results of batched requests (batch, payload: JSON array) with the station that was asked for at their place (batch, pos, station_id)."""
+    each = batches.select("batch", F.posexplode(F.from_json("payload", "array<string>")).alias("pos", "hourly"))
+    return each.join(manifest, ["batch", "pos"])
