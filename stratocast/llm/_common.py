@@ -29,8 +29,9 @@ _P_INV = pow(_P, -1, 1 << 64)
 
 
 _LOCAL: dict[str, str] = {}
-#: Shuffle files go when the job that made them ends, not when the driver collects its garbage.
-_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a table is written, shuffle files go when the job that made them ends, not when the driver collects its garbage; and texts travel to Python in
+#: small batches, since they may be long.
+_WHILE_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -53,12 +54,14 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    before = spark.conf.get(_CLEAN, "false")
-    spark.conf.set(_CLEAN, "true")
+    before = {k: spark.conf.get(k, None) for k in _WHILE_WRITING}
+    for k, v in _WHILE_WRITING.items():
+        spark.conf.set(k, v)
     try:
         writer.parquet(path)
     finally:
-        spark.conf.set(_CLEAN, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out
@@ -188,7 +191,7 @@ def text_bytes(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_string()).cast(pa.large_binary()).to_pylist()]
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 2 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Parts of the batches with about ``most`` bytes of text at a time (one longer text makes a part alone)."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))

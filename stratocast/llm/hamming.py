@@ -146,7 +146,8 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     n = asked.count()
     blocks = max(1, -(-2 * n // BLOCK)) if n > BLOCK else 1  # hashed blocks stay below BLOCK
     asked = materialize(asked.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int")), "queries")
-    dealt = index.repartition(max(codes.sparkSession.sparkContext.defaultParallelism, -(-index.count() // SHARD)), "code")
+    # Dealt once, however many blocks of queries come.
+    dealt = materialize(index.repartition(max(codes.sparkSession.sparkContext.defaultParallelism, -(-index.count() // SHARD)), "code"), "dealt")
     done: DataFrame | None = None
     for b in range(blocks):
         wanted = np.array([r["query"] for r in asked.where(F.col("block") == b).select("query").collect()], dtype=np.int64)

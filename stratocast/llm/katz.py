@@ -142,12 +142,25 @@ def distinct(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 # --- words ----------------------------------------------------------------------------------------
 
 
+def _whole(batches: Iterator[pa.RecordBatch], least: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches put together until they have ``least`` bytes, so that blocks aren't small where batches are."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= least:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def blocks(docs: DataFrame) -> DataFrame:
     """One row per few megabytes of texts: the documents, their words as places in the block's sorted vocabulary, and that with its counts in training texts."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
-        for batch, texts in slices(batches):
+        for batch, texts in slices(_whole(batches), most=4 << 20):
             w = Words(texts)
             vocabulary, place = np.unique(w.hash, return_inverse=True)
             train = np.array([bool(x) for x in batch.column(2).to_pylist()])

@@ -107,26 +107,38 @@ def template_table(spark: SparkSession, templates=TEMPLATES, threshold: float =
     return table.select("template", "long", "m", "low", "high", F.explode("grams").alias("gram"))
 
 
-def anchors(templates=TEMPLATES, threshold: float = THRESHOLD) -> list[str]:
-    """Words of which every passage that reaches the threshold with a template has one: the longest words of
-    each template, until they lie in more of its bigrams than a match may lack."""
+def anchors(templates=TEMPLATES, threshold: float = THRESHOLD) -> Column:
+    """Whether a text can have a passage that reaches the threshold with a template, by plain searches for words.
+
+    Such a passage lacks few of the template's bigrams, so it has one of the longest words, of which as many are asked for as more bigrams contain; and, since every bigram has two ends, so many different
+    words that their bigrams add up to twice those that it must share. The second is asked of short templates, whose words are common.
+    """
+    folded = F.lower("text")
+    has = lambda w: F.contains(folded, F.lit(w))
     chosen: set[str] = set()
+    each: list[Column] = []
     for _, body in templates:
         words = re.sub("[^a-z0-9]+", " ", body.lower()).split()
         pairs = set(zip(words[:-1], words[1:], strict=True))
-        spare = len(pairs) - math.ceil(threshold / (2 - threshold) * len(pairs) - 1e-9)
+        least = math.ceil(threshold / (2 - threshold) * len(pairs) - 1e-9)
+        own: list[str] = []
         for word in sorted(set(words), key=lambda w: (w not in chosen, -len(w), w)):
-            if sum(1 for p in pairs if chosen & set(p)) > spare:
+            if sum(1 for p in pairs if set(own) & set(p)) > len(pairs) - least:
                 break
-            chosen.add(word)
-    return sorted(chosen)
-
-
-def match_licenses(docs: DataFrame, templates: DataFrame, signs: list[str], threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, template, dice, start) of every document and template with a window at or above the threshold: the best one's coefficient, and its first word; ``signs`` is what ``anchors`` gives."""
-    folded = F.lower("text")
-    signed = reduce(lambda a, b: a | b, [F.contains(folded, F.lit(x)) for x in signs]) if signs else F.lit(True)
-    some = docs.where(F.col("text").isNotNull() & signed).select("doc_id", F.xxhash64("text").alias("which"), bigrams(F.col("text")).alias("grams"))
+            own.append(word)
+        chosen |= set(own)
+        sign = reduce(lambda a, b: a | b, [has(w) for w in own])
+        if len(words) <= 16:
+            degrees = sorted((sum((p[0] == w) + (p[1] == w) for p in pairs) for w in set(words)), reverse=True)
+            k = next(i for i in range(len(degrees) + 1) if sum(degrees[:i]) >= 2 * least)
+            sign = sign & (reduce(lambda a, b: a + b, [has(w).cast("int") for w in sorted(set(words))]) >= k)
+        each.append(sign)
+    return reduce(lambda a, b: a | b, [has(w) for w in sorted(chosen)]) & reduce(lambda a, b: a | b, each)
+
+
+def match_licenses(docs: DataFrame, templates: DataFrame, signs: Column | None = None, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, template, dice, start) of every document and template with a window at or above the threshold: the best one's coefficient, and its first word; ``signs`` is what ``anchors`` gives of the same templates."""
+    some = docs.where("text IS NOT NULL").where(F.lit(True) if signs is None else signs).select("doc_id", F.xxhash64("text").alias("which"), bigrams(F.col("text")).alias("grams"))
     few = templates.count() <= 100_000
     each = some.select("doc_id", "which", F.posexplode("grams").alias("i", "gram"))
     hits = each.join(F.broadcast(templates) if few else templates, "gram").distinct()

@@ -77,13 +77,13 @@ def water_fill(sources: DataFrame, budget: Column | float, max_epochs: float) ->
     return sources.withColumn("target", F.least(cap, F.when(F.col("source_size") > 0, F.col("weight") * F.lit(level)).otherwise(0.0)))
 
 
-def mix_sources(docs: DataFrame, weight: Column, budget: float = 1.5, max_epochs: float = 2.0, seed: int = 17) -> DataFrame:
+def mix_sources(docs: DataFrame, weight: Column, budget: float = 1.5, max_epochs: float = 2.0, seed: int = 17, counted: bool = False) -> DataFrame:
     """Documents with ``size``, ``source_size``, ``target``, ``rate``, ``taken`` (words) and ``repeats`` (``taken / size``).
 
-    ``docs`` has ``doc_id``, ``source`` and either ``size`` (words) or ``text``. ``weight`` is an
+    ``docs`` has ``doc_id``, ``source`` and ``text``; with ``counted``, words in ``size`` (a column of that name is replaced otherwise). ``weight`` is an
     expression over ``source`` and its ``rank``; ``budget`` is the share of all words to take.
     """
-    if "size" not in docs.columns:
+    if not counted:
         docs = docs.withColumn("size", word_count(F.col("text")))
     docs = docs.drop(*RESULTS[1:])
     mixed = F.xxhash64(F.lit(seed), F.col("doc_id"))
@@ -128,5 +128,5 @@ def cycle_weight(weights: tuple[float, ...] = (3.0, 1.0, 2.0)) -> Column:
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
     thin = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")  # the texts are read once
-    out = mix_sources(thin, cycle_weight())
+    out = mix_sources(thin, cycle_weight(), counted=True)
     return out.select("doc_id", "size", "source_size", "target", "taken", "source", "repeats")
