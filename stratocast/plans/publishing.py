@@ -86,3 +86,25 @@ def stream_repair(spark: SparkSession, sf: str) -> DataFrame:
 
 
 O["stream_repair"] = f"WITH {X.REPORTS} SELECT station_id, strftime(date_trunc('hour', valid), '%Y-%m-%d %H:%M:%S') AS valid_time, count(*) AS n, round(avg(tmpc), 6) AS air_temp_c, round(max(gust) * CAST(0.514444 AS DOUBLE), 6) AS wind_gust_ms FROM reports GROUP BY ALL"
+
+
+@query(
+    "running_bias",
+    f"WITH {X.PAIRS}, {wide_sql('pairs')}, e AS (SELECT station_id || '/' || {C.BUCKET_SQL.format('lead_h')} AS cell, fc_mean - obs AS error, row_number() OVER (PARTITION BY station_id, {C.BUCKET_SQL.format('lead_h')} ORDER BY valid_time DESC, lead_h DESC, ingest_seq DESC) AS r, count(*) OVER (PARTITION BY station_id, {C.BUCKET_SQL.format('lead_h')}) AS n FROM wide WHERE fc_mean IS NOT NULL AND obs IS NOT NULL) "
+    "SELECT cell, max(n) AS n, round(sum(pow(CAST(0.92 AS DOUBLE), r - 1) * CASE WHEN r = n THEN 1 ELSE CAST(0.08 AS DOUBLE) END * error), 7) AS bias FROM e GROUP BY ALL",
+)
+def running_bias(spark: SparkSession, sf: str) -> DataFrame:
+    """Errors as a stream in two batches; the state of every cell is what the closed form gives over all rows."""
+    base = shared_folder(spark, "errors")
+    w = pairing.with_bucket(pairing.wide(X.pairs(spark, sf))).where("fc_mean IS NOT NULL AND obs IS NOT NULL")
+    at = F.concat(F.date_format("valid_time", "yyyyMMddHH"), F.lpad(F.col("lead_h").cast("string"), 4, "0"), F.lpad(F.col("ingest_seq").cast("string"), 20, "0"))
+    rows = w.select(F.concat_ws("/", "station_id", "bucket").alias("cell"), at.alias("at"), (F.col("fc_mean") - F.col("obs")).alias("error"))
+    half = "199506"
+    for k, part in enumerate((rows.where(F.col("at") < half), rows.where(F.col("at") >= half))):
+        part.write.parquet(f"{base}/landing/{k}")
+        # Each run takes what has landed since the last.
+        stream = spark.readStream.schema(rows.schema).parquet(f"{base}/landing/*")
+        put = lambda batch, i, k=k: batch.write.mode("overwrite").parquet(f"{base}/out/run={k}/part={i}")
+        repair.running_bias(stream).writeStream.outputMode("update").option("checkpointLocation", f"{base}/state").foreachBatch(put).trigger(availableNow=True).start().awaitTermination()
+    out = spark.read.parquet(f"{base}/out")
+    return out.groupBy("cell").agg(F.max("n").alias("n"), F.round(F.max_by("bias", "n"), 7).alias("bias"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from stratocast import catalog
 from stratocast import config as C
 from stratocast.functions import scores as S
-from stratocast.operators import bias, fits, pairing, quality, stations, verification
+from stratocast.operators import bias, fits, pairing, publish, quality, stations, verification, walkforward
 from stratocast.sources import payloads
 
 SF = "/root/testdata/sf0.001"
@@ -32,7 +32,7 @@ def plain(v):
     return v
 
 
-QUICK = ["asos_hourly", "qc_all", "qc_flatline", "pair_upsert", "wide_matrix", "decayed_bias", "residual_quantiles", "trim_and_cap", "crps_truncated", "raw_baselines", "pit_hist", "fold_table", "climatology", "catalogue_dedupe", "validate_candidates", "champion", "forecast_unpivot", "precip_quantile_map", "cold_start_calibration", "stream_repair"]
+QUICK = ["asos_hourly", "qc_all", "qc_flatline", "pair_upsert", "wide_matrix", "decayed_bias", "residual_quantiles", "trim_and_cap", "crps_truncated", "raw_baselines", "pit_hist", "fold_table", "climatology", "catalogue_dedupe", "validate_candidates", "champion", "forecast_unpivot", "precip_quantile_map", "cold_start_calibration", "stream_repair", "nws_station_list", "catalogue_build", "archive_scan", "archive_hourly", "observation_history", "observation_union", "meteostat_observations", "previous_runs", "archive_window", "payload_alignment", "tier0_walk_forward", "tier_ranking", "tier_fallback", "training_plan", "fleet_run", "forecast_documents", "running_bias"]
 
 
 @pytest.mark.parametrize("name", QUICK)
@@ -185,3 +185,95 @@ def test_unpivot_finds_series(spark):
 def test_bucket_labels(spark):
     got = [r[0] for r in spark.createDataFrame([(0,), (6,), (7,), (24,), (168,), (300,)], "lead_h int").select(C.bucket_label(F.col("lead_h"))).collect()]
     assert got == ["1-6", "1-6", "7-12", "13-24", "97-168", "97-168"]
+
+
+# --- tiers ----------------------------------------------------------------------------------------
+
+
+def synthetic(spark, days, seed=3, leads=(24,), noise=1.0):
+    """A station whose models are biased by the hour and seasonally."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for h in range(0, days * 24, 3):
+        truth = 10 + 8 * math.sin(2 * math.pi * h / (24 * 365.25)) + 4 * math.sin(2 * math.pi * h / 24)
+        for lead in leads:
+            f = [truth + 1.5 + 0.5 * k + rng.normal(0, 0.5) for k in range(3)]
+            rows.append(("s", h * 3600, lead, *map(float, f), float(truth + rng.normal(0, noise)), len(rows)))
+    raw = spark.createDataFrame(rows, "station_id string, t long, lead_h int, fc_gfs double, fc_ecmwf double, fc_icon double, obs double, ingest_seq long")
+    columns = [F.col(f"fc_{m}") for m in ("gfs", "ecmwf", "icon")]
+    return raw.select("station_id", F.timestamp_seconds(F.col("t") + 1_600_000_000 // 86400 * 86400).alias("valid_time"), "lead_h", F.lit("x").alias("lead_source"), *columns, "obs", "ingest_seq").withColumns({"fc_mean": pairing.row_mean(columns), "fc_spread": pairing.row_spread(columns)})
+
+
+def mean_crps(frame):
+    return frame.agg(F.avg(S.crps_quantiles(F.col("obs"), [F.col(q) for q in C.QUANTILES]))).first()[0]
+
+
+def test_yearly_terms_need_half_a_year(spark):
+    """Seven weeks can't tell a yearly cycle: the seasonal tier must not be far off the plain one there, and its yearly coefficients are none."""
+    w = pairing.with_bucket(synthetic(spark, 54))
+    cut = w.agg(F.max("valid_time")).first()[0]
+    past, later = w.where(F.col("valid_time") < F.lit(cut) - F.expr("INTERVAL 7 DAYS")), w.where(F.col("valid_time") >= F.lit(cut) - F.expr("INTERVAL 7 DAYS"))
+    by = ["station_id", "bucket"]
+    plain, seasonal = (mean_crps(f(past, later, by)) for f in (walkforward.distribution, walkforward.seasonal))
+    assert seasonal < 1.3 * plain
+
+
+def test_tiers_walk_forward(spark):
+    w = synthetic(spark, 120, leads=(24, 48))
+    out = walkforward.walk_forward(w, (0, 1, 2, 3)).cache()
+    assert {r["tier"] for r in out.select("tier").distinct().collect()} == {"tier0", "tier1", "tier2"}  # too few rows for the last
+    scored = out.withColumn("crps", S.crps_quantiles(F.col("obs"), [F.col(q) for q in C.QUANTILES]))
+    ranks = {r["tier"]: r for r in verification.rank_tiers(scored).collect()}
+    assert all(r["comparable"] and r["score"] < 1.2 for r in ranks.values())
+    card = publish.scorecard(scored, walkforward.eligible(w), resamples=20).collect()
+    assert len(card) == 1 and card[0]["tier"] in ("tier0", "tier1") and card[0]["crps"] < card[0]["crps_raw"]
+
+
+def test_boosted_quantiles_learn_from_all_rows(spark):
+    w = pairing.with_bucket(synthetic(spark, 400))
+    cut = w.agg(F.max("valid_time")).first()[0]
+    past, later = w.where(F.col("valid_time") < F.lit(cut) - F.expr("INTERVAL 40 DAYS")), w.where(F.col("valid_time") >= F.lit(cut) - F.expr("INTERVAL 40 DAYS"))
+    out = walkforward.boosted(past, later, ["station_id"])
+    assert out.where("NOT calibrated").count() == 0 and mean_crps(out) < 1.0
+    assert walkforward.boosted(past.limit(1999), later, ["station_id"]).where("calibrated").count() == 0
+
+
+def test_rows_that_no_fit_covers(spark):
+    """Without parameters of any bucket a station isn't calibrated; without a forecast a row is null; bounds hold."""
+    w = pairing.with_bucket(synthetic(spark, 30))
+    by, x = ["station_id", "bucket"], walkforward.members()
+    table = fits.fit_emos(w, by, x)
+    odd = w.limit(1).unionByName(w.limit(1).withColumns({c: F.lit(None).cast("double") for c in ("fc_gfs", "fc_ecmwf", "fc_icon", "fc_mean", "fc_spread")})).unionByName(w.limit(1).withColumn("station_id", F.lit("other")))
+    out = fits.predict_emos(odd, table, by, x, low=0.0, high=11.0).collect()
+    assert [r["calibrated"] for r in sorted(out, key=lambda r: r["station_id"])] == [False, True, True]
+    assert sorted(r["q50"] is None for r in out) == [False, True, True]
+    assert all(0 <= r["q95"] <= 11 for r in out if r["q95"] is not None)
+
+
+def test_occurrence_needs_rows(spark):
+    w = pairing.with_bucket(synthetic(spark, 30)).withColumns({"wet_share": F.lit(0.5), "obs": F.when(F.col("ingest_seq") % 2 == 0, 1.0).otherwise(0.0)})
+    assert fits.fit_occurrence(w.limit(39), ["station_id", "bucket"]).count() == 0
+    assert fits.fit_occurrence(w, ["station_id", "bucket"]).first()["base_rate"] == pytest.approx(0.5, abs=0.01)
+
+
+def test_folds_are_whole_days(spark):
+    assert verification.folds(synthetic(spark, 34)).count() == 0
+    few = verification.folds(synthetic(spark, 60)).collect()
+    assert len(few) == 3 and {(r["end"] - r["origin"]).days for r in few} == {14}
+    many = verification.folds(synthetic(spark, 600)).collect()
+    assert {(r["end"] - r["origin"]).days for r in many} == {20} and len(many) <= 30
+
+
+def test_champion_rules(spark):
+    scores = spark.createDataFrame([("a", "tier0", 1.0), ("a", "tier1", 0.99), ("b", "tier0", 1.0), ("b", "tier1", 0.5), ("c", "tier3", 0.1)], "station_id string, tier string, score double")
+    gates = spark.createDataFrame([(s, ["tier0", "tier1"]) for s in "abcd"], "station_id string, tiers array<string>")
+    held = spark.createDataFrame([("a", "tier0"), ("b", "tier0"), ("c", "tier3")], "station_id string, incumbent string")
+    got = {r["station_id"]: r["champion"] for r in walkforward.choose(scores, gates, held).collect()}
+    assert got == {"a": "tier0", "b": "tier1", "c": "tier0", "d": "tier0"}  # within the margin; beaten; not eligible; no score
+
+
+def test_empty_index_is_refused(spark):
+    e = spark.createDataFrame([("a", 1)], "id string, seq int")
+    assert stations.overlay(e, e.limit(0), e).count() == 1
+    with pytest.raises(ValueError):
+        stations.overlay(e.limit(0), e.limit(0), e)
