@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stratocast.llm._common import bucket_of, materialize
 from stratocast.llm.decontamination import drop_contaminated
-from stratocast.llm.language_id import identify_language, language_sample
+from stratocast.llm.language_id import RESULTS, identify_language, language_sample
 from stratocast.llm.mixing import cycle_weight, mix_sources
 from stratocast.llm.near_dedup import keep_one
 from stratocast.llm.secrets import redact
@@ -18,7 +18,9 @@ from stratocast.llm.secrets import redact
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is clear; learned from those that carry a label."""
     sample = language_sample(docs.where(bucket_of(F.col("doc_id"), 4) != 2).select("doc_id", "text", "lang"))
-    return identify_language(docs, sample).where(~F.col("rejected")).select(docs.columns)
+    own = {c: f"__own_{c}" for c in RESULTS if c in docs.columns}  # columns of documents that are named like the results stay as they are
+    kept = identify_language(docs.withColumnsRenamed(own), sample).where(~F.col("rejected")).drop(*RESULTS)
+    return kept.withColumnsRenamed({v: k for k, v in own.items()}).select(docs.columns)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +51,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("mixing", mixing_stage),
 ]
 
-#: Compression and alignment have no counterpart in SQL; the stages are tested against brute force instead.
+#: Compression and alignment have no counterpart in SQL; the stages are tested against plain versions instead (tests/llm/test_pipeline.py).
 ORACLE_SQL = None
 
 
