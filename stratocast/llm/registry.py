@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratocast.llm import decontamination, hamming, katz, language_id, licenses, mixing, near_dedup, passages, secrets, toxicity
+from stratocast.llm import decontamination, hamming, katz, language_id, licenses, mixing, near_dedup, passages, pii, secrets, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": mixing.op1_mixing,
         "op10_hamming": hamming.op10_hamming,
+        "op12_pii": pii.op12_pii,
         "op2_katz": katz.op2_katz,
         "op3_passages": passages.op3_passages,
         "op4_language_id": language_id.op4_language_id,
@@ -26,5 +27,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op12_pii": pii.ORACLE_SQL,
         "op5_licenses": licenses.ORACLE_SQL,
     }
