@@ -115,14 +115,14 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """Word hashes of many texts at once.
+    """Word hashes of many texts at once; words are runs of bytes that ``apart`` (white space) doesn't mark.
 
     ``hash`` has a 64-bit hash per word, in order; ``doc`` the text's index per word; ``first`` the
     index of each text's first word (one more at the end). With ``spans``, ``start``/``end`` hold byte offsets
     in the text.
     """
 
-    def __init__(self, texts: list[bytes], spans: bool = False):
+    def __init__(self, texts: list[bytes], spans: bool = False, apart: np.ndarray = _SPACE):
         n = len(texts)
         lengths = np.fromiter((len(t) for t in texts), dtype=np.int64, count=n)
         offsets = np.zeros(n + 1, dtype=np.int64)
@@ -133,10 +133,10 @@ class Words:
         at = 0
         while at < len(raw):
             to = min(len(raw), at + step)
-            while to < len(raw) and not _SPACE[raw[to - 1]]:  # a piece ends with white space
-                more = np.flatnonzero(_SPACE[raw[to : to + step]])
+            while to < len(raw) and not apart[raw[to - 1]]:  # a piece ends with white space
+                more = np.flatnonzero(apart[raw[to : to + step]])
                 to = to + int(more[0]) + 1 if len(more) else min(len(raw), to + step)
-            h, s, e = _hash_piece(raw[at:to])
+            h, s, e = _hash_piece(raw[at:to], apart)
             hashes.append(h)
             starts.append(s + at)
             ends.append(e + at)
@@ -151,9 +151,9 @@ class Words:
             self.start, self.end = start - base, end - base
 
 
-def _hash_piece(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _hash_piece(raw: np.ndarray, apart: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Polynomial hashes of the words in a piece that ends with white space."""
-    space = _SPACE[raw]
+    space = apart[raw]
     edge = np.flatnonzero(space[1:] != space[:-1]) + 1
     if len(raw) and not space[0]:
         edge = np.concatenate([[0], edge])

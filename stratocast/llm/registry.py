@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratocast.llm import decontamination, hamming, katz, language_id, licenses, mixing, near_dedup, passages, pii, secrets, toxicity
+from stratocast.llm import decontamination, hamming, katz, language_id, lemp, licenses, mixing, near_dedup, passages, pii, secrets, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mixing": mixing.op1_mixing,
         "op10_hamming": hamming.op10_hamming,
         "op12_pii": pii.op12_pii,
+        "op13_lemp": lemp.op13_lemp,
         "op2_katz": katz.op2_katz,
         "op3_passages": passages.op3_passages,
         "op4_language_id": language_id.op4_language_id,
@@ -28,5 +29,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op12_pii": pii.ORACLE_SQL,
+        "op13_lemp": lemp.ORACLE_SQL,
         "op5_licenses": licenses.ORACLE_SQL,
     }
