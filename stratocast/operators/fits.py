@@ -1,7 +1,6 @@
 """Distribution fits: one group per (station, ..., bucket), all groups in one pass.
 
-Filtering, weights, trimming and designs are column work, and so are predictions. A group that reaches Python is bounded: by ``config.MAX_ROWS`` (distribution fits), by the hours and
-leads of ``config.MAX_TRAIN_DAYS`` (occurrence), or by those of one station's history (boosted quantiles, which pool all leads and have no cap).
+Filtering, weights, trimming and designs are column work, and so are predictions. A group that reaches Python is bounded by ``config.MAX_ROWS``.
 """
 
 from __future__ import annotations
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 from stratocast import config as C
 from stratocast.functions.scores import HART_LOWER, HART_UPPER, clamped, with_truncated_quantiles
 from stratocast.operators import design
+from stratocast.storage import stored
 
 
 def cdf(z: np.ndarray) -> np.ndarray:
@@ -147,33 +147,64 @@ def predict_emos(rows: DataFrame, parameters: DataFrame, by: list[str], features
     return out.drop("a", "b", "c", "d", "n_train", "crps_train", "status", "fitted_bucket", "__widest")
 
 
-def fit_occurrence(rows: DataFrame, by: list[str], threshold: float = C.OCCURRENCE, ridge: float = 1e-3, least: int = C.MIN_BUCKET, most_days: int = C.MAX_TRAIN_DAYS) -> DataFrame:
-    """Logistic chance of more than ``threshold`` on (mean, share of wet models), per group by Newton steps over the last ``most_days``; no row for groups of fewer than ``least``, the base rate where a step fails."""
+def _solved(matrix: list[list[Column]], right: list[Column]) -> list[Column]:
+    """The solution of three symmetric equations, by determinants."""
+
+    def det(m: list[list[Column]]) -> Column:
+        return m[0][0] * (m[1][1] * m[2][2] - m[1][2] * m[2][1]) - m[0][1] * (m[1][0] * m[2][2] - m[1][2] * m[2][0]) + m[0][2] * (m[1][0] * m[2][1] - m[1][1] * m[2][0])
+
+    whole = det(matrix)
+    return [F.try_divide(d, whole) for d in [det([[right[i] if j == k else matrix[i][j] for j in range(3)] for i in range(3)]) for k in range(3)]]
+
+
+RIDGE = 1e-3
+
+
+def chance(x: list[Column], t: list[Column]) -> Column:
+    """Logistic of the linear form, which is kept within 30 of zero."""
+    z = t[0] + t[1] * x[0] + t[2] * x[1]
+    return 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))
+
+
+def occurrence_rows(rows: DataFrame, by: list[str], threshold: float = C.OCCURRENCE, least: int = C.MIN_BUCKET, most_days: int = C.MAX_TRAIN_DAYS) -> DataFrame:
+    """Rows that an occurrence model learns from: (by, fc_mean, wet_share, wet) of the last ``most_days``, in groups of ``least`` or more."""
     known = rows.where("obs IS NOT NULL AND fc_mean IS NOT NULL")
     newest = F.max("valid_time").over(W.partitionBy(*[k for k in by if k != "bucket"]))
     recent = known.withColumn("__age", F.unix_timestamp(newest) - F.unix_timestamp("valid_time")).where(F.col("__age") <= most_days * 86400)
-    ready = recent.withColumn("__n", F.count("*").over(W.partitionBy(*by))).where(F.col("__n") >= least).select(*by, "fc_mean", "wet_share", (F.col("obs") > threshold).cast("double").alias("wet"))
-    types = ", ".join(f"{k} {t}" for k, t in rows.select(*by).dtypes)
+    return recent.withColumn("__n", F.count("*").over(W.partitionBy(*by))).where(F.col("__n") >= least).select(*by, "fc_mean", "wet_share", (F.col("obs") > threshold).cast("double").alias("wet"))
 
-    def fit(keys: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        x = np.column_stack([np.ones(len(group)), group["fc_mean"], group["wet_share"]])
-        y = group["wet"].to_numpy()
-        base = np.clip(y.mean(), 1e-4, 1 - 1e-4)
-        t = np.array([np.log(base / (1 - base)), 0.0, 0.0])
-        penalty = 2 * ridge * len(y) * np.diag([1e-9, 1, 1])
-        for _ in range(30):
-            p = 1 / (1 + np.exp(-np.clip(x @ t, -30, 30)))
-            try:
-                step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty + 1e-9 * np.eye(3), x.T @ (y - p) - penalty @ t)
-            except np.linalg.LinAlgError:
-                t = np.array([np.log(base / (1 - base)), 0.0, 0.0])
-                break
-            t = t + np.clip(step, -5, 5)
-            if np.abs(step).max() < 1e-8:
-                break
-        return pd.DataFrame([dict(zip(by, keys, strict=True)) | {"t0": t[0], "t1": t[1], "t2": t[2], "n_train": len(y), "base_rate": y.mean()}])
 
-    return ready.groupBy(*by).applyInPandas(fit, f"{types}, t0 double, t1 double, t2 double, n_train long, base_rate double")
+def fit_occurrence(rows: DataFrame, by: list[str], threshold: float = C.OCCURRENCE, ridge: float = RIDGE, least: int = C.MIN_BUCKET, most_days: int = C.MAX_TRAIN_DAYS, steps: int = 30) -> DataFrame:
+    """Logistic chance of more than ``threshold`` on (mean, share of wet models), per group; no row for groups of fewer than ``least``, the base rate where a step fails.
+
+    Newton steps for all groups at once: a step is one partial aggregate of gradient and curvature (nine sums a group) over rows that are written once, so a group may be of any size. What
+    comes to the driver is whether any group still moves. Groups whose step is below 1e-8 are left out of the next pass.
+    """
+    ready = stored(occurrence_rows(rows, by, threshold, least, most_days), "occurrence")
+    rate = F.greatest(F.lit(1e-4), F.least(F.lit(1 - 1e-4), F.avg("wet")))
+    start = ready.groupBy(*by).agg(rate.alias("__base"), F.count("*").alias("n_train"), F.avg("wet").alias("base_rate"))
+    start = start.withColumn("__t0", F.log(F.col("__base") / (1 - F.col("__base"))))
+    state = stored(start.select(*by, F.col("__t0").alias("t0"), F.lit(0.0).alias("t1"), F.lit(0.0).alias("t2"), F.col("__t0"), "n_train", "base_rate", F.lit(True).alias("__moves")), "occurrence_state")
+    x = [F.lit(1.0), F.col("fc_mean"), F.col("wet_share")]
+    for _ in range(steps):
+        met = ready.join(state.where("__moves").select(*by, "t0", "t1", "t2"), by)
+        p = chance(x[1:], [F.col("t0"), F.col("t1"), F.col("t2")])
+        met = met.withColumn("__p", p).withColumn("__v", F.col("__p") * (1 - F.col("__p")))
+        pairs_ = [(i, j) for i in range(3) for j in range(i, 3)]
+        sums = met.groupBy(*by).agg(*[F.sum(F.col("__v") * x[i] * x[j]).alias(f"__h{i}{j}") for i, j in pairs_], *[F.sum((F.col("wet") - F.col("__p")) * x[i]).alias(f"__g{i}") for i in range(3)])
+        out = state.join(sums, by, "left")
+        penalty = [2 * ridge * F.col("n_train") * weight for weight in (1e-9, 1.0, 1.0)]
+        matrix = [[F.col(f"__h{min(i, j)}{max(i, j)}") + ((penalty[i] + 1e-9) if i == j else 0.0) for j in range(3)] for i in range(3)]
+        step = _solved(matrix, [F.col(f"__g{i}") - penalty[i] * F.col(f"t{i}") for i in range(3)])
+        out = out.withColumns({f"__d{i}": F.when(F.col("__moves"), s) for i, s in enumerate(step)})
+        size = F.greatest(*[F.abs(f"__d{i}") for i in range(3)])
+        failed = F.col("__moves") & (F.isnull(size) | F.isnan(size) | (size == float("inf")))
+        moved = {f"t{i}": F.when(failed, F.col("__t0") if i == 0 else F.lit(0.0)).when(F.col("__moves"), F.col(f"t{i}") + F.greatest(F.lit(-5.0), F.least(F.lit(5.0), F.col(f"__d{i}")))).otherwise(F.col(f"t{i}")) for i in range(3)}
+        out = out.withColumns(moved | {"__moves": F.col("__moves") & ~failed & (size >= 1e-8)})
+        state = stored(out.select(*by, "t0", "t1", "t2", "__t0", "n_train", "base_rate", "__moves"), "occurrence_state")
+        if state.where("__moves").isEmpty():
+            break
+    return state.select(*by, "t0", "t1", "t2", "n_train", "base_rate")
 
 
 MAP_LEVELS = tuple(0.02 + 0.04 * i for i in range(25))
@@ -198,69 +229,3 @@ def mapped(x: Column, xs: Column, ys: Column) -> Column:
 def precip_quantiles(p: Column, amount: Column) -> list[Column]:
     """Zero up to the dry share; above, the mapped amount scaled by how far into the wet part a level lies."""
     return [F.when(F.lit(q) <= 1 - p, 0.0).otherwise(F.greatest(amount * (0.4 + 1.6 * (q - (1 - p)) / F.greatest(p, F.lit(1e-6))), F.lit(0.0))) for q in C.LEVELS]
-
-
-def boosted_quantiles(train: DataFrame, test: DataFrame, by: list[str], features: list[Column], rounds: int = 150, rate: float = 0.1, depth: int = 3, bins: int = 32, least: int = 40, patience: int = 15) -> DataFrame:
-    """``test`` rows with one boosted quantile per level, learned from all ``train`` rows of their group: trees over binned features, leaves refitted to the residual quantile.
-
-    The last ``config.STOP_DAYS`` days of training (the last 15% where these are few) say after how many trees to stop. Groups of fewer than
-    ``config.BOOSTED_ROWS`` rows have no result. A level is a group of its own, so groups spread over tasks; a group is one station's history.
-    """
-    columns = [*by, "valid_time", "lead_h", F.array(*features).alias("x"), "obs"]
-    known = train.where("obs IS NOT NULL AND fc_mean IS NOT NULL")
-    known = known.withColumn("__n", F.count("*").over(W.partitionBy(*by))).where(F.col("__n") >= C.BOOSTED_ROWS)
-    rows = known.select(*columns, F.lit(False).alias("asked")).unionByName(test.where("fc_mean IS NOT NULL").select(*columns, F.lit(True).alias("asked")))
-    rows = rows.withColumn("level", F.explode(F.array(*[F.lit(q) for q in C.LEVELS])))
-    types = ", ".join(f"{k} {t}" for k, t in rows.select(*by).dtypes)
-
-    def grow(binned: np.ndarray, g: np.ndarray, at: np.ndarray, left: int, leaves: list, path: list) -> None:
-        best = (0.0, None, None)
-        if left and len(at) >= 2 * least:
-            for j in range(binned.shape[1]):
-                n = np.bincount(binned[at, j], minlength=bins).cumsum()
-                s = np.bincount(binned[at, j], g[at], minlength=bins).cumsum()
-                ok = (n >= least) & (len(at) - n >= least)
-                gain = np.where(ok, s**2 / np.maximum(n, 1) + (s[-1] - s) ** 2 / np.maximum(len(at) - n, 1) - s[-1] ** 2 / len(at), 0)
-                if gain.max() > best[0] + 1e-12:
-                    best = (gain.max(), j, int(gain.argmax()))
-        if best[1] is None:
-            leaves.append((list(path), at))
-            return
-        _, j, cut = best
-        low = binned[at, j] <= cut
-        grow(binned, g, at[low], left - 1, leaves, [*path, (j, cut, True)])
-        grow(binned, g, at[~low], left - 1, leaves, [*path, (j, cut, False)])
-
-    def fit(keys: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        q = keys[-1]
-        group = group.sort_values(["asked", "valid_time", "lead_h"], kind="stable")
-        n = int((~group["asked"]).sum())
-        out = group.iloc[n:]
-        result = {**{k: v for k, v in zip(by, keys[:-1], strict=True)}, "level": q, "valid_time": out["valid_time"], "lead_h": out["lead_h"], "obs": out["obs"]}
-        if n < C.BOOSTED_ROWS or not len(out):
-            return pd.DataFrame({k: pd.Series(dtype=object) for k in (*result, "value")})
-        x, y, when = np.stack(group["x"].to_numpy()), group["obs"].to_numpy(), group["valid_time"].to_numpy()[:n]
-        m = int((when < when[-1] - np.timedelta64(C.STOP_DAYS, "D")).sum())
-        if n - m < C.STOP_ROWS or m < C.STOP_TRAIN:
-            m = int(n * 0.85)
-        edges = [np.unique(np.quantile(x[:m, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(x.shape[1])]
-        binned = np.column_stack([np.searchsorted(e, x[:, j]) for j, e in enumerate(edges)]).astype(np.int16)
-        value = np.full(len(y), np.quantile(y[:m], q))
-        best, kept, since = np.inf, value.copy(), 0
-        for _ in range(rounds):
-            d = y[m:n] - value[m:n]
-            loss = np.maximum(q * d, (q - 1) * d).mean()
-            best, kept, since = (loss, value.copy(), 0) if loss < best else (best, kept, since + 1)
-            if since >= patience:
-                break
-            g = np.where(y[:m] > value[:m], q, q - 1)
-            leaves: list = []
-            grow(binned[:m], g, np.arange(m), depth, leaves, [])
-            for path, at in leaves:
-                here = np.ones(len(y), dtype=bool)
-                for j, cut, low in path:
-                    here &= (binned[:, j] <= cut) == low
-                value[here] += rate * np.quantile(y[at] - value[at], q)
-        return pd.DataFrame(result | {"value": kept[n:]})
-
-    return rows.groupBy(*by, "level").applyInPandas(fit, f"{types}, level double, valid_time timestamp, lead_h int, obs double, value double")

@@ -10,14 +10,7 @@ from stratocast import config as C
 from stratocast.fixtures import MODELS
 from stratocast.functions import scores as S
 from stratocast.operators import bias, pairing, verification, walkforward
-from stratocast.storage import shared_folder
-
-
-def stored(frame: DataFrame, name: str) -> DataFrame:
-    """``frame`` written to the shared folder and read back, where several parts of a plan need it."""
-    path = shared_folder(frame.sparkSession, name)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+from stratocast.storage import stored
 
 
 def family(variable: Column) -> Column:

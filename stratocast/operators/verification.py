@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from stratocast import config as C
 from stratocast.fixtures import MODELS
+from stratocast.storage import stored
 
 
 def folds(wide: DataFrame, by: tuple[str, ...] = ("station_id",), refit: int = C.REFIT_DAYS, least: int = C.MIN_TRAIN_DAYS, most: int = C.MAX_REFITS) -> DataFrame:
@@ -70,19 +71,44 @@ def selection_split(wide: DataFrame, by: tuple[str, ...] = ("station_id",), shar
     return wide.join(ranked.select(*by, "valid_time", part.alias("part")), [*by, "valid_time"])
 
 
+def _around(past: DataFrame, asked: DataFrame, keys: list[str], days: int) -> DataFrame:
+    """(keys, doy, near) for every asked day of the year: observations as (value, at) within ``days`` of it, sorted by value.
+
+    Days are put together once per day of the year, not once per target: a day has few rows, and a window of days over them has ``2 * days + 1`` times as many.
+    """
+    rows = past.select(*keys, "doy", F.struct("value", "at").alias("x")).unionByName(asked.select(*keys, "doy").distinct().withColumn("x", F.lit(None).cast("struct<value:double,at:bigint>")))
+    per_day = rows.groupBy(*keys, "doy").agg(F.collect_list("x").alias("own"))
+    # The year is a ring: its first days follow its last.
+    ring = per_day.withColumn("place", F.explode(F.array("doy", F.col("doy") - 365, F.col("doy") + 365))).where(F.col("place").between(1 - days, 365 + days))
+    near = F.flatten(F.collect_list("own").over(W.partitionBy(*keys).orderBy("place").rangeBetween(-days, days)))
+    return ring.withColumn("near", near).where("place = doy").select(*keys, "doy", F.array_sort("near").alias("near"))
+
+
 def climatology(targets: DataFrame, obs: DataFrame, days: int = C.CLIMATE_DAYS, excluded: int = C.CLIMATE_EXCLUDED) -> DataFrame:
     """Quantiles of a station's observations at the same hour of day within ``days`` days of the year, the days around the target left out.
 
-    An equi-join on (station, hour, day of year) after the target's days are exploded; where fewer than 10 rows are found, any hour counts.
+    Every (station, hour, day of year) has its observations sorted once; a target takes those that are far enough from it and reads its quantiles by rank. Where fewer
+    than 10 are found, any hour counts.
     """
-    near = targets.withColumn("doy", F.explode(F.transform(F.sequence(F.lit(-days), F.lit(days)), lambda d: F.pmod(F.dayofyear("target") - 1 + d, F.lit(365)) + 1))).withColumn("hod", F.hour("target"))
-    past = obs.select("station_id", F.col("valid_time").alias("at"), F.col("obs").alias("value"), (F.pmod(F.dayofyear("valid_time") - 1, F.lit(365)) + 1).alias("doy"), F.hour("valid_time").alias("hod"))
-    apart = F.abs(F.unix_timestamp("at") - F.unix_timestamp("target")) > excluded * 86400
-    bands = [F.percentile("value", F.array(*[F.lit(q) for q in C.LEVELS])).alias("q"), F.count("*").alias("n")]
-    same = near.join(past, ["station_id", "hod", "doy"]).where(apart).groupBy("station_id", "target").agg(*bands).where("n >= 10")
-    left = near.drop("hod").join(same.select("station_id", "target"), ["station_id", "target"], "left_anti")
-    every = left.join(past, ["station_id", "doy"]).where(apart).groupBy("station_id", "target").agg(*bands).where("n >= 5")
-    return same.unionByName(every)
+    day = lambda c: F.pmod(F.dayofyear(c) - 1, F.lit(365)) + 1
+    asked = targets.withColumns({"hod": F.hour("target"), "doy": day("target"), "__at": F.unix_timestamp("target")})
+    past = obs.where("obs IS NOT NULL").select("station_id", F.unix_timestamp("valid_time").alias("at"), F.col("obs").cast("double").alias("value"), day("valid_time").alias("doy"), F.hour("valid_time").alias("hod"))
+
+    def banded(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
+        met = rows.join(_around(past, rows, keys, days), [*keys, "doy"])
+        met = met.withColumn("near", F.filter("near", lambda x: F.abs(x["at"] - F.col("__at")) > excluded * 86400)).withColumn("n", F.size("near").cast("long")).where(F.col("n") >= least)
+
+        def at(q: float) -> Column:
+            h = (F.col("n") - 1) * F.lit(q)
+            low = F.floor(h).cast("int")
+            a, b = F.col("near")[low]["value"], F.col("near")[F.least(low + 1, (F.col("n") - 1).cast("int"))]["value"]
+            return a + (b - a) * (h - low)
+
+        return met.select("station_id", "target", F.array(*[at(q) for q in C.LEVELS]).alias("q"), "n")
+
+    same = stored(banded(asked, ["station_id", "hod"], 10), "same_hour")
+    left = asked.join(same.select("station_id", "target"), ["station_id", "target"], "left_anti")
+    return same.unionByName(banded(left, ["station_id"], 5))
 
 
 def bootstrap(daily: DataFrame, by: tuple[str, ...] = ("station_id",), resamples: int = C.RESAMPLES, block: int = C.BLOCK_DAYS, interval: float = C.INTERVAL) -> DataFrame:

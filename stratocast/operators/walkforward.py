@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stratocast import config as C
 from stratocast.fixtures import MODELS
-from stratocast.operators import bias, design, fits, pairing, verification
+from stratocast.operators import bias, boosting, design, fits, pairing, verification
 
 #: How far back the rows of a fold reach, by tier: beyond, they carry no weight.
 REACH = {0: 150, 1: 300, 2: C.MAX_TRAIN_DAYS, 3: 3650}
@@ -38,7 +38,7 @@ def seasonal(train: DataFrame, test: DataFrame, by: list[str], truncated: bool =
 def boosted(train: DataFrame, test: DataFrame, by: list[str]) -> DataFrame:
     """Tier 3: boosted quantiles over all leads of a station."""
     x = [*members(), *design.harmonics("valid_time"), F.coalesce("fc_spread", F.lit(0.0)), F.col("lead_h").cast("double")]
-    long = fits.boosted_quantiles(train, test, by, x)
+    long = boosting.boosted_quantiles(train, test, by, x)
     key = [*by, "valid_time", "lead_h"]
     wide = long.groupBy(*key).pivot("level", list(C.LEVELS)).agg(F.avg("value"))
     ordered = F.array_sort(F.array(*[F.col(f"`{q}`") for q in C.LEVELS]))

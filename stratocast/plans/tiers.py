@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from stratocast import config as C
 from stratocast import fixtures as X
 from stratocast.functions import scores as S
-from stratocast.operators import design, fits, pairing, walkforward
+from stratocast.operators import boosting, design, fits, pairing, walkforward
 from stratocast.plans.training import stamp, wide_sql
 
 Q, O = {}, {}
@@ -97,6 +97,24 @@ def precip_logistic(spark: SparkSession, sf: str) -> DataFrame:
     return out.groupBy(*BY).agg(F.count("*").alias("n"), F.avg((F.col("p") - wet) ** 2).alias("brier"), F.avg((F.col("base_rate") - wet) ** 2).alias("brier_base"), F.avg(S.crps_quantiles(F.col("obs"), [F.col(q) for q in C.QUANTILES])).alias("crps"))
 
 
+_WET_ROWS = f"{_WET}, k AS (SELECT *, (CASE WHEN coalesce(fc_gfs, fc_mean) > 0.1 THEN 1 ELSE 0 END + CASE WHEN coalesce(fc_ecmwf, fc_mean) > 0.1 THEN 1 ELSE 0 END + CASE WHEN coalesce(fc_icon, fc_mean) > 0.1 THEN 1 ELSE 0 END) / CAST(3 AS DOUBLE) AS wet_share, epoch(max(valid_time) OVER (PARTITION BY station_id)) - epoch(valid_time) AS age FROM b WHERE obs IS NOT NULL AND fc_mean IS NOT NULL)"
+
+
+@query(
+    "precip_occurrence",
+    f"{_WET_ROWS} SELECT station_id, bucket, count(*) AS n_train, round(avg(CASE WHEN obs > 0.1 THEN 1 ELSE 0 END), 6) AS base_rate, CAST(0 AS DOUBLE) AS g0, CAST(0 AS DOUBLE) AS g1, CAST(0 AS DOUBLE) AS g2 FROM k WHERE age <= {C.MAX_TRAIN_DAYS} * 86400 GROUP BY ALL HAVING count(*) >= {C.MIN_BUCKET}",
+)
+def precip_occurrence(spark: SparkSession, sf: str) -> DataFrame:
+    """The slope of the penalised likelihood at the fitted coefficients, a row's share of it: zero at the best ones."""
+    rows = _precip(spark, sf)
+    table = fits.fit_occurrence(rows, BY)
+    met = fits.occurrence_rows(rows, BY).join(table, BY)
+    left = F.col("wet") - fits.chance([F.col("fc_mean"), F.col("wet_share")], [F.col("t0"), F.col("t1"), F.col("t2")])
+    out = met.groupBy(*BY, "t0", "t1", "t2", "n_train", "base_rate").agg(*[F.avg(left * x).alias(f"g{i}") for i, x in enumerate((F.lit(1.0), F.col("fc_mean"), F.col("wet_share")))])
+    slope = lambda i, weight: F.round(F.col(f"g{i}") - 2 * fits.RIDGE * weight * F.col(f"t{i}"), 7) + F.lit(0.0)
+    return out.select(*BY, "n_train", F.round("base_rate", 6).alias("base_rate"), *[slope(i, w).alias(f"g{i}") for i, w in enumerate((1e-9, 1.0, 1.0))])
+
+
 _STEP = "(((ingest_seq * 48271) % 1000003) / CAST(1000003 AS DOUBLE))"
 
 
@@ -112,7 +130,7 @@ def boosted_quantiles(spark: SparkSession, sf: str) -> DataFrame:
     """Mean pinball loss per station and level on the held-out end of each station's rows."""
     x = [*_features(True), F.coalesce("fc_spread", F.lit(0.0)), F.col("lead_h").cast("double")]
     w = _wide(spark, sf).withColumn("at", F.percent_rank().over(W.partitionBy("station_id").orderBy("valid_time")))
-    out = fits.boosted_quantiles(w.where("at < 0.9").drop("at"), w.where("at >= 0.9 AND obs IS NOT NULL").drop("at"), ["station_id"], x)
+    out = boosting.boosted_quantiles(w.where("at < 0.9").drop("at"), w.where("at >= 0.9 AND obs IS NOT NULL").drop("at"), ["station_id"], x)
     d = F.col("obs") - F.col("value")
     return out.groupBy("station_id", "level").agg(F.count("*").alias("n"), F.avg(F.greatest(F.col("level") * d, (F.col("level") - 1) * d)).alias("pinball"))
 
