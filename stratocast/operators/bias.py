@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from stratocast import config as C
 from stratocast.operators.pairing import with_bucket
+from stratocast.storage import stored
+
 
 def newest() -> list[Column]:
     """Order of rows from the newest on, ties resolved."""
@@ -68,13 +70,8 @@ def residual_bands(fitted: DataFrame, keys: tuple[str, ...] = ("station_id",), a
     return table.where("band IS NOT NULL").select(*keys, "bucket", "band"), _pooled(table, keys)
 
 
-def predict(wide: DataFrame, fitted: DataFrame, keys: tuple[str, ...] = ("station_id",), floor: float | None = None, ceiling: float | None = None, additive: bool = True) -> DataFrame:
-    """``wide`` with ``median``, q05..q95 and ``calibrated`` (false: no band could be fitted, and all quantiles are the median).
-
-    The median is the mean less the bias of its cell, or of its bucket where the cell has few rows, or nothing.
-    """
-    table = _fitted(fitted, keys, additive)
-    out = with_bucket(wide).join(table.drop("newest"), [*keys, "bucket"], "left").join(_pooled(table, keys), list(keys), "left")
+def _laid_on(out: DataFrame, floor: float | None, ceiling: float | None) -> DataFrame:
+    """Rows with (cells, lead, band, pooled) joined to them: ``median``, q05..q95 and ``calibrated`` in their place."""
     bias = F.coalesce(F.element_at("cells", F.hour("valid_time")), F.col("lead"), F.lit(0.0))
     out = out.withColumn("median", F.col("fc_mean") - bias).withColumn("__band", F.coalesce("band", "pooled"))
     values = [F.col("median") + F.coalesce(F.col("__band")[i], F.lit(0.0)) for i in range(len(C.LEVELS))]
@@ -85,3 +82,73 @@ def predict(wide: DataFrame, fitted: DataFrame, keys: tuple[str, ...] = ("statio
     ordered = F.array_sort(F.array(*values))
     out = out.withColumn("__q", F.when(F.col("median").isNotNull(), ordered)).withColumn("calibrated", F.col("__band").isNotNull())
     return out.withColumns({q: F.col("__q")[i] for i, q in enumerate(C.QUANTILES)}).drop("__q", "__band", "band", "pooled", "cells", "lead")
+
+
+def predict(wide: DataFrame, fitted: DataFrame, keys: tuple[str, ...] = ("station_id",), floor: float | None = None, ceiling: float | None = None, additive: bool = True) -> DataFrame:
+    """``wide`` with ``median``, q05..q95 and ``calibrated`` (false: no band could be fitted, and all quantiles are the median).
+
+    The median is the mean less the bias of its cell, or of its bucket where the cell has few rows, or nothing.
+    """
+    table = _fitted(fitted, keys, additive)
+    out = with_bucket(wide).join(table.drop("newest"), [*keys, "bucket"], "left").join(_pooled(table, keys), list(keys), "left")
+    return _laid_on(out, floor, ceiling)
+
+
+# --- states of all folds --------------------------------------------------------------------------
+
+
+def _block_sums(rows: DataFrame, group: list[str], rank: str, count: str) -> DataFrame:
+    """(group, blocks): per block of a group the number of rows and their decayed sum, as it adds to what came before (``s``) and as a beginning (``s0``)."""
+    weight = F.pow(F.lit(1 - C.DECAY), F.col(rank) - 1)
+    oldest = F.col(rank) == F.col(count)
+    sums = rows.groupBy(*group, "__block").agg(F.count("*").alias("n"), F.sum(weight * C.DECAY * F.col("error")).alias("s"), F.sum(weight * F.when(oldest, 1.0).otherwise(C.DECAY) * F.col("error")).alias("s0"))
+    return sums.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("__block", "n", "s", "s0"))).alias("blocks"))  # as many as there are refits, and one
+
+
+def _before(blocks: str, fold: Column) -> Column:
+    """(n, b) of the blocks before a fold: a decayed sum of two parts in a row is the later one, and the earlier one decayed by the later one's rows."""
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("b"))
+
+    def merge(acc: Column, x: Column) -> Column:
+        return F.when(acc["n"] == 0, F.struct(x["n"].alias("n"), x["s0"].alias("b"))).otherwise(F.struct((acc["n"] + x["n"]).alias("n"), (acc["b"] * F.pow(F.lit(1 - C.DECAY), x["n"]) + x["s"]).alias("b")))
+
+    return F.aggregate(F.filter(blocks, lambda x: x["__block"] < fold), start, merge)
+
+
+def fold_states(blocked: DataFrame, folds: DataFrame, by: tuple[str, ...] = ("station_id",), additive: bool = True) -> tuple[DataFrame, DataFrame]:
+    """What ``predict`` needs at the beginning of every fold, over all rows before it: (by, fold, bucket, cells, lead, n, band) and (by, fold, pooled).
+
+    ``blocked`` are rows with their block (``verification.with_block``), ``folds`` the wanted (by, fold). Rows are aggregated once, within their blocks; folds merge blocks. Only the newest
+    rows of each block, those that can be among the last ``config.POOLED_WINDOW`` of a fold, meet the folds themselves.
+    """
+    group = [*by, "bucket"]
+    bucket, cell = W.partitionBy(*group, "__block"), W.partitionBy(*group, "hour", "__block")
+    rows = errors(blocked, additive).withColumns({"__r": F.row_number().over(bucket.orderBy(*newest())), "__n": F.count("*").over(bucket), "__rc": F.row_number().over(cell.orderBy(*newest())), "__nc": F.count("*").over(cell)})
+    rows = stored(rows.select(*group, "hour", "__block", "valid_time", "lead_h", "lead_source", "ingest_seq", "error", "obs", "fc_mean", "__r", "__n", "__rc", "__nc"), "blocks")
+    leads = _block_sums(rows, group, "__r", "__n")
+    wanted = folds.select(*by, "fold")
+    lead = leads.join(wanted, list(by)).withColumn("l", _before("blocks", F.col("fold"))).where("l.n > 0").select(*group, "fold", F.col("l.b").alias("lead"), F.col("l.n").alias("n"))
+    cells = _block_sums(rows, [*group, "hour"], "__rc", "__nc").join(wanted, list(by)).withColumn("c", _before("blocks", F.col("fold"))).where(F.col("c.n") >= C.MIN_CELL)
+    cells = cells.groupBy(*group, "fold").agg(F.map_from_entries(F.collect_list(F.struct("hour", "c.b"))).alias("cells"))
+    state = stored(lead.join(cells, [*group, "fold"], "left"), "fold_states")
+    # The newest rows: a row's place before a fold is its place in its block, and the rows of the blocks between.
+    between = F.aggregate(F.filter("blocks", lambda x: (x["__block"] > F.col("__block")) & (x["__block"] < F.col("fold"))), F.lit(0).cast("long"), lambda a, x: a + x["n"])
+    own = wanted.groupBy(*by).agg(F.collect_list("fold").alias("__folds"))
+    late = rows.where(F.col("__r") <= C.POOLED_WINDOW).join(leads, group).join(own, list(by))
+    late = late.withColumn("fold", F.explode(F.filter("__folds", lambda k: k > F.col("__block")))).withColumn("__place", F.col("__r") + between).where(F.col("__place") <= C.POOLED_WINDOW).drop("blocks", "__folds")
+    met = late.join(state.select(*group, "fold", "cells", "lead"), [*group, "fold"])
+    met = met.withColumn("resid", F.col("obs") - (F.col("fc_mean") - F.coalesce(F.element_at("cells", F.col("hour")), F.col("lead")))).drop("cells", "lead")
+    met = stored(met.select(*group, "fold", "valid_time", "lead_h", "lead_source", "ingest_seq", "resid", "__place"), "residuals")
+    levels = F.array(*[F.lit(q) for q in C.LEVELS])
+    bands = met.where(F.col("__place") <= C.RESIDUAL_WINDOW).groupBy(*group, "fold").agg(F.percentile("resid", levels).alias("band"), F.count("*").alias("__k")).where(F.col("__k") >= C.MIN_RESIDUALS).drop("__k")
+    every = met.withColumn("__r", F.row_number().over(W.partitionBy(*by, "fold").orderBy(*newest()))).where(F.col("__r") <= C.POOLED_WINDOW)
+    pooled = every.groupBy(*by, "fold").agg(F.percentile("resid", levels).alias("pooled"), F.count("*").alias("__k")).where(F.col("__k") >= C.MIN_RESIDUALS).drop("__k")
+    return state.join(bands, [*group, "fold"], "left"), pooled
+
+
+def predict_folds(blocked: DataFrame, folds: DataFrame, by: tuple[str, ...] = ("station_id",), floor: float | None = None, ceiling: float | None = None, additive: bool = True) -> DataFrame:
+    """Rows of the wanted folds, each with what was known at its fold's beginning."""
+    state, pooled = fold_states(blocked, folds, by, additive)
+    test = with_bucket(blocked.withColumnRenamed("__block", "fold")).join(folds.select(*by, "fold"), [*by, "fold"], "left_semi")
+    out = test.join(state.drop("n"), [*by, "fold", "bucket"], "left").join(pooled, [*by, "fold"], "left")
+    return _laid_on(out, floor, ceiling)

@@ -21,24 +21,33 @@ def folds(wide: DataFrame, by: tuple[str, ...] = ("station_id",), refit: int = C
     return out.select(*by, "fold", at(F.col("fold")).alias("origin"), at(F.col("fold") + 1).alias("end"))
 
 
-def in_folds(wide: DataFrame, table: DataFrame, by: tuple[str, ...] = ("station_id",), cutoff_days: int = 150, least_rows: int = C.MIN_TRAIN_ROWS, least_test: int = C.TEST_ROWS) -> tuple[DataFrame, DataFrame]:
+def with_block(rows: DataFrame, table: DataFrame, by: tuple[str, ...] = ("station_id",)) -> DataFrame:
+    """``rows`` with ``__block``: the fold that a row lies in, -1 before the first. Groups without folds drop out. A row is joined to its group's first fold, of which the others follow."""
+    facts = table.groupBy(*by).agg(F.min(F.unix_timestamp("origin")).alias("__o"), F.first(F.unix_timestamp("end") - F.unix_timestamp("origin")).alias("__step"))
+    block = F.greatest(F.lit(-1), F.floor((F.unix_timestamp("valid_time") - F.col("__o")) / F.col("__step"))).cast("int")
+    return rows.join(facts, list(by)).withColumn("__block", block).drop("__o", "__step")
+
+
+def enough(blocked: DataFrame, by: tuple[str, ...] = ("station_id",), least_rows: int = C.MIN_TRAIN_ROWS, least_test: int = C.TEST_ROWS) -> DataFrame:
+    """(by, fold) with enough rows before and within it, from running counts of the blocks."""
+    counts = blocked.groupBy(*by, F.col("__block").alias("fold")).agg(F.count("*").alias("now"))
+    earlier = W.partitionBy(*by).orderBy("fold").rowsBetween(W.unboundedPreceding, -1)
+    return counts.withColumn("early", F.sum("now").over(earlier)).where((F.col("fold") >= 0) & (F.col("early") >= least_rows) & (F.col("now") >= least_test)).select(*by, "fold")
+
+
+def in_folds(wide: DataFrame, table: DataFrame, by: tuple[str, ...] = ("station_id",), cutoff_days: int = C.MAX_TRAIN_DAYS, least_rows: int = C.MIN_TRAIN_ROWS, least_test: int = C.TEST_ROWS) -> tuple[DataFrame, DataFrame]:
     """(train, test) rows keyed by fold; a row trains in folds that begin after it, at most ``cutoff_days`` after. Folds with few rows before or within them are left out.
 
-    Rows and folds meet by spans of ``cutoff_days``: a fold asks for the spans that its window touches, so a row meets few folds besides its own.
+    Rows and folds meet by blocks: a row's block says which folds follow it, and of these it asks for those that it can reach.
     """
-    span = lambda c: F.floor(F.unix_timestamp(c) / (cutoff_days * 86400))
-    rows = wide.withColumn("__span", span("valid_time"))
-    asked = lambda low, high: table.withColumn("__span", F.explode(F.sequence(span(low), span(high))))
-    early = asked(F.col("origin") - F.make_dt_interval(F.lit(cutoff_days)), "origin").withColumn("since", F.col("origin") - F.make_dt_interval(F.lit(cutoff_days)))
-    train = rows.join(early, [*by, "__span"]).where("valid_time < origin AND valid_time >= since").drop("__span", "since")
-    test = rows.join(asked("origin", "end"), [*by, "__span"]).where("valid_time >= origin AND valid_time < end").drop("__span")
-    # Rows before a fold, from counts per hour.
-    per_hour = wide.groupBy(*by, "valid_time").agg(F.count("*").alias("n"))
-    before = table.join(per_hour, list(by)).groupBy(*by, "fold").agg(
-        F.sum(F.when(F.col("valid_time") < F.col("origin"), F.col("n")).otherwise(0)).alias("early"), F.sum(F.when((F.col("valid_time") >= F.col("origin")) & (F.col("valid_time") < F.col("end")), F.col("n")).otherwise(0)).alias("now")
-    )
-    enough = before.where((F.col("early") >= least_rows) & (F.col("now") >= least_test)).select(*by, "fold")
-    return train.join(enough, [*by, "fold"], "left_semi"), test.join(enough, [*by, "fold"], "left_semi")
+    blocked = with_block(wide, table, by)
+    kept = table.join(enough(blocked, by, least_rows, least_test), [*by, "fold"])
+    facts = kept.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("fold", F.unix_timestamp("origin")))).alias("__origins"))  # as many as there are refits at most
+    reached = F.filter(F.map_keys("__origins"), lambda k: (k > F.col("__block")) & (F.element_at("__origins", k) - F.unix_timestamp("valid_time") <= cutoff_days * 86400))
+    train = blocked.join(facts, list(by)).withColumn("fold", F.explode(reached)).drop("__origins", "__block").join(kept.select(*by, "fold", "origin", "end"), [*by, "fold"])
+    test = blocked.withColumnRenamed("__block", "fold").join(kept.select(*by, "fold", "origin", "end"), [*by, "fold"])
+    columns = [*by, "fold", *[c for c in wide.columns if c not in by], "origin", "end"]
+    return train.select(columns), test.select(columns)
 
 
 def raw_baselines(scored: DataFrame, by: tuple[str, ...] = ("station_id",), models: tuple[str, ...] = MODELS) -> DataFrame:

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from stratocast import config as C
 from stratocast.fixtures import MODELS
 from stratocast.operators import bias, boosting, design, fits, pairing, verification
+from stratocast.storage import stored
 
-#: How far back the rows of a fold reach, by tier: beyond, they carry no weight.
-REACH = {0: 150, 1: 300, 2: C.MAX_TRAIN_DAYS, 3: 3650}
+#: How far back the rows of a fold reach, by tier: those of fitted distributions as far as any fit looks, those of boosted quantiles over all of the past, as do those of tier 0.
+REACH = {1: C.MAX_TRAIN_DAYS, 2: C.MAX_TRAIN_DAYS, 3: 36_500}
 YEARLY = 4  # sines and cosines of the year, which lead those of the day
 
 
@@ -47,6 +48,11 @@ def boosted(train: DataFrame, test: DataFrame, by: list[str]) -> DataFrame:
     return out.withColumns({q: F.col("__q")[i] for i, q in enumerate(C.QUANTILES)}).drop("__q")
 
 
+def _published(out: DataFrame, tier: int, keys: tuple[str, ...]) -> DataFrame:
+    kept = [*keys, *[c for c in pairing.KEY if c not in keys], "bucket", "ingest_seq", "obs", "fc_mean", *[f"fc_{m}" for m in MODELS], *C.QUANTILES, "calibrated"]
+    return out.select(*kept, F.lit(f"tier{tier}").alias("tier"))
+
+
 def predict_tier(tier: int, train: DataFrame, test: DataFrame, keys: tuple[str, ...], truncated: bool = False) -> DataFrame:
     """``test`` (with its bucket) with the quantiles that a tier fitted on ``train`` gives, and ``tier``."""
     train, test = pairing.with_bucket(train), pairing.with_bucket(test)
@@ -56,17 +62,24 @@ def predict_tier(tier: int, train: DataFrame, test: DataFrame, keys: tuple[str,
         out = boosted(train, test, list(keys))
     else:
         out = (distribution if tier == 1 else seasonal)(train, test, [*keys, "bucket"], truncated)
-    kept = [*keys, *[c for c in pairing.KEY if c not in keys], "bucket", "ingest_seq", "obs", "fc_mean", *[f"fc_{m}" for m in MODELS], *C.QUANTILES, "calibrated"]
-    return out.select(*kept, F.lit(f"tier{tier}").alias("tier"))
+    return _published(out, tier, keys)
 
 
 def walk_forward(wide: DataFrame, tiers: tuple[int, ...] = (0, 1, 2), by: tuple[str, ...] = ("station_id",), truncated: bool = False) -> DataFrame:
-    """Rows of all folds that each tier predicted before they were seen; only calibrated ones."""
-    table = verification.folds(wide, by)
+    """Rows of all folds that each tier predicted before they were seen; only calibrated ones.
+
+    ``by`` may hold the variable besides the station; the variables of a call share a distribution (``variables`` calls it for each).
+    """
+    table = stored(verification.folds(wide, by), "folds")
     out: DataFrame | None = None
     for tier in tiers:
-        train, test = verification.in_folds(wide, table, by, REACH[tier])
-        part = predict_tier(tier, train, test, (*by, "fold"), truncated).where("calibrated AND q50 IS NOT NULL")
+        if tier == 0:
+            blocked = verification.with_block(wide, table, by)
+            part = _published(bias.predict_folds(blocked, verification.enough(blocked, by), by, floor=0.0 if truncated else None), 0, (*by, "fold"))
+        else:
+            train, test = verification.in_folds(wide, table, by, REACH[tier])
+            part = predict_tier(tier, train, test, (*by, "fold"), truncated)
+        part = part.where("calibrated AND q50 IS NOT NULL")
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -114,7 +114,7 @@ def model_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- tiers out of sample --------------------------------------------------------------------------
 
-_T0 = f"{_FOLDED}, t0w AS (SELECT train0.* FROM train0 SEMI JOIN enough USING (station_id, fold) WHERE valid_time >= origin - to_days(150)), {tier0_sql('t0w', key='sf')}"
+_T0 = f"{_FOLDED}, t0w AS (SELECT train0.* FROM train0 SEMI JOIN enough USING (station_id, fold)), {tier0_sql('t0w', key='sf')}"
 _OOS = f"""test AS (SELECT w.*, f.fold, w.station_id || '/' || f.fold AS sf, {C.BUCKET_SQL.format('lead_h')} AS bucket, CAST(hour(valid_time) AS INT) AS hour FROM wide w JOIN folds f ON f.station_id = w.station_id AND valid_time >= origin AND valid_time < "end" SEMI JOIN enough e ON e.station_id = f.station_id AND e.fold = f.fold),
  o1 AS (SELECT test.*, fc_mean - CASE WHEN coalesce(n_cell, 0) >= 5 THEN b_cell ELSE coalesce(b_lead, 0) END AS median FROM test LEFT JOIN cell USING (sf, bucket, hour) LEFT JOIN lead USING (sf, bucket)),
  oos AS (SELECT * EXCLUDE (qs), qs[1] AS q05, qs[2] AS q25, qs[3] AS q50, qs[4] AS q75, qs[5] AS q95 FROM (SELECT o1.*, list_sort([{", ".join(f"median + coalesce(band_q[{i}], pooled_q[{i}])" for i in range(1, 6))}]) AS qs FROM o1 LEFT JOIN band USING (sf, bucket) LEFT JOIN pooled USING (sf)) WHERE qs[1] IS NOT NULL),

@@ -335,15 +335,15 @@ _FOLDED = f"{WIDE}, {FOLDS}, train0 AS (SELECT w.*, fold, origin, w.station_id |
 
 @query(
     "walk_forward_bias",
-    f"{_FOLDED}, t0 AS (SELECT station_id, fold, {C.BUCKET_SQL.format('lead_h')} AS bucket, valid_time, lead_h, lead_source, ingest_seq, fc_mean - obs AS error FROM train0 SEMI JOIN enough USING (station_id, fold) WHERE valid_time >= origin - to_days(150)), "
+    f"{_FOLDED}, t0 AS (SELECT station_id, fold, {C.BUCKET_SQL.format('lead_h')} AS bucket, valid_time, lead_h, lead_source, ingest_seq, fc_mean - obs AS error FROM train0 SEMI JOIN enough USING (station_id, fold) WHERE fc_mean IS NOT NULL AND obs IS NOT NULL), "
     f"r AS (SELECT *, row_number() OVER (PARTITION BY station_id, fold, bucket ORDER BY {_N}) AS r, count(*) OVER (PARTITION BY station_id, fold, bucket) AS n FROM t0), "
     "b AS (SELECT station_id, fold, bucket, sum(pow(CAST(0.92 AS DOUBLE), r - 1) * CASE WHEN r = n THEN 1 ELSE CAST(0.08 AS DOUBLE) END * error) AS bias, count(*) AS n FROM r GROUP BY ALL) SELECT station_id, fold, bucket, n, round(bias, 5) AS bias FROM b",
 )
 def walk_forward_bias(spark: SparkSession, sf: str) -> DataFrame:
     w = _wide(spark, sf)
-    train, _ = verification.in_folds(w, verification.folds(w), cutoff_days=150)
-    _, lead = bias.cell_bias(train, ("station_id", "fold"))
-    return lead.select("station_id", "fold", "bucket", F.col("bias_lead_n").alias("n"), F.round("bias_lead", 5).alias("bias"))
+    blocked = verification.with_block(w, verification.folds(w))
+    state, _ = bias.fold_states(blocked, verification.enough(blocked))
+    return state.select("station_id", "fold", "bucket", "n", F.round("lead", 5).alias("bias"))
 
 
 @query("flagship_skill", f"{PICK} SELECT station_id, model AS best_raw, n, round(crps_fused, 5) AS crps_fused, round(crps_raw, 5) AS crps_raw, round(1 - crps_fused / crps_raw, 5) AS skill FROM pick")
