@@ -138,16 +138,22 @@ def anchors(templates=TEMPLATES, threshold: float = THRESHOLD) -> Column:
 
 def match_licenses(docs: DataFrame, templates: DataFrame, signs: Column | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, template, dice, start) of every document and template with a window at or above the threshold: the best one's coefficient, and its first word; ``signs`` is what ``anchors`` gives of the same templates."""
-    some = docs.where("text IS NOT NULL").where(F.lit(True) if signs is None else signs).select("doc_id", F.xxhash64("text").alias("which"), bigrams(F.col("text")).alias("grams"))
+    rows = docs.where("text IS NOT NULL").where(F.lit(True) if signs is None else signs).select("doc_id", F.xxhash64("text").alias("which"), "text")
+    # Texts are dealt once, by document; all that follows of a document stays where it is.
+    some = rows.repartition("doc_id", "which").dropDuplicates(["doc_id", "which"]).select("doc_id", "which", bigrams(F.col("text")).alias("grams"))
     few = templates.count() <= 100_000
     each = some.select("doc_id", "which", F.posexplode("grams").alias("i", "gram"))
-    hits = each.join(F.broadcast(templates) if few else templates, "gram").distinct()
-    # How many bigrams of the template a window has, of those that differ. Windows begin where one of these lies.
-    place = ["doc_id", "which", "template", "long"]
-    lengths = [r["long"] for r in templates.select("long").distinct().collect()]  # a row per length of a template
-    counted = reduce(lambda c, n: F.when(F.col("long") == n, F.size(F.collect_set("gram").over(W.partitionBy(*place).orderBy("i").rangeBetween(0, n - 1)))).otherwise(c), lengths, F.lit(0))
-    found = hits.withColumn("common", counted).where(F.col("common") >= F.col("low"))
-    met = found.join(some.withColumnsRenamed({"doc_id": "__doc", "which": "__which"}).dropDuplicates(["__doc", "__which"]), F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("which") == F.col("__which")))
+    hits = each.join(F.broadcast(templates) if few else templates, "gram")
+    # How many bigrams of the template a window has, of those that differ. Windows begin where one of these lies: a place adds to all windows from the last place of the same bigram on that reach it.
+    place = ["doc_id", "which", "template"]
+    same = F.lag("i").over(W.partitionBy(*place, "gram").orderBy("i"))
+    facts = ["long", "m", "low", "high"]
+    hits = hits.withColumn("after", F.greatest(F.coalesce(same, F.lit(-1)), F.col("i") - F.col("long")))
+    events = F.array(F.struct((F.col("after") + 1).alias("at"), F.lit(1).alias("step"), F.lit(None).cast("int").alias("i")), F.struct((F.col("i") + 1).alias("at"), F.lit(-1).alias("step"), F.lit(None).cast("int").alias("i")), F.struct(F.col("i").alias("at"), F.lit(0).alias("step"), F.col("i").alias("i")))
+    steps = hits.select(*place, *facts, F.explode(events).alias("e")).select(*place, *facts, "e.*")
+    common = F.sum("step").over(W.partitionBy(*place).orderBy("at").rangeBetween(W.unboundedPreceding, W.currentRow))
+    found = steps.withColumn("common", common).where("i IS NOT NULL AND common >= low")
+    met = found.join(some.withColumnsRenamed({"doc_id": "__doc", "which": "__which"}), F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("which") == F.col("__which")))
     n = F.size(F.array_distinct(F.slice("grams", F.col("i") + 1, F.col("long"))))
     sized = met.withColumn("n", n).where(F.col("n").between(F.col("low"), F.col("high"))).withColumn("dice", 2.0 * F.col("common") / (F.col("n") + F.col("m")))
     best = sized.where(F.col("dice") >= threshold - 1e-12).groupBy("doc_id", "template").agg(F.min(F.struct((-F.col("dice")).alias("worst"), "i")).alias("b"))
