@@ -447,6 +447,54 @@ def test_decontamination_finds_halves_of_frequent_items(spark, limit):
     assert got[100] == got[101] == 0.5 and got[102] > 0.5
 
 
+def edited_copies(rng, item, filler):
+    """Copies of an item: spread out, words left out, put in, replaced, and mixed."""
+    n = len(item)
+    out = []
+    for parts, between in ((2, 30), (4, 20), (4, 25), (4, 30), (5, 20), (8, 16)):
+        cut = [item[i * n // parts : (i + 1) * n // parts] for i in range(parts)]
+        out.append([w for part in cut for w in [*part, *filler(between)]])
+    out += [[w if i % k else filler(1)[0] for i, w in enumerate(item)] for k in (2, 3, 4)]
+    out += [[w for i, w in enumerate(item) if i % k] for k in (2, 3, 4)]
+    out += [[x for w in item for x in (w, *filler(k))] for k in (1, 2)]
+    out += [[x for i, w in enumerate(item) for x in (w, *filler(i % 3 == 0))] for _ in range(2)]
+    for _ in range(25):
+        p = rng.uniform(0.05, 0.45)
+        words_ = []
+        for w in item:
+            kind = rng.choice(4, p=[1 - p, p / 3, p / 3, p / 3])
+            words_ += [[w], filler(1), [], [w, *filler(1)]][kind]
+        out.append(words_)
+    return out
+
+
+@pytest.mark.parametrize("limit", [decontamination.LIMIT, 0])
+def test_decontamination_is_smith_waterman_of_whole_texts(spark, limit):
+    rng = np.random.default_rng(11)
+    items = {1: [f"w{x}" for x in rng.permutation(4000)[:60]], 2: [f"v{x}" for x in rng.integers(0, 12, 25)], 3: ["one", "two", "three"], 4: ["solo"], 5: [f"u{x}" for x in rng.permutation(400)[:5]]}
+    filler = lambda n: [f"f{x}" for x in rng.integers(0, 4000, int(n))]
+    docs = {}
+    for i in (1, 2, 5):
+        for words_ in edited_copies(rng, items[i], filler):
+            docs[len(docs)] = [*filler(rng.integers(0, 40)), *words_, *filler(rng.integers(0, 40))]
+    docs[900] = [*filler(50), "one", "two", "three", *filler(9), "one", "x", "two"]
+    docs[901] = ["one", "two", *filler(5), "solo"]
+    docs[902] = [x for _ in range(120) for x in (*items[2], *filler(3))]  # a long text full of it
+    frame = spark.createDataFrame([(d, " ".join(x)) for d, x in docs.items()], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in items.items()], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontamination.find_contamination(frame, bench, limit=limit).collect()}
+    table = {w: k for k, w in enumerate({w for x in [*docs.values(), *items.values()] for w in x})}
+    coded = lambda ws: np.array([table[w] for w in ws])
+    for i, item in items.items():
+        for d, x in docs.items():
+            if len(item) <= decontamination.SHORT:
+                true = 1.0 if f" {' '.join(item)} " in f" {' '.join(x)} " else 0.0
+            else:
+                true = decontamination.align(coded(x)[None, :], np.array([len(x)]), coded(item))[0] / (2 * len(item))
+            assert got.get((d, i), 0.0) == (pytest.approx(true) if true >= 0.5 else 0.0), (d, i, true)
+    assert len(got) > 60
+
+
 def test_decontamination_of_the_tables(spark, texts):
     fold = lambda t: " ".join(re.sub(r"[\x00-\x7f]", lambda m: m[0] if m[0].isalnum() else " ", t.lower()).split())
     items = {r["item_id"]: fold(r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
