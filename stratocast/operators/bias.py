@@ -94,6 +94,19 @@ def predict(wide: DataFrame, fitted: DataFrame, keys: tuple[str, ...] = ("statio
     return _laid_on(out, floor, ceiling)
 
 
+def parameters(fitted: DataFrame, keys: tuple[str, ...] = ("station_id",), additive: bool = True) -> DataFrame:
+    """What ``predict`` takes from rows, as a table to be stored: (keys, bucket, cells, lead, band), and a row for bucket ``all`` with the band over all buckets."""
+    table = _fitted(fitted, keys, additive)
+    pooled = _pooled(table, keys).select(*keys, F.lit("all").alias("bucket"), F.lit(None).cast("map<int,double>").alias("cells"), F.lit(None).cast("double").alias("lead"), F.col("pooled").alias("band"))
+    return table.drop("newest").unionByName(pooled)
+
+
+def predict_from(wide: DataFrame, table: DataFrame, keys: tuple[str, ...] = ("station_id",), floor: float | None = None, ceiling: float | None = None) -> DataFrame:
+    """As ``predict``, from a table of ``parameters``."""
+    out = with_bucket(wide).join(table.where("bucket <> 'all'").select(*keys, "bucket", "cells", "lead", "band"), [*keys, "bucket"], "left")
+    return _laid_on(out.join(table.where("bucket = 'all'").select(*keys, F.col("band").alias("pooled")), list(keys), "left"), floor, ceiling)
+
+
 # --- states of all folds --------------------------------------------------------------------------
 
 

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from stratocast import config as C
 from stratocast.fixtures import MODELS
 from stratocast.functions import scores as S
-from stratocast.operators import bias, pairing, verification, walkforward
-from stratocast.storage import stored
+from stratocast.operators import verification, walkforward
 
 
 def family(variable: Column) -> Column:
@@ -73,16 +72,3 @@ def statuses(stations: DataFrame, live: DataFrame, fresh: DataFrame, history: Da
     nothing = F.when(F.col("fresh"), "no_data").otherwise("no_observations")
     status = F.when(F.col("live").isNull(), "no_forecast").when(F.col("history").isNull(), nothing).when(F.col("calibrated").isNull(), "warming_up").otherwise("ok")
     return out.select("station_id", status.alias("status"))
-
-
-def run_fleet(stored_pairs: DataFrame, new_pairs: DataFrame, live: DataFrame, stations: DataFrame) -> DataFrame:
-    """(station_id, status, n_live, q50) of every station: pairs are put over the archive, the training matrix and the calibration follow for all stations at once, and the live rows are forecast.
-
-    A backfill is a run whose archive is empty; a refresh has a trailing window of new pairs over it.
-    """
-    archive = stored(pairing.upsert(stored_pairs, new_pairs), "archive")
-    wide = pairing.wide(archive)
-    predicted = bias.predict(pairing.wide(live), wide)
-    sums = predicted.where("calibrated AND q50 IS NOT NULL").groupBy("station_id").agg(F.count("*").alias("n_live"), F.sum("q50").alias("q50"))
-    status = statuses(stations, live, new_pairs, archive, sums)
-    return status.join(sums, "station_id", "left")

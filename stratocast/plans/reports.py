@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from stratocast import config as C
 from stratocast import fixtures as X
 from stratocast.functions import scores as S
-from stratocast.operators import bias, pairing, publish, stations, verification, walkforward
+from stratocast.operators import bias, fleet, pairing, publish, stations, verification, walkforward
 from stratocast.plans.training import STAMP, stamp, tier0_sql, wide_sql
 from stratocast.plans.verification import _FOLDED, WIDE
 from stratocast.sources import payloads
+from stratocast.storage import shared_folder, stored
 
 Q, O = {}, {}
 
@@ -162,7 +163,7 @@ def tier_ranking(spark: SparkSession, sf: str) -> DataFrame:
 @query("tiers_out_of_sample")
 def tiers_out_of_sample(spark: SparkSession, sf: str) -> DataFrame:
     """Every tier that SQL can't fit as well: mean score on shared rows, coverage, and rows, per station."""
-    out = publish.stored(_walked(spark, sf, (0, 1, 2)), "walked")  # the fits are made once
+    out = stored(_walked(spark, sf, (0, 1, 2)), "walked")  # the fits are made once
     inside = F.avg(F.when(F.col("obs").between(F.col("q05"), F.col("q95")), 1.0).otherwise(0.0)).alias("coverage90")
     return verification.rank_tiers(out).join(out.groupBy("station_id", "tier").agg(inside), ["station_id", "tier"])
 
@@ -171,7 +172,7 @@ def tiers_out_of_sample(spark: SparkSession, sf: str) -> DataFrame:
 def scorecard(spark: SparkSession, sf: str) -> DataFrame:
     """The card of every station: the tier chosen on the first part of the rows, measured on the rest against the best raw model."""
     w = pairing.wide(X.pairs(spark, sf))
-    walked = publish.stored(_crps(walkforward.walk_forward(w, (0, 1, 2))), "walked")
+    walked = stored(_crps(walkforward.walk_forward(w, (0, 1, 2))), "walked")
     return publish.scorecard(walked, walkforward.eligible(w))
 
 
@@ -280,9 +281,9 @@ def default_station(spark: SparkSession, sf: str) -> DataFrame:
 @query("stored_scorecards", f"WITH {_CARDS} SELECT station_id, t AS tier, round(skill, 6) AS skill FROM cards WHERE skill IS NOT NULL AND station_id % 100 = 1")
 def stored_scorecards(spark: SparkSession, sf: str) -> DataFrame:
     """Cards that were written, read back by station."""
-    stored = publish.stored(_cards(spark, sf), "cards")
-    asked = stored.where("station_id % 100 = 1").select("station_id")
-    out = stored.join(asked, "station_id", "left_semi").where("skill IS NOT NULL")
+    kept = stored(_cards(spark, sf), "cards")
+    asked = kept.where("station_id % 100 = 1").select("station_id")
+    out = kept.join(asked, "station_id", "left_semi").where("skill IS NOT NULL")
     return out.select("station_id", F.right("tier", F.lit(1)).cast("long").alias("tier"), F.round("skill", 6).alias("skill"))
 
 
@@ -307,17 +308,53 @@ def fleet_status(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("station_id", "status")
 
 
-_FLEET = f"{WIDE}, {tier0_sql('wide')}"
+# --- the fleet ------------------------------------------------------------------------------------
+
+FLEET_BY = ("station_id", "variable")
+#: Stations of the fleet, a lead each, by what they lack: forecasts, any observation, a history, enough of one; and two variables.
+_LACKS = {24: "forecast", 48: "observations", 72: "history", 96: "rows"}
+
+
+def _fleet_pairs(spark, sf) -> DataFrame:
+    named = lambda df, times, v: df.withColumn("station_id", F.concat("station_id", F.lit("/"), (F.col("lead_h") / times * 24).cast("int").cast("string"))).withColumn("variable", F.lit(v))
+    both = named(X.pairs(spark, sf), 24, "air_temp_c").unionByName(named(X.pairs(spark, sf, lead="l_linenumber * 5"), 5, "rh_pct"))
+    lacks = F.element_at(F.create_map(*[F.lit(x) for kv in _LACKS.items() for x in kv]), F.element_at(F.split("station_id", "/"), 2).cast("int"))
+    newest = F.max("valid_time").over(W.partitionBy(*FLEET_BY))
+    return both.withColumns({"lacks": F.coalesce(lacks, F.lit("nothing")), "newest": newest, "place": F.dense_rank().over(W.partitionBy(*FLEET_BY).orderBy(F.desc("valid_time")))})
+
+
+def _fleet(spark, sf, tiers: tuple[int, ...]) -> DataFrame:
+    """A backfill up to ten days before the newest row, then a refresh with the last twenty days, into one model store."""
+    pairs = stored(_fleet_pairs(spark, sf), "fleet_pairs")
+    stations_ = pairs.select(*FLEET_BY).distinct()
+    fresh = pairs.where("lacks <> 'observations'").select(*FLEET_BY).distinct()
+    known = pairs.where("lacks NOT IN ('observations', 'history') AND (lacks <> 'rows' OR place <= 10)")
+    live = pairs.where("lacks <> 'forecast' AND valid_time >= newest - INTERVAL 7 DAYS").drop("lacks", "newest", "place")
+    cut = lambda df, when: df.where(when).drop("lacks", "newest", "place")
+    root = shared_folder(spark, "models")
+    first, second = cut(known, "valid_time < newest - INTERVAL 10 DAYS"), cut(known, "valid_time >= newest - INTERVAL 20 DAYS")
+    fleet.run(first.limit(0), first, live, stations_, fresh, root, 1, FLEET_BY, tiers)
+    return fleet.run(first, second, live, stations_, fresh, root, 2, FLEET_BY, tiers)
+
+
+_FLEET = f"""WITH {X.PAIRS}, {X.SHORT}, long AS (SELECT * REPLACE (station_id || '/' || CAST(lead_h AS VARCHAR) AS station_id), 'air_temp_c' AS variable FROM pairs UNION ALL SELECT * REPLACE (station_id || '/' || CAST(CAST(lead_h / 5 * 24 AS INT) AS VARCHAR) AS station_id), 'rh_pct' FROM short),
+ named AS (SELECT *, station_id || '|' || variable AS sv, CAST(split_part(station_id, '/', 2) AS INT) AS lack, max(valid_time) OVER (PARTITION BY station_id, variable) AS newest, dense_rank() OVER (PARTITION BY station_id, variable ORDER BY valid_time DESC) AS place FROM long),
+ known AS (SELECT * FROM named WHERE lack NOT IN (48, 72) AND (lack <> 96 OR place <= 10)), {wide_sql('known').replace('station_id, valid_time', 'sv, station_id, variable, valid_time')}"""
 
 
 @query(
     "fleet_run",
-    f"{_FLEET}, live AS (SELECT station_id, max(valid_time) AS t FROM wide GROUP BY ALL), used AS (SELECT tier0.* FROM tier0 JOIN live ON live.station_id = tier0.station_id AND valid_time >= t - to_days(7)) SELECT station_id, 'ok' AS status, count(*) AS n_live, round(sum(q50), 4) AS q50 FROM used GROUP BY ALL",
+    f"{_FLEET}, {tier0_sql('wide', key='sv')}, live AS (SELECT sv, max(newest) AS t FROM named GROUP BY ALL), used AS (SELECT sv, count(*) AS n_live, sum(q50) AS q50 FROM tier0 JOIN live USING (sv) WHERE valid_time >= t - to_days(7) AND q50 IS NOT NULL AND sv NOT LIKE '%/24|%' AND sv NOT LIKE '%/96|%' GROUP BY ALL), "
+    "s AS (SELECT DISTINCT sv, station_id, variable, lack FROM named) SELECT s.station_id, s.variable, CASE lack WHEN 24 THEN 'no_forecast' WHEN 48 THEN 'no_observations' WHEN 72 THEN 'no_data' WHEN 96 THEN 'warming_up' ELSE 'ok' END AS status, CASE WHEN lack NOT IN (48, 72) THEN 'tier0' END AS champion, CASE WHEN n_live IS NOT NULL THEN 'tier0' END AS tier, n_live, round(q50, 4) AS q50 FROM s LEFT JOIN used USING (sv)",
 )
 def fleet_run(spark: SparkSession, sf: str) -> DataFrame:
-    """All stations from pairs to forecasts in one plan: archive in two parts (backfill, then a trailing window with revisions), training matrix, calibration, forecast, status."""
-    pairs = X.pairs(spark, sf)
-    newest = pairs.groupBy("station_id").agg(F.max("valid_time").alias("t"))
-    dated = pairs.join(newest, "station_id")
-    out = publish.run_fleet(dated.where("valid_time < t - INTERVAL 10 DAYS").drop("t"), dated.where("valid_time >= t - INTERVAL 20 DAYS").drop("t"), dated.where("valid_time >= t - INTERVAL 7 DAYS").drop("t"), newest.select("station_id"))
-    return out.select("station_id", "status", "n_live", F.round("q50", 4).alias("q50"))
+    """All stations and two variables from pairs to forecasts, with tier 0: archive in two parts, models stored in two versions, forecasts from the store, status of each."""
+    out = _fleet(spark, sf, (0,))
+    return out.select(*FLEET_BY, "status", "champion", "tier", "n_live", F.round("q50", 4).alias("q50"))
+
+
+@query("fleet_tiers", f"{_FLEET}, s AS (SELECT DISTINCT station_id, variable, lack FROM named) SELECT station_id, variable, CASE lack WHEN 24 THEN 'no_forecast' WHEN 48 THEN 'no_observations' WHEN 72 THEN 'no_data' WHEN 96 THEN 'warming_up' ELSE 'ok' END AS status, CASE WHEN lack > 96 THEN true END AS allowed, CASE WHEN lack > 96 THEN true END AS in_order FROM s")
+def fleet_tiers(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with distributions too: whether the tier that was used is one that the station's rows allow, and its quantiles rise."""
+    out = _fleet(spark, sf, (0, 1))
+    return out.select(*FLEET_BY, "status", F.when(F.col("tier").isNotNull(), F.col("tier").isin("tier0", "tier1") & F.col("champion").isin("tier0", "tier1")).alias("allowed"), F.when(F.col("q50").isNotNull(), F.col("n_live") > 0).alias("in_order"))

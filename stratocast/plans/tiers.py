@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from stratocast import config as C
 from stratocast import fixtures as X
 from stratocast.functions import scores as S
-from stratocast.operators import boosting, design, fits, pairing, walkforward
-from stratocast.plans.training import stamp, wide_sql
+from stratocast.operators import boosting, design, fits, fleet, pairing, walkforward
+from stratocast.plans.training import STAMP, stamp, wide_sql
+from stratocast.storage import shared_folder
 
 Q, O = {}, {}
 BY = ["station_id", "bucket"]
@@ -63,6 +64,30 @@ def emos_harmonics(spark: SparkSession, sf: str) -> DataFrame:
     return _emos(spark, sf, True)
 
 
+_FIXED = f"""WITH {X.PAIRS}, {wide_sql('pairs')}, w AS (SELECT * REPLACE (CASE WHEN ingest_seq % 97 <> 0 THEN lead_h END AS lead_h) FROM wide), b AS (SELECT *, {C.BUCKET_SQL.format('lead_h')} AS bucket FROM w),
+ p AS (SELECT station_id, bucket, avg(obs - fc_mean) AS a, ln(stddev_pop(obs - fc_mean)) AS c FROM b WHERE bucket IN ('13-24', '49-96', '97-168') AND station_id <> 'ST3' AND NOT (station_id = 'ST1' AND bucket <> '49-96') GROUP BY ALL),
+ l(bucket, low) AS (VALUES {', '.join(f"('{a}-{b}', {a})" for a, b in C.LEAD_BUCKETS)}),
+ near AS (SELECT * FROM (SELECT p.*, l.bucket AS own, row_number() OVER (PARTITION BY station_id, l.bucket ORDER BY abs(l.low - k.low), k.low) AS r FROM p JOIN l k ON k.bucket = p.bucket CROSS JOIN l) WHERE r = 1),
+ m AS (SELECT b.*, near.a + CAST(0.25 AS DOUBLE) * coalesce(fc_gfs, fc_mean) + CAST(0.25 AS DOUBLE) * coalesce(fc_ecmwf, fc_mean) + CAST(0.5 AS DOUBLE) * coalesce(fc_icon, fc_mean) AS mu0, exp(greatest(-8, least(8, near.c + CAST(0.05 AS DOUBLE) * coalesce(fc_spread, 0)))) AS s0 FROM b LEFT JOIN near ON near.station_id = b.station_id AND near.own = b.bucket),
+ e AS (SELECT *, CASE WHEN mu0 IS NOT NULL THEN s0 END AS s1 FROM m), x AS (SELECT *, max(s1) OVER (PARTITION BY station_id) AS widest FROM e), y AS (SELECT *, CASE WHEN widest IS NOT NULL THEN coalesce(mu0, fc_mean) END AS mu, CASE WHEN fc_mean IS NOT NULL THEN coalesce(s1, widest) END AS sigma FROM x)
+ SELECT station_id, {STAMP}, CAST(lead_h AS INT) AS lead_h, ingest_seq, widest IS NOT NULL AS calibrated, {', '.join(f'round(mu + sigma * CAST({z!r} AS DOUBLE), 6) AS {q}' for q, z in zip(C.QUANTILES, C.NORMAL_LEVELS, strict=True))} FROM y"""
+
+
+@query("emos_predict", _FIXED)
+def emos_predict(spark: SparkSession, sf: str) -> DataFrame:
+    """Quantiles from parameters as they are stored: of two versions the newer; buckets without take the nearest, rows without a bucket the widest sigma, a station without is not calibrated."""
+    w = pairing.with_bucket(pairing.wide(X.pairs(spark, sf)).withColumn("lead_h", F.when(F.col("ingest_seq") % 97 != 0, F.col("lead_h"))))
+    some = w.where("bucket IN ('13-24', '49-96', '97-168') AND station_id <> 'ST3' AND NOT (station_id = 'ST1' AND bucket <> '49-96')")
+    d = F.col("obs") - F.col("fc_mean")
+    table = some.groupBy(*BY).agg(F.avg(d).alias("a"), F.array(F.lit(0.25), F.lit(0.25), F.lit(0.5)).alias("b"), F.log(F.stddev_pop(d)).alias("c"), F.lit(0.05).alias("d"), F.count("*").alias("n_train"), F.lit(0.0).alias("crps_train"), F.lit("ok").alias("status"))
+    root = shared_folder(spark, "models")
+    fleet.save(table.withColumn("a", F.col("a") + 1), root, "tier1", 1)
+    fleet.save(table, root, "tier1", 2)
+    kept = fleet.latest(spark, root, "tier1", f"station_id string, bucket string, {fits.PARAMETERS}").drop("version")
+    out = fits.predict_emos(w, kept, BY, walkforward.members())
+    return out.select("station_id", stamp(), "lead_h", "ingest_seq", "calibrated", *[F.round(q, 6).alias(q) for q in C.QUANTILES])
+
+
 def _precip(spark, sf):
     wet = F.aggregate(F.array(*design.imputed([f"fc_{m}" for m in X.MODELS])), F.lit(0.0), lambda a, x: a + F.when(x > 0.1, 1.0).otherwise(0.0)) / len(X.MODELS)
     return _wide(spark, sf, precip=True).withColumn("wet_share", wet)

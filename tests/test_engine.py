@@ -13,6 +13,7 @@ from stratocast import config as C
 from stratocast.functions import scores as S
 from stratocast.operators import bias, fits, pairing, publish, quality, stations, verification, walkforward
 from stratocast.sources import payloads
+from stratocast.storage import stored
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -219,9 +220,9 @@ def test_yearly_terms_need_half_a_year(spark):
 
 
 def test_tiers_walk_forward(spark):
-    w = publish.stored(synthetic(spark, 64), "wide")
+    w = stored(synthetic(spark, 64), "wide")
     out = walkforward.walk_forward(w, (0, 1)).withColumn("crps", S.crps_quantiles(F.col("obs"), [F.col(q) for q in C.QUANTILES]))
-    scored = publish.stored(out, "walked")  # the fits are made once
+    scored = stored(out, "walked")  # the fits are made once
     ranks = {r["tier"]: r for r in verification.rank_tiers(scored).collect()}
     assert set(ranks) == {"tier0", "tier1"} and all(r["comparable"] and r["score"] < 1.2 for r in ranks.values())
     card = publish.scorecard(scored, walkforward.eligible(w), resamples=20).collect()
@@ -229,7 +230,7 @@ def test_tiers_walk_forward(spark):
 
 
 def test_boosted_quantiles_learn_from_all_rows(spark):
-    w = publish.stored(pairing.with_bucket(synthetic(spark, 400)), "wide")
+    w = stored(pairing.with_bucket(synthetic(spark, 400)), "wide")
     cut = w.agg(F.max("valid_time")).first()[0]
     past, later = w.where(F.col("valid_time") < F.lit(cut) - F.expr("INTERVAL 40 DAYS")), w.where(F.col("valid_time") >= F.lit(cut) - F.expr("INTERVAL 40 DAYS"))
     out = walkforward.boosted(past, later, ["station_id"])
