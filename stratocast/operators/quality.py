@@ -82,4 +82,5 @@ def all_screens(obs: DataFrame) -> DataFrame:
 
 def increments(rows: DataFrame, total: str, out: str, scale: float = C.INCH) -> DataFrame:
     """Positive first differences of a running total, scaled; the first row of a station has none."""
-    return rows.withColumn(out, F.greatest(F.col(total) - F.lag(total).over(in_time()), F.lit(0.0)) * scale)
+    step = F.col(total) - F.lag(total).over(in_time())
+    return rows.withColumn(out, F.when(step.isNotNull(), F.greatest(step, F.lit(0.0))) * scale)

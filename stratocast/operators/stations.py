@@ -50,6 +50,11 @@ def in_box(frame: DataFrame, south: float, north: float, west: float, east: floa
     return frame.where(F.col("lat").between(south, north) & F.col("lon").between(west, east))
 
 
+def shown(found: DataFrame, most: int = 600) -> DataFrame:
+    """The stations that a map shows of those in its box, the first ``most`` by id, and how many there are in all (``total``)."""
+    return found.orderBy("id").limit(most).crossJoin(F.broadcast(found.agg(F.count("*").alias("total"))))  # one row
+
+
 def universe(frame: DataFrame, least_elevation: float, excluded: tuple[str, ...]) -> DataFrame:
     return frame.where((F.coalesce("elev_m", F.lit(-1.0)) >= least_elevation) & ~F.coalesce(F.col("country").isin(*excluded), F.lit(False)))
 
@@ -137,8 +142,9 @@ def overlay(baseline: DataFrame, fresh: DataFrame, registry: DataFrame | None =
     return out
 
 
-def state(skill: Column, low: Column, high: Column, status: Column) -> Column:
-    return F.when(status != "ok", "unavailable").when(skill.isNull(), "warming").when(low > 0, "beats").when(high < 0, "worse").otherwise("inconclusive")
+def state(skill: Column, beats: Column, status: Column) -> Column:
+    """No measurement yet and a measured loss are different things; a gain is one only where the whole interval lies above zero."""
+    return F.when(F.coalesce(status, F.lit("")) != "ok", "unavailable").when(skill.isNull(), "warming").when(F.coalesce(beats, F.lit(False)), "beats").when(skill > 0, "inconclusive").otherwise("worse")
 
 
 def skill_class(status: Column, beats: Column, skill: Column) -> Column:

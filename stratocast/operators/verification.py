@@ -123,14 +123,15 @@ def climatology(targets: DataFrame, obs: DataFrame, days: int = C.CLIMATE_DAYS,
 def bootstrap(daily: DataFrame, by: tuple[str, ...] = ("station_id",), resamples: int = C.RESAMPLES, block: int = C.BLOCK_DAYS, interval: float = C.INTERVAL) -> DataFrame:
     """Skill of ``a`` over ``b`` (daily scores with ``weight``) and its interval from resampled blocks of days.
 
-    Block starts come from a hash of station, resample and block, so that reruns agree. Days are few; they are indexed per station and met by equi-join.
+    Block starts come from md5 of station, resample and block, so that reruns agree, and other engines too. Days are few; they are indexed per station and met by equi-join.
     """
     group = W.partitionBy(*by)
     days = daily.withColumn("i", F.row_number().over(group.orderBy("day")) - 1).withColumn("n", F.count("*").over(group)).where("n >= 3")
     size = F.least(F.lit(block), F.col("n"))
     draws = days.select(*by, "n").distinct().withColumn("size", size).withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))))
     draws = draws.withColumn("block", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / F.col("size")).cast("int") - 1)))
-    start = F.pmod(F.xxhash64(*by, "r", "block"), F.greatest(F.lit(1), F.col("n") - F.col("size") + 1))
+    drawn_by = F.conv(F.substring(F.md5(F.concat_ws("|", *by, "r", "block")), 1, 8), 16, 10).cast("long")
+    start = F.pmod(drawn_by, F.greatest(F.lit(1), F.col("n") - F.col("size") + 1))
     drawn = draws.withColumn("start", start).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("size").cast("int") - 1)))
     drawn = drawn.where(F.col("block") * F.col("size") + F.col("o") < F.col("n")).select(*by, "r", (F.col("start") + F.col("o")).cast("int").alias("i"))
     sums = lambda d, keys: d.groupBy(*keys).agg(F.sum(F.col("a") * F.col("weight")).alias("sa"), F.sum(F.col("b") * F.col("weight")).alias("sb")).withColumn("skill", F.when(F.col("sb") > 0, 1 - F.col("sa") / F.col("sb")))
@@ -139,6 +140,12 @@ def bootstrap(daily: DataFrame, by: tuple[str, ...] = ("station_id",), resamples
     return sums(days, by).select(*by, "skill").join(spread, list(by))
 
 
+def one_source(scored: DataFrame, by: tuple[str, ...] = ("station_id",), models: tuple[str, ...] = MODELS) -> DataFrame:
+    """Rows of two lead sources at one time and lead with the observation and raw models of the last source, so that each is compared with the same ones."""
+    same = W.partitionBy(*by, "valid_time", "lead_h").orderBy("lead_source").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    return scored.withColumns({c: F.last(c).over(same) for c in ("obs", *[f"fc_{m}" for m in models])})
+
+
 def pit_bin(p: Column, bins: int = C.PIT_BINS) -> Column:
     return F.least(F.floor(p * bins), F.lit(bins - 1)).cast("int")
 

@@ -230,8 +230,8 @@ def observation_history(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _SOURCES = (
-    f"WITH {X.REPORTS}, {HOURLY}, u AS (SELECT station_id, valid_time, air_temp_c, 0 AS k FROM hourly WHERE hour(valid_time) % 2 = 0 UNION ALL SELECT station_id, valid_time, air_temp_c + 1, 1 FROM hourly WHERE hour(valid_time) % 3 = 0 UNION ALL SELECT station_id, valid_time, air_temp_c * 3, 2 FROM hourly), "
-    "m AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY station_id, valid_time ORDER BY k) = 1)"
+    f"WITH {X.REPORTS}, {HOURLY}, u AS (SELECT station_id, valid_time, air_temp_c, 0 AS k FROM hourly WHERE hour(valid_time) % 2 = 0 UNION ALL SELECT station_id, valid_time, air_temp_c + 1, 1 FROM hourly WHERE hour(valid_time) % 3 = 0 UNION ALL SELECT station_id, valid_time, air_temp_c * 3, 2 FROM hourly WHERE hour(valid_time) % 4 <> 0), "
+    "m AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY station_id, valid_time ORDER BY CASE k WHEN 2 THEN 0 WHEN 0 THEN 1 ELSE 2 END) = 1)"
 )
 
 
@@ -243,7 +243,7 @@ def observation_union(spark: SparkSession, sf: str) -> DataFrame:
     table = h.select("station_id").distinct().select(F.col("station_id").alias("id"), F.concat(F.lit("K"), F.right("station_id", F.lit(1))).alias("nws_id"), F.concat(F.lit("G"), F.right("station_id", F.lit(1))).alias("ghcnh_id"))
     parts = {
         "iem": h.where("hour(valid_time) % 3 = 0").withColumn("air_temp_c", F.col("air_temp_c") + 1),
-        "ghcnh": h.withColumns({"station_id": F.concat(F.lit("GHCNH:G"), F.right("station_id", F.lit(1))), "air_temp_c": F.col("air_temp_c") * 3}),
+        "ghcnh": h.where("hour(valid_time) % 4 <> 0").withColumns({"station_id": F.concat(F.lit("GHCNH:G"), F.right("station_id", F.lit(1))), "air_temp_c": F.col("air_temp_c") * 3}),
         "nws": h.where("hour(valid_time) % 2 = 0").withColumn("station_id", own),
     }
     out = quality.range_screen(archive.gather(parts, table))
@@ -325,3 +325,21 @@ def meteostat_observations(spark: SparkSession, sf: str) -> DataFrame:
     return _read_back(payloads.yearly_csv(spark, f"{path}/*/*", "2024-01-05", "2024-01-25", station=r"/s=([^/]+)/", prefix="MS:Z"))
 
 
+
+
+@query(
+    "snow_telemetry",
+    f"WITH {X.REPORTS}, k AS (SELECT station_id, date_trunc('hour', valid) AS valid_time, max(relh) AS total, max(round(tmpc * 9 / 5 + 32, 3)) AS f FROM reports WHERE relh IS NOT NULL OR tmpc IS NOT NULL GROUP BY ALL) "
+    f"SELECT station_id, {STAMP}, round((f - 32) * 5 / 9, 6) AS air_temp_c, round(CASE WHEN total - lag(total) OVER (PARTITION BY station_id ORDER BY valid_time) IS NOT NULL THEN greatest(total - lag(total) OVER (PARTITION BY station_id ORDER BY valid_time), 0) END * CAST(25.4 AS DOUBLE), 6) AS precip_1h_mm FROM k",
+)
+def snow_telemetry(spark: SparkSession, sf: str) -> DataFrame:
+    """Element series of many sites in many payloads, one a site and week, read to hours: the running total's increments cross the payloads, and its resets count as nothing."""
+    r = X.reports(spark, sf).where("relh IS NOT NULL OR tmpc IS NOT NULL")
+    series = [F.struct(F.lit("TOBS").alias("code"), F.round(F.col("tmpc") * 9 / 5 + 32, 3).alias("value")), F.struct(F.lit("PREC").alias("code"), F.col("relh").alias("value"))]
+    long = r.select("station_id", "valid", F.date_trunc("week", "valid").alias("week"), F.explode(F.array(*series)).alias("e")).select("station_id", "valid", "week", "e.*").where("value IS NOT NULL")
+    values = long.groupBy("station_id", "week", "code").agg(F.collect_list(F.struct(F.date_format("valid", "yyyy-MM-dd HH:mm").alias("date"), "value")).alias("values"))
+    data = values.groupBy("station_id", "week").agg(F.collect_list(F.struct(F.struct(F.col("code").alias("elementCode")).alias("stationElement"), "values")).alias("data"))
+    path = shared_folder(spark, "snow")
+    data.select(F.to_json(F.struct(F.col("station_id").alias("stationTriplet"), "data"))).write.text(path)
+    out = payloads.snow_telemetry(spark, path, lines=True)
+    return out.select("station_id", stamp(), F.round("air_temp_c", 6).alias("air_temp_c"), F.round("precip_1h_mm", 6).alias("precip_1h_mm"))

@@ -109,10 +109,10 @@ def token_search(spark: SparkSession, sf: str) -> DataFrame:
     return stations.search(X.stations(spark, sf).join(_known(spark, sf), "id", "left_anti"), "customer NWS", 40).select("id", "name")
 
 
-@query("bbox_select", f"{ST}, {_KNOWN} SELECT id, lat, lon, count(*) OVER () AS total FROM stations ANTI JOIN known USING (id) WHERE lat BETWEEN 30 AND 45 AND lon BETWEEN -110 AND -80")
+@query("bbox_select", f"{ST}, {_KNOWN} SELECT id, lat, lon, count(*) OVER () AS total FROM stations ANTI JOIN known USING (id) WHERE lat BETWEEN 30 AND 45 AND lon BETWEEN -110 AND -80 ORDER BY id LIMIT 600")
 def bbox_select(spark: SparkSession, sf: str) -> DataFrame:
     found = stations.in_box(X.stations(spark, sf).join(_known(spark, sf), "id", "left_anti"), 30.0, 45.0, -110.0, -80.0).select("id", "lat", "lon")
-    return found.crossJoin(F.broadcast(found.agg(F.count("*").alias("total"))))  # one row
+    return stations.shown(found)
 
 
 @query("network_counts", f"{ST} SELECT {NETWORK} AS network, count(*) AS n, count(nws_id) AS n_nws, count(elev_m) AS n_elevation FROM stations GROUP BY ALL")
@@ -136,10 +136,10 @@ def index_overlay(spark: SparkSession, sf: str) -> DataFrame:
     return stations.overlay(base, e.where("seq % 2 = 0")).select("id", "seq", "status", "skill")
 
 
-@query("station_state", "WITH s AS (SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'F' THEN 'no_data' ELSE 'ok' END AS status, CASE WHEN o_orderkey % 7 <> 0 THEN (o_totalprice - 250000) / 1000000 END AS skill FROM orders) SELECT id, CASE WHEN status <> 'ok' THEN 'unavailable' WHEN skill IS NULL THEN 'warming' WHEN skill - 0.05 > 0 THEN 'beats' WHEN skill + 0.05 < 0 THEN 'worse' ELSE 'inconclusive' END AS state FROM s")
+@query("station_state", "WITH s AS (SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'F' THEN 'no_data' ELSE 'ok' END AS status, CASE WHEN o_orderkey % 7 <> 0 THEN (o_totalprice - 250000) / 1000000 END AS skill FROM orders) SELECT id, CASE WHEN status <> 'ok' THEN 'unavailable' WHEN skill IS NULL THEN 'warming' WHEN skill - 0.05 > 0 THEN 'beats' WHEN skill > 0 THEN 'inconclusive' ELSE 'worse' END AS state FROM s")
 def station_state(spark: SparkSession, sf: str) -> DataFrame:
     o = spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderkey").alias("id"), F.when(F.col("o_orderstatus") == "F", "no_data").otherwise("ok").alias("status"), F.when(F.col("o_orderkey") % 7 != 0, (F.col("o_totalprice") - 250000) / 1000000).alias("skill"))
-    return o.select("id", stations.state(F.col("skill"), F.col("skill") - 0.05, F.col("skill") + 0.05, F.col("status")).alias("state"))
+    return o.select("id", stations.state(F.col("skill"), F.col("skill") - 0.05 > 0, F.col("status")).alias("state"))
 
 
 # --- selection ------------------------------------------------------------------------------------
@@ -186,13 +186,13 @@ def champion(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "training_plan",
-    f"{WIDE}, {_CHOSEN} SELECT g.station_id, g.lead_h, g.n, 'ok' AS status, x.champion, array_to_string(list_distinct(list_concat([x.champion], list_filter(['tier1', 'tier0'], lambda t: list_contains(list_transform(tiers, lambda k: 'tier' || k), t) AND t <> x.champion))), ',') IS NOT NULL AS fits FROM g JOIN (SELECT station_id, lead_h, CASE WHEN lead_h % 72 <> 0 THEN c.champion WHEN list_contains(list_transform(tiers, lambda k: 'tier' || k), incumbent) THEN incumbent ELSE 'tier' || tiers[-1] END AS champion FROM c JOIN g USING (station_id, lead_h)) x USING (station_id, lead_h)",
+    f"{WIDE}, {_CHOSEN} SELECT g.station_id, g.lead_h, g.n, 'ok' AS status, x.champion, array_to_string(list_concat([x.champion], list_filter(['tier1', 'tier0'], lambda t: list_contains(list_transform(tiers, lambda k: 'tier' || k), t) AND t <> x.champion)), ',') AS to_fit FROM g JOIN (SELECT station_id, lead_h, CASE WHEN lead_h % 72 <> 0 THEN c.champion WHEN list_contains(list_transform(tiers, lambda k: 'tier' || k), incumbent) THEN incumbent ELSE 'tier' || tiers[-1] END AS champion FROM c JOIN g USING (station_id, lead_h)) x USING (station_id, lead_h)",
 )
 def training_plan(spark: SparkSession, sf: str) -> DataFrame:
     """What is to be fitted: by the new decision where there is one, else by the last."""
     decided = _chosen(spark, sf).withColumns({"previous": F.col("incumbent"), "champion": F.when(F.col("lead_h") % 72 != 0, F.col("champion"))})
     out = walkforward.training_plan(_gates(spark, sf), decided, ("station_id", "lead_h"))
-    return out.select("station_id", "lead_h", "n", "status", "champion", F.col("to_fit").isNotNull().alias("fits"))
+    return out.select("station_id", "lead_h", "n", "status", "champion", F.array_join("to_fit", ",").alias("to_fit"))
 
 
 @query("prediction_fallback", f"{WIDE}, v AS (SELECT station_id, valid_time, lead_h, unnest([{{'p': 0, 'tier': 'icon', 'q': fc_icon}}, {{'p': 1, 'tier': 'ecmwf', 'q': CASE WHEN ingest_seq % 3 <> 0 THEN fc_ecmwf END}}, {{'p': 2, 'tier': 'gfs', 'q': fc_gfs}}]) AS t FROM wide) SELECT station_id, {STAMP}, lead_h, t.tier AS tier, round(t.q, 6) AS q50 FROM v WHERE t.q IS NOT NULL QUALIFY row_number() OVER (PARTITION BY station_id, v.valid_time, lead_h ORDER BY t.p) = 1")

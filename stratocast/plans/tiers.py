@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from stratocast import config as C
 from stratocast import fixtures as X
 from stratocast.functions import scores as S
-from stratocast.operators import boosting, design, fits, fleet, pairing, walkforward
+from stratocast.operators import boosting, coldstart, design, fits, fleet, pairing, walkforward
 from stratocast.plans.training import STAMP, stamp, wide_sql
-from stratocast.storage import shared_folder
+from stratocast.storage import shared_folder, stored
 
 Q, O = {}, {}
 BY = ["station_id", "bucket"]
@@ -160,17 +160,23 @@ def boosted_quantiles(spark: SparkSession, sf: str) -> DataFrame:
     return out.groupBy("station_id", "level").agg(F.count("*").alias("n"), F.avg(F.greatest(F.col("level") * d, (F.col("level") - 1) * d)).alias("pinball"))
 
 
+_INSTANT = "CASE WHEN station_id IN ('ST2', 'ST3') THEN 'long' WHEN station_id = 'ST0' THEN 'middle' ELSE 'short' END"
+
+
 @query(
     "cold_start_calibration",
-    f"WITH {X.PAIRS}, {wide_sql('pairs')}, l AS (SELECT *, epoch(max(valid_time) OVER (PARTITION BY station_id, lead_h)) - epoch(valid_time) AS age FROM wide), w AS (SELECT *, fc_mean - obs AS e FROM l WHERE age <= 60 * 86400), "
-    "b AS (SELECT station_id, lead_h, avg(e) AS bias, count(*) AS n FROM w GROUP BY ALL HAVING count(*) >= 24), r AS (SELECT w.station_id, w.lead_h, n, bias, list_sort(list(obs - (fc_mean - bias))) AS res FROM w JOIN b USING (station_id, lead_h) GROUP BY ALL) "
-    "SELECT station_id, lead_h, n, round(bias, 12) AS bias, " + ", ".join(f"round(res[CAST(floor(CAST({q} AS DOUBLE) * (n - 1) + CAST(0.5 AS DOUBLE)) AS INT) + 1], 12) AS {k}" for q, k in zip(C.LEVELS, C.QUANTILES, strict=True)) + " FROM r",
+    f"WITH {X.PAIRS}, {wide_sql('pairs')}, g AS (SELECT * REPLACE ({_INSTANT} AS station_id), 'ST' AS was, station_id AS st FROM wide WHERE station_id <> 'ST1' OR lead_h <= 48), m AS (SELECT *, epoch(max(valid_time) OVER (PARTITION BY station_id)) - epoch(valid_time) AS age FROM g), d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY valid_time DESC, lead_h, st, ingest_seq) AS place FROM m WHERE age <= 7 * 86400) WHERE station_id <> 'middle' OR place <= 60), "
+    "k AS (SELECT station_id, count(*) AS n, avg(fc_mean - obs) AS bias FROM d GROUP BY station_id HAVING count(*) >= 24), r AS (SELECT d.station_id, any_value(k.n) AS n, any_value(bias) AS bias, list_sort(list(obs - (fc_mean - bias))) AS res FROM d JOIN k ON k.station_id = d.station_id GROUP BY d.station_id), "
+    "f AS (SELECT r.station_id, r.n, CASE WHEN r.n >= 72 THEN 'emos' ELSE 'bias' END AS branch, " + ", ".join(f"least(20, greatest(4, fc_mean - bias + res[CAST(floor(CAST({q} AS DOUBLE) * (r.n - 1) + CAST(0.5 AS DOUBLE)) AS INT) + 1])) AS {k}" for q, k in zip(C.LEVELS, C.QUANTILES, strict=True)) + " FROM r JOIN d ON d.station_id = r.station_id) "
+    "SELECT station_id, branch, n, count(*) AS rows, true AS in_order, " + ", ".join(f"CASE WHEN branch = 'bias' THEN round(sum({k}), 6) END AS {k}" for k in C.QUANTILES) + " FROM f GROUP BY station_id, branch, n",
 )
 def cold_start_calibration(spark: SparkSession, sf: str) -> DataFrame:
-    """Mean bias and nearest-rank residuals of a short recent window, for stations without an archive."""
-    by = ["station_id", "lead_h"]
-    w = pairing.wide(X.pairs(spark, sf)).withColumn("age", F.unix_timestamp(F.max("valid_time").over(W.partitionBy(*by))) - F.unix_timestamp("valid_time")).where(f"age <= {60 * 86400}")
-    w = w.withColumn("bias", F.avg(F.col("fc_mean") - F.col("obs")).over(W.partitionBy(*by)))
-    out = w.groupBy(*by).agg(F.count("*").alias("n"), F.first("bias").alias("bias"), F.sort_array(F.collect_list(F.col("obs") - (F.col("fc_mean") - F.col("bias")))).alias("res")).where("n >= 24")
-    rank = lambda q: (F.floor(q * (F.col("n") - 1) + 0.5) + 1).cast("int")
-    return out.select(*by, "n", F.round("bias", 12).alias("bias"), *[F.round(F.element_at("res", rank(q)), 12).alias(k) for q, k in zip(C.LEVELS, C.QUANTILES, strict=True)])
+    """The last week of three groups of stations, of which one has enough for a distribution, one for a bias, and one for neither on small tables; bounded and summed over the week's forecasts."""
+    st = F.col("station_id")
+    group = F.when(st.isin("ST2", "ST3"), "long").when(st == "ST0", "middle").otherwise("short")
+    w = pairing.wide(X.pairs(spark, sf)).where("station_id <> 'ST1' OR lead_h <= 48").withColumn("st", st).withColumn("station_id", group)
+    week = coldstart.recent(w, ["station_id"]).withColumn("place", F.row_number().over(W.partitionBy("station_id").orderBy(F.desc("valid_time"), "lead_h", "st", "ingest_seq")))
+    week = stored(week.where("station_id <> 'middle' OR place <= 60").withColumn("n", F.count("*").over(W.partitionBy("station_id"))), "week")
+    out = coldstart.predict(week.drop("n"), coldstart.fit(week, ["station_id"]), ["station_id"], 4.0, 20.0)
+    rising = F.min((F.col("q05") <= F.col("q25")) & (F.col("q25") <= F.col("q50")) & (F.col("q50") <= F.col("q75")) & (F.col("q75") <= F.col("q95")))
+    return out.groupBy("station_id", "branch", "n").agg(F.count("*").alias("rows"), rising.alias("in_order"), *[F.round(F.sum(F.when(F.col("branch") == "bias", F.col(q))), 6).alias(q) for q in C.QUANTILES])

@@ -115,11 +115,11 @@ def hourly_dedupe(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "cumulative_increment",
-    f"WITH {X.REPORTS}, {HOURLY} SELECT station_id, {STAMP}, round(coalesce(greatest(relative_humidity_pct - lag(relative_humidity_pct) OVER (PARTITION BY station_id ORDER BY valid_time), 0), 0) * CAST(25.4 AS DOUBLE), 6) AS precip_1h_mm FROM hourly WHERE relative_humidity_pct IS NOT NULL",
+    f"WITH {X.REPORTS}, {HOURLY} SELECT station_id, {STAMP}, round(CASE WHEN lag(relative_humidity_pct) OVER (PARTITION BY station_id ORDER BY valid_time) IS NOT NULL THEN greatest(relative_humidity_pct - lag(relative_humidity_pct) OVER (PARTITION BY station_id ORDER BY valid_time), 0) END * CAST(25.4 AS DOUBLE), 6) AS precip_1h_mm FROM hourly WHERE relative_humidity_pct IS NOT NULL",
 )
 def cumulative_increment(spark: SparkSession, sf: str) -> DataFrame:
-    rows = quality.hourly(X.reports(spark, sf)).where("relative_humidity_pct IS NOT NULL").withColumnRenamed("relative_humidity_pct", "total").drop("precip_1h_mm")
-    out = rows.withColumn("precip_1h_mm", F.when(F.lag("total").over(quality.in_time()).isNotNull(), F.greatest(F.col("total") - F.lag("total").over(quality.in_time()), F.lit(0.0)) * C.INCH).otherwise(0.0))
+    rows = quality.hourly(X.reports(spark, sf)).where("relative_humidity_pct IS NOT NULL").withColumnRenamed("relative_humidity_pct", "total")
+    out = quality.increments(rows, "total", "precip_1h_mm")
     return out.select("station_id", stamp(), F.round("precip_1h_mm", 6).alias("precip_1h_mm"))
 
 

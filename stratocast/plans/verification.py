@@ -325,9 +325,17 @@ def bootstrap_point(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("station_id", F.round("skill", 5).alias("skill"))
 
 
-@query("bootstrap_interval")
+@query(
+    "bootstrap_interval",
+    f"{PICK}, d0 AS (SELECT l.station_id, day, avg(crps) AS a, avg(raw) AS b, count(*) AS w FROM long l JOIN pick p ON p.station_id = l.station_id AND p.model = l.model WHERE raw IS NOT NULL GROUP BY ALL), d AS (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY day) - 1 AS i, count(*) OVER (PARTITION BY station_id) AS n FROM d0), "
+    f"s AS (SELECT DISTINCT station_id, n, least({C.BLOCK_DAYS}, n) AS size FROM d WHERE n >= 3), r AS (SELECT *, unnest(range({C.RESAMPLES})) AS r FROM s), k AS (SELECT *, unnest(range(CAST(ceil(n / size) AS INT))) AS block FROM r), "
+    "t AS (SELECT *, ('0x' || substr(md5(station_id || '|' || r || '|' || block), 1, 8))::BIGINT % greatest(1, n - size + 1) AS start FROM k), o AS (SELECT *, unnest(range(CAST(size AS INT))) AS o FROM t), x AS (SELECT station_id, r, start + o AS i FROM o WHERE block * size + o < n), "
+    "y AS (SELECT station_id, r, 1 - sum(a * w) / sum(b * w) AS skill FROM x JOIN d USING (station_id, i) GROUP BY ALL), z AS (SELECT station_id, quantile_cont(skill, [0.05, 0.95]) AS q FROM y GROUP BY ALL), p0 AS (SELECT station_id, 1 - sum(a * w) / sum(b * w) AS skill FROM d GROUP BY ALL) "
+    "SELECT station_id, round(skill, 5) AS skill, round(q[1], 5) AS low, round(q[2], 5) AS high FROM p0 JOIN z USING (station_id)",
+)
 def bootstrap_interval(spark: SparkSession, sf: str) -> DataFrame:
-    return verification.bootstrap(_daily(spark, sf))
+    out = verification.bootstrap(_daily(spark, sf))
+    return out.select("station_id", *[F.round(c, 5).alias(c) for c in ("skill", "low", "high")])
 
 
 _FOLDED = f"{WIDE}, {FOLDS}, train0 AS (SELECT w.*, fold, origin, w.station_id || '/' || fold AS sf FROM wide w JOIN folds f ON f.station_id = w.station_id AND valid_time < origin), tested AS (SELECT station_id, fold FROM wide JOIN folds USING (station_id) WHERE valid_time >= origin AND valid_time < \"end\" GROUP BY ALL HAVING count(*) >= 5), enough AS (SELECT station_id, fold FROM train0 SEMI JOIN tested USING (station_id, fold) GROUP BY ALL HAVING count(*) >= 100)"

@@ -10,8 +10,8 @@ from stratocast import config as C
 from stratocast.operators import quality
 
 COLUMNS = ("station", "valid", "tmpc", "dwpc", "relh", "sknt", "gust", "drct", "p01m")
-#: Of two sources that report an hour, the first listed is believed.
-SOURCES = ("nws", "iem", "asos", "synoptic", "snotel", "ghcnh", "meteostat")
+#: Of two sources that report an hour, the first listed is believed: the global hourly files, then the weather service, then the station's own network.
+SOURCES = ("ghcnh", "nws", "iem", "asos", "synoptic", "snotel", "meteostat")
 
 
 def scan(spark: SparkSession, path: str, wanted: DataFrame, start: str, end: str, through: bool = False, merge: bool = False) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stratocast import config as C
+from stratocast.operators import quality
 
 OBS = ("station_id", "valid_time", "air_temp_c", "dewpoint_c", "relative_humidity_pct", "wind_speed_ms", "wind_gust_ms", "wind_dir_deg", "precip_1h_mm", "source")
 
@@ -59,13 +60,15 @@ def piped_observations(spark: SparkSession, path: str, start: str, end: str) ->
     return finished(hourly_means(inside, (), ()), "ghcnh")
 
 
-def snow_telemetry(spark: SparkSession, path: str) -> DataFrame:
+def snow_telemetry(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Sites with element series: temperature in Fahrenheit, precipitation as a running total in inches."""
     schema = "stationTriplet string, data array<struct<stationElement:struct<elementCode:string>,values:array<struct<date:string,value:double>>>>"
-    flat = spark.read.schema(schema).json(path, multiLine=True).select("stationTriplet", F.explode("data").alias("d")).select("stationTriplet", F.col("d.stationElement.elementCode").alias("code"), F.explode("d.values").alias("v"))
-    wide = flat.groupBy(F.col("stationTriplet").alias("station_id"), F.date_trunc("hour", F.to_timestamp("v.date")).alias("valid_time")).pivot("code", ["TOBS", "PREC"]).agg(F.first("v.value", ignorenulls=True))
-    step = F.col("PREC") - F.lag("PREC").over(W.partitionBy("station_id").orderBy("valid_time"))
-    return finished(wide.select("station_id", "valid_time", fahrenheit(F.col("TOBS")).alias("air_temp_c"), F.when(step.isNotNull(), F.greatest(step, F.lit(0.0)) * C.INCH).alias("precip_1h_mm")), "snotel")
+    flat = spark.read.schema(schema).json(path, multiLine=not lines).select("stationTriplet", F.explode("data").alias("d")).select("stationTriplet", F.col("d.stationElement.elementCode").alias("code"), F.explode("d.values").alias("v"))
+    known = flat.where("stationTriplet IS NOT NULL AND v.value IS NOT NULL").select(F.col("stationTriplet").alias("station_id"), F.date_trunc("hour", F.to_timestamp("v.date")).alias("valid_time"), "code", F.col("v.value").alias("value"))
+    # A reading that several payloads have counts once, the largest: increments run across payloads, since they are taken of a site's whole series.
+    wide = known.groupBy("station_id", "valid_time").agg(*[F.max(F.when(F.col("code") == c, F.col("value"))).alias(c) for c in ("TOBS", "PREC")])
+    stepped = quality.increments(wide, "PREC", "precip_1h_mm")
+    return finished(stepped.select("station_id", "valid_time", fahrenheit(F.col("TOBS")).alias("air_temp_c"), "precip_1h_mm"), "snotel")
 
 
 def csv_reports(spark: SparkSession, path: str) -> DataFrame:
