@@ -113,7 +113,11 @@ def anchors(templates=TEMPLATES, threshold: float = THRESHOLD) -> Column:
     Such a passage lacks few of the template's bigrams, so it has one of the longest words, of which as many are asked for as more bigrams contain; and, since every bigram has two ends, so many different
     words that their bigrams add up to twice those that it must share. The second is asked of short templates, whose words are common.
     """
-    folded = F.lower("text")
+    # The text is folded once: what a lambda gets is a value, while a column would be folded for every word.
+    return F.exists(F.array(F.lower("text")), lambda folded: _signs(folded, templates, threshold))
+
+
+def _signs(folded: Column, templates, threshold: float) -> Column:
     has = lambda w: F.contains(folded, F.lit(w))
     chosen: set[str] = set()
     each: list[Column] = []
@@ -138,14 +142,14 @@ def anchors(templates=TEMPLATES, threshold: float = THRESHOLD) -> Column:
 
 def match_licenses(docs: DataFrame, templates: DataFrame, signs: Column | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, template, dice, start) of every document and template with a window at or above the threshold: the best one's coefficient, and its first word; ``signs`` is what ``anchors`` gives of the same templates."""
-    rows = docs.where("text IS NOT NULL").where(F.lit(True) if signs is None else signs).select("doc_id", F.xxhash64("text").alias("which"), "text")
-    # Texts are dealt once, by document; all that follows of a document stays where it is.
-    some = rows.repartition("doc_id", "which").dropDuplicates(["doc_id", "which"]).select("doc_id", "which", bigrams(F.col("text")).alias("grams"))
+    rows = docs.where("text IS NOT NULL").where(F.lit(True) if signs is None else signs).select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text")
+    # Texts are dealt once, by row; all that follows of a text stays where it is. Rows that repeat are one.
+    some = rows.repartition("row").dropDuplicates(["row"])
     few = templates.count() <= 100_000
-    each = some.select("doc_id", "which", F.posexplode("grams").alias("i", "gram"))
+    each = some.select("doc_id", "row", F.posexplode(bigrams(F.col("text"))).alias("i", "gram"))
     hits = each.join(F.broadcast(templates) if few else templates, "gram")
     # How many bigrams of the template a window has, of those that differ. Windows begin where one of these lies: a place adds to all windows from the last place of the same bigram on that reach it.
-    place = ["doc_id", "which", "template"]
+    place = ["row", "doc_id", "template"]
     same = F.lag("i").over(W.partitionBy(*place, "gram").orderBy("i"))
     facts = ["long", "m", "low", "high"]
     hits = hits.withColumn("after", F.greatest(F.coalesce(same, F.lit(-1)), F.col("i") - F.col("long")))
@@ -153,7 +157,7 @@ def match_licenses(docs: DataFrame, templates: DataFrame, signs: Column | None =
     steps = hits.select(*place, *facts, F.explode(events).alias("e")).select(*place, *facts, "e.*")
     common = F.sum("step").over(W.partitionBy(*place).orderBy("at").rangeBetween(W.unboundedPreceding, W.currentRow))
     found = steps.withColumn("common", common).where("i IS NOT NULL AND common >= low")
-    met = found.join(some.withColumnsRenamed({"doc_id": "__doc", "which": "__which"}), F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("which") == F.col("__which")))
+    met = found.join(some.select("row", "text"), "row").withColumn("grams", bigrams(F.col("text")))
     n = F.size(F.array_distinct(F.slice("grams", F.col("i") + 1, F.col("long"))))
     sized = met.withColumn("n", n).where(F.col("n").between(F.col("low"), F.col("high"))).withColumn("dice", 2.0 * F.col("common") / (F.col("n") + F.col("m")))
     best = sized.where(F.col("dice") >= threshold - 1e-12).groupBy("doc_id", "template").agg(F.min(F.struct((-F.col("dice")).alias("worst"), "i")).alias("b"))
