@@ -5,12 +5,15 @@ A fold is a key like the station; all folds of all stations are fitted in one pa
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stratocast import config as C
 from stratocast.fixtures import MODELS
+from stratocast.functions.scores import clamped
 from stratocast.operators import bias, boosting, design, fits, pairing, verification
 from stratocast.storage import stored
 
@@ -48,42 +51,90 @@ def boosted(train: DataFrame, test: DataFrame, by: list[str]) -> DataFrame:
     return out.withColumns({q: F.col("__q")[i] for i, q in enumerate(C.QUANTILES)}).drop("__q")
 
 
-def _published(out: DataFrame, tier: int, keys: tuple[str, ...]) -> DataFrame:
-    kept = [*keys, *[c for c in pairing.KEY if c not in keys], "bucket", "ingest_seq", "obs", "fc_mean", *[f"fc_{m}" for m in MODELS], *C.QUANTILES, "calibrated"]
+class Kind(NamedTuple):
+    """How a variable is fitted: its distribution, and the bounds of its quantiles."""
+
+    family: str = "normal"
+    low: float | None = None
+    high: float | None = None
+
+
+def kinds(variables: tuple[str, ...] = C.VARIABLES) -> dict[Kind, list[str]]:
+    """Variables by how they are fitted."""
+    out: dict[Kind, list[str]] = {}
+    for v in variables:
+        low, high = C.BOUNDS.get(v, (None, None))
+        family = "rain" if v == "precip_1h_mm" else "truncated" if low == 0.0 and high is None else "normal"
+        out.setdefault(Kind(family, low, high), []).append(v)
+    return out
+
+
+def rain(train: DataFrame, test: DataFrame, by: list[str]) -> DataFrame:
+    """Tiers 1 and 2 of precipitation: chance of rain and mapped amounts per bucket, of the nearest bucket where one has none; ``p_occ`` beside the quantiles."""
+    wet = F.aggregate(F.array(*members()), F.lit(0.0), lambda a, x: a + F.when(x > C.OCCURRENCE, 1.0).otherwise(0.0)) / len(MODELS)
+    train, test = train.withColumn("wet_share", wet), test.withColumn("wet_share", wet)
+    keys = [k for k in by if k != "bucket"]
+    fitted = fits.fit_occurrence(train, by).drop("n_train", "base_rate").join(fits.amount_map(train, by), by).withColumnRenamed("bucket", "fitted_bucket")
+    fitted = stored(fitted, "rain")
+    near = design.nearest_bucket(fitted.select(*keys, "fitted_bucket"), keys).join(fitted, [*keys, "fitted_bucket"])
+    out = test.join(near, by, "left")
+    p = fits.chance([F.col("fc_mean"), F.col("wet_share")], [F.col("t0"), F.col("t1"), F.col("t2")])
+    out = out.withColumn("p_occ", p).withColumn("calibrated", F.col("t0").isNotNull())
+    values = fits.precip_quantiles(F.col("p_occ"), fits.mapped(F.col("fc_mean"), F.col("map_f"), F.col("map_o")))
+    return out.withColumns({q: F.when(F.col("p_occ").isNotNull(), v) for q, v in zip(C.QUANTILES, values, strict=True)}).drop("t0", "t1", "t2", "map_f", "map_o", "fitted_bucket", "wet_share")
+
+
+def _published(out: DataFrame, tier: int, keys: tuple[str, ...], kind: Kind) -> DataFrame:
+    if tier and (kind.low is not None or kind.high is not None):
+        out = out.withColumns(dict(zip(C.QUANTILES, clamped([F.col(q) for q in C.QUANTILES], kind.low, kind.high), strict=True)))
+    chance = F.col("p_occ") if "p_occ" in out.columns else F.lit(None).cast("double").alias("p_occ")
+    kept = [*keys, *[c for c in pairing.KEY if c not in keys], "bucket", "ingest_seq", "obs", "fc_mean", *[f"fc_{m}" for m in MODELS], *C.QUANTILES, chance, "calibrated"]
     return out.select(*kept, F.lit(f"tier{tier}").alias("tier"))
 
 
-def predict_tier(tier: int, train: DataFrame, test: DataFrame, keys: tuple[str, ...], truncated: bool = False) -> DataFrame:
-    """``test`` (with its bucket) with the quantiles that a tier fitted on ``train`` gives, and ``tier``."""
+def predict_tier(tier: int, train: DataFrame, test: DataFrame, keys: tuple[str, ...], kind: Kind = Kind()) -> DataFrame:  # noqa: B008
+    """``test`` (with its bucket) with the quantiles that a tier fitted on ``train`` gives, ``p_occ`` (of precipitation) and ``tier``."""
     train, test = pairing.with_bucket(train), pairing.with_bucket(test)
+    by = [*keys, "bucket"]
     if tier == 0:
-        out = bias.predict(test, train, keys, floor=0.0 if truncated else None)
+        out = bias.predict(test, train, keys, kind.low, kind.high, kind.family != "rain")
     elif tier == 3:
         out = boosted(train, test, list(keys))
+    elif kind.family == "rain":
+        out = rain(train, test, by)
     else:
-        out = (distribution if tier == 1 else seasonal)(train, test, [*keys, "bucket"], truncated)
-    return _published(out, tier, keys)
+        out = (distribution if tier == 1 else seasonal)(train, test, by, kind.family == "truncated")
+    return _published(out, tier, keys, kind)
 
 
-def walk_forward(wide: DataFrame, tiers: tuple[int, ...] = (0, 1, 2), by: tuple[str, ...] = ("station_id",), truncated: bool = False) -> DataFrame:
+def walk_forward(wide: DataFrame, tiers: tuple[int, ...] = (0, 1, 2), by: tuple[str, ...] = ("station_id",), kind: Kind = Kind()) -> DataFrame:  # noqa: B008
     """Rows of all folds that each tier predicted before they were seen; only calibrated ones.
 
-    ``by`` may hold the variable besides the station; the variables of a call share a distribution (``variables`` calls it for each).
+    ``by`` may hold the variable besides the station; the variables of a call are of one kind (``walk_variables`` calls it for each kind).
     """
     table = stored(verification.folds(wide, by), "folds")
     out: DataFrame | None = None
     for tier in tiers:
         if tier == 0:
             blocked = verification.with_block(wide, table, by)
-            part = _published(bias.predict_folds(blocked, verification.enough(blocked, by), by, floor=0.0 if truncated else None), 0, (*by, "fold"))
+            part = _published(bias.predict_folds(blocked, verification.enough(blocked, by), by, kind.low, kind.high, kind.family != "rain"), 0, (*by, "fold"), kind)
         else:
             train, test = verification.in_folds(wide, table, by, REACH[tier])
-            part = predict_tier(tier, train, test, (*by, "fold"), truncated)
+            part = predict_tier(tier, train, test, (*by, "fold"), kind)
         part = part.where("calibrated AND q50 IS NOT NULL")
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def walk_variables(wide: DataFrame, tiers: tuple[int, ...] = (0, 1, 2, 3), by: tuple[str, ...] = ("station_id", "variable"), variables: tuple[str, ...] = C.VARIABLES) -> DataFrame:
+    """``walk_forward`` of all variables of all stations (``wide`` has ``variable``): one pass per kind of variable, of which there are four."""
+    out: DataFrame | None = None
+    for kind, names in kinds(variables).items():
+        part = walk_forward(wide.where(F.col("variable").isin(names)), tiers, by, kind)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def eligible(wide: DataFrame, by: tuple[str, ...] = ("station_id",)) -> DataFrame:
     """(by, days, n, tiers): those that a group's span of days and number of rows allow."""
     span = wide.where("obs IS NOT NULL").groupBy(*by).agg(((F.unix_timestamp(F.max("valid_time")) - F.unix_timestamp(F.min("valid_time"))) / 86400.0).alias("days"), F.count("*").alias("n"))

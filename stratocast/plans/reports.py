@@ -160,6 +160,38 @@ def tier_ranking(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("station_id", "tier", F.round("score", 5).alias("score"), F.round("score_all", 5).alias("score_all"), "n", "comparable")
 
 
+_BOTH = f"""WITH {X.PAIRS}, {X.PRECIP}, {wide_sql('pairs', 'warm')}, {wide_sql('precip', 'wet')}, wide AS (SELECT * REPLACE (station_id || '|air_temp_c' AS station_id) FROM warm UNION ALL SELECT * REPLACE (station_id || '|precip_1h_mm' AS station_id) FROM wet)"""
+_ERROR = "CASE WHEN station_id LIKE '%|precip_1h_mm' THEN CAST(0 AS DOUBLE) ELSE fc_mean - obs END AS error"
+_FLOOR = "CASE WHEN station_id LIKE '%|precip_1h_mm' THEN 0 ELSE -1000 END"
+
+
+def _both(spark, sf) -> DataFrame:
+    pairs = X.pairs(spark, sf).withColumn("variable", F.lit("air_temp_c")).unionByName(X.pairs(spark, sf, precip=True).withColumn("variable", F.lit("precip_1h_mm")))
+    return pairing.wide(pairs, more=("variable",))
+
+
+@query(
+    "variables_walk_forward",
+    f"{_BOTH}, {_FOLDED.split(', ', 1)[1][_FOLDED.split(', ', 1)[1].index('f0 AS'):]}, t0w AS (SELECT train0.* FROM train0 SEMI JOIN enough USING (station_id, fold)), {tier0_sql('t0w', key='sf').replace('fc_mean - obs AS error', _ERROR)}, "
+    + _OOS.replace(", ".join(f"median + coalesce(band_q[{i}], pooled_q[{i}])" for i in range(1, 6)), ", ".join(f"greatest(median + coalesce(band_q[{i}], pooled_q[{i}]), {_FLOOR})" for i in range(1, 6))).replace("fc_mean - CASE WHEN coalesce(n_cell", "fc_mean - CASE WHEN station_id LIKE '%|precip_1h_mm' THEN 0 WHEN coalesce(n_cell")
+    + f" SELECT split_part(station_id, '|', 1) AS station_id, split_part(station_id, '|', 2) AS variable, fold, {STAMP}, lead_h, ingest_seq, {', '.join(f'round({q}, 8) AS {q}' for q in C.QUANTILES)} FROM oos",
+)
+def variables_walk_forward(spark: SparkSession, sf: str) -> DataFrame:
+    """Temperature and precipitation of all stations in one call, the variable a key: what tier 0 knew at each fold."""
+    out = walkforward.walk_variables(_both(spark, sf), (0,))
+    return out.select("station_id", "variable", "fold", stamp(), "lead_h", "ingest_seq", *[F.round(q, 8).alias(q) for q in C.QUANTILES])
+
+
+@query("precip_out_of_sample")
+def precip_out_of_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """Precipitation with tiers 0, 1 and 3: score, and Brier score of the chance of rain, from the occurrence model where a tier has one and else from the quantiles."""
+    w = _both(spark, sf).where("variable = 'precip_1h_mm'")
+    out = stored(_crps(walkforward.walk_variables(w, (0, 1, 3), variables=("precip_1h_mm",))), "rain_walked")
+    p = F.coalesce("p_occ", S.exceedance(C.OCCURRENCE, [F.col(q) for q in C.QUANTILES]))
+    event = F.when(F.col("obs") > C.OCCURRENCE, 1.0).otherwise(0.0)
+    return out.groupBy("station_id", "tier").agg(F.count("*").alias("n"), F.avg("crps").alias("crps"), F.avg((p - event) * (p - event)).alias("brier"), F.min("q05").alias("lowest"))
+
+
 @query("tiers_out_of_sample")
 def tiers_out_of_sample(spark: SparkSession, sf: str) -> DataFrame:
     """Every tier that SQL can't fit as well: mean score on shared rows, coverage, and rows, per station."""
