@@ -36,6 +36,8 @@ CONUS = (24.0, 50.0, -125.0, -66.0)
 WORLD_MODELS, REGIONAL_MODEL = ("gfs_seamless", "ecmwf_ifs025", "icon_seamless"), "ncep_hrrr_conus"
 TIER_LABELS = {"tier0": "Bias correction", "tier1": "EMOS", "tier2": "EMOS + harmonics", "tier3": "Boosted quantiles"}
 PROMOTE_ROWS, TRAIN_ROWS, COMMON_ROWS, TEST_ROWS = 20, 30, 50, 5
+#: Rows of a group that a score card needs, of each part of a tier that is chosen on one and measured on the other, of a model within a bucket; days of the series.
+CARD_ROWS, HELD_OUT_ROWS, LOCAL_ROWS, DAILY_DAYS = 200, 100, 11, 90
 OCCURRENCE = 0.1
 #: Names of the variables in forecast payloads.
 PAYLOAD_NAMES = {"air_temp_c": "temperature_2m", "rh_pct": "relative_humidity_2m", "wind_speed_ms": "wind_speed_10m", "wind_gust_ms": "wind_gusts_10m", "precip_1h_mm": "precipitation"}

@@ -50,12 +50,12 @@ def in_folds(wide: DataFrame, table: DataFrame, by: tuple[str, ...] = ("station_
     return train.select(columns), test.select(columns)
 
 
-def raw_baselines(scored: DataFrame, by: tuple[str, ...] = ("station_id",), models: tuple[str, ...] = MODELS) -> DataFrame:
+def raw_baselines(scored: DataFrame, by: tuple[str, ...] = ("station_id",), models: tuple[str, ...] = MODELS, least: int = C.MIN_BASELINE_ROWS) -> DataFrame:
     """Per raw model its score as a point forecast, the calibrated score on the same rows, its coverage, and rows; models with few rows drop out."""
     each = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.abs(F.col("obs") - F.col(f"fc_{m}")).alias("raw")) for m in models]))
     long = scored.select(*by, "crps", each.alias("m")).select(*by, "crps", "m.model", "m.raw")
     out = long.groupBy(*by, "model").agg(F.avg("raw").alias("crps_raw"), F.avg(F.when(F.col("raw").isNotNull(), F.col("crps"))).alias("crps_fused"), (F.count("raw") / F.count("*")).alias("coverage"), F.count("raw").alias("n"))
-    return out.where(F.col("n") >= C.MIN_BASELINE_ROWS)
+    return out.where(F.col("n") >= least)
 
 
 def strongest(baselines: DataFrame, by: tuple[str, ...] = ("station_id",), gate: float = C.COVERAGE_GATE) -> DataFrame:

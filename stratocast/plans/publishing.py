@@ -11,6 +11,7 @@ from stratocast.operators import bias, pairing
 from stratocast.plans.training import tier0_sql, wide_sql
 from stratocast.sources import payloads
 from stratocast.storage import shared_folder
+from stratocast.streaming import pairs as late_pairs
 from stratocast.streaming import repair
 
 Q, O = {}, {}
@@ -108,3 +109,61 @@ def running_bias(spark: SparkSession, sf: str) -> DataFrame:
         repair.running_bias(stream).writeStream.outputMode("update").option("checkpointLocation", f"{base}/state").foreachBatch(put).trigger(availableNow=True).start().awaitTermination()
     out = spark.read.parquet(f"{base}/out")
     return out.groupBy("cell").agg(F.max("n").alias("n"), F.round(F.max_by("bias", "n"), 7).alias("bias"))
+
+
+_FORECASTS = "station_id string, valid_time timestamp, lead_h int, lead_source string, model string, fc double"
+_LOG = f"WITH {X.PAIRS}, o AS (SELECT station_id, valid_time, arg_max(obs, ingest_seq) AS obs, CAST(epoch(valid_time) / 3600 AS BIGINT) AS h FROM pairs GROUP BY ALL), log AS (SELECT station_id, valid_time, obs + 1 AS obs, 1 AS seq FROM o WHERE h % 5 <> 0 UNION ALL SELECT station_id, valid_time, obs, 2 FROM o WHERE h % 3 = 0 UNION ALL SELECT station_id, valid_time, NULL, 3 FROM o WHERE h % 7 = 0)"
+
+
+@query(
+    "stream_pairs",
+    f"{_LOG}, n AS (SELECT station_id, valid_time, arg_max(coalesce(obs, -999), seq) AS obs FROM log GROUP BY ALL), f AS (SELECT DISTINCT station_id, valid_time, lead_h, lead_source, model, fc FROM pairs WHERE fc IS NOT NULL) "
+    "SELECT station_id, model, lead_h, count(*) AS n, round(sum(fc), 3) AS fc, round(sum(obs), 3) AS obs FROM f JOIN n USING (station_id, valid_time) WHERE obs <> -999 GROUP BY ALL",
+)
+def stream_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Reports as a stream of three batches, the later ones revising and withdrawing hours of the first: pairs are what one batch job makes of all."""
+    base = shared_folder(spark, "pairing")
+    rows = X.pairs(spark, sf)
+    f = rows.where("fc IS NOT NULL").select("station_id", "valid_time", "lead_h", "lead_source", "model", "fc").distinct()
+    late_pairs.write_placed(late_pairs.placed(f), f"{base}/forecasts")
+    o = rows.groupBy("station_id", "valid_time").agg(F.max_by("obs", "ingest_seq").alias("obs")).withColumn("h", (F.unix_timestamp("valid_time") / 3600).cast("long"))
+    o.write.parquet(f"{base}/hours")
+    o = spark.read.schema(o.schema).parquet(f"{base}/hours")
+    parts = (o.where("h % 5 <> 0").withColumn("obs", F.col("obs") + 1), o.where("h % 3 = 0"), o.where("h % 7 = 0").withColumn("obs", F.lit(None).cast("double")))
+    merge = late_pairs.repairing(base, f"{base}/forecasts", _FORECASTS)
+    for k, part in enumerate(parts):
+        part.select("station_id", "valid_time", "obs", F.lit(k + 1).cast("long").alias("seq")).coalesce(1).write.parquet(f"{base}/landing/{k}")
+        stream = spark.readStream.schema("station_id string, valid_time timestamp, obs double, seq long").parquet(f"{base}/landing/*")
+        stream.writeStream.option("checkpointLocation", f"{base}/state").foreachBatch(merge).trigger(availableNow=True).start().awaitTermination()
+    out = late_pairs.pairs(spark, base, _FORECASTS)
+    return out.groupBy("station_id", "model", "lead_h").agg(F.count("*").alias("n"), F.round(F.sum("fc"), 3).alias("fc"), F.round(F.sum("obs"), 3).alias("obs"))
+
+
+_LINES = {"no station": "station_id IS NULL", "no time": "try_to_timestamp(valid) IS NULL", "out of range": "tmpc IS NOT NULL AND NOT tmpc BETWEEN -70 AND 60"}
+
+
+@query(
+    "landing_counts",
+    f"WITH {X.REPORTS}, l AS (SELECT event_id, CASE WHEN event_id % 40 = 0 THEN 'no station' WHEN event_id % 41 = 0 THEN 'no station' WHEN event_id % 43 = 0 THEN 'no time' WHEN event_id % 47 = 0 AND tmpc IS NOT NULL THEN 'out of range' END AS reason FROM reports) SELECT coalesce(reason, 'accepted') AS outcome, count(*) AS n, sum(event_id)::BIGINT * CAST(CASE WHEN reason IS NULL THEN 1 ELSE 0 END AS BIGINT) AS ids FROM l GROUP BY reason",
+)
+def landing_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines that land in a folder in two turns, some of them broken, without a station or time, or out of range: what the archive has and what was set aside, with the stream started three times."""
+    base = shared_folder(spark, "landing")
+    r = X.reports(spark, sf)
+    e = F.col("event_id")
+    record = F.struct(F.when(e % 40 != 0, F.col("station_id")).alias("station_id"), F.when(e % 43 == 0, "not a time").otherwise(F.date_format("valid", "yyyy-MM-dd HH:mm:ss")).alias("valid"), "event_id", F.when(e % 47 == 0, F.col("tmpc") + 1000).otherwise(F.col("tmpc")).alias("tmpc"))
+    lines = r.select("event_id", F.when(e % 41 == 0, "{broken").otherwise(F.to_json(record)).alias("value"))
+    land = late_pairs.landing(base, "station_id string, valid string, event_id long, tmpc double", _LINES)
+    for k in (0, 1, 1):  # the last run finds nothing new
+        if not k or not _there(spark, f"{base}/lines/1"):
+            lines.where(e % 2 == k).select("value").write.text(f"{base}/lines/{k}")
+        stream = spark.readStream.text(f"{base}/lines/*")
+        stream.writeStream.option("checkpointLocation", f"{base}/state").foreachBatch(land).trigger(availableNow=True).start().awaitTermination()
+    kept = spark.read.schema("station_id string, valid string, event_id long, tmpc double").parquet(f"{base}/archive")
+    aside = spark.read.schema("value string, reason string").parquet(f"{base}/rejected")
+    return kept.agg(F.lit("accepted").alias("outcome"), F.count("*").alias("n"), F.sum("event_id").alias("ids")).unionByName(aside.groupBy(F.col("reason").alias("outcome")).agg(F.count("*").alias("n"), F.lit(0).cast("long").alias("ids")))
+
+
+def _there(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)

@@ -184,9 +184,9 @@ def variables_walk_forward(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("precip_out_of_sample")
 def precip_out_of_sample(spark: SparkSession, sf: str) -> DataFrame:
-    """Precipitation with tiers 0, 1 and 3: score, and Brier score of the chance of rain, from the occurrence model where a tier has one and else from the quantiles."""
+    """Precipitation with tiers 0 and 1: score, and Brier score of the chance of rain, from the occurrence model where a tier has one and else from the quantiles."""
     w = _both(spark, sf).where("variable = 'precip_1h_mm'")
-    out = stored(_crps(walkforward.walk_variables(w, (0, 1, 3), variables=("precip_1h_mm",))), "rain_walked")
+    out = stored(_crps(walkforward.walk_variables(w, (0, 1), variables=("precip_1h_mm",))), "rain_walked")
     p = F.coalesce("p_occ", S.exceedance(C.OCCURRENCE, [F.col(q) for q in C.QUANTILES]))
     event = F.when(F.col("obs") > C.OCCURRENCE, 1.0).otherwise(0.0)
     return out.groupBy("station_id", "tier").agg(F.count("*").alias("n"), F.avg("crps").alias("crps"), F.avg((p - event) * (p - event)).alias("brier"), F.min("q05").alias("lowest"))
@@ -200,12 +200,61 @@ def tiers_out_of_sample(spark: SparkSession, sf: str) -> DataFrame:
     return verification.rank_tiers(out).join(out.groupBy("station_id", "tier").agg(inside), ["station_id", "tier"])
 
 
+def _pair_counts(w: DataFrame, by: tuple[str, ...] = ("station_id",)) -> DataFrame:
+    return w.groupBy(*by).agg(F.count("*").alias("n_pairs"))
+
+
 @query("scorecard")
 def scorecard(spark: SparkSession, sf: str) -> DataFrame:
     """The card of every station: the tier chosen on the first part of the rows, measured on the rest against the best raw model."""
+    w = stored(pairing.wide(X.pairs(spark, sf)), "wide")
+    walked = stored(_crps(walkforward.walk_forward(w, (0, 1))), "walked")
+    return publish.scorecard(walked, _pair_counts(w), thresholds=(10.0, 15.0), history=w.select("station_id", "valid_time", "obs").distinct())
+
+
+_Z = [f"fc_mean + CAST({1.2 * z!r} AS DOUBLE)" for z in C.NORMAL_LEVELS]
+_CARD = f"""{_T0}, {_OOS}, one AS (SELECT * REPLACE ({', '.join(f'{e} AS {q}' for e, q in zip(_Z, C.QUANTILES, strict=True))}) FROM oos WHERE lead_h <= 96), rowz AS (SELECT * EXCLUDE (crps), crps, 'tier0' AS tier FROM scored UNION ALL BY NAME SELECT *, {S.crps_quantiles_sql('obs')} AS crps, 'tier1' AS tier FROM one),
+ times AS (SELECT station_id, valid_time, row_number() OVER (PARTITION BY station_id ORDER BY valid_time) AS r, count(*) OVER (PARTITION BY station_id) AS k FROM (SELECT DISTINCT station_id, valid_time FROM rowz)),
+ parted AS (SELECT rowz.*, CASE WHEN k <= 20 THEN 'shared' WHEN r <= floor(k * CAST(0.6 AS DOUBLE)) THEN 'select' ELSE 'report' END AS part FROM rowz JOIN times USING (station_id, valid_time)),
+ held AS (SELECT station_id, bool_and(a >= 100 AND b >= 100) AS held_out FROM (SELECT station_id, tier, count(*) FILTER (part = 'select') AS a, count(*) FILTER (part = 'report') AS b FROM parted GROUP BY ALL) GROUP BY ALL),
+ chosen AS (SELECT p.* FROM parted p JOIN held USING (station_id) WHERE NOT held_out OR part = 'select'), shared AS (SELECT station_id, valid_time, lead_h FROM chosen GROUP BY ALL HAVING count(DISTINCT tier) = 2),
+ score AS (SELECT c.station_id, tier, avg(crps) AS score FROM chosen c JOIN shared USING (station_id, valid_time, lead_h) GROUP BY ALL), champ AS (SELECT station_id, arg_min(tier, score) AS tier FROM score GROUP BY ALL),
+ mine AS (SELECT p.* FROM parted p JOIN champ USING (station_id, tier) JOIN held USING (station_id) WHERE NOT held_out OR part = 'report'),
+ rawm AS (SELECT station_id, bucket, CAST(valid_time AS DATE) AS day, crps, model, abs(obs - CASE model WHEN 'gfs' THEN fc_gfs WHEN 'ecmwf' THEN fc_ecmwf ELSE fc_icon END) AS raw FROM mine, (VALUES ('gfs'), ('ecmwf'), ('icon')) v(model)),
+ raws AS (SELECT station_id, model, avg(raw) AS crps_raw, avg(crps) FILTER (raw IS NOT NULL) AS crps_fused, count(raw) / count(*)::DOUBLE AS coverage FROM rawm GROUP BY ALL HAVING count(raw) >= 20),
+ best AS (SELECT * FROM raws QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY coverage < 0.9, crps_raw, model) = 1),
+ days AS (SELECT * FROM (SELECT station_id, day, avg(crps) AS fused, avg(raw) AS raw FROM rawm JOIN best USING (station_id, model) GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY day DESC) <= 90),
+ leads AS (SELECT * FROM (SELECT station_id, bucket, model, avg(raw) AS raw FROM rawm GROUP BY ALL HAVING count(raw) > 10) QUALIFY row_number() OVER (PARTITION BY station_id, bucket ORDER BY raw, model) = 1)"""
+
+
+@query(
+    "scorecard_blocks",
+    f"{_CARD} SELECT station_id, 'champion' AS block, tier AS key, CAST(1 AS DOUBLE) AS value FROM champ UNION ALL SELECT station_id, 'score', tier, round(score, 5) FROM score UNION ALL SELECT station_id, 'raw', model, round(crps_raw, 5) FROM raws UNION ALL SELECT station_id, 'skill', model, round(1 - crps_fused / crps_raw, 5) FROM best "
+    "UNION ALL SELECT station_id, 'n_eval', '', count(*) FROM mine GROUP BY ALL UNION ALL SELECT station_id, 'crps', '', round(avg(crps), 5) FROM mine GROUP BY ALL UNION ALL SELECT station_id, 'width90', '', round(avg(q95 - q05), 5) FROM mine GROUP BY ALL UNION ALL SELECT station_id, 'inside50', '', round(avg(CASE WHEN obs BETWEEN q25 AND q75 THEN 1 ELSE 0 END), 5) FROM mine GROUP BY ALL "
+    f"UNION ALL SELECT station_id, 'brier', '10.0', round(avg(pow({S.exceedance_sql(10.0)} - CASE WHEN obs > 10 THEN 1 ELSE 0 END, 2)), 5) FROM mine GROUP BY ALL UNION ALL SELECT station_id, 'by_lead', bucket, round(raw, 5) FROM leads UNION ALL SELECT station_id, 'daily', CAST(day AS VARCHAR), round(fused, 4) FROM days "
+    f"UNION ALL SELECT s.station_id, 'pit', CAST(b.bin AS VARCHAR), coalesce(n, 0) FROM (SELECT DISTINCT station_id FROM mine) s CROSS JOIN (SELECT CAST(range AS INT) AS bin FROM range(10)) b LEFT JOIN (SELECT station_id, CAST(least(floor(({S.pit_sql('obs')}) * 10), 9) AS INT) AS bin, count(*) AS n FROM mine GROUP BY ALL) h ON h.station_id = s.station_id AND h.bin = b.bin",
+)
+def scorecard_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """The blocks of cards as rows: of tier 0 out of sample, and of a plain band around the mean that ends at four days."""
     w = pairing.wide(X.pairs(spark, sf))
-    walked = stored(_crps(walkforward.walk_forward(w, (0, 1, 2))), "walked")
-    return publish.scorecard(walked, walkforward.eligible(w))
+    zero = stored(_walked(spark, sf).drop("crps"), "walked0")
+    one = zero.where("lead_h <= 96").withColumns({q: F.col("fc_mean") + 1.2 * z for q, z in zip(C.QUANTILES, C.NORMAL_LEVELS, strict=True)}).withColumn("tier", F.lit("tier1"))
+    cards = stored(publish.scorecard(_crps(zero.unionByName(one)), _pair_counts(w), thresholds=(10.0, 15.0), resamples=20), "cards")
+    row = lambda block, key, value: F.struct(F.lit(block).alias("block"), key.cast("string").alias("key"), value.cast("double").alias("value"))
+    single = F.array(row("champion", F.col("champion"), F.lit(1.0)), row("skill", F.col("best_raw"), F.round("skill", 5)), row("n_eval", F.lit(""), F.col("n_eval")), row("crps", F.lit(""), F.round("crps", 5)), row("width90", F.lit(""), F.round("coverage.width90", 5)), row("inside50", F.lit(""), F.round("coverage.inside50", 5)), row("brier", F.lit("10.0"), F.round(F.col("brier")["10.0"]["brier"], 5)))
+    tiers, models = publish.card_tables(cards)
+    parts = [
+        cards.select("station_id", F.explode(single).alias("x")).select("station_id", "x.*"),
+        tiers.select("station_id", F.lit("score").alias("block"), F.col("tier").alias("key"), F.round("score", 5).alias("value")),
+        models.select("station_id", F.lit("raw").alias("block"), F.col("model").alias("key"), F.round("crps_raw", 5).alias("value")),
+        cards.select("station_id", F.posexplode("pit").alias("key", "value")).select("station_id", F.lit("pit").alias("block"), F.col("key").cast("string").alias("key"), F.col("value").cast("double").alias("value")),
+        cards.select("station_id", F.explode("by_lead").alias("key", "v")).select("station_id", F.lit("by_lead").alias("block"), "key", F.round("v.best.crps_raw", 5).alias("value")),
+        cards.select("station_id", F.explode("daily").alias("v")).select("station_id", F.lit("daily").alias("block"), F.col("v.day").cast("string").alias("key"), F.col("v.fused").alias("value")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 @query("tier_fallback", f"{WIDE}, {tier0_sql('wide')}, t AS (SELECT *, CASE WHEN station_id IN ('ST0', 'ST1') THEN 'tier1' ELSE 'tier0' END AS used FROM tier0) SELECT station_id, {STAMP}, lead_h, ingest_seq, used AS tier, round(q50 + CASE WHEN used = 'tier1' THEN 1 ELSE 0 END, 6) AS q50 FROM t")
