@@ -1,6 +1,6 @@
-"""Late observations to pairs: each batch joins again the days and parts of the fleet that it touches, and no other.
+"""Late observations to pairs: each batch joins again the months and parts of the fleet that it touches, and no other.
 
-Observations, forecasts and pairs lie in folders by day and by a hash of the station, so a batch of late, revised or withdrawn reports names the folders to be read and written. A withdrawn
+Observations, forecasts and pairs lie in folders by month and by a hash of the station, so a batch of late, revised or withdrawn reports names the folders to be read and written. A withdrawn
 report is one without a value; the hour then has no pair. Folders of pairs keep forecasts without an observation, so that a folder whose last pair has gone is written too; ``pairs`` leaves
 them out. A batch that is run again gives the same tables.
 """
@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 
 #: Parts of the fleet.
 PARTS = 8
-PLACE = ["day", "part"]
+PLACE = ["month", "part"]
 
 
 def placed(rows: DataFrame) -> DataFrame:
     """Rows (station_id, valid_time, ...) with the folder that they belong to."""
-    return rows.withColumn("day", F.date_format("valid_time", "yyyy-MM-dd")).withColumn("part", F.pmod(F.xxhash64("station_id"), F.lit(PARTS)).cast("int"))
+    return rows.withColumn("month", F.date_format("valid_time", "yyyy-MM")).withColumn("part", F.pmod(F.xxhash64("station_id"), F.lit(PARTS)).cast("int"))
 
 
 def write_placed(rows: DataFrame, path: str) -> None:
@@ -35,7 +35,7 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-OBS = "station_id string, valid_time timestamp, obs double, seq long, day string, part int"
+OBS = "station_id string, valid_time timestamp, obs double, seq long, month string, part int"
 
 
 def repairing(base: str, forecasts: str, forecast_schema: str) -> Callable[[DataFrame, int], None]:
@@ -56,7 +56,7 @@ def repairing(base: str, forecasts: str, forecast_schema: str) -> Callable[[Data
         merged.write.mode("overwrite").parquet(f"{staged}/observations")  # folders are read to the end before they are replaced
         merged = spark.read.schema(OBS).parquet(f"{staged}/observations")
         write_placed(merged, f"{base}/observations")
-        asked = _read(spark, forecasts, f"{forecast_schema}, day string, part int").join(F.broadcast(touched), PLACE, "left_semi")
+        asked = _read(spark, forecasts, f"{forecast_schema}, month string, part int").join(F.broadcast(touched), PLACE, "left_semi")
         pairs_ = asked.join(merged.select("station_id", "valid_time", "obs", "seq", *PLACE), ["station_id", "valid_time", *PLACE], "left")
         write_placed(pairs_, f"{base}/pairs")
 
@@ -65,7 +65,7 @@ def repairing(base: str, forecasts: str, forecast_schema: str) -> Callable[[Data
 
 def pairs(spark: SparkSession, base: str, forecast_schema: str) -> DataFrame:
     """Forecasts with the observation of their hour, as all batches so far have left them."""
-    return _read(spark, f"{base}/pairs", f"{forecast_schema}, obs double, seq long, day string, part int").where("obs IS NOT NULL")
+    return _read(spark, f"{base}/pairs", f"{forecast_schema}, obs double, seq long, month string, part int").where("obs IS NOT NULL")
 
 
 def landing(base: str, schema: str, rules: dict[str, str]) -> Callable[[DataFrame, int], None]:

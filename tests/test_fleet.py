@@ -114,26 +114,26 @@ def test_states_of_stations(spark):
 
 def test_late_observations_touch_their_folders_alone(spark, tmp_path):
     base, schema = str(tmp_path), "station_id string, valid_time timestamp, fc double"
-    hours = [(s, START + dt.timedelta(hours=h), float(h)) for s in ("a", "b") for h in range(96)]
+    hours = [(s, START + dt.timedelta(hours=24 * h), float(h)) for s in ("a", "b") for h in range(100)]
     late_pairs.write_placed(late_pairs.placed(spark.createDataFrame(hours, schema)), f"{base}/forecasts")
     merge = late_pairs.repairing(base, f"{base}/forecasts", schema)
     report = lambda rows: spark.createDataFrame(rows, "station_id string, valid_time timestamp, obs double, seq long")
     merge(report([(s, t, h + 1, 1) for s, t, h in hours]), 0)
     assert late_pairs.pairs(spark, base, schema).count() == len(hours)
-    stamps = lambda: {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{base}/pairs/day=*/part=*/*.parquet")}
+    stamps = lambda: {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{base}/pairs/month=*/part=*/*.parquet")}
     before = stamps()
-    second = [("a", hours[30][1], 99.0, 2), ("a", hours[31][1], None, 2), ("a", hours[32][1], 5.0, 0)]  # revised, withdrawn, and older than what is there
+    second = [("a", hours[40][1], 99.0, 2), ("a", hours[41][1], None, 2), ("a", hours[42][1], 5.0, 0)]  # revised, withdrawn, and older than what is there
     merge(report(second), 1)
     after = stamps()
     touched = {os.path.dirname(f) for f in set(before.items()) ^ set(after.items())}
-    assert len(touched) == 1 and "day=2023-01-02" in touched.pop()
+    assert len(touched) == 1 and "month=2023-02" in touched.pop()
     got = {(r["station_id"], r["valid_time"].replace(tzinfo=dt.UTC)): r["obs"] for r in late_pairs.pairs(spark, base, schema).collect()}
     want = {(s, t): h + 1 for s, t, h in hours}
-    want[("a", hours[30][1])] = 99.0
-    del want[("a", hours[31][1])]
+    want[("a", hours[40][1])] = 99.0
+    del want[("a", hours[41][1])]
     assert {(s, t.timestamp()): o for (s, t), o in want.items()} == {(s, t.timestamp()): o for (s, t), o in got.items()}
     merge(report(second), 1)  # again
     assert late_pairs.pairs(spark, base, schema).count() == len(want)
-    day = [("b", t, None, 9) for s, t, _ in hours if s == "b" and t.day == 4]
-    merge(report(day), 2)  # the last pairs of a folder
-    assert late_pairs.pairs(spark, base, schema).where("station_id = 'b' AND day = '2023-01-04'").count() == 0
+    month = [("b", t, None, 9) for s, t, _ in hours if s == "b" and t.month == 4]
+    merge(report(month), 2)  # the last pairs of a folder
+    assert late_pairs.pairs(spark, base, schema).where("station_id = 'b' AND month = '2023-04'").count() == 0
