@@ -157,7 +157,8 @@ def match_licenses(docs: DataFrame, templates: DataFrame, signs: Column | None =
     steps = hits.select(*place, *facts, F.explode(events).alias("e")).select(*place, *facts, "e.*")
     common = F.sum("step").over(W.partitionBy(*place).orderBy("at").rangeBetween(W.unboundedPreceding, W.currentRow))
     found = steps.withColumn("common", common).where("i IS NOT NULL AND common >= low")
-    met = found.join(some.select("row", "text"), "row").withColumn("grams", bigrams(F.col("text")))
+    # The same columns as above, so that the texts aren't dealt again.
+    met = found.drop("doc_id").join(some.select("row", "doc_id", "text"), "row").withColumn("grams", bigrams(F.col("text")))
     n = F.size(F.array_distinct(F.slice("grams", F.col("i") + 1, F.col("long"))))
     sized = met.withColumn("n", n).where(F.col("n").between(F.col("low"), F.col("high"))).withColumn("dice", 2.0 * F.col("common") / (F.col("n") + F.col("m")))
     best = sized.where(F.col("dice") >= threshold - 1e-12).groupBy("doc_id", "template").agg(F.min(F.struct((-F.col("dice")).alias("worst"), "i")).alias("b"))
