@@ -126,7 +126,7 @@ def test_late_observations_touch_their_folders_alone(spark, tmp_path):
     second = [("a", hours[40][1], 99.0, 2), ("a", hours[41][1], None, 2), ("a", hours[42][1], 5.0, 0)]  # revised, withdrawn, and older than what is there
     merge(report(second), 1)
     after = stamps()
-    touched = {os.path.dirname(f) for f in set(before.items()) ^ set(after.items())}
+    touched = {os.path.dirname(f) for f, _ in set(before.items()) ^ set(after.items())}
     assert len(touched) == 1 and "month=2023-02" in touched.pop()
     got = {(r["station_id"], r["valid_time"].replace(tzinfo=dt.UTC)): r["obs"] for r in late_pairs.pairs(spark, base, schema).collect()}
     want = {(s, t): h + 1 for s, t, h in hours}
