@@ -312,6 +312,17 @@ def test_passages_of_a_line_that_many_quote(spark):
     assert all(got[100 + i]["class_id"] == 100 and got[100 + i]["repeated_words"] == 80 for i in range(20))
 
 
+def test_passages_beyond_the_first_leaders(spark):
+    """Two texts of a large component share a passage whose signatures are all in large buckets, of texts that have a part of it too short for a passage."""
+    common, w = ([f"{k}{i}" for i in range(n)] for k, n in (("p", 60), ("w", 60)))
+    rows = []
+    for i in range(160):
+        part = w if i in (70, 90) else w[:40] if i % 2 else w[20:]
+        rows.append((i, " ".join([*common, *(f"a{i}x{j}" for j in range(60)), *part, *(f"b{i}x{j}" for j in range(60))])))
+    got = {r["doc_id"]: r for r in passages.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(r["class_id"] == 0 and r["repeated_words"] == (120 if d in (70, 90) else 60) for d, r in got.items())
+
+
 def test_passages_odd_rows(spark, odd):
     out = passages.shared_passages(odd).collect()
     assert len(out) == 10 and all(not r["repeated_words"] and r["class_id"] == r["doc_id"] for r in out)
