@@ -323,6 +323,25 @@ def test_passages_beyond_the_first_leaders(spark):
     assert all(r["class_id"] == 0 and r["repeated_words"] == (120 if d in (70, 90) else 60) for d, r in got.items())
 
 
+def test_passages_compare_no_texts_for_a_line(spark, monkeypatch):
+    """Texts that share nothing but a line of 30 words aren't read in pairs."""
+    made = []
+    init = passages.Verifier.__init__
+    monkeypatch.setattr(passages.Verifier, "__init__", lambda self, texts: (init(self, texts), made.append(self))[0])
+    line = " ".join(f"line{i}" for i in range(30))
+    rows = [(i, " ".join([*(f"a{i}x{j}" for j in range(60)), line, *(f"b{i}x{j}" for j in range(60))])) for i in range(60)]
+    got = passages.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r["class_id"] == r["doc_id"] and not r["repeated_words"] for r in got)
+    assert sum(pairs.count() for pairs in made[0].compared) < 60
+
+
+def test_word_counts(spark, odd):
+    texts = odd.where("text IS NOT NULL").select("doc_id", "text")
+    got = _common.word_counts(texts, "doc_id long").collect()
+    want = texts.select("doc_id", _common.word_count(F.col("text")).alias("n")).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str)
+
+
 def test_passages_odd_rows(spark, odd):
     out = passages.shared_passages(odd).collect()
     assert len(out) == 10 and all(not r["repeated_words"] and r["class_id"] == r["doc_id"] for r in out)
