@@ -273,6 +273,36 @@ def test_passage_spans_of_edited_passages(n):
             assert t - f >= 45 and ot - of >= 45 and jaccard(b[f : t + 5], a[of : ot + 5]) >= 0.8
 
 
+def test_passage_spans_of_a_line_align_nothing(monkeypatch):
+    """Texts with a line of 43 words in common, and one word said twice, are turned down before they are aligned; a line of 50 words is a passage."""
+    aligned = []
+    chain = passages._chain
+    monkeypatch.setattr(passages, "_chain", lambda *a: (aligned.append(1), chain(*a))[1])
+
+    def spans(n, *more):
+        line = [f"w{i}" for i in range(n)]
+        texts = [[*(f"{k}{i}" for i in range(60)), *line, *(f"{k}" for _ in range(6)), *(f"{k}x{i}" for i in range(60))] for k in "ab"]
+        x, y = (passages.tokens([" ".join([*t, *more]).encode()])[0][:-4] for t in texts)
+        assert passages.passage_spans(y, x, passages.ranked(x)) == passages.passage_spans(y, x)
+        return passages.passage_spans(y, x)
+
+    assert spans(43) == [] and not aligned
+    assert [(f, t) for f, t, _, _ in spans(50)] == [(60, 105)] and aligned
+    assert len(spans(20, *(f"m{i}" for i in range(50)))) == 1
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_possible_counts_tokens_in_common(seed):
+    rng = np.random.default_rng(seed)
+    x, y = (rng.integers(0, (40, 400, 70, 120)[seed], (70, 2 * passages.REACH + 1)).astype(np.uint16) for _ in range(2))
+    core = x[:, passages.REACH - passages.LEAST + 1 : passages.REACH + passages.LEAST].tolist()
+    want = []
+    for own, other in zip(core, y.tolist(), strict=True):
+        hit = [t > 0 and t in set(other) for t in own]
+        want.append(max(sum(hit[i : i + passages.LEAST]) for i in range(len(own) - passages.LEAST + 1)) >= passages.HITS)
+    assert passages.possible(x, y).tolist() == want
+
+
 def test_passage_with_one_word_replaced(spark):
     passage = [f"w{i}" for i in range(90)]
     copy = [*passage[:43], "edit", *passage[44:]]
