@@ -365,6 +365,19 @@ def test_passages_compare_no_texts_for_a_line(spark, monkeypatch):
     assert sum(pairs.count() for pairs in made[0].compared) < 60
 
 
+def test_passages_of_a_long_line_meet_only_where_more_is_shared(spark, monkeypatch):
+    """60 texts quote a line of 40 words, too short for a passage; six of them have it within one of 60, three with a word replaced or put in."""
+    made = []
+    init = passages.Verifier.__init__
+    monkeypatch.setattr(passages.Verifier, "__init__", lambda self, texts: (init(self, texts), made.append(self))[0])
+    line, more = [f"line{i}" for i in range(40)], [f"more{i}" for i in range(20)]
+    kinds = {0: [*line, *more], 1: [*line, *more], 2: [*line, *more], 3: [*line[:39], "x", *more], 4: [*line, *more[:1], "y", *more[1:]], 5: [*line[:30], "z", *line[31:], *more]}
+    rows = [(i, " ".join([*(f"a{i}x{j}" for j in range(60)), *kinds.get(i, line), *(f"b{i}x{j}" for j in range(60))])) for i in range(60)]
+    got = {r["doc_id"]: r for r in passages.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(r["class_id"] == (0 if d < 6 else d) and (r["repeated_words"] >= 50) == (d < 6) for d, r in got.items())
+    assert sum(pairs.count() for pairs in made[0].compared) < 60
+
+
 def test_word_counts(spark, odd):
     texts = odd.where("text IS NOT NULL").select("doc_id", "text")
     got = _common.word_counts(texts, "doc_id long").collect()
