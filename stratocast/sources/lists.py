@@ -68,8 +68,17 @@ def build(parts: list[DataFrame], reporting_only: bool = True) -> DataFrame:
     return stations.deduplicate(stations.reports(out) if reporting_only else out)
 
 
+def _number(c: Column, digits: int) -> Column:
+    """The JSON text of a rounded number: plain below 1e21, with the sign of what is rounded to zero."""
+    r = F.round(c, digits)
+    r = F.when(r == 0, F.signum(c) * 0.0).otherwise(r)
+    plain = F.regexp_replace(r.cast(f"decimal(38,{digits})").cast("string"), r"(\.\d+?)0+$", "$1")
+    return F.when((F.abs(r) >= 1e7) & (F.abs(r) < 1e21), plain).otherwise(F.regexp_replace(r.cast("string"), r"(\.0)?E", "e"))
+
+
 def compact_rows(catalogue: DataFrame) -> DataFrame:
     """(id, row): each station as a JSON array in the order of ``CATALOGUE``, for a search box."""
-    rounded = {"lat": F.round("lat", 4), "lon": F.round("lon", 4), "elev_m": F.round("elev_m", 1)}
-    one = lambda c: F.regexp_replace(F.to_json(F.array(rounded.get(c, F.col(c)))), r"^\[|\]$", "")
+    rounded = {"lat": 4, "lon": 4, "elev_m": 1}
+    text = lambda c: F.regexp_replace(F.to_json(F.array(F.col(c))), r"^\[|\]$", "")
+    one = lambda c: F.coalesce(_number(F.col(c), rounded[c]), F.lit("null")) if c in rounded else text(c)
     return catalogue.select("id", F.concat(F.lit("["), F.concat_ws(",", *[one(c) for c in CATALOGUE]), F.lit("]")).alias("row"))
