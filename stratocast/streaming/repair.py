@@ -1,55 +1,57 @@
-"""Late and revised reports: hourly windows with a watermark, re-pairing of touched days, and a running bias as keyed state."""
+"""Late reports: hours as sums that batches are merged into however late they come, and a running bias as keyed state."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratocast import config as C
+from stratocast.streaming.pairs import _read
 
+HOURS = "station_id string, valid_time timestamp, tmpc double, n_tmpc long, sknt double, n_sknt long, gust double, p01m double, n long, batch long, day string"
+_KEYS = ["station_id", "valid_time", "day"]
 
-def hourly_windows(reports: DataFrame, late: str = "10 days") -> DataFrame:
-    """Reports (stream or table) to station hours; a window closes when the watermark passes it."""
-    hours = reports.withWatermark("valid", late).groupBy(F.window("valid", "1 hour"), "station_id")
-    out = hours.agg(F.avg("tmpc").alias("air_temp_c"), (F.avg("sknt") * C.KNOT).alias("wind_speed_ms"), (F.max("gust") * C.KNOT).alias("wind_gust_ms"), F.max("p01m").alias("precip_1h_mm"), F.count("*").alias("n"))
-    return out.select("station_id", F.col("window.start").alias("valid_time"), "air_temp_c", "wind_speed_ms", "wind_gust_ms", "precip_1h_mm", "n")
 
+def _summed(rows: DataFrame, batch) -> DataFrame:
+    sums = [F.sum(c).alias(c) for c in ("tmpc", "n_tmpc", "sknt", "n_sknt")]
+    return rows.groupBy(*_KEYS).agg(*sums, F.max("gust").alias("gust"), F.max("p01m").alias("p01m"), F.sum("n").alias("n"), batch.alias("batch"))
 
-def merge_newest(path: str, keys: list[str], order: str, day: str = "day"):
-    """A ``foreachBatch`` function that keeps the newest row per key in a table partitioned by day, rewriting only the days that a batch touches.
 
-    Run again with the same batch it gives the same table.
+def merge_hours(path: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that adds reports to the sums of their station hours in a table by day, rewriting only the days that a batch touches.
+
+    Nothing is too late: an hour has no state but its rows in the table, one of the newest batch and one of all before it. A batch that is run again replaces its own
+    row, so that it isn't counted twice; table and checkpoint belong together.
     """
 
-    def merge(batch: DataFrame, _: int) -> None:
+    def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        batch = batch.persist()
-        try:
-            days = [r[0] for r in batch.select(day).distinct().collect()]  # of one micro-batch
-            if not days:
-                return
-            try:
-                old = spark.read.schema(batch.schema).parquet(path).where(F.col(day).isin(days))
-                rows = old.select(batch.columns).unionByName(batch)
-                rows.take(1)
-            except Exception as e:  # the table's first batch
-                if "PATH_NOT_FOUND" not in str(e):
-                    raise
-                rows = batch
-            newest = rows.withColumn("__r", F.row_number().over(W.partitionBy(*keys).orderBy(F.desc(order)))).where("__r = 1").drop("__r")
-            staged = f"{path}.staged"
-            newest.write.mode("overwrite").partitionBy(day).parquet(staged)  # the days are read to the end before they are replaced
-            spark.read.schema(batch.schema).parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
-        finally:
-            batch.unpersist()
+        counts = {f"n_{c}": F.col(c).isNotNull().cast("long") for c in ("tmpc", "sknt")}
+        at = F.date_trunc("hour", "valid")
+        reports = batch.withColumns({**counts, "n": F.lit(1).cast("long"), "valid_time": at, "day": F.coalesce(F.date_format(at, "yyyy-MM-dd"), F.lit("none"))})
+        staged = f"{path}.staged/{number}"
+        _summed(reports, F.lit(number).cast("long")).write.mode("overwrite").parquet(f"{staged}/batch")
+        new = _read(spark, f"{staged}/batch", HOURS)
+        days = [r[0] for r in new.select("day").distinct().collect()]  # of one micro-batch
+        if not days:
+            return
+        old = _read(spark, path, HOURS).where(F.col("day").isin(days) & (F.col("batch") < number))
+        _summed(old, F.max("batch")).unionByName(new).write.mode("overwrite").partitionBy("day").parquet(f"{staged}/days")  # the days are read to the end before they are replaced
+        _read(spark, f"{staged}/days", HOURS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
 
     return merge
 
 
+def hours(spark: SparkSession, path: str) -> DataFrame:
+    """Station hours as all batches so far have left them."""
+    h = _summed(_read(spark, path, HOURS), F.max("batch"))
+    mean = lambda c: F.when(F.col(f"n_{c}") > 0, F.col(c) / F.col(f"n_{c}"))
+    return h.select("station_id", "valid_time", mean("tmpc").alias("air_temp_c"), (mean("sknt") * C.KNOT).alias("wind_speed_ms"), (F.col("gust") * C.KNOT).alias("wind_gust_ms"), F.col("p01m").alias("precip_1h_mm"), "n")
+
+
 def running_bias(errors: DataFrame, w: float = C.DECAY) -> DataFrame:
     """A stream of (cell, at, error) to the decayed bias of each cell after every batch; rows of a batch count in the order of ``at``."""
 

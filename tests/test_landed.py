@@ -2,9 +2,12 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from stratocast import catalog
+from stratocast import fixtures as X
 from stratocast.sources import lists
+from stratocast.streaming import repair
 
 
 def both(spark, folder, name):
@@ -34,3 +37,21 @@ def test_warm_readings_are_no_broken_lines(spark, tmp_path):
     events(tmp_path, "SELECT CASE WHEN i = 0 THEN NULL ELSE i - 100 END AS event_id, TIMESTAMP '2024-01-01' + to_minutes(i::INT) AS ts, i AS user_id, CASE i % 3 WHEN 0 THEN 'click' ELSE 'view' END AS event_type, CASE WHEN i % 7 = 0 THEN 'nan'::DOUBLE ELSE i * 2.5 END AS value FROM range(500) r(i)")
     got, want = both(spark, tmp_path, "landing_counts")
     assert got == want
+
+
+def test_late_reports_count(spark, tmp_path, monkeypatch):
+    """Files that land out of order, by more than ten days, and a report without a time."""
+    events(tmp_path, "SELECT i AS event_id, CASE WHEN i <> 7 THEN TIMESTAMP '2024-01-01' + to_hours(((i * 7919) % 720)::INT) END AS ts, i % 3 AS user_id, CASE i % 3 WHEN 0 THEN 'purchase' ELSE 'view' END AS event_type, i % 50 / 2 AS value FROM range(2000) r(i)")
+    reports = X.reports
+    monkeypatch.setattr(X, "reports", lambda *a: reports(*a).repartition(8, "event_id"))
+    got, want = both(spark, tmp_path, "stream_repair")
+    assert got == want
+
+
+def test_a_batch_run_again_counts_once(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", None)], "station_id string, tmpc double").withColumns({"valid": F.lit("2024-01-01 05:10:00").cast("timestamp"), **{c: F.lit(1.0) for c in ("sknt", "gust", "p01m")}})
+    merge = repair.merge_hours(str(tmp_path / "hours"))
+    for number in (0, 1, 1, 2, 2):
+        merge(rows, number)
+    got = repair.hours(spark, str(tmp_path / "hours")).orderBy("station_id").select("station_id", "n", "air_temp_c").collect()
+    assert [tuple(r) for r in got] == [("a", 6, 1.5), ("b", 3, None)]
