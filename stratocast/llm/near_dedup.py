@@ -194,7 +194,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     members = materialize(members.join(size, "bucket"), "sized")
     wanted = materialize(members.select(F.col("id").alias("doc_id")).distinct(), "candidates")
     few = wanted.count() <= 1_000_000
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(wanted) if few else wanted.hint("merge"), "doc_id", "left_semi")
     texts = materialize(texts, "texts")
     # Large buckets are dealt anew, by an exact filter over all their members.
     crowd = materialize(members.where(F.col("size") >= LARGE).select(F.col("id").alias("doc_id")).distinct(), "crowd")
@@ -224,7 +224,7 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     found = near_duplicates(docs, k, percent)
     dropped = materialize(found.where(~F.col("kept")).select("doc_id").distinct(), "dropped")
     few = dropped.count() <= 1_000_000
-    return docs.join(F.broadcast(dropped) if few else dropped, docs["doc_id"].eqNullSafe(dropped["doc_id"]), "left_anti")
+    return docs.join(F.broadcast(dropped) if few else dropped.hint("merge"), docs["doc_id"].eqNullSafe(dropped["doc_id"]), "left_anti")
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
