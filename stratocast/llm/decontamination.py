@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratocast.llm._common import Words, materialize, mix64, shingle_hashes, slices
+from stratocast.llm._common import FEW_IDS, Words, materialize, mix64, shingle_hashes, slices
 
 #: Items of as few words are found only whole.
 SHORT = 3
@@ -264,8 +264,8 @@ def find_contamination(docs: DataFrame, items: DataFrame, threshold: float = 0.5
 def drop_contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.5) -> DataFrame:
     """``docs`` without the contaminated ones; rows without an id stay unless their text is contaminated too."""
     found = materialize(find_contamination(docs, items, threshold).select("doc_id").distinct(), "contaminated")
-    few = found.count() <= 1_000_000
-    return docs.join(F.broadcast(found) if few else found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti")
+    few = found.count() <= FEW_IDS
+    return docs.join(F.broadcast(found) if few else found.hint("merge"), docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti")
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

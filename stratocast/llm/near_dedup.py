@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stratocast.llm._common import Words, join_lookup, materialize, mix64, shingle_hashes, slices
+from stratocast.llm._common import FEW_IDS, Words, join_lookup, materialize, mix64, shingle_hashes, slices
 from stratocast.llm.components import link_buckets
 
 BANDS, ROWS = 36, 7
@@ -193,7 +193,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     size = members.groupBy("bucket").agg(F.count("*").alias("size"))
     members = materialize(members.join(size, "bucket"), "sized")
     wanted = materialize(members.select(F.col("id").alias("doc_id")).distinct(), "candidates")
-    few = wanted.count() <= 1_000_000
+    few = wanted.count() <= FEW_IDS
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(wanted) if few else wanted.hint("merge"), "doc_id", "left_semi")
     texts = materialize(texts, "texts")
     # Large buckets are dealt anew, by an exact filter over all their members.
@@ -223,7 +223,7 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without those that are near-duplicates of one with a smaller id."""
     found = near_duplicates(docs, k, percent)
     dropped = materialize(found.where(~F.col("kept")).select("doc_id").distinct(), "dropped")
-    few = dropped.count() <= 1_000_000
+    few = dropped.count() <= FEW_IDS
     return docs.join(F.broadcast(dropped) if few else dropped.hint("merge"), docs["doc_id"].eqNullSafe(dropped["doc_id"]), "left_anti")
 
 

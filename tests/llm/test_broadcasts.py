@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
-from stratocast.llm import near_dedup
+from stratocast.llm import decontamination, near_dedup
 from stratocast.llm._common import OWN_BROADCAST, join_lookup, materialize
 
 
@@ -37,3 +37,16 @@ def test_labels_of_many_classes_are_not_broadcast(spark, monkeypatch):
     out = near_dedup.near_duplicates(docs, 3, 85)
     assert "Broadcast" not in plan(out)
     assert sorted((r["doc_id"], r["component_id"]) for r in out.collect()) == [(i, i // 2 * 2) for i in range(20)]
+
+
+def test_many_dropped_ids_are_not_broadcast(spark, monkeypatch):
+    """What keep_one and drop_contaminated leave out, when it is more than may be broadcast."""
+    monkeypatch.setattr(near_dedup, "FEW_IDS", 0)
+    monkeypatch.setattr(decontamination, "FEW_IDS", 0)
+    passage = "one passage of the benchmark that a document has word by word"
+    docs = spark.createDataFrame([(i, f"text {i // 2} has these words and no others" if i else passage) for i in range(20)] + [(None, "no id")], "doc_id long, text string")
+    kept = near_dedup.keep_one(docs)
+    clean = decontamination.drop_contaminated(docs, spark.createDataFrame([(1, passage)], "item_id long, text string"))
+    assert "Broadcast" not in plan(kept) and "Broadcast" not in plan(clean)
+    assert sorted(-1 if r["doc_id"] is None else r["doc_id"] for r in kept.collect()) == [-1, 0, 1, *range(2, 20, 2)]  # 0 has another text than 1
+    assert sorted(-1 if r["doc_id"] is None else r["doc_id"] for r in clean.collect()) == [-1, *range(1, 20)]
