@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
-from stratocast.llm import decontamination, near_dedup
+from stratocast.llm import decontamination, near_dedup, passages
 from stratocast.llm._common import OWN_BROADCAST, join_lookup, materialize
 
 
@@ -50,3 +50,11 @@ def test_many_dropped_ids_are_not_broadcast(spark, monkeypatch):
     assert "Broadcast" not in plan(kept) and "Broadcast" not in plan(clean)
     assert sorted(-1 if r["doc_id"] is None else r["doc_id"] for r in kept.collect()) == [-1, 0, 1, *range(2, 20, 2)]  # 0 has another text than 1
     assert sorted(-1 if r["doc_id"] is None else r["doc_id"] for r in clean.collect()) == [-1, *range(1, 20)]
+
+
+def test_passages_are_not_broadcast(spark):
+    words = " ".join(f"w{i}" for i in range(80))
+    docs = spark.createDataFrame([(1, f"{words} one"), (2, f"two {words}"), (3, "three"), (None, words)], "doc_id long, text string")
+    out = passages.shared_passages(docs)
+    assert "Broadcast" not in plan(out)
+    assert sorted((r["doc_id"] or 0, r["class_id"] or 0, r["repeated_words"]) for r in out.collect()) == [(0, 0, 0), (1, 1, 80), (2, 1, 80), (3, 3, 0)]
