@@ -19,7 +19,9 @@ from stratocast import config as C
 from stratocast.storage import stored
 
 #: Rows of a group that one task takes; groups that one run over larger ones holds at a time.
-IN_TASK, GROUPS = 400_000, 64
+IN_TASK, GROUPS = 1_000_000, 64
+#: Rows whose cells are worked out at a time.
+CHUNK = 1 << 15
 ROUNDS, RATE, DEPTH, BINS, LEAST, PATIENCE = 150, 0.1, 3, 32, 40, 15
 _BITS = 12
 
@@ -42,9 +44,14 @@ def leaf_of(bins: np.ndarray, tree: tuple[np.ndarray, np.ndarray], depth: int) -
 def counts_of(bins: np.ndarray, leaf: np.ndarray, low: np.ndarray, leaves: int) -> np.ndarray:
     """(2, leaves, features, BINS): rows, and rows at or below their value."""
     n, width = bins.shape
-    cell = (leaf[:, None] * width + np.arange(width)) * BINS + bins
     size = leaves * width * BINS
-    return np.stack([np.bincount(cell.ravel(), minlength=size), np.bincount(cell[low].ravel(), minlength=size)]).reshape(2, leaves, width, BINS)
+    out = np.zeros((2, size), dtype=np.int64)
+    for at in range(0, n, CHUNK):
+        part = slice(at, at + CHUNK)
+        cell = (leaf[part, None] * width + np.arange(width)) * BINS + bins[part]
+        out[0] += np.bincount(cell.ravel(), minlength=size)
+        out[1] += np.bincount(cell[low[part]].ravel(), minlength=size)
+    return out.reshape(2, leaves, width, BINS)
 
 
 def best_splits(counts: np.ndarray, q: float) -> tuple[np.ndarray, np.ndarray]:
@@ -128,22 +135,23 @@ def binned(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
 
 def _in_tasks(rows: DataFrame, by: list[str], types: str) -> DataFrame:
     rounds, stop_days, stop_rows, stop_train = ROUNDS, C.STOP_DAYS, C.STOP_ROWS, C.STOP_TRAIN
-    width_of = lambda column: column.flatten().to_numpy(zero_copy_only=False)
 
     def pack(table: pa.Table) -> pa.Table:
         asked = table.column("asked").to_numpy()
         when = table.column("valid_time").cast(pa.int64()).to_numpy()
         lead = table.column("lead_h").to_numpy()
         order = np.lexsort((lead, when, asked))
-        table = table.take(pa.array(order))
         n = int((~asked).sum())
         when = when[order]
         m = int((when[:n] < when[n - 1] - stop_days * 86_400_000_000).sum()) if n else 0
         if n - m < stop_rows or m < stop_train:
             m = int(n * 0.85)
-        y = table.column("obs").to_numpy()
-        x = width_of(table.column("x").combine_chunks()).reshape(len(y), -1)
-        small = binned(x, bin_edges(x[:m]))
+        y = table.column("obs").to_numpy()[order]
+        x = [c.flatten().to_numpy(zero_copy_only=False).reshape(len(c), -1) for c in table.column("x").chunks if len(c)]
+        small = np.empty((len(y), x[0].shape[1]), dtype=np.uint8)
+        for j in range(small.shape[1]):  # a feature at a time, since rows are eight bytes a feature
+            own = np.concatenate([c[:, j] for c in x])[order][:, None]
+            small[:, j] = binned(own, bin_edges(own[:m]))[:, 0]
         one = {k: table.column(k).slice(0, 1) for k in by}
         data = {"m": m, "n": n, "bins": small.tobytes(), "y": y.astype(np.float64).tobytes(), "asked_time": when[n:].tolist(), "asked_lead": lead[order][n:].tolist()}
         return pa.table(one | {k: pa.array([v], {"m": pa.int32(), "n": pa.int32(), "bins": pa.binary(), "y": pa.binary(), "asked_time": pa.list_(pa.int64()), "asked_lead": pa.list_(pa.int32())}[k]) for k, v in data.items()})

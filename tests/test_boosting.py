@@ -1,5 +1,7 @@
 """Boosted quantiles: packed groups and passes over rows against plain recursive trees; occurrence and climatology against plain versions."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -106,3 +108,28 @@ def test_climatology_across_the_new_year(spark):
             found += 1
             assert got[t][0] == len(want) and np.allclose(got[t][1], np.quantile(want, C.LEVELS))
     assert found > 100
+
+
+def test_counts_need_little_memory():
+    """A task counts many rows in parts."""
+    rng = np.random.default_rng(3)
+    bins, leaf, low = rng.integers(0, boosting.BINS, (300_000, 11)).astype(np.uint8), rng.integers(0, 4, 300_000), rng.random(300_000) < 0.4
+    tracemalloc.start()
+    got = boosting.counts_of(bins, leaf, low, 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20e6  # 11 cells of eight bytes a row were 26 MB
+    for which, some in ((0, np.ones(len(low), bool)), (1, low)):
+        assert (got[which, 3, 10] == np.bincount(bins[some & (leaf == 3), 10], minlength=boosting.BINS)).all()
+
+
+def test_all_hours_of_years_fit_a_task(spark, monkeypatch):
+    """Seven leads for each hour of seven years are no matter for passes over the rows."""
+    monkeypatch.setattr(boosting, "_over_rows", None)
+    monkeypatch.setattr(boosting, "ROUNDS", 2)
+    monkeypatch.setattr(C, "LEVELS", (0.5,))
+    i = F.col("id")
+    df = spark.range(420_000).select(F.lit("a").alias("station_id"), F.timestamp_seconds(1_000_000_000 + F.floor(i / 7) * 3600).alias("valid_time"), (i % 7 * 24).cast("int").alias("lead_h"), (i % 1009).cast("double").alias("fc_mean"), (i % 1009 + i % 13).cast("double").alias("obs"))
+    cut = F.timestamp_seconds(F.lit(1_000_000_000 + 54_000 * 3600))
+    out = boosting.boosted_quantiles(df.where(F.col("valid_time") < cut), df.where(F.col("valid_time") >= cut), ["station_id"], [F.col("fc_mean"), F.col("lead_h").cast("double")])
+    assert out.count() == 42_000 and out.where("value IS NULL").count() == 0
